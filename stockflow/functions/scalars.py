@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from decimal import Decimal
 
 from pyspark.sql import Column
@@ -17,6 +18,11 @@ WARNING_COVER_DAYS = 14
 REORDER_SUPPLY_DAYS = 30
 
 
+def instant(at: dt.datetime) -> Column:
+    """A time literal; without an offset it is read in the session's zone."""
+    return F.lit(at.isoformat(sep=" ")).cast("timestamp")
+
+
 def upper_clean(text: Column) -> Column:
     """Upper case without surrounding spaces; tabs and newlines stay."""
     return F.upper(F.trim(text))

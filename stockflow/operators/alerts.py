@@ -8,6 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stockflow.functions.scalars import instant
 from stockflow.operators.dedup import first_wins
 from stockflow.session import ensure_checkpoint_dir
 from stockflow.sources.schemas import DEFAULT_THRESHOLD, REORDER_THRESHOLDS
@@ -43,7 +44,7 @@ def reorder_alerts(
     known = feed.filter(F.col("event_id").isNotNull())
     counted = first_wins(known, "event_id", arrival)
     checked = {"realert": known, "ignore": counted}[duplicates]
-    return alert_rows(running_stock(checked, counted, arrival), F.lit(now), thresholds)
+    return alert_rows(running_stock(checked, counted, arrival), instant(now), thresholds)
 
 
 def alert_rows(

@@ -9,6 +9,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stockflow.functions.scalars import instant
+
 FRESH_HOURS = 2
 
 
@@ -20,7 +22,7 @@ def freshness_report(tables: Mapping[str, DataFrame], now: dt.datetime) -> DataF
     """Rows ingested strictly less than two hours before ``now``, per table, in one job."""
     since = now - dt.timedelta(hours=FRESH_HOURS)
     counted = [
-        df.filter(F.col("ingested_at") > F.lit(since)).agg(
+        df.filter(F.col("ingested_at") > instant(since)).agg(
             F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("fresh_rows")
         )
         for name, df in tables.items()

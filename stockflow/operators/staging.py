@@ -75,7 +75,10 @@ def stg_stock_movements(raw: DataFrame, business_tz: str | None = None) -> DataF
 
 def high_water_mark(target: DataFrame) -> dt.datetime | None:
     """Latest ingest time in the target, or None when it is empty (one value to the driver)."""
-    return target.agg(F.max("ingested_at").alias("mark")).first()["mark"]
+    micros = target.agg(F.unix_micros(F.max("ingested_at")).alias("mark")).first()["mark"]
+    if micros is None:
+        return None
+    return dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc) + dt.timedelta(microseconds=micros)
 
 
 def newer_than(
@@ -89,4 +92,4 @@ def newer_than(
     if mark is None:
         return raw
     since = mark - overlap if overlap else mark
-    return raw.filter(F.col("ingested_at") > F.lit(since))
+    return raw.filter(F.col("ingested_at") > S.instant(since))

@@ -3,8 +3,287 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from stockflow.functions import numeric as N
+from stockflow.functions import scalars as S
+from stockflow.operators import alerts, daily, dedup, quality, staging, upsert, windows
+from stockflow.plans import marts, reports
+from stockflow.session import pin_session
+from stockflow.sources import feeds, messages
+from stockflow.sources.schemas import STOCK_TOPIC, STOCK_WIRE
+from stockflow.streaming import ingest
 
 # The whole calendar of the given tables but its last day, which the as-of cut-off drops.
 START = dt.date(1995, 1, 1)
 AS_OF = dt.date(2001, 11, 3)
 NOW = dt.datetime(2001, 11, 3, 23, 59, 59)
+#: Splits the feeds into a stored part and a newer one for the incremental operators.
+MARK = dt.datetime(1998, 7, 1)
+
+Query = Callable[[SparkSession, str], DataFrame]
+
+
+class Inputs:
+    """Raw and derived tables of one data folder, all lazy."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+        self.spark, self.sf_dir = pin_session(spark), sf_dir
+
+    def feed(self, feed: feeds.Feed) -> DataFrame:
+        return feed(self.spark, self.sf_dir)
+
+    def raw(self, feed: feeds.Feed) -> DataFrame:
+        return feeds.raw(feed, self.spark, self.sf_dir)
+
+    def sales(self) -> DataFrame:
+        return staging.stg_sales(self.raw(feeds.sales_feed))
+
+    def moves(self) -> DataFrame:
+        return staging.stg_stock_movements(self.raw(feeds.movements_feed))
+
+    def activity(self) -> DataFrame:
+        return daily.dense_activity(self.sales(), self.moves(), START, AS_OF)
+
+    def snapshot(self) -> DataFrame:
+        return marts.inventory_snapshot(self.sales(), self.moves(), START, AS_OF)
+
+    def watchlist(self) -> DataFrame:
+        return reports.reorder_watchlist(self.snapshot(), AS_OF)
+
+    def alerts(self, duplicates: str = "realert") -> DataFrame:
+        feed = self.feed(feeds.movements_feed)
+        return alerts.reorder_alerts(feed, feeds.ARRIVAL, NOW, duplicates)
+
+    def stock_events(self) -> DataFrame:
+        e = feeds.envelope_events(self.spark, self.sf_dir).filter(F.col("topic") == STOCK_TOPIC)
+        return e.withColumnRenamed("msg_id", "event_id")
+
+    def slices(self) -> tuple[DataFrame, DataFrame]:
+        """First arrivals of the sales feed up to the mark, and after it."""
+        feed = self.feed(feeds.sales_feed)
+        newer = F.col("ingested_at") > S.instant(MARK)
+        old, new = (
+            dedup.first_wins(part, "event_id", feeds.ARRIVAL).drop("arrival_key")
+            for part in (feed.filter(~newer), feed.filter(newer))
+        )
+        return old, new
+
+
+def _weekly(i: Inputs) -> DataFrame:
+    return windows.with_weekly_change(marts.weekly_sales(i.sales()))
+
+
+def _rolling(i: Inputs) -> DataFrame:
+    return windows.with_running_stock(i.activity()).select(
+        "snapshot_date",
+        "sku",
+        "category",
+        N.ratio_round(F.col("units_7d"), F.col("rows_7d"), 2).alias("velocity_7d"),
+        N.ratio_round(F.col("units_30d"), F.col("rows_30d"), 2).alias("velocity_30d"),
+    )
+
+
+def _sales_calendar(i: Inputs) -> DataFrame:
+    """Every day of the calendar with its number of sales, 0 on quiet days."""
+    per_day = i.sales().groupBy(F.col("event_date").alias("date_day")).agg(
+        F.count(F.lit(1)).alias("sales")
+    )
+    spine = daily.date_spine(i.spark, START, AS_OF)
+    return spine.join(per_day, "date_day", "left").select(
+        "date_day", F.coalesce("sales", F.lit(0)).alias("sales")
+    )
+
+
+def _spine_joins(i: Inputs) -> DataFrame:
+    sales, moves = i.sales(), i.moves()
+    spine = daily.sku_date_spine(daily.sku_dimension(sales, moves), START, AS_OF)
+    return daily.join_activity(
+        spine, daily.daily_movements(moves), daily.daily_sales_outflow(sales)
+    )
+
+
+def _upsert(i: Inputs) -> DataFrame:
+    old, new = i.slices()
+    return upsert.upsert(staging.stg_sales(old), staging.stg_sales(new))
+
+
+def _unseen(i: Inputs) -> DataFrame:
+    old, new = i.slices()
+    return dedup.unseen(new, old, "event_id")
+
+
+def _freshness(i: Inputs) -> DataFrame:
+    return quality.freshness_report(
+        {
+            "raw_sales": i.raw(feeds.sales_feed),
+            "raw_stock_movements": i.raw(feeds.movements_feed),
+            "raw_supplier_deliveries": i.raw(feeds.deliveries_feed),
+        },
+        NOW,
+    )
+
+
+def _staging_tests(i: Inputs) -> DataFrame:
+    return quality.model_report("stg_sales", i.sales()).unionByName(
+        quality.model_report("stg_stock_movements", i.moves())
+    )
+
+
+def _mart_tests(i: Inputs) -> DataFrame:
+    snapshot = i.snapshot()
+    return quality.model_report("fct_inventory_snapshot", snapshot).unionByName(
+        quality.model_report("fct_sales_velocity", marts.sales_velocity(i.sales(), snapshot))
+    )
+
+
+def _roundtrip(i: Inputs) -> DataFrame:
+    stock = feeds.envelope(i.spark, i.sf_dir).filter(F.col("topic") == STOCK_TOPIC)
+    return messages.events(messages.decode(stock, STOCK_WIRE), STOCK_WIRE, ["arrival"])
+
+
+def _router(i: Inputs) -> DataFrame:
+    routed = ingest.with_table(feeds.envelope(i.spark, i.sf_dir))
+    event_id = F.get_json_object(F.col("value").cast("string"), "$.event_id")
+    return routed.groupBy("table_name").agg(
+        F.count(F.lit(1)).alias("message_count"), F.countDistinct(event_id).alias("distinct_ids")
+    )
+
+
+def _keyed_json(i: Inputs) -> DataFrame:
+    columns = [f.name for f in STOCK_WIRE if f.name != "timestamp"]
+    sent = messages.to_messages(i.raw(feeds.movements_feed).select(columns), STOCK_TOPIC)
+    return sent.select(
+        "topic", F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value")
+    )
+
+
+def _date_parts(i: Inputs) -> DataFrame:
+    ts, day = F.col("ts"), F.col("ts").cast("date")
+    return i.raw(feeds.deliveries_feed).select(
+        "event_id",
+        day.alias("day"),
+        S.week_start(day).alias("week_start"),
+        S.month_start(day).alias("month_start"),
+        F.weekofyear(ts).alias("iso_week"),
+        F.month(ts).alias("month"),
+        F.year(ts).alias("year"),
+    )
+
+
+def _text(i: Inputs) -> DataFrame:
+    return i.raw(feeds.movements_feed).select(
+        "event_id",
+        S.upper_clean(F.col("category")).alias("category"),
+        S.upper_clean(F.col("warehouse")).alias("warehouse"),
+        S.lower_clean(F.col("event_type")).alias("movement_type"),
+        S.lower_clean(F.col("reason")).alias("reason"),
+    )
+
+
+def _direction(i: Inputs) -> DataFrame:
+    delta = F.col("delta")
+    return i.raw(feeds.movements_feed).select(
+        "event_id", "delta", S.direction(delta).alias("direction"), F.abs(delta).alias("units_moved")
+    )
+
+
+_SKU_DAY = ("snapshot_date", "sku", "category")
+
+_QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
+    "stg_sales": Inputs.sales,
+    "stg_stock_movements": Inputs.moves,
+    "fct_inventory_snapshot": Inputs.snapshot,
+    "fct_sales_velocity": lambda i: reports.shown(
+        "fct_sales_velocity", marts.sales_velocity(i.sales(), i.snapshot())
+    ),
+    "mv_category_daily_summary": lambda i: reports.shown(
+        "mv_category_daily_summary", reports.category_daily_summary(i.snapshot())
+    ),
+    "mv_sku_reorder_watchlist": lambda i: reports.shown("mv_sku_reorder_watchlist", i.watchlist()),
+    "mv_channel_revenue_weekly": lambda i: reports.shown(
+        "mv_channel_revenue_weekly", reports.channel_revenue_weekly(i.sales())
+    ),
+    "mv_supplier_performance": lambda i: reports.shown(
+        "mv_supplier_performance", reports.supplier_performance(i.raw(feeds.deliveries_feed))
+    ),
+    "vw_daily_kpis": lambda i: reports.daily_kpis(i.watchlist(), i.sales(), AS_OF),
+    "reorder_alerts": Inputs.alerts,
+    "reorder_alerts_ignore": lambda i: i.alerts("ignore"),
+    "reorder_alerts_events": lambda i: alerts.reorder_alerts(i.stock_events(), ["arrival"], NOW),
+    "dispatch_payload": lambda i: alerts.dispatch_payload(i.alerts()),
+    "date_spine": _sales_calendar,
+    "sku_dimension": lambda i: daily.sku_dimension(i.sales(), i.moves()),
+    "sku_date_spine": lambda i: daily.sku_date_spine(
+        daily.sku_dimension(i.sales(), i.moves()), START, AS_OF
+    ),
+    "daily_movements": lambda i: daily.daily_movements(i.moves()),
+    "daily_sales_outflow": lambda i: daily.daily_sales_outflow(i.sales()),
+    "spine_activity_joins": _spine_joins,
+    "running_stock": lambda i: windows.with_running_stock(i.activity()).select(
+        *_SKU_DAY, "running_stock"
+    ),
+    "rolling_velocity": _rolling,
+    "weekly_open_close": lambda i: windows.weekly_open_close(i.snapshot()),
+    "weekly_sales": lambda i: marts.weekly_sales(i.sales()),
+    "wow_delta": _weekly,
+    "latest_per_sku": lambda i: windows.latest_per_sku(i.snapshot()),
+    "conditional_counts": lambda i: reports.category_daily_summary(i.snapshot()).select(
+        "snapshot_date", "category", "reorder_skus", "overstock_skus"
+    ),
+    "on_time_rate": lambda i: reports.supplier_performance(i.raw(feeds.deliveries_feed)).select(
+        "supplier_id", "month", "on_time_pct"
+    ),
+    "lead_variance": lambda i: reports.supplier_performance(i.raw(feeds.deliveries_feed)).select(
+        "supplier_id", "month", "avg_lead_variance_days"
+    ),
+    "fill_rate": lambda i: reports.daily_kpis(i.watchlist(), i.sales(), AS_OF).select(
+        "fill_rate_pct"
+    ),
+    "top_alerts": lambda i: alerts.top_alerts(i.alerts()),
+    "current_stock": lambda i: daily.current_stock(i.raw(feeds.movements_feed)),
+    "dedup_first_wins": lambda i: i.raw(feeds.sales_feed),
+    "dedup_supplier_deliveries": lambda i: i.raw(feeds.deliveries_feed),
+    "anti_join_unseen": _unseen,
+    "incremental_upsert": _upsert,
+    "incremental_slice": lambda i: staging.newer_than(i.raw(feeds.movements_feed), MARK),
+    "high_water_mark": lambda i: i.raw(feeds.sales_feed).agg(F.max("ingested_at").alias("mark")),
+    "freshness_report": _freshness,
+    "uniqueness_report": lambda i: quality.uniqueness_report(
+        i.feed(feeds.sales_feed), ["event_id"]
+    ),
+    "model_tests_staging": _staging_tests,
+    "model_tests_marts": _mart_tests,
+    "threshold_lookup": lambda i: alerts.with_threshold(
+        feeds.envelope_events(i.spark, i.sf_dir).select("arrival", "category")
+    ).select("arrival", "category", "threshold"),
+    "json_roundtrip": _roundtrip,
+    "topic_router": _router,
+    "keyed_json": _keyed_json,
+    "urgency_tier": lambda i: i.snapshot().select(
+        *_SKU_DAY,
+        S.urgency_tier(F.col("stock_on_hand"), F.col("days_on_hand")).alias("stock_status"),
+    ),
+    "reorder_qty": lambda i: i.snapshot().select(
+        *_SKU_DAY,
+        S.reorder_quantity(F.col("velocity_30d"), F.col("stock_on_hand")).alias(
+            "suggested_reorder_qty"
+        ),
+    ),
+    "direction_label": _direction,
+    "revenue": lambda i: i.sales().select("event_id", "gross_revenue", "net_revenue"),
+    "date_parts": _date_parts,
+    "text_normalise": _text,
+}
+
+
+def registered() -> dict[str, Query]:
+    """Query name -> callable of (spark, data folder)."""
+
+    def bind(build: Callable[[Inputs], DataFrame]) -> Query:
+        return lambda spark, sf_dir: build(Inputs(spark, sf_dir))
+
+    return {name: bind(build) for name, build in _QUERIES.items()}

@@ -22,41 +22,69 @@ REORDER_THRESHOLDS = {
 DEFAULT_THRESHOLD = 20
 
 
-def _struct(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+_TEXT, _INT, _LONG, _DAY, _TIME = (
+    T.StringType(),
+    T.IntegerType(),
+    T.LongType(),
+    T.DateType(),
+    T.TimestampType(),
+)
+_PRICE, _PERCENT = T.DecimalType(12, 2), T.DecimalType(5, 2)
+
+
+def _struct(**columns: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, dtype) for name, dtype in columns.items()])
 
 
+_HEAD = {
+    "event_id": _TEXT,
+    "event_type": _TEXT,
+    "timestamp": _TIME,
+    "sku": _TEXT,
+    "category": _TEXT,
+}
 SALES_WIRE = _struct(
-    "event_id string, event_type string, timestamp timestamp, sku string, category string, "
-    "channel string, quantity int, unit_price decimal(12,2), discount_pct decimal(5,2), "
-    "size string, color string, transaction_id string"
-)
-STOCK_WIRE = _struct(
-    "event_id string, event_type string, timestamp timestamp, sku string, category string, "
-    "warehouse string, delta int, reason string, reference_id string"
+    **_HEAD,
+    channel=_TEXT,
+    quantity=_INT,
+    unit_price=_PRICE,
+    discount_pct=_PERCENT,
+    size=_TEXT,
+    color=_TEXT,
+    transaction_id=_TEXT,
 )
+STOCK_WIRE = _struct(**_HEAD, warehouse=_TEXT, delta=_INT, reason=_TEXT, reference_id=_TEXT)
 SUPPLIER_WIRE = _struct(
-    "event_id string, event_type string, timestamp timestamp, sku string, category string, "
-    "supplier_id string, po_number string, quantity int, unit_cost decimal(12,2), "
-    "expected_date date, actual_date date"
+    **_HEAD,
+    supplier_id=_TEXT,
+    po_number=_TEXT,
+    quantity=_INT,
+    unit_cost=_PRICE,
+    expected_date=_DAY,
+    actual_date=_DAY,
 )
 
 
 def _raw(wire: T.StructType) -> T.StructType:
     """The stored form: ``timestamp`` becomes ``ts`` and the ingest time is added."""
     fields = [T.StructField("ts" if f.name == "timestamp" else f.name, f.dataType) for f in wire]
-    return T.StructType([*fields, T.StructField("ingested_at", T.TimestampType())])
+    return T.StructType([*fields, T.StructField("ingested_at", _TIME)])
 
 
 RAW_SALES = _raw(SALES_WIRE)
 RAW_STOCK_MOVEMENTS = _raw(STOCK_WIRE)
 RAW_SUPPLIER_DELIVERIES = _raw(SUPPLIER_WIRE)
 REORDER_ALERTS = _struct(
-    "sku string, category string, threshold int, current_stock bigint, alert_ts timestamp, "
-    "resolved boolean"
+    sku=_TEXT,
+    category=_TEXT,
+    threshold=_INT,
+    current_stock=_LONG,
+    alert_ts=_TIME,
+    resolved=T.BooleanType(),
 )
-QUARANTINE = _struct("topic string, key string, value string, reason string, ingested_at timestamp")
-SKU_STOCK = _struct("sku string, stock bigint")
+QUARANTINE = _struct(topic=_TEXT, key=_TEXT, value=_TEXT, reason=_TEXT, ingested_at=_TIME)
+SKU_STOCK = _struct(sku=_TEXT, stock=_LONG)
+INGEST_LOG = _struct(committed_batch=_LONG, ingested_at=_TIME)
 
 #: topic -> (raw table name, wire schema)
 ROUTES = {
@@ -73,4 +101,5 @@ INGEST_TABLES = {
     "reorder_alerts": REORDER_ALERTS,
     "dead_letters": QUARANTINE,
     "sku_stock": SKU_STOCK,
+    "ingest_log": INGEST_LOG,
 }
