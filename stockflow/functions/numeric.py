@@ -1,55 +1,50 @@
-"""Exact rounding and threshold arithmetic.
+"""Exact rounding and threshold arithmetic, as SQL expression text.
 
 Ratios are rounded half away from zero from their exact integer numerator and
 denominator, so no intermediate double or truncated decimal can move a value
-across a rounding edge or a threshold.
+across a rounding edge or a threshold. Arguments are SQL expressions: whole numbers,
+bigint where the range is known to be small, ``decimal(38,0)`` for money totals.
 """
 
 from __future__ import annotations
 
-from decimal import Decimal
-
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 MONEY = "decimal(18,2)"
 WIDE = "decimal(38,0)"
 
 
-def cents(amount: Column) -> Column:
-    """A two-digit decimal as a whole number of hundredths."""
-    return (amount * F.lit(100)).cast(WIDE)
+def money(amount: str) -> str:
+    return f"cast({amount} AS {MONEY})"
 
 
-def ratio_round(num: Column, den: Column, digits: int) -> Column:
-    """``round(num / den, digits)``; NULL when either side is NULL or ``den`` is not positive.
+def cents(amount: str) -> str:
+    """A two-digit decimal as a whole number of hundredths."""
+    return f"cast(({amount}) * 100 AS {WIDE})"
+
 
-    Both arguments are whole numbers: bigint where the range is known to be small,
-    ``decimal(38,0)`` (see :func:`cents`) for money totals.
-    """
+def ratio_round(num: str, den: str, digits: int) -> str:
+    """``round(num / den, digits)``; NULL when either side is NULL or ``den`` is not positive."""
     scale = 10**digits
-    size = F.abs(num)
-    whole = F.call_function("div", F.lit(2 * scale) * size + den, F.lit(2) * den)
-    signed = F.when(num < 0, -whole).otherwise(whole)
-    exact = signed.cast("decimal(19,0)") * F.lit(Decimal(1).scaleb(-digits))
-    return F.when(den > 0, exact.cast(f"decimal(18,{digits})"))
+    whole = f"((abs({num}) * {2 * scale} + ({den})) div (2 * ({den})))"
+    signed = f"CASE WHEN ({num}) < 0 THEN -{whole} ELSE {whole} END"
+    exact = f"cast({signed} AS decimal(19,0)) * {1 / scale:.{digits}f}"
+    return f"CASE WHEN ({den}) > 0 THEN cast({exact} AS decimal(18,{digits})) END"
 
 
-def percent(part: Column, whole: Column, digits: int) -> Column:
+def percent(part: str, whole: str, digits: int) -> str:
     """``round(part / whole * 100, digits)`` with the same guards as :func:`ratio_round`."""
-    return ratio_round(part * F.lit(100), whole, digits)
+    return ratio_round(f"({part}) * 100", whole, digits)
 
 
-def mean_of_hundredths(total: Column, count: Column, digits: int = 2) -> Column:
-    """``round(avg(x), digits)`` of a two-digit decimal, from its exact sum and its count."""
-    return ratio_round(cents(total), (count * F.lit(100)).cast(WIDE), digits)
+def mean_round(column: str, digits: int = 2) -> str:
+    """``round(avg(column), digits)`` of a two-digit decimal, from its exact sum and count."""
+    return ratio_round(cents(f"sum({column})"), f"cast(count({column}) * 100 AS {WIDE})", digits)
 
 
-def cover_below(stock: Column, units: Column, days: Column, limit: int) -> Column:
+def cover_below(stock: str, units: str, days: str, limit: int) -> str:
     """True when ``stock / (units / days) < limit``, compared without dividing."""
-    return F.coalesce((units > 0) & (stock * days < F.lit(limit) * units), F.lit(False))
+    return f"coalesce({units} > 0 AND {stock} * {days} < {limit} * {units}, false)"
 
 
-def cover_above(stock: Column, units: Column, days: Column, limit: int) -> Column:
+def cover_above(stock: str, units: str, days: str, limit: int) -> str:
     """True when ``stock / (units / days) > limit``, compared without dividing."""
-    return F.coalesce((units > 0) & (stock * days > F.lit(limit) * units), F.lit(False))
+    return f"coalesce({units} > 0 AND {stock} * {days} > {limit} * {units}, false)"

@@ -1,14 +1,13 @@
-"""Column expressions shared by staging, marts and reports."""
+"""Expressions shared by staging, marts and reports, as SQL expression text."""
 
 from __future__ import annotations
 
 import datetime as dt
-from decimal import Decimal
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from stockflow.functions.numeric import MONEY, ratio_round
+from stockflow.functions.numeric import money, ratio_round
 
 # Cover limits in days.
 REORDER_COVER_DAYS = 21
@@ -18,74 +17,72 @@ WARNING_COVER_DAYS = 14
 REORDER_SUPPLY_DAYS = 30
 
 
-def instant(at: dt.datetime) -> Column:
+def exprs(*texts: str) -> list[Column]:
+    return [F.expr(text) for text in texts]
+
+
+def date(day: dt.date) -> str:
+    return f"DATE '{day.isoformat()}'"
+
+
+def instant(at: dt.datetime) -> str:
     """A time literal; without an offset it is read in the session's zone."""
-    return F.lit(at.isoformat(sep=" ")).cast("timestamp")
+    return f"TIMESTAMP '{at.isoformat(sep=' ')}'"
 
 
-def upper_clean(text: Column) -> Column:
+def upper_clean(text: str) -> str:
     """Upper case without surrounding spaces; tabs and newlines stay."""
-    return F.upper(F.trim(text))
+    return f"upper(trim({text}))"
 
 
-def lower_clean(text: Column) -> Column:
-    return F.lower(F.trim(text))
+def lower_clean(text: str) -> str:
+    return f"lower(trim({text}))"
 
 
-def local_time(ts: Column, business_tz: str | None) -> Column:
+def local_time(ts: str, business_tz: str | None) -> str:
     """The wall-clock time that calendar columns are cut from."""
-    return ts if business_tz is None else F.from_utc_timestamp(ts, business_tz)
+    return ts if business_tz is None else f"from_utc_timestamp({ts}, '{business_tz}')"
 
 
-def week_start(day: Column) -> Column:
+def week_start(day: str) -> str:
     """Monday of the week."""
-    return F.trunc(day, "week")
+    return f"trunc({day}, 'week')"
 
 
-def month_start(day: Column) -> Column:
-    return F.trunc(day, "month")
+def month_start(day: str) -> str:
+    return f"trunc({day}, 'month')"
 
 
-def gross_revenue(quantity: Column, unit_price: Column) -> Column:
-    return (quantity.cast("decimal(10,0)") * unit_price).cast(MONEY)
+def line_amount(quantity: str, price: str) -> str:
+    """Quantity times a two-digit price."""
+    return money(f"cast({quantity} AS decimal(10,0)) * {price}")
 
 
-def net_revenue(quantity: Column, unit_price: Column, discount_pct: Column) -> Column:
+def net_revenue(quantity: str, unit_price: str, discount_pct: str) -> str:
     """Uses the discount as received: an unknown discount gives an unknown net amount."""
-    kept = (F.lit(100) - discount_pct).cast("decimal(5,2)")
-    exact = gross_revenue(quantity, unit_price) * kept * F.lit(Decimal("0.01"))
-    return F.round(exact, 2).cast(MONEY)
-
-
-def line_cost(quantity: Column, unit_cost: Column) -> Column:
-    return (quantity.cast("decimal(10,0)") * unit_cost).cast(MONEY)
+    kept = f"cast(100 - {discount_pct} AS decimal(5,2))"
+    return money(f"round({line_amount(quantity, unit_price)} * {kept} * 0.01, 2)")
 
 
-def direction(delta: Column) -> Column:
-    return (
-        F.when(delta > 0, F.lit("inbound"))
-        .when(delta < 0, F.lit("outbound"))
-        .otherwise(F.lit("neutral"))
-    )
+def direction(delta: str) -> str:
+    return f"CASE WHEN {delta} > 0 THEN 'inbound' WHEN {delta} < 0 THEN 'outbound' ELSE 'neutral' END"
 
 
-def days_on_hand(stock: Column, units: Column, days: Column) -> Column:
+def days_on_hand(stock: str, units: str, days: str) -> str:
     """Days of cover at the mean rate ``units / days``; NULL when nothing sold."""
-    return ratio_round(stock * days, units, 1)
+    return ratio_round(f"({stock} * {days})", units, 1)
 
 
-def urgency_tier(stock: Column, days: Column) -> Column:
+def urgency_tier(stock: str, days: str) -> str:
     """Tier from cover rounded to one digit; unknown cover with stock left is healthy."""
-    return (
-        F.when(stock == 0, F.lit("OUT_OF_STOCK"))
-        .when(days < CRITICAL_COVER_DAYS, F.lit("CRITICAL"))
-        .when(days < WARNING_COVER_DAYS, F.lit("WARNING"))
-        .when(days < REORDER_COVER_DAYS, F.lit("LOW"))
-        .otherwise(F.lit("HEALTHY"))
-    )
+    return f"""CASE WHEN {stock} = 0 THEN 'OUT_OF_STOCK'
+        WHEN {days} < {CRITICAL_COVER_DAYS} THEN 'CRITICAL'
+        WHEN {days} < {WARNING_COVER_DAYS} THEN 'WARNING'
+        WHEN {days} < {REORDER_COVER_DAYS} THEN 'LOW'
+        ELSE 'HEALTHY' END"""
 
 
-def reorder_quantity(velocity_30d: Column, stock: Column) -> Column:
+def reorder_quantity(velocity_30d: str, stock: str) -> str:
     """Units to order for 30 days of supply at the rounded velocity, never negative."""
-    wanted = velocity_30d * F.lit(REORDER_SUPPLY_DAYS) - stock.cast("decimal(19,0)")
-    return F.greatest(F.ceil(wanted), F.lit(0)).cast("int")
+    wanted = f"{velocity_30d} * {REORDER_SUPPLY_DAYS} - cast({stock} AS decimal(19,0))"
+    return f"cast(greatest(ceil({wanted}), 0) AS int)"

@@ -5,15 +5,16 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stockflow.functions.scalars import instant
+from stockflow.functions.scalars import exprs, instant
 from stockflow.operators.dedup import first_wins
 from stockflow.session import ensure_checkpoint_dir
 from stockflow.sources.schemas import DEFAULT_THRESHOLD, REORDER_THRESHOLDS
 
 DISPATCH_LIMIT = 50
+_DISPATCH_ORDER = ["current_stock", "alert_ts", "sku", "category", "threshold"]
 
 
 def with_threshold(
@@ -25,7 +26,7 @@ def with_threshold(
     spark = df.sparkSession
     table = spark.createDataFrame(list(thresholds.items()), "category string, threshold int")
     listed = df.join(F.broadcast(table), "category", "left")
-    return listed.withColumn("threshold", F.coalesce("threshold", F.lit(default)).cast("int"))
+    return listed.withColumn("threshold", F.expr(f"coalesce(threshold, {default})"))
 
 
 def reorder_alerts(
@@ -41,24 +42,24 @@ def reorder_alerts(
     ``event_id`` adds nothing to stock but is checked again (``"realert"``), or is left
     out (``"ignore"``).
     """
-    known = feed.filter(F.col("event_id").isNotNull())
+    known = feed.filter("event_id IS NOT NULL")
     counted = first_wins(known, "event_id", arrival)
     checked = {"realert": known, "ignore": counted}[duplicates]
-    return alert_rows(running_stock(checked, counted, arrival), instant(now), thresholds)
+    return alert_rows(running_stock(checked, counted, arrival), now, thresholds)
 
 
 def alert_rows(
-    running: DataFrame, at: Column, thresholds: Mapping[str, int] = REORDER_THRESHOLDS
+    running: DataFrame, at: dt.datetime, thresholds: Mapping[str, int] = REORDER_THRESHOLDS
 ) -> DataFrame:
     """Rows whose running stock is below the threshold, in the shape of the alert table."""
     low = with_threshold(running, thresholds).filter("current_stock < threshold")
-    return low.select(
+    return low.selectExpr(
         "sku",
         "category",
         "threshold",
-        F.col("current_stock").cast("bigint").alias("current_stock"),
-        at.cast("timestamp").alias("alert_ts"),
-        F.lit(False).alias("resolved"),
+        "cast(current_stock AS bigint) AS current_stock",
+        f"{instant(at)} AS alert_ts",
+        "false AS resolved",
     )
 
 
@@ -76,95 +77,70 @@ def running_stock(
     per SKU and slice) gives what came before. The checkpoint fixes the slice boundaries,
     which are sampled, for both uses.
     """
-    spark = checked.sparkSession
-    ensure_checkpoint_dir(spark)
-    order = [*arrival, "event_id", "is_check"]
+    ensure_checkpoint_dir(checked.sparkSession)
+    order = ["sku", *arrival, "event_id", "is_check"]
 
-    def marks(df: DataFrame, is_check: int, delta: Column) -> DataFrame:
-        return df.filter(F.col("sku").isNotNull()).select(
+    def marks(df: DataFrame, is_check: int, change: str) -> DataFrame:
+        return df.filter("sku IS NOT NULL").selectExpr(
             "sku",
             "category",
             *arrival,
             "event_id",
-            F.lit(is_check).alias("is_check"),
-            delta.cast("bigint").alias("change"),
+            f"{is_check} AS is_check",
+            f"cast({change} AS bigint) AS change",
             # Splits identical copies of one event, which share every other sort key.
-            F.spark_partition_id().alias("part"),
+            "spark_partition_id() AS part",
         )
 
-    timeline = marks(counted, 0, F.coalesce("delta", F.lit(0))).unionByName(
-        marks(checked, 1, F.lit(0))
-    )
+    timeline = marks(counted, 0, "coalesce(delta, 0)").unionByName(marks(checked, 1, "0"))
     sliced = (
-        timeline.repartitionByRange(*[F.col(c).asc_nulls_last() for c in ("sku", *order, "part")])
+        timeline.repartitionByRange(*[F.col(c).asc_nulls_last() for c in (*order, "part")])
+        .selectExpr("*", "spark_partition_id() AS slice")
         .drop("part")
-        .withColumn("slice", F.spark_partition_id())
         .checkpoint()
     )
-    before = Window.partitionBy("sku").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     totals = sliced.groupBy("sku", "slice").agg(F.sum("change").alias("change"))
-    carried = totals.select(
-        "sku", "slice", F.coalesce(F.sum("change").over(before), F.lit(0)).alias("carried")
-    )
+    before = "OVER (PARTITION BY sku ORDER BY slice ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    carried = totals.selectExpr("sku", "slice", f"coalesce(sum(change) {before}, 0L) AS carried")
     if opening is not None:
-        carried = carried.join(opening, "sku", "left").select(
-            "sku", "slice", (F.col("carried") + F.coalesce("stock", F.lit(0))).alias("carried")
+        carried = carried.join(opening, "sku", "left").selectExpr(
+            "sku", "slice", "carried + coalesce(stock, 0L) AS carried"
         )
-    within = (
-        Window.partitionBy("sku", "slice")
-        .orderBy(*[F.col(c).asc_nulls_last() for c in order])
-        .rowsBetween(Window.unboundedPreceding, 0)
-    )
+    sequence = ", ".join(f"{c} ASC NULLS LAST" for c in order[1:])
+    so_far = f"""sum(change) OVER (PARTITION BY sku, slice ORDER BY {sequence}
+        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS so_far"""
     return (
-        sliced.withColumn("so_far", F.sum("change").over(within))
+        sliced.selectExpr("*", so_far)
         .filter("is_check = 1")
         .join(carried, ["sku", "slice"])
-        .select(
-            "sku",
-            "category",
-            "event_id",
-            *arrival,
-            (F.col("carried") + F.col("so_far")).alias("current_stock"),
-        )
+        .selectExpr("sku", "category", "event_id", *arrival, "carried + so_far AS current_stock")
     )
 
 
 def top_alerts(alerts: DataFrame, limit: int = DISPATCH_LIMIT) -> DataFrame:
     """The open alerts with the lowest stock; the extra keys make the choice among ties stable."""
+    order = [F.col(c).asc_nulls_last() for c in _DISPATCH_ORDER]
     return (
-        alerts.filter(~F.col("resolved"))
-        .orderBy(
-            *[
-                F.col(c).asc_nulls_last()
-                for c in ("current_stock", "alert_ts", "sku", "category", "threshold")
-            ]
-        )
+        alerts.filter("NOT resolved")
+        .orderBy(*order)
         .select("sku", "category", "threshold", "current_stock", "alert_ts")
         .limit(limit)
     )
 
 
-def _timestamp_text(ts: Column) -> Column:
-    """ISO text with offset; microseconds only when there are any."""
-    whole = F.date_format(ts, "yyyy-MM-dd HH:mm:ssxxx")
-    exact = F.date_format(ts, "yyyy-MM-dd HH:mm:ss.SSSSSSxxx")
-    return F.when(F.date_format(ts, "SSSSSS") == "000000", whole).otherwise(exact)
+#: Text with offset; microseconds only when there are any.
+_ALERT_TIME = """date_format(alert_ts, CASE WHEN date_format(alert_ts, 'SSSSSS') = '000000'
+    THEN 'yyyy-MM-dd HH:mm:ssxxx' ELSE 'yyyy-MM-dd HH:mm:ss.SSSSSSxxx' END)"""
 
 
 def dispatch_payload(alerts: DataFrame, limit: int = DISPATCH_LIMIT) -> DataFrame:
     """The top alerts as one JSON array, lowest stock first; no row when nothing is open."""
-    item = F.struct(
-        "sku",
-        "category",
-        "threshold",
-        "current_stock",
-        _timestamp_text(F.col("alert_ts")).alias("alert_ts"),
-    )
+    item = f"struct(sku, category, threshold, current_stock, {_ALERT_TIME} AS alert_ts)"
     # The leading fields repeat the choice order, so sorting the few structs restores it.
-    ranked = F.struct("current_stock", "alert_ts", "sku", "category", "threshold", item.alias("item"))
+    ranked = f"struct({', '.join(_DISPATCH_ORDER)}, {item} AS item)"
     listed = top_alerts(alerts, limit).agg(
-        F.count(F.lit(1)).alias("alert_count"), F.sort_array(F.collect_list(ranked)).alias("ranked")
+        *exprs("count(1) AS alert_count", f"sort_array(collect_list({ranked})) AS ranked")
     )
-    return listed.filter("alert_count > 0").select(
-        "alert_count", F.to_json(F.transform("ranked", lambda r: r["item"])).alias("payload")
+    return listed.filter("alert_count > 0").selectExpr(
+        "alert_count", "to_json(transform(ranked, r -> r.item)) AS payload"
     )

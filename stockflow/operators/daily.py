@@ -4,33 +4,33 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from stockflow.functions.numeric import MONEY
+from stockflow.functions.numeric import MONEY, money
+from stockflow.functions.scalars import date, exprs
 
 
 def daily_movements(stg_moves: DataFrame) -> DataFrame:
     """Net stock change per day, SKU and category."""
-    return stg_moves.groupBy(F.col("event_date").alias("movement_date"), "sku", "category").agg(
-        F.sum("stock_delta").cast("bigint").alias("net_delta")
+    return stg_moves.groupBy(*exprs("event_date AS movement_date", "sku", "category")).agg(
+        *exprs("sum(stock_delta) AS net_delta")
     )
 
 
 def daily_sales_outflow(stg_sales: DataFrame) -> DataFrame:
     """Units and revenue per day, SKU and category."""
-    return stg_sales.groupBy(F.col("event_date").alias("sale_date"), "sku", "category").agg(
-        F.sum("quantity").cast("bigint").alias("units_sold"),
-        F.sum("gross_revenue").cast(MONEY).alias("gross_revenue"),
-        F.sum("net_revenue").cast(MONEY).alias("net_revenue"),
+    return stg_sales.groupBy(*exprs("event_date AS sale_date", "sku", "category")).agg(
+        *exprs(
+            "sum(quantity) AS units_sold",
+            f"{money('sum(gross_revenue)')} AS gross_revenue",
+            f"{money('sum(net_revenue)')} AS net_revenue",
+        )
     )
 
 
 def current_stock(raw_moves: DataFrame) -> DataFrame:
     """Stock per SKU from raw deltas."""
-    return raw_moves.groupBy("sku").agg(
-        F.coalesce(F.sum("delta"), F.lit(0)).cast("bigint").alias("current_stock")
-    )
+    return raw_moves.groupBy("sku").agg(*exprs("coalesce(sum(delta), 0L) AS current_stock"))
 
 
 def sku_dimension(stg_sales: DataFrame, stg_moves: DataFrame) -> DataFrame:
@@ -39,44 +39,43 @@ def sku_dimension(stg_sales: DataFrame, stg_moves: DataFrame) -> DataFrame:
     return stg_sales.select(columns).unionByName(stg_moves.select(columns)).distinct()
 
 
-def _days(first: Column, last: Column) -> Column:
-    return F.sequence(first, last, F.expr("INTERVAL 1 DAY"))
+def _days(first: str, last: str) -> str:
+    return f"explode(sequence({first}, {last}, INTERVAL 1 DAY))"
 
 
 def date_spine(spark: SparkSession, start: dt.date, as_of: dt.date) -> DataFrame:
     """One row per day from ``start`` to ``as_of``, both included."""
-    return spark.range(1).select(F.explode(_days(F.lit(start), F.lit(as_of))).alias("date_day"))
+    return spark.range(1).selectExpr(f"{_days(date(start), date(as_of))} AS date_day")
 
 
 def sku_date_spine(skus: DataFrame, start: dt.date, as_of: dt.date) -> DataFrame:
     """Every SKU on every day, by exploding the calendar inside each SKU row (no cross join)."""
-    return skus.select(
-        F.explode(_days(F.lit(start), F.lit(as_of))).alias("snapshot_date"), "sku", "category"
+    return skus.selectExpr(
+        f"{_days(date(start), date(as_of))} AS snapshot_date", "sku", "category"
     )
 
 
+#: A spine row's activity, 0 where there was none.
+_ACTIVITY = [
+    "snapshot_date",
+    "sku",
+    "category",
+    "coalesce(net_delta, 0L) AS stock_received",
+    "coalesce(units_sold, 0L) AS units_sold",
+    f"{money('coalesce(gross_revenue, 0)')} AS gross_revenue",
+    f"{money('coalesce(net_revenue, 0)')} AS net_revenue",
+]
+
+
 def join_activity(spine: DataFrame, moves: DataFrame, sales: DataFrame) -> DataFrame:
     """Left joins of daily activity on (sku, date).
 
     The category is not part of the join key: a SKU filed under two categories fans out.
     """
-    m = moves.select("sku", F.col("movement_date").alias("snapshot_date"), "net_delta")
+    m = moves.selectExpr("sku", "movement_date AS snapshot_date", "net_delta")
     s = sales.drop("category").withColumnRenamed("sale_date", "snapshot_date")
     joined = spine.join(m, ["sku", "snapshot_date"], "left")
-    return joined.join(s, ["sku", "snapshot_date"], "left").select(*_activity_columns())
-
-
-def _activity_columns() -> list[Column]:
-    zero = F.lit(0)
-    return [
-        F.col("snapshot_date"),
-        F.col("sku"),
-        F.col("category"),
-        F.coalesce("net_delta", zero).cast("bigint").alias("stock_received"),
-        F.coalesce("units_sold", zero).cast("bigint").alias("units_sold"),
-        F.coalesce("gross_revenue", zero).cast(MONEY).alias("gross_revenue"),
-        F.coalesce("net_revenue", zero).cast(MONEY).alias("net_revenue"),
-    ]
+    return joined.join(s, ["sku", "snapshot_date"], "left").selectExpr(*_ACTIVITY)
 
 
 def dense_activity(
@@ -96,34 +95,43 @@ def dense_activity(
     daily = _daily_activity(stg_sales, stg_moves, start, as_of, skus)
 
     # Categories of the SKU's dimension rows; a struct keeps a NULL category.
-    filed = F.collect_set(F.when(F.col("listed"), F.struct("category")))
-    per_sku = daily.withColumn("categories", filed.over(Window.partitionBy("sku")))
-
+    per_sku = daily.selectExpr(
+        "*",
+        "collect_set(CASE WHEN listed THEN struct(category) END) OVER (PARTITION BY sku) "
+        "AS categories",
+    )
     active = per_sku.groupBy("sku", "day").agg(
-        F.first("categories").alias("categories"),
-        F.collect_list(F.when(F.col("moves") > 0, F.struct("net_delta"))).alias("moved"),
-        F.collect_list(
-            F.when(F.col("sales") > 0, F.struct("units_sold", "gross_revenue", "net_revenue"))
-        ).alias("sold"),
+        *exprs(
+            "first(categories) AS categories",
+            "collect_list(CASE WHEN moves > 0 THEN struct(net_delta) END) AS moved",
+            "collect_list(CASE WHEN sales > 0 THEN struct(units_sold, gross_revenue, net_revenue) "
+            "END) AS sold",
+        )
     )
-
-    by_day = Window.partitionBy("sku").orderBy("day")
-    first_day = F.when(F.lag("day").over(by_day).isNull(), F.lit(start)).otherwise(F.col("day"))
-    last_day = F.coalesce(F.date_sub(F.lead("day").over(by_day), 1), F.lit(as_of))
-    dense = active.select(
-        "*", first_day.alias("first_day"), last_day.alias("last_day")
-    ).select("*", F.explode(_days(F.col("first_day"), F.col("last_day"))).alias("snapshot_date"))
+    by_day = "OVER (PARTITION BY sku ORDER BY day)"
+    stretched = active.selectExpr(
+        "*",
+        f"CASE WHEN lag(day) {by_day} IS NULL THEN {date(start)} ELSE day END AS first_day",
+        f"coalesce(date_sub(lead(day) {by_day}, 1), {date(as_of)}) AS last_day",
+    )
+    dense = stretched.selectExpr("*", f"{_days('first_day', 'last_day')} AS snapshot_date")
 
     # Activity belongs to its own day only. Several categories fan out as in the joins.
-    today = F.col("snapshot_date") == F.col("day")
+    today = "CASE WHEN snapshot_date = day THEN"
     fanned = (
-        dense.select("sku", "snapshot_date", "moved", "sold", "day", F.explode("categories").alias("c"))
-        .select("*", F.explode_outer(F.when(today, F.col("moved"))).alias("m"))
-        .select("*", F.explode_outer(F.when(today, F.col("sold"))).alias("s"))
-    )
-    return fanned.select("snapshot_date", "sku", "c.category", "m.net_delta", "s.*").select(
-        *_activity_columns()
+        dense.selectExpr(
+            "sku",
+            "snapshot_date",
+            f"{today} moved END AS moved",
+            f"{today} sold END AS sold",
+            "explode(categories) AS c",
+        )
+        .selectExpr("*", "explode_outer(moved) AS m")
+        .selectExpr("*", "explode_outer(sold) AS s")
     )
+    return fanned.selectExpr(
+        "snapshot_date", "sku", "c.category", "m.net_delta", "s.*"
+    ).selectExpr(*_ACTIVITY)
 
 
 def _daily_activity(
@@ -138,36 +146,34 @@ def _daily_activity(
     Rows outside the window keep their SKU in the list: they are filed on the first
     day with nothing moved or sold.
     """
-    inside = F.col("event_date").between(F.lit(start), F.lit(as_of))
-
-    def within(name: str, dtype: str) -> Column:
-        return F.when(inside, F.col(name)).cast(dtype).alias(name)
-
-    day = F.when(inside, F.col("event_date")).otherwise(F.lit(start)).alias("day")
-    listed = F.lit(skus is None).alias("listed")
-    feeds = stg_sales.select(
+    inside = f"CASE WHEN event_date BETWEEN {date(start)} AND {date(as_of)} THEN"
+    day = f"{inside} event_date ELSE {date(start)} END AS day"
+    listed = f"{str(skus is None).lower()} AS listed"
+    feeds = stg_sales.selectExpr(
         "sku",
         "category",
         day,
         listed,
-        within("quantity", "bigint"),
-        within("gross_revenue", MONEY),
-        within("net_revenue", MONEY),
+        f"{inside} cast(quantity AS bigint) END AS quantity",
+        f"{inside} gross_revenue END AS gross_revenue",
+        f"{inside} net_revenue END AS net_revenue",
     ).unionByName(
-        stg_moves.select("sku", "category", day, listed, within("stock_delta", "bigint")),
+        stg_moves.selectExpr(
+            "sku", "category", day, listed, f"{inside} cast(stock_delta AS bigint) END AS stock_delta"
+        ),
         allowMissingColumns=True,
     )
     if skus is not None:
-        given = skus.select(
-            "sku", "category", F.lit(start).alias("day"), F.lit(True).alias("listed")
-        )
+        given = skus.selectExpr("sku", "category", f"{date(start)} AS day", "true AS listed")
         feeds = feeds.unionByName(given, allowMissingColumns=True)
     return feeds.groupBy("sku", "category", "day").agg(
-        F.max("listed").alias("listed"),
-        F.count("stock_delta").alias("moves"),
-        F.sum("stock_delta").alias("net_delta"),
-        F.count("quantity").alias("sales"),
-        F.sum("quantity").alias("units_sold"),
-        F.sum("gross_revenue").cast(MONEY).alias("gross_revenue"),
-        F.sum("net_revenue").cast(MONEY).alias("net_revenue"),
+        *exprs(
+            "max(listed) AS listed",
+            "count(stock_delta) AS moves",
+            "sum(stock_delta) AS net_delta",
+            "count(quantity) AS sales",
+            "sum(quantity) AS units_sold",
+            f"cast(sum(gross_revenue) AS {MONEY}) AS gross_revenue",
+            f"cast(sum(net_revenue) AS {MONEY}) AS net_revenue",
+        )
     )

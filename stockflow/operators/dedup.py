@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Above this many keys a batch is no longer broadcast.
@@ -17,8 +17,9 @@ def first_wins(df: DataFrame, key: str, arrival: Sequence[str]) -> DataFrame:
     The rank filter lets Spark keep one row per key in every map task before the
     shuffle, so even a key holding a third of all rows sends one row per task.
     """
-    by_arrival = Window.partitionBy(key).orderBy(*[F.col(c).asc_nulls_last() for c in arrival])
-    return df.withColumn("_rn", F.row_number().over(by_arrival)).filter("_rn = 1").drop("_rn")
+    order = ", ".join(f"{c} ASC NULLS LAST" for c in arrival)
+    ranked = df.selectExpr("*", f"row_number() OVER (PARTITION BY {key} ORDER BY {order}) AS _rn")
+    return ranked.filter("_rn = 1").drop("_rn")
 
 
 def batch_keys(batch: DataFrame, key: str, batch_rows: int | None) -> DataFrame:

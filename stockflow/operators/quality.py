@@ -6,10 +6,9 @@ import datetime as dt
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from stockflow.functions.scalars import instant
+from stockflow.functions.scalars import exprs, instant
 
 FRESH_HOURS = 2
 
@@ -22,17 +21,17 @@ def freshness_report(tables: Mapping[str, DataFrame], now: dt.datetime) -> DataF
     """Rows ingested strictly less than two hours before ``now``, per table, in one job."""
     since = now - dt.timedelta(hours=FRESH_HOURS)
     counted = [
-        df.filter(F.col("ingested_at") > instant(since)).agg(
-            F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("fresh_rows")
+        df.filter(f"ingested_at > {instant(since)}").agg(
+            *exprs(f"'{name}' AS table_name", "count(1) AS fresh_rows")
         )
         for name, df in tables.items()
     ]
-    return reduce(DataFrame.unionByName, counted).withColumn("ok", F.col("fresh_rows") >= 1)
+    return reduce(DataFrame.unionByName, counted).selectExpr("*", "fresh_rows >= 1 AS ok")
 
 
 def assert_fresh(report: DataFrame) -> None:
     """Raise once, naming every table without fresh rows."""
-    stale = report.filter(~F.col("ok")).orderBy("table_name").collect()
+    stale = report.filter("NOT ok").orderBy("table_name").collect()
     if stale:
         raise QualityError(
             "stale tables: "
@@ -42,9 +41,7 @@ def assert_fresh(report: DataFrame) -> None:
 
 def uniqueness_report(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that occur more than once, with their row count."""
-    return (
-        df.groupBy(*keys).agg(F.count(F.lit(1)).alias("row_count")).filter(F.col("row_count") > 1)
-    )
+    return df.groupBy(*keys).agg(*exprs("count(1) AS row_count")).filter("row_count > 1")
 
 
 #: model -> (unique key, columns never NULL, row conditions that must hold)
@@ -75,15 +72,16 @@ MODEL_RULES: dict[str, tuple[list[str], list[str], dict[str, str]]] = {
 def model_report(name: str, df: DataFrame) -> DataFrame:
     """Failing rows of every test on a model: one pass for row tests, one for uniqueness."""
     keys, required, conditions = MODEL_RULES[name]
-    tests: dict[str, Column] = {f"not_null_{c}": F.col(c).isNull() for c in required}
+    holds = {f"not_null_{c}": f"{c} IS NOT NULL" for c in required} | conditions
     # A NULL condition is a failure too.
-    tests |= {n: ~F.coalesce(F.expr(e), F.lit(False)) for n, e in conditions.items()}
-    row_tests = df.agg(*[F.count(F.when(bad, 1)).alias(n) for n, bad in tests.items()])
-    unpivoted = row_tests.unpivot([], list(tests), "test", "failing")
+    row_tests = df.agg(
+        *exprs(*[f"count(CASE WHEN ({rule}) IS NOT TRUE THEN 1 END) AS {t}" for t, rule in holds.items()])
+    )
+    unpivoted = row_tests.unpivot([], list(holds), "test", "failing")
     repeated = uniqueness_report(df, keys).agg(
-        F.lit("unique_" + "_".join(keys)).alias("test"), F.count(F.lit(1)).alias("failing")
+        *exprs(f"'unique_{'_'.join(keys)}' AS test", "count(1) AS failing")
     )
-    return unpivoted.unionByName(repeated).select(F.lit(name).alias("model"), "test", "failing")
+    return unpivoted.unionByName(repeated).selectExpr(f"'{name}' AS model", "test", "failing")
 
 
 def assert_models(report: DataFrame) -> None:

@@ -13,69 +13,62 @@ from stockflow.functions import scalars as S
 def valid_sales(raw: DataFrame) -> DataFrame:
     """Identified rows with a positive quantity and price; NULLs fail the test."""
     return raw.filter(
-        F.col("event_id").isNotNull()
-        & F.col("sku").isNotNull()
-        & (F.col("quantity") > 0)
-        & (F.col("unit_price") > 0)
+        "event_id IS NOT NULL AND sku IS NOT NULL AND quantity > 0 AND unit_price > 0"
     )
 
 
 def valid_movements(raw: DataFrame) -> DataFrame:
     """Identified rows that change stock."""
-    return raw.filter(
-        F.col("event_id").isNotNull() & F.col("sku").isNotNull() & (F.col("delta") != 0)
-    )
+    return raw.filter("event_id IS NOT NULL AND sku IS NOT NULL AND delta <> 0")
 
 
 def stg_sales(raw: DataFrame, business_tz: str | None = None) -> DataFrame:
     """Clean sales. ISO week goes with the calendar year, so 2024-12-30 is week 1 of 2024."""
-    at = S.local_time(F.col("ts"), business_tz)
-    qty, price, disc = F.col("quantity"), F.col("unit_price"), F.col("discount_pct")
-    return valid_sales(raw).select(
+    at = S.local_time("ts", business_tz)
+    return valid_sales(raw).selectExpr(
         "event_id",
         "transaction_id",
         "sku",
-        S.upper_clean(F.col("category")).alias("category"),
-        S.lower_clean(F.col("channel")).alias("channel"),
+        f"{S.upper_clean('category')} AS category",
+        f"{S.lower_clean('channel')} AS channel",
         "size",
         "color",
-        F.col("ts").cast("timestamp").alias("event_ts"),
-        at.cast("date").alias("event_date"),
-        F.weekofyear(at).alias("event_week"),
-        F.month(at).alias("event_month"),
-        F.year(at).alias("event_year"),
-        qty.cast("int").alias("quantity"),
-        price.cast("decimal(12,2)").alias("unit_price"),
-        F.coalesce(disc, F.lit(0)).cast("decimal(5,2)").alias("discount_pct"),
-        S.gross_revenue(qty, price).alias("gross_revenue"),
-        S.net_revenue(qty, price, disc).alias("net_revenue"),
-        F.col("ingested_at").cast("timestamp").alias("ingested_at"),
+        "cast(ts AS timestamp) AS event_ts",
+        f"cast({at} AS date) AS event_date",
+        f"weekofyear({at}) AS event_week",
+        f"month({at}) AS event_month",
+        f"year({at}) AS event_year",
+        "cast(quantity AS int) AS quantity",
+        "cast(unit_price AS decimal(12,2)) AS unit_price",
+        "cast(coalesce(discount_pct, 0) AS decimal(5,2)) AS discount_pct",
+        f"{S.line_amount('quantity', 'unit_price')} AS gross_revenue",
+        f"{S.net_revenue('quantity', 'unit_price', 'discount_pct')} AS net_revenue",
+        "cast(ingested_at AS timestamp) AS ingested_at",
     )
 
 
 def stg_stock_movements(raw: DataFrame, business_tz: str | None = None) -> DataFrame:
     """Clean stock movements with direction and absolute size."""
-    delta = F.col("delta")
-    return valid_movements(raw).select(
+    return valid_movements(raw).selectExpr(
         "event_id",
         "reference_id",
         "sku",
-        S.upper_clean(F.col("category")).alias("category"),
-        S.upper_clean(F.col("warehouse")).alias("warehouse"),
-        S.lower_clean(F.col("event_type")).alias("movement_type"),
-        S.lower_clean(F.col("reason")).alias("reason"),
-        F.col("ts").cast("timestamp").alias("event_ts"),
-        S.local_time(F.col("ts"), business_tz).cast("date").alias("event_date"),
-        delta.cast("int").alias("stock_delta"),
-        S.direction(delta).alias("direction"),
-        F.abs(delta).cast("int").alias("units_moved"),
-        F.col("ingested_at").cast("timestamp").alias("ingested_at"),
+        f"{S.upper_clean('category')} AS category",
+        f"{S.upper_clean('warehouse')} AS warehouse",
+        f"{S.lower_clean('event_type')} AS movement_type",
+        f"{S.lower_clean('reason')} AS reason",
+        "cast(ts AS timestamp) AS event_ts",
+        f"cast({S.local_time('ts', business_tz)} AS date) AS event_date",
+        "cast(delta AS int) AS stock_delta",
+        f"{S.direction('delta')} AS direction",
+        "cast(abs(delta) AS int) AS units_moved",
+        "cast(ingested_at AS timestamp) AS ingested_at",
     )
 
 
 def high_water_mark(target: DataFrame) -> dt.datetime | None:
     """Latest ingest time in the target, or None when it is empty (one value to the driver)."""
-    micros = target.agg(F.unix_micros(F.max("ingested_at")).alias("mark")).first()["mark"]
+    micros = target.agg(F.expr("unix_micros(max(ingested_at)) AS mark")).first()["mark"]
     if micros is None:
         return None
     return dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc) + dt.timedelta(microseconds=micros)
@@ -92,4 +85,4 @@ def newer_than(
     if mark is None:
         return raw
     since = mark - overlap if overlap else mark
-    return raw.filter(F.col("ingested_at") > S.instant(since))
+    return raw.filter(f"ingested_at > {S.instant(since)}")

@@ -2,42 +2,41 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from stockflow.functions import scalars as S
+from stockflow.functions.numeric import money
+from stockflow.functions.scalars import exprs, week_start
 
 # Ties exist only where a SKU has several categories; the extra keys make them stable.
-DAY_ORDER = [
-    "snapshot_date",
-    "category",
-    "stock_received",
-    "units_sold",
-    "gross_revenue",
-    "net_revenue",
-]
+_SERIES = (
+    "PARTITION BY sku ORDER BY snapshot_date, category, stock_received, units_sold, "
+    "gross_revenue, net_revenue"
+)
 
 
 def with_running_stock(activity: DataFrame) -> DataFrame:
     """Running stock plus sum and row count of the 7- and 30-row sales frames.
 
-    One partitioning and one sort serve all three frames. Running stock may go below
-    zero here; reports floor it.
+    A frame's sum is the difference of two running sums, so each row costs the same
+    whatever the frame's length, and one partitioning and one sort serve everything.
+    Running stock may go below zero here; reports floor it.
     """
-    series = Window.partitionBy("sku").orderBy(*DAY_ORDER)
-    to_date = series.rowsBetween(Window.unboundedPreceding, 0)
-    week = series.rowsBetween(-6, 0)
-    month = series.rowsBetween(-29, 0)
-    net = F.col("stock_received") - F.col("units_sold")
-    return activity.select(
+    to_date = f"OVER ({_SERIES} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    running = activity.selectExpr(
         "*",
-        F.sum(net).over(to_date).alias("running_stock"),
-        F.sum("units_sold").over(week).alias("units_7d"),
-        F.count("units_sold").over(week).alias("rows_7d"),
-        F.sum("units_sold").over(month).alias("units_30d"),
-        F.count("units_sold").over(month).alias("rows_30d"),
+        f"sum(stock_received - units_sold) {to_date} AS running_stock",
+        f"sum(units_sold) {to_date} AS _units",
+        f"row_number() OVER ({_SERIES}) AS _row",
     )
 
+    def frame(days: int) -> list[str]:
+        return [
+            f"_units - lag(_units, {days}, 0L) OVER ({_SERIES}) AS units_{days}d",
+            f"cast(least(_row, {days}) AS bigint) AS rows_{days}d",
+        ]
+
+    return running.selectExpr("*", *frame(7), *frame(30)).drop("_units", "_row")
+
 
 def weekly_open_close(snapshot: DataFrame) -> DataFrame:
     """First and last daily stock of each SKU's week, one row per category of the SKU.
@@ -45,42 +44,38 @@ def weekly_open_close(snapshot: DataFrame) -> DataFrame:
     "Opening" is the first day's end-of-day stock. Plain aggregation replaces two
     full-frame windows and a distinct.
     """
-    day = F.struct("snapshot_date", "category", "stock_on_hand")
-    weekly = snapshot.groupBy(
-        "sku", S.week_start(F.col("snapshot_date")).alias("week_start")
-    ).agg(
-        F.min(day).alias("first_day"),
-        F.max(day).alias("last_day"),
-        F.collect_set(F.struct("category")).alias("categories"),
+    day = "struct(snapshot_date, category, stock_on_hand)"
+    weekly = snapshot.groupBy(*exprs("sku", f"{week_start('snapshot_date')} AS week_start")).agg(
+        *exprs(
+            f"min({day}) AS first_day",
+            f"max({day}) AS last_day",
+            "collect_set(struct(category)) AS categories",
+        )
     )
-    return weekly.select(
+    return weekly.selectExpr(
         "week_start",
         "sku",
-        F.col("first_day.stock_on_hand").alias("opening_stock"),
-        F.col("last_day.stock_on_hand").alias("closing_stock"),
-        F.explode("categories").alias("c"),
+        "first_day.stock_on_hand AS opening_stock",
+        "last_day.stock_on_hand AS closing_stock",
+        "explode(categories) AS c",
     ).select("week_start", "sku", "c.category", "opening_stock", "closing_stock")
 
 
 def with_weekly_change(weekly: DataFrame) -> DataFrame:
     """Change against the SKU and channel's previous existing week, not the previous calendar week."""
-    series = Window.partitionBy("sku", "channel").orderBy(
-        "week_start", "category", "units_sold", "net_revenue"
-    )
-    return weekly.select(
+    series = "OVER (PARTITION BY sku, channel ORDER BY week_start, category, units_sold, net_revenue)"
+    return weekly.selectExpr(
         "*",
-        (F.col("units_sold") - F.lag("units_sold").over(series)).alias("wow_units_delta"),
-        (F.col("net_revenue") - F.lag("net_revenue").over(series))
-        .cast("decimal(18,2)")
-        .alias("wow_revenue_delta"),
+        f"units_sold - lag(units_sold) {series} AS wow_units_delta",
+        f"{money(f'net_revenue - lag(net_revenue) {series}')} AS wow_revenue_delta",
     )
 
 
 def latest_per_sku(snapshot: DataFrame) -> DataFrame:
     """The newest snapshot row of each SKU; category decides ties."""
-    newest = Window.partitionBy("sku").orderBy(
-        F.col("snapshot_date").desc_nulls_first(), F.col("category").asc_nulls_last()
-    )
-    return (
-        snapshot.withColumn("_rn", F.row_number().over(newest)).filter("_rn = 1").drop("_rn")
+    ranked = snapshot.selectExpr(
+        "*",
+        "row_number() OVER (PARTITION BY sku ORDER BY snapshot_date DESC NULLS FIRST, "
+        "category ASC NULLS LAST) AS _rn",
     )
+    return ranked.filter("_rn = 1").drop("_rn")

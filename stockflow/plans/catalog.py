@@ -65,10 +65,9 @@ class Inputs:
     def slices(self) -> tuple[DataFrame, DataFrame]:
         """First arrivals of the sales feed up to the mark, and after it."""
         feed = self.feed(feeds.sales_feed)
-        newer = F.col("ingested_at") > S.instant(MARK)
         old, new = (
-            dedup.first_wins(part, "event_id", feeds.ARRIVAL).drop("arrival_key")
-            for part in (feed.filter(~newer), feed.filter(newer))
+            dedup.first_wins(feed.filter(part), "event_id", feeds.ARRIVAL).drop("arrival_key")
+            for part in (f"ingested_at <= {S.instant(MARK)}", f"ingested_at > {S.instant(MARK)}")
         )
         return old, new
 
@@ -78,23 +77,21 @@ def _weekly(i: Inputs) -> DataFrame:
 
 
 def _rolling(i: Inputs) -> DataFrame:
-    return windows.with_running_stock(i.activity()).select(
-        "snapshot_date",
-        "sku",
-        "category",
-        N.ratio_round(F.col("units_7d"), F.col("rows_7d"), 2).alias("velocity_7d"),
-        N.ratio_round(F.col("units_30d"), F.col("rows_30d"), 2).alias("velocity_30d"),
+    return windows.with_running_stock(i.activity()).selectExpr(
+        *_SKU_DAY,
+        f"{N.ratio_round('units_7d', 'rows_7d', 2)} AS velocity_7d",
+        f"{N.ratio_round('units_30d', 'rows_30d', 2)} AS velocity_30d",
     )
 
 
 def _sales_calendar(i: Inputs) -> DataFrame:
     """Every day of the calendar with its number of sales, 0 on quiet days."""
     per_day = i.sales().groupBy(F.col("event_date").alias("date_day")).agg(
-        F.count(F.lit(1)).alias("sales")
+        F.expr("count(1) AS sales")
     )
     spine = daily.date_spine(i.spark, START, AS_OF)
-    return spine.join(per_day, "date_day", "left").select(
-        "date_day", F.coalesce("sales", F.lit(0)).alias("sales")
+    return spine.join(per_day, "date_day", "left").selectExpr(
+        "date_day", "coalesce(sales, 0L) AS sales"
     )
 
 
@@ -147,47 +144,44 @@ def _roundtrip(i: Inputs) -> DataFrame:
 
 def _router(i: Inputs) -> DataFrame:
     routed = ingest.with_table(feeds.envelope(i.spark, i.sf_dir))
-    event_id = F.get_json_object(F.col("value").cast("string"), "$.event_id")
+    event_id = "get_json_object(cast(value AS string), '$.event_id')"
     return routed.groupBy("table_name").agg(
-        F.count(F.lit(1)).alias("message_count"), F.countDistinct(event_id).alias("distinct_ids")
+        *S.exprs("count(1) AS message_count", f"count(DISTINCT {event_id}) AS distinct_ids")
     )
 
 
 def _keyed_json(i: Inputs) -> DataFrame:
     columns = [f.name for f in STOCK_WIRE if f.name != "timestamp"]
     sent = messages.to_messages(i.raw(feeds.movements_feed).select(columns), STOCK_TOPIC)
-    return sent.select(
-        "topic", F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value")
-    )
+    return sent.selectExpr("topic", "cast(key AS string) AS key", "cast(value AS string) AS value")
 
 
 def _date_parts(i: Inputs) -> DataFrame:
-    ts, day = F.col("ts"), F.col("ts").cast("date")
-    return i.raw(feeds.deliveries_feed).select(
+    day = "cast(ts AS date)"
+    return i.raw(feeds.deliveries_feed).selectExpr(
         "event_id",
-        day.alias("day"),
-        S.week_start(day).alias("week_start"),
-        S.month_start(day).alias("month_start"),
-        F.weekofyear(ts).alias("iso_week"),
-        F.month(ts).alias("month"),
-        F.year(ts).alias("year"),
+        f"{day} AS day",
+        f"{S.week_start(day)} AS week_start",
+        f"{S.month_start(day)} AS month_start",
+        "weekofyear(ts) AS iso_week",
+        "month(ts) AS month",
+        "year(ts) AS year",
     )
 
 
 def _text(i: Inputs) -> DataFrame:
-    return i.raw(feeds.movements_feed).select(
+    return i.raw(feeds.movements_feed).selectExpr(
         "event_id",
-        S.upper_clean(F.col("category")).alias("category"),
-        S.upper_clean(F.col("warehouse")).alias("warehouse"),
-        S.lower_clean(F.col("event_type")).alias("movement_type"),
-        S.lower_clean(F.col("reason")).alias("reason"),
+        f"{S.upper_clean('category')} AS category",
+        f"{S.upper_clean('warehouse')} AS warehouse",
+        f"{S.lower_clean('event_type')} AS movement_type",
+        f"{S.lower_clean('reason')} AS reason",
     )
 
 
 def _direction(i: Inputs) -> DataFrame:
-    delta = F.col("delta")
-    return i.raw(feeds.movements_feed).select(
-        "event_id", "delta", S.direction(delta).alias("direction"), F.abs(delta).alias("units_moved")
+    return i.raw(feeds.movements_feed).selectExpr(
+        "event_id", "delta", f"{S.direction('delta')} AS direction", "abs(delta) AS units_moved"
     )
 
 
@@ -263,15 +257,11 @@ _QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "json_roundtrip": _roundtrip,
     "topic_router": _router,
     "keyed_json": _keyed_json,
-    "urgency_tier": lambda i: i.snapshot().select(
-        *_SKU_DAY,
-        S.urgency_tier(F.col("stock_on_hand"), F.col("days_on_hand")).alias("stock_status"),
+    "urgency_tier": lambda i: i.snapshot().selectExpr(
+        *_SKU_DAY, f"{S.urgency_tier('stock_on_hand', 'days_on_hand')} AS stock_status"
     ),
-    "reorder_qty": lambda i: i.snapshot().select(
-        *_SKU_DAY,
-        S.reorder_quantity(F.col("velocity_30d"), F.col("stock_on_hand")).alias(
-            "suggested_reorder_qty"
-        ),
+    "reorder_qty": lambda i: i.snapshot().selectExpr(
+        *_SKU_DAY, f"{S.reorder_quantity('velocity_30d', 'stock_on_hand')} AS suggested_reorder_qty"
     ),
     "direction_label": _direction,
     "revenue": lambda i: i.sales().select("event_id", "gross_revenue", "net_revenue"),

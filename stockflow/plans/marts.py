@@ -5,7 +5,6 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from stockflow.functions import numeric as N
 from stockflow.functions import scalars as S
@@ -25,11 +24,11 @@ def inventory_snapshot(
 
 def snapshot_columns(activity: DataFrame) -> DataFrame:
     """Snapshot from a dense daily series. Flags use exact cover, ``days_on_hand`` is rounded."""
-    stock, units, rows = F.col("stock_on_hand"), F.col("units_30d"), F.col("rows_30d")
-    floored = windows.with_running_stock(activity).withColumn(
-        "stock_on_hand", F.greatest(F.col("running_stock"), F.lit(0)).cast("bigint")
+    cover = ("stock_on_hand", "units_30d", "rows_30d")
+    floored = windows.with_running_stock(activity).selectExpr(
+        "*", "greatest(running_stock, 0L) AS stock_on_hand"
     )
-    return floored.select(
+    return floored.selectExpr(
         "snapshot_date",
         "sku",
         "category",
@@ -37,11 +36,11 @@ def snapshot_columns(activity: DataFrame) -> DataFrame:
         "units_sold",
         "gross_revenue",
         "net_revenue",
-        N.ratio_round(F.col("units_7d"), F.col("rows_7d"), 2).alias("velocity_7d"),
-        N.ratio_round(units, rows, 2).alias("velocity_30d"),
-        S.days_on_hand(stock, units, rows).alias("days_on_hand"),
-        N.cover_below(stock, units, rows, S.REORDER_COVER_DAYS).alias("is_reorder_required"),
-        N.cover_above(stock, units, rows, S.OVERSTOCK_COVER_DAYS).alias("is_overstock"),
+        f"{N.ratio_round('units_7d', 'rows_7d', 2)} AS velocity_7d",
+        f"{N.ratio_round('units_30d', 'rows_30d', 2)} AS velocity_30d",
+        f"{S.days_on_hand(*cover)} AS days_on_hand",
+        f"{N.cover_below(*cover, S.REORDER_COVER_DAYS)} AS is_reorder_required",
+        f"{N.cover_above(*cover, S.OVERSTOCK_COVER_DAYS)} AS is_overstock",
     )
 
 
@@ -51,15 +50,14 @@ def weekly_sales(stg_sales: DataFrame) -> DataFrame:
     The distinct count makes Spark shuffle on the group plus ``transaction_id``, so a hot
     group is spread before its final merge.
     """
-    return stg_sales.groupBy(
-        S.week_start(F.col("event_date")).alias("week_start"), "category", "channel", "sku"
-    ).agg(
-        F.sum("quantity").cast("bigint").alias("units_sold"),
-        F.sum("net_revenue").cast(N.MONEY).alias("net_revenue"),
-        F.countDistinct("transaction_id").alias("transactions"),
-        N.mean_of_hundredths(F.sum("discount_pct"), F.count("discount_pct")).alias(
-            "avg_discount_pct"
-        ),
+    keys = S.exprs(f"{S.week_start('event_date')} AS week_start", "category", "channel", "sku")
+    return stg_sales.groupBy(*keys).agg(
+        *S.exprs(
+            "sum(quantity) AS units_sold",
+            f"{N.money('sum(net_revenue)')} AS net_revenue",
+            "count(DISTINCT transaction_id) AS transactions",
+            f"{N.mean_round('discount_pct')} AS avg_discount_pct",
+        )
     )
 
 
@@ -70,9 +68,8 @@ def sales_velocity(stg_sales: DataFrame, snapshot: DataFrame) -> DataFrame:
     """
     stock = windows.weekly_open_close(snapshot).drop("category")
     joined = weekly_sales(stg_sales).join(stock, ["sku", "week_start"], "left")
-    opening = F.coalesce("opening_stock", F.lit(0))
-    units = F.col("units_sold")
-    return windows.with_weekly_change(joined).select(
+    per_unit = N.ratio_round(N.cents("net_revenue"), f"cast(units_sold * 100 AS {N.WIDE})", 2)
+    return windows.with_weekly_change(joined).selectExpr(
         "week_start",
         "category",
         "channel",
@@ -81,12 +78,10 @@ def sales_velocity(stg_sales: DataFrame, snapshot: DataFrame) -> DataFrame:
         "net_revenue",
         "transactions",
         "avg_discount_pct",
-        opening.cast("bigint").alias("opening_stock"),
-        F.coalesce("closing_stock", F.lit(0)).cast("bigint").alias("closing_stock"),
-        N.percent(units, opening, 1).alias("sell_through_pct"),
-        N.ratio_round(N.cents(F.col("net_revenue")), (units * 100).cast(N.WIDE), 2).alias(
-            "revenue_per_unit"
-        ),
+        "coalesce(opening_stock, 0L) AS opening_stock",
+        "coalesce(closing_stock, 0L) AS closing_stock",
+        f"{N.percent('units_sold', 'coalesce(opening_stock, 0L)', 1)} AS sell_through_pct",
+        f"{per_unit} AS revenue_per_unit",
         "wow_units_delta",
         "wow_revenue_delta",
     )

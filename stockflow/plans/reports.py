@@ -4,40 +4,35 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from stockflow.functions import numeric as N
 from stockflow.functions import scalars as S
 from stockflow.operators.windows import latest_per_sku
 
 
-def _mean(column: str) -> Column:
-    """Unrounded mean: exact sum divided once, as a double."""
-    rows = F.count(column)
-    return F.when(rows > 0, F.sum(column).cast("double") / rows.cast("double"))
-
-
 def category_daily_summary(snapshot: DataFrame) -> DataFrame:
     """Stock, velocity and revenue per day and category.
 
-    Flag counts are NULL, not 0, when no SKU carries the flag.
+    Flag counts are NULL, not 0, when no SKU carries the flag. ``avg_days_on_hand`` is the
+    exact sum divided once, unrounded.
     """
-    gross, net = F.sum("gross_revenue"), F.sum("net_revenue")
+    gross, net = N.cents("sum(gross_revenue)"), N.cents("sum(net_revenue)")
     return snapshot.groupBy("snapshot_date", "category").agg(
-        F.sum("stock_on_hand").cast("bigint").alias("total_stock"),
-        F.countDistinct("sku").alias("active_skus"),
-        _mean("days_on_hand").alias("avg_days_on_hand"),
-        F.sum(F.when(F.col("is_reorder_required"), 1)).cast("bigint").alias("reorder_skus"),
-        F.sum(F.when(F.col("is_overstock"), 1)).cast("bigint").alias("overstock_skus"),
-        F.sum("units_sold").cast("bigint").alias("units_sold"),
-        N.mean_of_hundredths(F.sum("velocity_7d"), F.count("velocity_7d")).alias("avg_velocity_7d"),
-        N.mean_of_hundredths(F.sum("velocity_30d"), F.count("velocity_30d")).alias(
-            "avg_velocity_30d"
-        ),
-        gross.cast(N.MONEY).alias("gross_revenue"),
-        net.cast(N.MONEY).alias("net_revenue"),
-        N.percent(N.cents(gross) - N.cents(net), N.cents(gross), 2).alias("avg_discount_pct"),
+        *S.exprs(
+            "sum(stock_on_hand) AS total_stock",
+            "count(DISTINCT sku) AS active_skus",
+            "CASE WHEN count(days_on_hand) > 0 THEN cast(sum(days_on_hand) AS double) / "
+            "count(days_on_hand) END AS avg_days_on_hand",
+            "sum(CASE WHEN is_reorder_required THEN 1L END) AS reorder_skus",
+            "sum(CASE WHEN is_overstock THEN 1L END) AS overstock_skus",
+            "sum(units_sold) AS units_sold",
+            f"{N.mean_round('velocity_7d')} AS avg_velocity_7d",
+            f"{N.mean_round('velocity_30d')} AS avg_velocity_30d",
+            f"{N.money('sum(gross_revenue)')} AS gross_revenue",
+            f"{N.money('sum(net_revenue)')} AS net_revenue",
+            f"{N.percent(f'({gross} - {net})', gross, 2)} AS avg_discount_pct",
+        )
     )
 
 
@@ -47,38 +42,39 @@ def reorder_watchlist(snapshot: DataFrame, as_of: dt.date) -> DataFrame:
     The tier reads rounded cover while the reorder flag reads exact cover, so 20.96 days
     is flagged and still HEALTHY.
     """
-    today = latest_per_sku(snapshot.filter(F.col("snapshot_date") == F.lit(as_of)))
-    stock = F.col("stock_on_hand")
-    return today.select(
+    today = latest_per_sku(snapshot.filter(f"snapshot_date = {S.date(as_of)}"))
+    return today.selectExpr(
         "sku",
         "category",
         "stock_on_hand",
-        F.col("units_sold").alias("units_sold_today"),
+        "units_sold AS units_sold_today",
         "velocity_7d",
         "velocity_30d",
         "days_on_hand",
         "is_reorder_required",
         "is_overstock",
-        S.urgency_tier(stock, F.col("days_on_hand")).alias("stock_status"),
-        S.reorder_quantity(F.col("velocity_30d"), stock).alias("suggested_reorder_qty"),
+        f"{S.urgency_tier('stock_on_hand', 'days_on_hand')} AS stock_status",
+        f"{S.reorder_quantity('velocity_30d', 'stock_on_hand')} AS suggested_reorder_qty",
     )
 
 
 def channel_revenue_weekly(stg_sales: DataFrame) -> DataFrame:
     """Revenue, units, distinct SKUs and transactions per week, channel and category."""
-    net, transactions = F.sum("net_revenue"), F.countDistinct("transaction_id")
-    return stg_sales.groupBy(
-        S.week_start(F.col("event_date")).alias("week_start"), "channel", "category"
-    ).agg(
-        F.countDistinct("sku").alias("active_skus"),
-        F.sum("quantity").cast("bigint").alias("units_sold"),
-        net.cast(N.MONEY).alias("net_revenue"),
-        F.sum("gross_revenue").cast(N.MONEY).alias("gross_revenue"),
-        N.mean_of_hundredths(F.sum("discount_pct"), F.count("discount_pct")).alias(
-            "avg_discount_pct"
-        ),
-        transactions.alias("transactions"),
-        N.ratio_round(N.cents(net), (transactions * 100).cast(N.WIDE), 2).alias("avg_basket_value"),
+    transactions = "count(DISTINCT transaction_id)"
+    basket = N.ratio_round(
+        N.cents("sum(net_revenue)"), f"cast({transactions} * 100 AS {N.WIDE})", 2
+    )
+    keys = S.exprs(f"{S.week_start('event_date')} AS week_start", "channel", "category")
+    return stg_sales.groupBy(*keys).agg(
+        *S.exprs(
+            "count(DISTINCT sku) AS active_skus",
+            "sum(quantity) AS units_sold",
+            f"{N.money('sum(net_revenue)')} AS net_revenue",
+            f"{N.money('sum(gross_revenue)')} AS gross_revenue",
+            f"{N.mean_round('discount_pct')} AS avg_discount_pct",
+            f"{transactions} AS transactions",
+            f"{basket} AS avg_basket_value",
+        )
     )
 
 
@@ -87,20 +83,20 @@ def supplier_performance(raw_deliveries: DataFrame, business_tz: str | None = No
 
     Only delivered orders count: a supplier that never delivers has no row.
     """
-    month = S.month_start(S.local_time(F.col("ts"), business_tz).cast("date"))
-    on_time = F.col("actual_date") <= F.col("expected_date")
-    late = F.datediff("actual_date", "expected_date")
+    month = S.month_start(f"cast({S.local_time('ts', business_tz)} AS date)")
+    on_time = "count(CASE WHEN actual_date <= expected_date THEN 1 END)"
+    late = "datediff(actual_date, expected_date)"
     return (
-        raw_deliveries.filter(F.col("actual_date").isNotNull())
-        .groupBy("supplier_id", month.alias("month"))
+        raw_deliveries.filter("actual_date IS NOT NULL")
+        .groupBy(*S.exprs("supplier_id", f"{month} AS month"))
         .agg(
-            F.count(F.lit(1)).alias("total_deliveries"),
-            F.sum("quantity").cast("bigint").alias("total_units_received"),
-            F.sum(S.line_cost(F.col("quantity"), F.col("unit_cost")))
-            .cast(N.MONEY)
-            .alias("total_cost"),
-            N.percent(F.count(F.when(on_time, 1)), F.count(F.lit(1)), 1).alias("on_time_pct"),
-            N.ratio_round(F.sum(late), F.count(late), 1).alias("avg_lead_variance_days"),
+            *S.exprs(
+                "count(1) AS total_deliveries",
+                "sum(quantity) AS total_units_received",
+                f"{N.money('sum(' + S.line_amount('quantity', 'unit_cost') + ')')} AS total_cost",
+                f"{N.percent(on_time, 'count(1)', 1)} AS on_time_pct",
+                f"{N.ratio_round(f'sum({late})', f'count({late})', 1)} AS avg_lead_variance_days",
+            )
         )
     )
 
@@ -110,50 +106,51 @@ def daily_kpis(watchlist: DataFrame, stg_sales: DataFrame, as_of: dt.date) -> Da
 
     Two single-row aggregates put side by side by a second aggregate, not a cross join.
     """
-    days, stock = F.col("days_on_hand"), F.col("stock_on_hand")
-    status = F.col("stock_status")
+    mean_days = N.ratio_round(
+        f"cast(sum(days_on_hand) * 10 AS {N.WIDE})", f"cast(count(days_on_hand) * 10 AS {N.WIDE})", 1
+    )
+    in_stock = "count(CASE WHEN stock_on_hand > 0 THEN 1 END)"
     health = watchlist.agg(
-        F.sum(stock).cast("bigint").alias("total_units_on_hand"),
-        F.countDistinct("sku").alias("total_active_skus"),
-        F.count(F.when(status.isin("CRITICAL", "OUT_OF_STOCK"), 1)).alias("critical_sku_count"),
-        N.ratio_round((F.sum(days) * 10).cast(N.WIDE), (F.count(days) * 10).cast(N.WIDE), 1).alias(
-            "avg_days_on_hand"
-        ),
-        N.percent(F.count(F.when(stock > 0, 1)), F.count(F.lit(1)), 1).alias("fill_rate_pct"),
+        *S.exprs(
+            "sum(stock_on_hand) AS total_units_on_hand",
+            "count(DISTINCT sku) AS total_active_skus",
+            "count(CASE WHEN stock_status IN ('CRITICAL', 'OUT_OF_STOCK') THEN 1 END) "
+            "AS critical_sku_count",
+            f"{mean_days} AS avg_days_on_hand",
+            f"{N.percent(in_stock, 'count(1)', 1)} AS fill_rate_pct",
+        )
     )
-    sales = stg_sales.filter(F.col("event_date") == F.lit(as_of)).agg(
-        F.sum("net_revenue").cast(N.MONEY).alias("revenue_today"),
-        F.sum("quantity").cast("bigint").alias("units_sold_today"),
+    sales = stg_sales.filter(f"event_date = {S.date(as_of)}").agg(
+        *S.exprs(
+            f"{N.money('sum(net_revenue)')} AS revenue_today",
+            "sum(quantity) AS units_sold_today",
+        )
     )
+    figures = [
+        "total_units_on_hand",
+        "total_active_skus",
+        "critical_sku_count",
+        "avg_days_on_hand",
+        "revenue_today",
+        "units_sold_today",
+        "fill_rate_pct",
+    ]
     both = health.unionByName(sales, allowMissingColumns=True)
     return both.agg(
-        F.lit(as_of).alias("kpi_date"),
-        *[
-            F.max(name).alias(name)
-            for name in (
-                "total_units_on_hand",
-                "total_active_skus",
-                "critical_sku_count",
-                "avg_days_on_hand",
-                "revenue_today",
-                "units_sold_today",
-                "fill_rate_pct",
-            )
-        ],
+        *S.exprs(f"{S.date(as_of)} AS kpi_date", *[f"max({f}) AS {f}" for f in figures])
     )
 
 
-def _desc(name: str) -> Column:
-    return F.col(name).desc_nulls_first()
+#: Reading order of each report. Stored tables stay unordered.
+SHOWN_BY = {
+    "fct_sales_velocity": "week_start DESC NULLS FIRST, net_revenue DESC NULLS FIRST",
+    "mv_category_daily_summary": "snapshot_date DESC NULLS FIRST, gross_revenue DESC NULLS FIRST",
+    "mv_sku_reorder_watchlist": "days_on_hand ASC NULLS FIRST",
+    "mv_channel_revenue_weekly": "week_start DESC NULLS FIRST, net_revenue DESC NULLS FIRST",
+    "mv_supplier_performance": "month DESC NULLS FIRST, on_time_pct ASC NULLS LAST",
+}
 
 
 def shown(name: str, df: DataFrame) -> DataFrame:
-    """``df`` in the reading order of report ``name``. Stored tables stay unordered."""
-    orders = {
-        "fct_sales_velocity": [_desc("week_start"), _desc("net_revenue")],
-        "mv_category_daily_summary": [_desc("snapshot_date"), _desc("gross_revenue")],
-        "mv_sku_reorder_watchlist": [F.col("days_on_hand").asc_nulls_first()],
-        "mv_channel_revenue_weekly": [_desc("week_start"), _desc("net_revenue")],
-        "mv_supplier_performance": [_desc("month"), F.col("on_time_pct").asc_nulls_last()],
-    }
-    return df.orderBy(*orders[name])
+    """``df`` in the reading order of report ``name``."""
+    return df.sparkSession.sql(f"SELECT * FROM {{df}} ORDER BY {SHOWN_BY[name]}", df=df)

@@ -8,8 +8,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stockflow.operators.dedup import first_wins
 from stockflow.sources.schemas import SALES_TOPIC, STOCK_TOPIC
@@ -17,102 +18,129 @@ from stockflow.sources.schemas import SALES_TOPIC, STOCK_TOPIC
 ARRIVAL = ["ingested_at", "arrival_key"]
 
 
+#: Columns the feeds read; stating them saves a schema-inference job per read.
+_COLUMNS = {
+    "lineitem": {
+        "l_orderkey": T.LongType(),
+        "l_partkey": T.LongType(),
+        "l_suppkey": T.LongType(),
+        "l_linenumber": T.IntegerType(),
+        "l_quantity": T.DoubleType(),
+        "l_discount": T.DoubleType(),
+        "l_tax": T.DoubleType(),
+        "l_returnflag": T.StringType(),
+        "l_linestatus": T.StringType(),
+        "l_shipdate": T.TimestampNTZType(),
+    },
+    "part": {
+        "p_partkey": T.LongType(),
+        "p_name": T.StringType(),
+        "p_brand": T.StringType(),
+        "p_type": T.StringType(),
+        "p_size": T.IntegerType(),
+        "p_retailprice": T.DoubleType(),
+    },
+    "orders": {
+        "o_orderkey": T.LongType(),
+        "o_custkey": T.LongType(),
+        "o_orderpriority": T.StringType(),
+    },
+    "customer": {"c_custkey": T.LongType(), "c_mktsegment": T.StringType()},
+    "events": {
+        "event_id": T.LongType(),
+        "ts": T.TimestampNTZType(),
+        "user_id": T.LongType(),
+        "event_type": T.StringType(),
+        "value": T.DoubleType(),
+    },
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    schema = T.StructType([T.StructField(c, t) for c, t in _COLUMNS[name].items()])
+    return spark.read.schema(schema).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _lines(spark: SparkSession, sf_dir: str, flags: list[str] | None = None) -> DataFrame:
-    lines = table(spark, sf_dir, "lineitem")
-    if flags is not None:
-        lines = lines.filter(F.col("l_returnflag").isin(flags))
-    parts = table(spark, sf_dir, "part")
-    return lines.join(parts, lines.l_partkey == parts.p_partkey)
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Deal out the rows of a table that sits in fewer files than there are cores.
+
+    Its few scan tasks would otherwise do all the per-row work. A table of many files, as
+    on a cluster, is returned as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if len(df.inputFiles()) < cores else df
 
 
-def _seconds_after_ship(seconds: Column) -> Column:
-    start = F.col("l_shipdate").cast("timestamp")
-    return F.timestamp_add("SECOND", seconds.cast("int"), start)
+def _lines(spark: SparkSession, sf_dir: str, condition: str = "true") -> DataFrame:
+    lines = table(spark, sf_dir, "lineitem").filter(condition)
+    return spread(lines, "l_orderkey", "l_linenumber").join(
+        table(spark, sf_dir, "part"), F.expr("l_partkey = p_partkey")
+    )
 
 
-def _line_id(prefix: str) -> Column:
-    return F.concat(F.lit(prefix), F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string"))
+_AFTER_SHIP = "timestampadd(SECOND, cast({} AS int), cast(l_shipdate AS timestamp))"
 
 
-def _common(prefix: str) -> list[Column]:
-    second_of_day = F.col("l_orderkey") % 86400
-    delay = (F.col("l_partkey") % 240) * 60
-    sku = F.concat(
-        F.upper(F.substring("p_type", 1, 2)), F.lit("-"), F.lpad(F.expr("substr(p_brand, 7)"), 4, "0")
-    )
-    padded = F.concat(F.lit(" "), F.lower("p_type"), F.lit(" "))
+def _common(prefix: str) -> list[str]:
+    second = "l_orderkey % 86400"
     return [
-        _line_id(prefix).alias("event_id"),
-        _seconds_after_ship(second_of_day).alias("ts"),
-        sku.alias("sku"),
-        F.when(F.col("l_linenumber") % 2 == 1, padded).otherwise(F.col("p_type")).alias("category"),
-        _seconds_after_ship(second_of_day + delay).alias("ingested_at"),
-        F.concat(
-            F.lpad(F.col("l_partkey").cast("string"), 10, "0"),
-            F.lpad(F.col("l_suppkey").cast("string"), 10, "0"),
-        ).alias("arrival_key"),
+        f"concat('{prefix}', cast(l_orderkey AS string), '-', cast(l_linenumber AS string)) AS event_id",
+        f"{_AFTER_SHIP.format(second)} AS ts",
+        "concat(upper(substr(p_type, 1, 2)), '-', lpad(substr(p_brand, 7), 4, '0')) AS sku",
+        "CASE WHEN l_linenumber % 2 = 1 THEN concat(' ', lower(p_type), ' ') ELSE p_type END AS category",
+        f"{_AFTER_SHIP.format(f'{second} + (l_partkey % 240) * 60')} AS ingested_at",
+        "concat(lpad(cast(l_partkey AS string), 10, '0'), lpad(cast(l_suppkey AS string), 10, '0')) "
+        "AS arrival_key",
     ]
 
 
 def sales_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders, customers = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
     base = (
-        _lines(spark, sf_dir, ["N"])
-        .join(orders, F.col("l_orderkey") == orders.o_orderkey)
-        .join(customers, F.col("o_custkey") == customers.c_custkey)
+        _lines(spark, sf_dir, "l_returnflag = 'N'")
+        .join(table(spark, sf_dir, "orders"), F.expr("l_orderkey = o_orderkey"))
+        .join(table(spark, sf_dir, "customer"), F.expr("o_custkey = c_custkey"))
     )
-    unknown = (F.col("l_discount") == 0) & (F.col("l_linenumber") == 1)
-    return base.select(
+    return base.selectExpr(
         *_common("S"),
-        F.lit("sale").alias("event_type"),
-        F.concat("c_mktsegment", F.lit(" ")).alias("channel"),
-        F.col("l_quantity").cast("int").alias("quantity"),
-        F.col("p_retailprice").cast("decimal(12,2)").alias("unit_price"),
-        F.when(~unknown, (F.col("l_discount") * 100).cast("decimal(5,2)")).alias("discount_pct"),
-        F.col("p_size").cast("string").alias("size"),
-        F.substring_index("p_name", " ", 1).alias("color"),
-        F.col("l_orderkey").cast("string").alias("transaction_id"),
+        "'sale' AS event_type",
+        "concat(c_mktsegment, ' ') AS channel",
+        "cast(l_quantity AS int) AS quantity",
+        "cast(p_retailprice AS decimal(12,2)) AS unit_price",
+        "CASE WHEN l_discount = 0 AND l_linenumber = 1 THEN NULL "
+        "ELSE cast(l_discount * 100 AS decimal(5,2)) END AS discount_pct",
+        "cast(p_size AS string) AS size",
+        "substring_index(p_name, ' ', 1) AS color",
+        "cast(l_orderkey AS string) AS transaction_id",
     )
 
 
 def movements_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders")
-    base = _lines(spark, sf_dir, ["A", "R"]).join(
-        orders, F.col("l_orderkey") == orders.o_orderkey
+    base = _lines(spark, sf_dir, "l_returnflag IN ('A', 'R')").join(
+        table(spark, sf_dir, "orders"), F.expr("l_orderkey = o_orderkey")
     )
-    adjusted, closed = F.col("l_returnflag") == "A", F.col("l_linestatus") == "F"
-    quantity = F.col("l_quantity")
-    site = F.col("l_suppkey") % 3
-    return base.select(
+    return base.selectExpr(
         *_common("M"),
-        F.when(adjusted, " Adjustment").when(closed, "TRANSFER").otherwise("writeoff").alias("event_type"),
-        F.when(site == 0, "wh-north").when(site == 1, "WH-SOUTH ").otherwise("WH-WEST").alias("warehouse"),
-        F.when(adjusted, quantity * 2 - 10)
-        .when(closed, quantity - 25)
-        .otherwise(-(quantity % 20))
-        .cast("int")
-        .alias("delta"),
-        F.lower("o_orderpriority").alias("reason"),
-        F.col("l_orderkey").cast("string").alias("reference_id"),
+        "CASE WHEN l_returnflag = 'A' THEN ' Adjustment' WHEN l_linestatus = 'F' THEN 'TRANSFER' "
+        "ELSE 'writeoff' END AS event_type",
+        "CASE l_suppkey % 3 WHEN 0 THEN 'wh-north' WHEN 1 THEN 'WH-SOUTH ' ELSE 'WH-WEST' END AS warehouse",
+        "cast(CASE WHEN l_returnflag = 'A' THEN l_quantity * 2 - 10 "
+        "WHEN l_linestatus = 'F' THEN l_quantity - 25 ELSE -(l_quantity % 20) END AS int) AS delta",
+        "lower(o_orderpriority) AS reason",
+        "cast(l_orderkey AS string) AS reference_id",
     )
 
 
 def deliveries_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    shipped = F.col("l_shipdate").cast("date")
-    cost = F.col("p_retailprice").cast("decimal(12,2)") * F.lit("0.4").cast("decimal(2,1)")
-    return _lines(spark, sf_dir).select(
+    return _lines(spark, sf_dir).selectExpr(
         *_common("D"),
-        F.lit("delivery").alias("event_type"),
-        F.concat(F.lit("SUP-"), F.col("l_suppkey").cast("string")).alias("supplier_id"),
-        F.concat(F.lit("PO-"), F.col("l_orderkey").cast("string")).alias("po_number"),
-        F.col("l_quantity").cast("int").alias("quantity"),
-        F.round(cost, 2).cast("decimal(12,2)").alias("unit_cost"),
-        shipped.alias("expected_date"),
-        F.when(F.col("l_tax") != 0, F.date_add(shipped, F.col("l_linenumber") - 4)).alias("actual_date"),
+        "'delivery' AS event_type",
+        "concat('SUP-', cast(l_suppkey AS string)) AS supplier_id",
+        "concat('PO-', cast(l_orderkey AS string)) AS po_number",
+        "cast(l_quantity AS int) AS quantity",
+        "cast(round(cast(p_retailprice AS decimal(12,2)) * 0.4, 2) AS decimal(12,2)) AS unit_cost",
+        "cast(l_shipdate AS date) AS expected_date",
+        "CASE WHEN l_tax = 0 THEN NULL ELSE date_add(cast(l_shipdate AS date), l_linenumber - 4) END "
+        "AS actual_date",
     )
 
 
@@ -130,50 +158,34 @@ def envelope_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     Every tenth event repeats the id of the event five before it; errors go to a topic
     nothing handles.
     """
-    kind, user = F.col("event_type"), F.col("user_id")
-    family = user % 4
-    return table(spark, sf_dir, "events").select(
-        F.when(kind.isin("purchase", "click"), SALES_TOPIC)
-        .when(kind.isin("view", "signup"), STOCK_TOPIC)
-        .otherwise("fashion.pos.returns")
-        .alias("topic"),
-        F.col("event_id").alias("arrival"),
-        F.col("ts").cast("timestamp").alias("ts"),
-        F.concat(
-            F.lit("E"),
-            (F.col("event_id") - F.when(F.col("event_id") % 10 == 9, 5).otherwise(0)).cast("string"),
-        ).alias("msg_id"),
-        F.concat(F.lit("SK-"), F.lpad((user % 50).cast("string"), 4, "0")).alias("sku"),
-        F.when(family == 0, "Dresses")
-        .when(family == 1, "Swimwear")
-        .when(family == 2, "Denim")
-        .otherwise("Other")
-        .alias("category"),
-        (F.floor("value").cast("int") - 45).alias("delta"),
+    return spread(table(spark, sf_dir, "events"), "event_id").selectExpr(
+        f"CASE WHEN event_type IN ('purchase', 'click') THEN '{SALES_TOPIC}' "
+        f"WHEN event_type IN ('view', 'signup') THEN '{STOCK_TOPIC}' "
+        "ELSE 'fashion.pos.returns' END AS topic",
+        "event_id AS arrival",
+        "cast(ts AS timestamp) AS ts",
+        "concat('E', cast(event_id - CASE WHEN event_id % 10 = 9 THEN 5 ELSE 0 END AS string)) AS msg_id",
+        "concat('SK-', lpad(cast(user_id % 50 AS string), 4, '0')) AS sku",
+        "CASE user_id % 4 WHEN 0 THEN 'Dresses' WHEN 1 THEN 'Swimwear' WHEN 2 THEN 'Denim' "
+        "ELSE 'Other' END AS category",
+        "cast(floor(value) AS int) - 45 AS delta",
     )
 
 
 def envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``envelope_events`` as keyed JSON messages (topic, key, value, timestamp, arrival)."""
-    e = envelope_events(spark, sf_dir)
-    wire_time = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx").alias("timestamp")
-    head = [F.col("msg_id").alias("event_id")]
-    sale = F.struct(
-        *head, F.lit("sale").alias("event_type"), wire_time, "sku", "category",
-        F.lit("ecommerce").alias("channel"), F.lit(1).alias("quantity"),
-        F.lit(10.5).alias("unit_price"), F.lit(5).alias("discount_pct"), F.lit("M").alias("size"),
-        F.lit("Navy").alias("color"), F.col("msg_id").alias("transaction_id"),
-    )
-    movement = F.struct(
-        *head, F.lit("adjustment").alias("event_type"), wire_time, "sku", "category",
-        F.lit("WH-WEST").alias("warehouse"), "delta", F.lit("cycle_count").alias("reason"),
-        F.col("msg_id").alias("reference_id"),
-    )
-    is_stock = F.col("topic") == STOCK_TOPIC
-    return e.select(
+    head = """msg_id AS event_id, '{}' AS event_type,
+        date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx") AS timestamp, sku, category"""
+    movement = f"""struct({head.format('adjustment')}, 'WH-WEST' AS warehouse, delta,
+        'cycle_count' AS reason, msg_id AS reference_id)"""
+    sale = f"""struct({head.format('sale')}, 'ecommerce' AS channel, 1 AS quantity,
+        10.5D AS unit_price, 5 AS discount_pct, 'M' AS size, 'Navy' AS color,
+        msg_id AS transaction_id)"""
+    return envelope_events(spark, sf_dir).selectExpr(
         "topic",
-        F.col("sku").cast("binary").alias("key"),
-        F.when(is_stock, F.to_json(movement)).otherwise(F.to_json(sale)).cast("binary").alias("value"),
-        F.col("ts").alias("timestamp"),
+        "cast(sku AS binary) AS key",
+        f"cast(CASE WHEN topic = '{STOCK_TOPIC}' THEN to_json({movement}) ELSE to_json({sale}) END "
+        "AS binary) AS value",
+        "ts AS timestamp",
         "arrival",
     )

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stockflow.functions.scalars import instant
 from stockflow.sources.schemas import ROUTES
 
 CORRUPT = "_corrupt"
@@ -51,35 +53,28 @@ def decode(messages: DataFrame, wire: T.StructType) -> DataFrame:
     ``reason`` is NULL for a good row; a row that does not parse, or has no event id, says why.
     """
     schema = T.StructType([*wire.fields, T.StructField(CORRUPT, T.StringType())])
-    text = F.col("value").cast("string")
-    parsed = messages.withColumn(
-        "event", F.from_json(text, schema, {"columnNameOfCorruptRecord": CORRUPT})
+    parsed = F.from_json(F.expr("cast(value AS string)"), schema, {"columnNameOfCorruptRecord": CORRUPT})
+    return messages.withColumn("event", parsed).selectExpr(
+        "*",
+        f"CASE WHEN event IS NULL OR event.{CORRUPT} IS NOT NULL THEN 'malformed' "
+        "WHEN event.event_id IS NULL THEN 'missing event_id' END AS reason",
     )
-    return parsed.withColumn("reason", _reason())
-
-
-def _reason() -> Column:
-    return F.when(
-        F.col("event").isNull() | F.col(f"event.{CORRUPT}").isNotNull(), "malformed"
-    ).when(F.col("event.event_id").isNull(), "missing event_id")
 
 
 def events(decoded: DataFrame, wire: T.StructType, keep: Sequence[str]) -> DataFrame:
     """Good rows as table columns (``timestamp`` becomes ``ts``), plus the ``keep`` columns."""
-    fields = [
-        F.col(f"event.{f.name}").alias("ts" if f.name == "timestamp" else f.name) for f in wire
-    ]
-    return decoded.filter("reason IS NULL").select(*fields, *[F.col(k) for k in keep])
+    fields = [f"event.{f.name} AS {'ts' if f.name == 'timestamp' else f.name}" for f in wire]
+    return decoded.filter("reason IS NULL").selectExpr(*fields, *keep)
 
 
-def rejected(messages: DataFrame, at: Column) -> DataFrame:
+def rejected(messages: DataFrame, at: dt.datetime) -> DataFrame:
     """Rows with a ``reason``, in the shape of the dead-letter table."""
-    return messages.filter("reason IS NOT NULL").select(
+    return messages.filter("reason IS NOT NULL").selectExpr(
         "topic",
-        F.col("key").cast("string").alias("key"),
-        F.col("value").cast("string").alias("value"),
+        "cast(key AS string) AS key",
+        "cast(value AS string) AS value",
         "reason",
-        at.alias("ingested_at"),
+        f"{instant(at)} AS ingested_at",
     )
 
 

@@ -11,11 +11,10 @@ import datetime as dt
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from stockflow.functions.scalars import instant
+from stockflow.functions.scalars import exprs, instant
 from stockflow.operators import alerts
 from stockflow.operators.dedup import first_wins, unseen
 from stockflow.session import pin_session
@@ -30,10 +29,8 @@ DEAD_LETTERS = "dead_letters"
 
 def with_table(messages: DataFrame) -> DataFrame:
     """Add the table each message is routed to; unknown topics go to the dead letters."""
-    routed = F.lit(DEAD_LETTERS)
-    for topic, (table, _) in ROUTES.items():
-        routed = F.when(F.col("topic") == topic, F.lit(table)).otherwise(routed)
-    return messages.withColumn("table_name", routed)
+    cases = " ".join(f"WHEN '{topic}' THEN '{table}'" for topic, (table, _) in ROUTES.items())
+    return messages.selectExpr("*", f"CASE topic {cases} ELSE '{DEAD_LETTERS}' END AS table_name")
 
 
 def ingest_batch(
@@ -47,43 +44,41 @@ def ingest_batch(
 ) -> None:
     """Store one batch of (topic, key, value, arrival...) messages under ``root``."""
     spark = pin_session(messages.sparkSession)
-    at = instant(now)
     # The envelope's own time must not clash with the payload's.
     kept = [f"arrival_{i}" for i in range(len(arrival))]
-    routed = with_table(messages).select(
-        "topic", "key", "value", "table_name",
-        *[F.col(c).alias(k) for c, k in zip(arrival, kept, strict=True)],
-    )
-    batch = routed.persist()
+    renamed = [f"{c} AS {k}" for c, k in zip(arrival, kept, strict=True)]
+    batch = with_table(messages).selectExpr("topic", "key", "value", "table_name", *renamed)
+    batch = batch.persist()
     stored: list[DataFrame] = [batch]
     try:
         rows = {r.table_name: r["count"] for r in batch.groupBy("table_name").count().collect()}
         bad = [
             M.rejected(
-                batch.filter(F.col("table_name") == DEAD_LETTERS).withColumn(
-                    "reason", F.lit("no handler for topic")
+                batch.filter(f"table_name = '{DEAD_LETTERS}'").selectExpr(
+                    "*", "'no handler for topic' AS reason"
                 ),
-                at,
+                now,
             )
         ]
         for topic, (table, wire) in ROUTES.items():
             if table not in rows:
                 continue
-            decoded = M.decode(batch.filter(F.col("table_name") == table), wire)
-            bad.append(M.rejected(decoded, at))
+            decoded = M.decode(batch.filter(f"table_name = '{table}'"), wire)
+            bad.append(M.rejected(decoded, now))
             good = M.events(decoded, wire, kept)
-            earlier = tables.read_batches(spark, root, table).filter(F.col("batch_id") < batch_id)
+            earlier = tables.read_batches(spark, root, table).filter(f"batch_id < {batch_id}")
             first = first_wins(good, "event_id", kept)
             fresh = unseen(first, earlier, "event_id", rows[table]).persist()
             stored.append(fresh)
-            tables.write_batch(
-                fresh.drop(*kept).withColumn("ingested_at", at), root, table, batch_id
-            )
+            rows_in = fresh.drop(*kept).selectExpr("*", f"{instant(now)} AS ingested_at")
+            tables.write_batch(rows_in, root, table, batch_id)
             if topic == STOCK_TOPIC:
                 checked = {"realert": good, "ignore": fresh}[duplicates]
-                _raise_alerts(checked, fresh, root, batch_id, at, kept, thresholds)
+                _raise_alerts(checked, fresh, root, batch_id, now, kept, thresholds)
         tables.write_batch(reduce(DataFrame.unionByName, bad), root, DEAD_LETTERS, batch_id)
-        log = spark.range(1).select(F.lit(batch_id).cast("bigint").alias("committed_batch"), at.alias("ingested_at"))
+        log = spark.range(1).selectExpr(
+            f"{batch_id}L AS committed_batch", f"{instant(now)} AS ingested_at"
+        )
         tables.write_batch(log, root, tables.INGEST_LOG, batch_id)
     finally:
         for df in stored:
@@ -95,7 +90,7 @@ def _raise_alerts(
     fresh: DataFrame,
     root: str,
     batch_id: int,
-    at: Column,
+    now: dt.datetime,
     arrival: Sequence[str],
     thresholds: Mapping[str, int],
 ) -> None:
@@ -105,18 +100,18 @@ def _raise_alerts(
     before = [n for n in versions if n < batch_id]
     opening = (
         tables.read_batches(spark, root, "sku_stock")
-        .filter(F.col("batch_id") == before[-1])
+        .filter(f"batch_id = {before[-1]}")
         .drop("batch_id")
     )
     running = alerts.running_stock(checked, fresh, arrival, opening)
     tables.write_batch(
-        alerts.alert_rows(running, at, thresholds), root, "reorder_alerts", batch_id
-    )
-    change = fresh.filter(F.col("sku").isNotNull()).select(
-        "sku", F.col("delta").cast("bigint").alias("stock")
+        alerts.alert_rows(running, now, thresholds), root, "reorder_alerts", batch_id
     )
-    closing = opening.unionByName(change).groupBy("sku").agg(
-        F.coalesce(F.sum("stock"), F.lit(0)).cast("bigint").alias("stock")
+    change = fresh.filter("sku IS NOT NULL").selectExpr("sku", "cast(delta AS bigint) AS stock")
+    closing = (
+        opening.unionByName(change)
+        .groupBy("sku")
+        .agg(*exprs("coalesce(sum(stock), 0L) AS stock"))
     )
     tables.write_batch(closing, root, "sku_stock", batch_id)
     # A replay of this batch reads the version before it; older ones are done with.
