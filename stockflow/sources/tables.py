@@ -106,6 +106,10 @@ def rebuild(df: DataFrame, root: str, name: str, partition_by: Sequence[str] = (
     if partition_by:
         df = df.hint("rebalance", *partition_by)
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    if partition_by and stored.isEmpty():
+        # A partitioned write of no rows leaves no file to hold the schema.
+        df.limit(0).write.mode("overwrite").parquet(path)
     for old in versions[: 1 - KEPT_VERSIONS]:
         delete(spark, f"{root}/{name}/version={old}")
-    return spark.read.schema(df.schema).parquet(path)
+    return stored
