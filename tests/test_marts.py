@@ -5,7 +5,6 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from stockflow.functions import numeric as N
 from stockflow.operators import daily, quality, windows
 from stockflow.plans import marts, reports
 from tests.rows import D0, day, listed, moves, sales
@@ -151,6 +150,3 @@ def test_empty_inputs(spark):
     kpis = reports.daily_kpis(watch, s, D0).collect()
     assert [tuple(r) for r in kpis] == [(D0, None, 0, 0, None, None, None, None)]
 
-
-def test_ratio_of_sums(spark):
-    assert N.ratio_round("1L", "2L", 1).startswith("CASE")
