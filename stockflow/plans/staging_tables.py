@@ -58,7 +58,7 @@ def refresh(
         return tables.rebuild(merged, root, name, [DAY])
     _prepare(target, new, root, name, days_fixed)
     _apply_pending(spark, root, name)
-    return spark.read.schema(target.schema).parquet(path)
+    return spark.read.schema(target.schema).parquet(path).select(new.columns)
 
 
 def _pending(root: str, name: str) -> str:

@@ -112,4 +112,4 @@ def rebuild(df: DataFrame, root: str, name: str, partition_by: Sequence[str] = (
         df.limit(0).write.mode("overwrite").parquet(path)
     for old in versions[: 1 - KEPT_VERSIONS]:
         delete(spark, f"{root}/{name}/version={old}")
-    return stored
+    return stored.select(df.columns)
