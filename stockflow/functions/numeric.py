@@ -18,7 +18,30 @@ def money(amount: str) -> str:
 
 def cents(amount: str) -> str:
     """A two-digit decimal as a whole number of hundredths."""
-    return f"cast(({amount}) * 100 AS {WIDE})"
+    return f"cast(({amount}) * 100 AS bigint)"
+
+
+def sum_cents(column: str) -> str:
+    """Sum of a two-digit decimal column in hundredths.
+
+    Adding bigints is many times cheaper than adding wide decimals, and reaches further
+    than the ``decimal(18,2)`` result does; past that, ANSI arithmetic raises.
+    """
+    return f"sum({cents(column)})"
+
+
+def from_cents(total: str) -> str:
+    return f"cast(cast({total} AS decimal(19,0)) * 0.01 AS {MONEY})"
+
+
+def sum_money(column: str) -> str:
+    """Sum of a two-digit decimal column, exact, as money."""
+    return from_cents(sum_cents(column))
+
+
+def wide(total: str) -> str:
+    """A whole number with room to be scaled up; for totals, once per group."""
+    return f"cast({total} AS {WIDE})"
 
 
 def ratio_round(num: str, den: str, digits: int) -> str:
@@ -37,7 +60,7 @@ def percent(part: str, whole: str, digits: int) -> str:
 
 def mean_round(column: str, digits: int = 2) -> str:
     """``round(avg(column), digits)`` of a two-digit decimal, from its exact sum and count."""
-    return ratio_round(cents(f"sum({column})"), f"cast(count({column}) * 100 AS {WIDE})", digits)
+    return ratio_round(wide(sum_cents(column)), wide(f"count({column}) * 100"), digits)
 
 
 def cover_below(stock: str, units: str, days: str, limit: int) -> str:

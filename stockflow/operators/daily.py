@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stockflow.functions.numeric import MONEY, money
+from stockflow.functions.numeric import money, sum_money
 from stockflow.functions.scalars import date, exprs
 
 
@@ -22,8 +22,8 @@ def daily_sales_outflow(stg_sales: DataFrame) -> DataFrame:
     return stg_sales.groupBy(*exprs("event_date AS sale_date", "sku", "category")).agg(
         *exprs(
             "sum(quantity) AS units_sold",
-            f"{money('sum(gross_revenue)')} AS gross_revenue",
-            f"{money('sum(net_revenue)')} AS net_revenue",
+            f"{sum_money('gross_revenue')} AS gross_revenue",
+            f"{sum_money('net_revenue')} AS net_revenue",
         )
     )
 
@@ -173,7 +173,7 @@ def _daily_activity(
             "sum(stock_delta) AS net_delta",
             "count(quantity) AS sales",
             "sum(quantity) AS units_sold",
-            f"cast(sum(gross_revenue) AS {MONEY}) AS gross_revenue",
-            f"cast(sum(net_revenue) AS {MONEY}) AS net_revenue",
+            f"{sum_money('gross_revenue')} AS gross_revenue",
+            f"{sum_money('net_revenue')} AS net_revenue",
         )
     )

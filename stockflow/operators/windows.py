@@ -14,6 +14,9 @@ _SERIES = (
 )
 
 
+_DAY_STEP = 2**44
+
+
 def with_running_stock(activity: DataFrame) -> DataFrame:
     """Running stock plus sum and row count of the 7- and 30-row sales frames.
 
@@ -44,21 +47,26 @@ def weekly_open_close(snapshot: DataFrame) -> DataFrame:
     "Opening" is the first day's end-of-day stock. Plain aggregation replaces two
     full-frame windows and a distinct.
     """
-    day = "struct(snapshot_date, category, stock_on_hand)"
-    weekly = snapshot.groupBy(*exprs("sku", f"{week_start('snapshot_date')} AS week_start")).agg(
+    # Day first, then stock, in one bigint: ties on a day (a SKU with several categories)
+    # are settled by stock, and fixed-width buffers keep the aggregation hash-based.
+    moment = f"unix_date(snapshot_date) * {_DAY_STEP}L + least(stock_on_hand, {_DAY_STEP - 1}L)"
+    keys = exprs("sku", f"{week_start('snapshot_date')} AS week_start", "category")
+    filed = snapshot.groupBy(*keys).agg(
         *exprs(
-            f"min({day}) AS first_day",
-            f"max({day}) AS last_day",
-            "collect_set(struct(category)) AS categories",
+            f"min({moment}) AS first_moment",
+            f"min_by(stock_on_hand, {moment}) AS first_stock",
+            f"max({moment}) AS last_moment",
+            f"max_by(stock_on_hand, {moment}) AS last_stock",
         )
     )
-    return weekly.selectExpr(
+    week = "OVER (PARTITION BY sku, week_start)"
+    return filed.selectExpr(
         "week_start",
         "sku",
-        "first_day.stock_on_hand AS opening_stock",
-        "last_day.stock_on_hand AS closing_stock",
-        "explode(categories) AS c",
-    ).select("week_start", "sku", "c.category", "opening_stock", "closing_stock")
+        "category",
+        f"min_by(first_stock, first_moment) {week} AS opening_stock",
+        f"max_by(last_stock, last_moment) {week} AS closing_stock",
+    )
 
 
 def with_weekly_change(weekly: DataFrame) -> DataFrame:

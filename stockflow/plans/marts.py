@@ -54,7 +54,7 @@ def weekly_sales(stg_sales: DataFrame) -> DataFrame:
     return stg_sales.groupBy(*keys).agg(
         *S.exprs(
             "sum(quantity) AS units_sold",
-            f"{N.money('sum(net_revenue)')} AS net_revenue",
+            f"{N.sum_money('net_revenue')} AS net_revenue",
             "count(DISTINCT transaction_id) AS transactions",
             f"{N.mean_round('discount_pct')} AS avg_discount_pct",
         )
@@ -68,7 +68,7 @@ def sales_velocity(stg_sales: DataFrame, snapshot: DataFrame) -> DataFrame:
     """
     stock = windows.weekly_open_close(snapshot).drop("category")
     joined = weekly_sales(stg_sales).join(stock, ["sku", "week_start"], "left")
-    per_unit = N.ratio_round(N.cents("net_revenue"), f"cast(units_sold * 100 AS {N.WIDE})", 2)
+    per_unit = N.ratio_round(N.wide(N.cents("net_revenue")), N.wide("units_sold * 100"), 2)
     return windows.with_weekly_change(joined).selectExpr(
         "week_start",
         "category",

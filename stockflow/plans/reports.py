@@ -17,21 +17,22 @@ def category_daily_summary(snapshot: DataFrame) -> DataFrame:
     Flag counts are NULL, not 0, when no SKU carries the flag. ``avg_days_on_hand`` is the
     exact sum divided once, unrounded.
     """
-    gross, net = N.cents("sum(gross_revenue)"), N.cents("sum(net_revenue)")
+    gross, net = N.sum_cents("gross_revenue"), N.sum_cents("net_revenue")
+    tenths = "sum(cast(days_on_hand * 10 AS bigint))"
     return snapshot.groupBy("snapshot_date", "category").agg(
         *S.exprs(
             "sum(stock_on_hand) AS total_stock",
             "count(DISTINCT sku) AS active_skus",
-            "CASE WHEN count(days_on_hand) > 0 THEN cast(sum(days_on_hand) AS double) / "
-            "count(days_on_hand) END AS avg_days_on_hand",
+            f"CASE WHEN count(days_on_hand) > 0 THEN {tenths} / 10D / count(days_on_hand) END "
+            "AS avg_days_on_hand",
             "sum(CASE WHEN is_reorder_required THEN 1L END) AS reorder_skus",
             "sum(CASE WHEN is_overstock THEN 1L END) AS overstock_skus",
             "sum(units_sold) AS units_sold",
             f"{N.mean_round('velocity_7d')} AS avg_velocity_7d",
             f"{N.mean_round('velocity_30d')} AS avg_velocity_30d",
-            f"{N.money('sum(gross_revenue)')} AS gross_revenue",
-            f"{N.money('sum(net_revenue)')} AS net_revenue",
-            f"{N.percent(f'({gross} - {net})', gross, 2)} AS avg_discount_pct",
+            f"{N.from_cents(gross)} AS gross_revenue",
+            f"{N.from_cents(net)} AS net_revenue",
+            f"{N.percent(N.wide(f'{gross} - {net}'), N.wide(gross), 2)} AS avg_discount_pct",
         )
     )
 
@@ -61,16 +62,14 @@ def reorder_watchlist(snapshot: DataFrame, as_of: dt.date) -> DataFrame:
 def channel_revenue_weekly(stg_sales: DataFrame) -> DataFrame:
     """Revenue, units, distinct SKUs and transactions per week, channel and category."""
     transactions = "count(DISTINCT transaction_id)"
-    basket = N.ratio_round(
-        N.cents("sum(net_revenue)"), f"cast({transactions} * 100 AS {N.WIDE})", 2
-    )
+    basket = N.ratio_round(N.wide(N.sum_cents("net_revenue")), N.wide(f"{transactions} * 100"), 2)
     keys = S.exprs(f"{S.week_start('event_date')} AS week_start", "channel", "category")
     return stg_sales.groupBy(*keys).agg(
         *S.exprs(
             "count(DISTINCT sku) AS active_skus",
             "sum(quantity) AS units_sold",
-            f"{N.money('sum(net_revenue)')} AS net_revenue",
-            f"{N.money('sum(gross_revenue)')} AS gross_revenue",
+            f"{N.sum_money('net_revenue')} AS net_revenue",
+            f"{N.sum_money('gross_revenue')} AS gross_revenue",
             f"{N.mean_round('discount_pct')} AS avg_discount_pct",
             f"{transactions} AS transactions",
             f"{basket} AS avg_basket_value",
@@ -93,7 +92,7 @@ def supplier_performance(raw_deliveries: DataFrame, business_tz: str | None = No
             *S.exprs(
                 "count(1) AS total_deliveries",
                 "sum(quantity) AS total_units_received",
-                f"{N.money('sum(' + S.line_amount('quantity', 'unit_cost') + ')')} AS total_cost",
+                f"{N.sum_money(S.line_amount('quantity', 'unit_cost'))} AS total_cost",
                 f"{N.percent(on_time, 'count(1)', 1)} AS on_time_pct",
                 f"{N.ratio_round(f'sum({late})', f'count({late})', 1)} AS avg_lead_variance_days",
             )
@@ -107,7 +106,7 @@ def daily_kpis(watchlist: DataFrame, stg_sales: DataFrame, as_of: dt.date) -> Da
     Two single-row aggregates put side by side by a second aggregate, not a cross join.
     """
     mean_days = N.ratio_round(
-        f"cast(sum(days_on_hand) * 10 AS {N.WIDE})", f"cast(count(days_on_hand) * 10 AS {N.WIDE})", 1
+        "sum(cast(days_on_hand * 10 AS bigint))", "count(days_on_hand) * 10", 1
     )
     in_stock = "count(CASE WHEN stock_on_hand > 0 THEN 1 END)"
     health = watchlist.agg(
@@ -122,7 +121,7 @@ def daily_kpis(watchlist: DataFrame, stg_sales: DataFrame, as_of: dt.date) -> Da
     )
     sales = stg_sales.filter(f"event_date = {S.date(as_of)}").agg(
         *S.exprs(
-            f"{N.money('sum(net_revenue)')} AS revenue_today",
+            f"{N.sum_money('net_revenue')} AS revenue_today",
             "sum(quantity) AS units_sold_today",
         )
     )

@@ -54,7 +54,7 @@ def test_ratio_matches_exact_fractions(spark):
 
 def test_money_ratio_beyond_bigint(spark):
     big = "cast(9000000000000000.01 AS decimal(18,2))"
-    got = one(spark, N.ratio_round(N.cents(big), "cast(300 AS decimal(38,0))", 2))
+    got = one(spark, N.ratio_round(N.wide(N.cents(big)), N.wide("300"), 2))
     want = (Decimal("9000000000000000.01") / 3).quantize(Decimal("0.01"), ROUND_HALF_UP)
     assert got == want
 
