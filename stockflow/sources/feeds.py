@@ -68,7 +68,9 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     on a cluster, is returned as it is.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if len(df.inputFiles()) < cores else df
+    # Only the number of files leaves the JVM, not their names.
+    files = len(df._jdf.inputFiles())
+    return df.repartition(cores, *keys) if files < cores else df
 
 
 def _lines(spark: SparkSession, sf_dir: str, condition: str = "true") -> DataFrame:

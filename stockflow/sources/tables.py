@@ -39,14 +39,23 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(folder, True)
 
 
-def numbered(spark: SparkSession, path: str, prefix: str) -> list[int]:
-    """The n of every finished ``<prefix>=n`` folder, ascending."""
+def _numbers(spark: SparkSession, path: str, prefix: str) -> list[int]:
     fs, folder = _folder(spark, path)
     if not fs.exists(folder):
         return []
     names = [status.getPath().getName() for status in fs.listStatus(folder)]
-    numbers = [int(name.split("=")[1]) for name in names if name.startswith(f"{prefix}=")]
-    return sorted(n for n in numbers if finished(spark, f"{path}/{prefix}={n}"))
+    return sorted(int(name.split("=")[1]) for name in names if name.startswith(f"{prefix}="))
+
+
+def numbered(spark: SparkSession, path: str, prefix: str) -> list[int]:
+    """The n of every finished ``<prefix>=n`` folder, ascending."""
+    return [n for n in _numbers(spark, path, prefix) if finished(spark, f"{path}/{prefix}={n}")]
+
+
+def newest(spark: SparkSession, path: str, prefix: str) -> int | None:
+    """The largest n of a finished folder, looking at as few folders as possible."""
+    downward = reversed(_numbers(spark, path, prefix))
+    return next((n for n in downward if finished(spark, f"{path}/{prefix}={n}")), None)
 
 
 # --- append tables -------------------------------------------------------------------
@@ -72,8 +81,8 @@ def read_batches(spark: SparkSession, root: str, name: str) -> DataFrame:
 
 def committed(spark: SparkSession, root: str, name: str) -> DataFrame:
     """Rows of the batches whose ingest has finished in all tables."""
-    done = numbered(spark, f"{root}/{INGEST_LOG}", "batch_id")
-    last = done[-1] if done else -1
+    last = newest(spark, f"{root}/{INGEST_LOG}", "batch_id")
+    last = -1 if last is None else last
     return read_batches(spark, root, name).filter(F.col("batch_id") <= last).drop("batch_id")
 
 
@@ -82,8 +91,8 @@ def committed(spark: SparkSession, root: str, name: str) -> DataFrame:
 
 def current_path(spark: SparkSession, root: str, name: str) -> str | None:
     """Folder of the newest finished version, or None."""
-    versions = numbered(spark, f"{root}/{name}", "version")
-    return f"{root}/{name}/version={versions[-1]}" if versions else None
+    version = newest(spark, f"{root}/{name}", "version")
+    return None if version is None else f"{root}/{name}/version={version}"
 
 
 def read_current(spark: SparkSession, root: str, name: str) -> DataFrame:

@@ -9,8 +9,10 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
@@ -49,39 +51,45 @@ def ingest_batch(
     renamed = [f"{c} AS {k}" for c, k in zip(arrival, kept, strict=True)]
     batch = with_table(messages).selectExpr("topic", "key", "value", "table_name", *renamed)
     batch = batch.persist()
-    stored: list[DataFrame] = [batch]
-    try:
-        rows = {r.table_name: r["count"] for r in batch.groupBy("table_name").count().collect()}
-        bad = [
-            M.rejected(
-                batch.filter(f"table_name = '{DEAD_LETTERS}'").selectExpr(
-                    "*", "'no handler for topic' AS reason"
-                ),
-                now,
-            )
-        ]
-        for topic, (table, wire) in ROUTES.items():
-            if table not in rows:
-                continue
-            decoded = M.decode(batch.filter(f"table_name = '{table}'"), wire)
-            bad.append(M.rejected(decoded, now))
-            good = M.events(decoded, wire, kept)
-            earlier = tables.read_batches(spark, root, table).filter(f"batch_id < {batch_id}")
-            first = first_wins(good, "event_id", kept)
-            fresh = unseen(first, earlier, "event_id", rows[table]).persist()
-            stored.append(fresh)
-            rows_in = fresh.drop(*kept).selectExpr("*", f"{instant(now)} AS ingested_at")
-            tables.write_batch(rows_in, root, table, batch_id)
+    parsed: list[DataFrame] = []
+
+    def store(topic: str) -> DataFrame:
+        """Store one topic's events and return its rejected messages."""
+        table, wire = ROUTES[topic]
+        decoded = M.decode(batch.filter(f"table_name = '{table}'"), wire).persist()
+        parsed.append(decoded)
+        good = M.events(decoded, wire, kept)
+        earlier = tables.read_batches(spark, root, table).filter(f"batch_id < {batch_id}")
+        fresh = first_wins(
+            unseen(good, earlier, "event_id", rows[table]), "event_id", kept
+        ).persist()
+        try:
+            stored = fresh.drop(*kept).selectExpr("*", f"{instant(now)} AS ingested_at")
+            tables.write_batch(stored, root, table, batch_id)
             if topic == STOCK_TOPIC:
                 checked = {"realert": good, "ignore": fresh}[duplicates]
                 _raise_alerts(checked, fresh, root, batch_id, now, kept, thresholds)
-        tables.write_batch(reduce(DataFrame.unionByName, bad), root, DEAD_LETTERS, batch_id)
+        finally:
+            fresh.unpersist()
+        return M.rejected(decoded, now)
+
+    try:
+        rows = {r.table_name: r["count"] for r in batch.groupBy("table_name").count().collect()}
+        unknown = batch.filter(f"table_name = '{DEAD_LETTERS}'").selectExpr(
+            "*", "'no handler for topic' AS reason"
+        )
+        # The topics share nothing but the cached batch, so their jobs run side by side.
+        present = [topic for topic, (table, _) in ROUTES.items() if table in rows]
+        with ThreadPoolExecutor(len(ROUTES)) as lanes:
+            bad = list(lanes.map(inheritable_thread_target(spark)(store), present))
+        rejected = reduce(DataFrame.unionByName, [M.rejected(unknown, now), *bad])
+        tables.write_batch(rejected, root, DEAD_LETTERS, batch_id)
         log = spark.range(1).selectExpr(
             f"{batch_id}L AS committed_batch", f"{instant(now)} AS ingested_at"
         )
         tables.write_batch(log, root, tables.INGEST_LOG, batch_id)
     finally:
-        for df in stored:
+        for df in (batch, *parsed):
             df.unpersist()
 
 
