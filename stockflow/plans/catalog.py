@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,8 +13,8 @@ from stockflow.functions import numeric as N
 from stockflow.functions import scalars as S
 from stockflow.operators import alerts, daily, dedup, quality, staging, upsert, windows
 from stockflow.plans import marts, reports
-from stockflow.session import pin_session
-from stockflow.sources import feeds, messages
+from stockflow.session import ensure_checkpoint_dir, pin_session
+from stockflow.sources import feeds, messages, tables
 from stockflow.sources.schemas import STOCK_TOPIC, STOCK_WIRE
 from stockflow.streaming import ingest
 
@@ -124,6 +125,28 @@ def _freshness(i: Inputs) -> DataFrame:
     )
 
 
+def _schema_sync(i: Inputs) -> DataFrame:
+    """The stored part lacks one column of the new rows and has one that they dropped."""
+    old, new = (staging.stg_sales(part) for part in i.slices())
+    return upsert.upsert(old.drop("color").selectExpr("*", "1 AS retired"), new)
+
+
+def _streamed_alerts(i: Inputs) -> DataFrame:
+    """Alerts as the stream raises them: three arrivals of files, a restart before each."""
+    ensure_checkpoint_dir(i.spark)
+    work = f"{i.spark.sparkContext.getCheckpointDir()}/stream-{uuid.uuid4().hex}"
+    sent = feeds.envelope(i.spark, i.sf_dir)
+    bounds = ["timestamp < '2024-01-11'", "timestamp >= '2024-01-11' AND timestamp < '2024-01-21'",
+              "timestamp >= '2024-01-21'"]
+    for part in bounds:
+        sent.filter(part).write.mode("append").parquet(f"{work}/source")
+        stream = messages.file_stream(i.spark, f"{work}/source", sent.schema)
+        ingest.start_ingest(
+            stream, f"{work}/tables", f"{work}/progress", ["arrival"], clock=lambda: NOW
+        ).awaitTermination()
+    return tables.committed(i.spark, f"{work}/tables", "reorder_alerts")
+
+
 def _staging_tests(i: Inputs) -> DataFrame:
     return quality.model_report("stg_sales", i.sales()).unionByName(
         quality.model_report("stg_stock_movements", i.moves())
@@ -208,6 +231,7 @@ _QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "reorder_alerts": Inputs.alerts,
     "reorder_alerts_ignore": lambda i: i.alerts("ignore"),
     "reorder_alerts_events": lambda i: alerts.reorder_alerts(i.stock_events(), ["arrival"], NOW),
+    "reorder_alerts_streamed": _streamed_alerts,
     "dispatch_payload": lambda i: alerts.dispatch_payload(i.alerts()),
     "date_spine": _sales_calendar,
     "sku_dimension": lambda i: daily.sku_dimension(i.sales(), i.moves()),
@@ -241,8 +265,10 @@ _QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "current_stock": lambda i: daily.current_stock(i.raw(feeds.movements_feed)),
     "dedup_first_wins": lambda i: i.raw(feeds.sales_feed),
     "dedup_supplier_deliveries": lambda i: i.raw(feeds.deliveries_feed),
+    "dedup_stock_movements": lambda i: i.raw(feeds.movements_feed),
     "anti_join_unseen": _unseen,
     "incremental_upsert": _upsert,
+    "schema_sync": _schema_sync,
     "incremental_slice": lambda i: staging.newer_than(i.raw(feeds.movements_feed), MARK),
     "high_water_mark": lambda i: i.raw(feeds.sales_feed).agg(F.max("ingested_at").alias("mark")),
     "freshness_report": _freshness,
