@@ -60,9 +60,9 @@ def ingest_batch(
         parsed.append(decoded)
         good = M.events(decoded, wire, kept)
         earlier = tables.read_batches(spark, root, table).filter(f"batch_id < {batch_id}")
-        fresh = first_wins(
-            unseen(good, earlier, "event_id", rows[table]), "event_id", kept
-        ).persist()
+        # Copies of one event are cut down before the join on its id.
+        first = first_wins(good, "event_id", kept)
+        fresh = unseen(first, earlier, "event_id", rows[table], keys_of=good).persist()
         try:
             stored = fresh.drop(*kept).selectExpr("*", f"{instant(now)} AS ingested_at")
             tables.write_batch(stored, root, table, batch_id)
