@@ -18,18 +18,20 @@ WINDOW = 2048
 END_ID = 1
 TOKENIZER = "byte_bpe_50k.json"
 #: Chunks a Python worker remembers with their ids.
-REMEMBERED = 400_000
-_SPACES = "\t-\r \x85\xa0  -     　"
+REMEMBERED = 1_000_000
+_SPACES = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _CHUNK = re.compile(f"[{_SPACES}]*[^{_SPACES}]+|[{_SPACES}]+")
-_RUN = re.compile(f"[{_SPACES}] [{_SPACES}]| [{_SPACES}]")
+_TAIL = re.compile(r"(?<=[A-Za-z\xe0-\xff])[.,!?;:%#$&*|]+\Z")
 
 
 class Encoder:
     """Ids of texts, as little-endian 32-bit bytes, by a byte-level BPE of the tokenizers library.
 
-    Such a tokenizer never joins a non-space character with a space after it, so a text falls
-    into chunks of leading space and a word that are encoded on their own. Most recur, and are
-    remembered. Where spaces follow each other the chunks are cut by pattern, else at each space.
+    Such a tokenizer never joins a non-space character with a space after it, nor a letter with
+    the marks of ``_TAIL`` after it. So a text falls into words with a space before them that are
+    encoded on their own. Most recur, and are remembered; when the memory is full the latest,
+    which are the rarest, go. Texts are cut at each space, and by pattern where spaces follow each
+    other.
     """
 
     def __init__(self, path: str):
@@ -40,26 +42,57 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
-
-    def chunks(self, text: str) -> list[str]:
-        if _RUN.search(text):
-            return _CHUNK.findall(text)
-        first, *rest = text.split(" ")
-        return [first, *[" " + w for w in rest]]
+        self.tails: dict[str, bytes] = {"": b""}
+        spaced = self.tokenizer.encode(" ", add_special_tokens=False).tokens[0]
+        vocabulary = self.tokenizer.get_vocab()
+        self.opens = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.opens[[i for token, i in vocabulary.items() if token.startswith(spaced)]] = True
+
+    def _encode(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
+
+    def _encode_words(self, words: list[str]) -> list[bytes]:
+        """Ids of each word after a space: of all in one text, cut where an id opens with a space."""
+        ids = self._encode("".join([" " + w for w in words]))
+        first = np.flatnonzero(self.opens[ids])
+        if len(first) != len(words):
+            return [self._encode(" " + w).tobytes() for w in words]
+        data, at = ids.tobytes(), [*(4 * first).tolist(), 4 * len(ids)]
+        return [data[a:b] for a, b in zip(at, at[1:])]
+
+    def _learn(self, words: list[str]) -> None:
+        known, tails = self.known, self.tails
+        if len(tails) > REMEMBERED:
+            tails = self.tails = {"": b""}
+        if len(known) > REMEMBERED:
+            for word in list(known)[REMEMBERED // 2 :]:
+                del known[word]
+        parts = []
+        for word in words:
+            tail = _TAIL.search(word)
+            parts.append((word[: tail.start()], tail[0]) if tail else (word, ""))
+        missing = list({stem for stem, _ in parts if stem not in known})
+        if missing:
+            known.update(zip(missing, self._encode_words(missing)))
+        for word, (stem, tail) in zip(words, parts):
+            if tail:
+                if tail not in tails:
+                    tails[tail] = self._encode(tail).tobytes()
+                known[word] = known[stem] + tails[tail]
 
     def ids(self, text: str) -> bytes:
-        chunks = self.chunks(text)
-        known = self.known
+        if not text:
+            return b""
+        first, *rest = text.split(" ")
         try:
-            return b"".join([known[c] for c in chunks])
+            body = b"".join(map(self.known.__getitem__, rest))
         except KeyError:
-            missing = [c for c in set(chunks) if c not in known]
-            if len(known) + len(missing) > REMEMBERED:
-                known.clear()
-                missing = list(set(chunks))
-            coded = self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)
-            known.update((c, np.array(e.ids, dtype="<u4").tobytes()) for c, e in zip(missing, coded))
-            return b"".join([known[c] for c in chunks])
+            missing = [w for w in set(rest) if w not in self.known]
+            if any(not w or w[0].isspace() for w in missing):
+                return b"".join([self._encode(c).tobytes() for c in _CHUNK.findall(text)])
+            self._learn(missing)
+            body = b"".join(map(self.known.__getitem__, rest))
+        return self._encode(first).tobytes() + body
 
 
 _ENCODERS: dict[str, Encoder] = {}
