@@ -64,9 +64,6 @@ class Encoder:
         known, tails = self.known, self.tails
         if len(tails) > REMEMBERED:
             tails = self.tails = {"": b""}
-        if len(known) > REMEMBERED:
-            for word in list(known)[REMEMBERED // 2 :]:
-                del known[word]
         parts = []
         for word in words:
             tail = _TAIL.search(word)
@@ -87,6 +84,9 @@ class Encoder:
         try:
             body = b"".join(map(self.known.__getitem__, rest))
         except KeyError:
+            if len(self.known) > REMEMBERED:
+                for word in list(self.known)[REMEMBERED // 2 :]:
+                    del self.known[word]
             missing = [w for w in set(rest) if w not in self.known]
             if any(not w or w[0].isspace() for w in missing):
                 return b"".join([self._encode(c).tobytes() for c in _CHUNK.findall(text)])
