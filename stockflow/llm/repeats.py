@@ -18,9 +18,10 @@ from stockflow.llm.words import SPACED, byte_rows, covered, spans, window_hashes
 WINDOW = 20
 #: Words of the phrase that stands for the windows around it.
 PHRASE = 6
-#: Bytes of confirmed passages that one automaton should hold.
-SHARD_BYTES = 8 << 20
-_ORDER = "struct<late: boolean, doc: bigint, digest: string, start: bigint>"
+#: Bytes of distinct segments that one automaton should decide on.
+SHARD_BYTES = 1 << 20
+#: What tells one text from another: 128 bits of hashes.
+_TEXT_KEY = ["key", "check"]
 
 
 def anchors(hashes: np.ndarray, window: int = WINDOW, phrase: int = PHRASE) -> tuple[np.ndarray, np.ndarray]:
@@ -47,29 +48,27 @@ def _signed(hashes: np.ndarray) -> np.ndarray:
 
 
 def _phrases(texts: DataFrame, window: int, phrase: int) -> DataFrame:
-    """(anchor, digest, times): the distinct anchor phrases of each text."""
+    """(anchor, key, times): the distinct anchor phrases of each text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, found, times = [], [], []
-            for i, text in enumerate(byte_rows(batch["text"])):
+            keys = batch["key"].to_numpy(zero_copy_only=False)
+            size, found, times = [], [], []
+            for text in byte_rows(batch["text"]):
                 place, grams = anchors(word_hashes(text, *spans(text, SPACED)), window, phrase)
                 hashes, n = np.unique(grams[np.unique(place)], return_counts=True)
-                rows.append(np.full(len(hashes), i))
+                size.append(len(hashes))
                 found.append(hashes)
                 times.append(n)
-            if rows:
-                digest = batch["digest"].take(pa.array(np.concatenate(rows)))
-                anchor = pa.array(_signed(np.concatenate(found)))
-                yield pa.RecordBatch.from_arrays(
-                    [anchor, digest, pa.array(np.concatenate(times), pa.int64())], ["anchor", "digest", "times"]
-                )
+            if size:
+                columns = [_signed(np.concatenate(found)), np.repeat(keys, size), np.concatenate(times).astype(np.int32)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["anchor", "key", "times"])
 
-    return map_arrow(texts.select("digest", "text"), run, "anchor long, digest string, times long")
+    return map_arrow(texts.select("key", "text"), run, "anchor long, key long, times int")
 
 
 def _segments(texts: DataFrame, window: int, phrase: int) -> DataFrame:
-    """(anchor, segment, doc, digest, start): the words of the windows that share a candidate anchor."""
+    """(anchor, segment, doc, key, check, start): the words of the windows that share a candidate anchor."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -96,43 +95,53 @@ def _segments(texts: DataFrame, window: int, phrase: int) -> DataFrame:
                     pa.array(anchor, pa.int64()),
                     pa.array(segment, pa.string()),
                     batch["doc"].take(at),
-                    batch["digest"].take(at),
+                    batch["key"].take(at),
+                    batch["check"].take(at),
                     pa.array(begin, pa.int64()),
                 ],
-                ["anchor", "segment", "doc", "digest", "start"],
+                ["anchor", "segment", "doc", "key", "check", "start"],
             )
 
-    return map_arrow(texts, run, "anchor long, segment string, doc long, digest string, start long")
+    return map_arrow(texts, run, "anchor long, segment string, doc long, key long, check long, start long")
+
 
+def locate(patterns: dict[tuple[int, ...], object], texts: list[tuple[int, ...]]) -> list[list[tuple[int, object]]]:
+    """For each text the (first word, value) of every pattern in it, by one automaton.
 
-def word_windows(segment: str, window: int) -> list[str]:
-    words = segment.split(" ")
-    return [" ".join(words[i : i + window]) for i in range(len(words) - window + 1)]
+    Texts and patterns are sequences of word numbers.
+    """
+    if not patterns:
+        return [[] for _ in texts]
+    automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
+    for words, value in patterns.items():
+        automaton.add_word(words, (len(words), value))
+    automaton.make_automaton()
+    return [[(end - n + 1, value) for end, (n, value) in automaton.iter(words)] for words in texts]
 
 
-def locate(patterns: dict[str, object], segments: list[str]) -> list[list[tuple[int, object]]]:
-    """For each segment the (first word, value) of every pattern in it, by one automaton.
+def _decide(rows: list[tuple], window: int) -> Iterator[tuple]:
+    """(anchor, segment_hash, firsts) of the segments of one shard that hold recurring windows.
 
-    Patterns and segments are words joined by spaces; a space on both sides makes matches begin
-    and end at words.
+    Confirms which windows recur and where each starts first, compiles those and streams the
+    segments through the automaton.
     """
-    automaton = ahocorasick.Automaton()
-    for pattern, value in patterns.items():
-        automaton.add_word(f" {pattern} ", (len(pattern) + 2, value))
-    if not len(automaton):
-        return [[] for _ in segments]
-    automaton.make_automaton()
-    out = []
-    for segment in segments:
-        text = f" {segment} "
-        at = {}
-        word = 0
-        for i, c in enumerate(text):
-            if c == " ":
-                at[i] = word
-                word += 1
-        out.append([(at[end - length + 1], value) for end, (length, value) in automaton.iter(text)])
-    return out
+    numbers: dict[str, int] = {}
+    texts = [tuple(numbers.setdefault(w, len(numbers)) for w in r[2].split(" ")) for r in rows]
+    firsts: dict[tuple, tuple] = {}
+    places: dict[tuple, int] = {}
+    for (_, _, _, first, n), words in zip(rows, texts):
+        late, doc, key, check, start = first.values()
+        for j in range(len(words) - window + 1):
+            w, at = words[j : j + window], (late, doc or 0, key, check, start + j)
+            firsts[w] = min(firsts.get(w, at), at)
+            places[w] = places.get(w, 0) + n
+    recurring = {w: at for w, at in firsts.items() if places[w] > 1}
+    for r, hits in zip(rows, locate(recurring, texts)):
+        if hits:
+            yield r[0], r[1], [{"at": j, "key": at[2], "check": at[3], "start": at[4]} for j, at in hits]
+
+
+_FIRSTS = "array<struct<at: long, key: long, check: long, start: long>>"
 
 
 def _first_starts(distinct: DataFrame, shards: int, window: int) -> DataFrame:
@@ -140,101 +149,84 @@ def _first_starts(distinct: DataFrame, shards: int, window: int) -> DataFrame:
 
     ``distinct`` has each (anchor, segment) once, with its first place and its number of places.
     Equal windows share their anchor, so a shard of anchors decides on its own. The shards of a
-    partition come one after the other; each confirms its recurring windows, compiles them and
-    streams its segments through the automaton.
+    partition come one after the other, each with an automaton of its own.
     """
+    kind = pa.list_(pa.struct([(n, pa.int64()) for n in ("at", "key", "check", "start")]))
 
-    def decide(rows: list[dict]) -> Iterator[tuple]:
-        firsts: dict[str, tuple] = {}
-        places: dict[str, int] = {}
-        for r in rows:
-            late, doc, digest, start = (r["first"][k] for k in ("late", "doc", "digest", "start"))
-            for j, w in enumerate(word_windows(r["segment"], window)):
-                key = (late, 0 if doc is None else doc, digest, start + j)
-                firsts[w] = min(firsts.get(w, key), key)
-                places[w] = places.get(w, 0) + r["places"]
-        recurring = {w: key for w, key in firsts.items() if places[w] > 1}
-        for r, hits in zip(rows, locate(recurring, [r["segment"] for r in rows])):
-            found = [{"at": j, "digest": key[2], "start": key[3]} for j, key in hits]
-            if found:
-                yield r["anchor"], r["segment_hash"], found
+    def found(out: list[tuple]) -> pa.RecordBatch:
+        columns = [[r[k] for r in out] for k in range(3)]
+        arrays = [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), kind))]
+        return pa.RecordBatch.from_arrays(arrays, ["anchor", "segment_hash", "firsts"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, rows = None, []
+        names = ("shard", "anchor", "segment_hash", "segment", "first", "places")
         for batch in batches:
-            out = []
-            for r in batch.to_pylist():
-                if r["shard"] != shard:
-                    out += decide(rows)
-                    shard, rows = r["shard"], []
-                rows.append(r)
-            yield _decided(out)
-        yield _decided(list(decide(rows)))
-
-    kind = pa.list_(pa.struct([("at", pa.int64()), ("digest", pa.string()), ("start", pa.int64())]))
-
-    def _decided(out: list[tuple]) -> pa.RecordBatch:
-        anchor, hashes, found = ([r[k] for r in out] for k in range(3))
-        arrays = [pa.array(anchor, pa.int64()), pa.array(hashes, pa.int64()), pa.array(found, kind)]
-        return pa.RecordBatch.from_arrays(arrays, ["anchor", "segment_hash", "firsts"])
+            for at, *row in zip(*[batch[c].to_pylist() for c in names]):
+                if at != shard:
+                    yield found(list(_decide(rows, window)))
+                    shard, rows = at, []
+                rows.append(tuple(row))
+        yield found(list(_decide(rows, window)))
 
     dealt = distinct.withColumn("shard", F.pmod("anchor", F.lit(shards))).repartition("shard")
-    return map_arrow(
-        dealt.sortWithinPartitions("shard"),
-        run,
-        "anchor long, segment_hash long, firsts array<struct<at: long, digest: string, start: long>>",
-    )
+    return map_arrow(dealt.sortWithinPartitions("shard"), run, f"anchor long, segment_hash long, firsts {_FIRSTS}")
 
 
-def _digested(docs: DataFrame, *more) -> DataFrame:
+def _keyed(docs: DataFrame, *more) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
-    return docs.select(F.col("doc_id").cast("long").alias("doc"), text.alias("text"), F.md5(text).alias("digest"), *more)
+    keys = F.xxhash64(text).alias("key"), F.xxhash64(F.lit(1), text).alias("check")
+    return docs.select(F.col("doc_id").cast("long").alias("doc"), text.alias("text"), *keys, *more)
 
 
 def repeated_starts(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE) -> DataFrame:
-    """(digest, owner, copied, starts) of every text that recurs in whole or in part.
+    """(key, check, owner, starts) of every text that recurs in whole or in part.
 
-    ``owner`` is the least doc_id with the text, ``copied`` whether several rows have it, and
-    ``starts`` the first words of the owner's windows that also start earlier elsewhere.
+    ``owner`` is the least doc_id with the text, ``starts`` the first words of its windows that
+    also start earlier elsewhere.
 
-    Equal texts collapse to their digest first. A text's windows are represented by anchor
-    phrases; only phrases that recur are candidates, so texts are cut into segments just there.
-    Equal segments collapse before the shuffle, whatever the number of documents that share a
-    passage; automata then decide for each distinct segment, and a join, whose hot keys Spark
-    splits, brings the result to all places.
+    Equal texts collapse to their key first. A text's windows are represented by anchor phrases;
+    only phrases that recur are candidates, so texts are cut into segments just there. Equal
+    segments collapse before the shuffle, whatever the number of documents that share a passage;
+    automata then decide for each distinct segment, and a join, whose hot keys Spark splits,
+    brings the result to all places.
     """
-    texts = _digested(docs)
-    late = F.col("doc").isNull()
-    owners = stored(
-        texts.groupBy("digest")
-        .agg(F.min("doc").alias("owner"), F.count("*").alias("copies"))
+    texts = _keyed(docs)
+    owners = stored(texts.groupBy(*_TEXT_KEY).agg(F.min("doc").alias("owner"), F.count("*").alias("copies")))
+    phrases = stored(_phrases(texts, window, phrase))
+    shared = (
+        phrases.groupBy("anchor")
+        .agg(F.min("key").alias("least"), F.max("key").alias("most"), F.max("times").alias("times"))
+        .filter("least <> most OR times > 1")
+        .select("anchor")
     )
-    phrases = stored(_phrases(texts, window, phrase).groupBy("anchor", "digest").agg(F.max("times").alias("times")))
-    shared = phrases.groupBy("anchor").agg(F.sum("times").alias("n")).filter("n > 1").select("anchor")
-    wanted = phrases.join(shared, "anchor").groupBy("digest").agg(F.collect_list("anchor").alias("anchors"))
-    owned = owners.join(wanted, "digest").select("digest", "owner", "anchors")
-    cut = texts.join(owned, (texts.digest == owned.digest) & texts.doc.eqNullSafe(owned.owner)).select(
-        "doc", texts.digest, "text", "anchors"
+    wanted = stored(
+        phrases.join(shared, "anchor").groupBy("key").agg(F.collect_set("anchor").alias("anchors"))
+    )
+    owned = wanted.join(owners, "key").select(*_TEXT_KEY, "owner", "anchors")
+    same = [texts[c] == owned[c] for c in _TEXT_KEY]
+    cut = texts.join(owned, [*same, texts.doc.eqNullSafe(owned.owner)]).select(
+        "doc", "text", *[texts[c] for c in _TEXT_KEY], "anchors"
     )
     segments = stored(_segments(cut, window, phrase).withColumn("segment_hash", F.xxhash64("segment")))
+    place = [*_TEXT_KEY, "start"]
     distinct = segments.groupBy("anchor", "segment_hash", "segment").agg(
-        F.min(F.struct(late.alias("late"), "doc", "digest", "start")).alias("first"),
+        F.min(F.struct(F.col("doc").isNull().alias("late"), "doc", *place)).alias("first"),
         F.count("*").alias("places"),
     )
-    size = segments.agg(F.sum(F.octet_length("segment"))).first()[0] or 0
-    firsts = _first_starts(distinct, max(1, math.ceil(size / SHARD_BYTES)), window)
-    places = segments.select("anchor", "segment_hash", "digest", "start").distinct()
-    moved = F.filter("firsts", lambda f: (f.digest != F.col("digest")) | (f.start != F.col("start") + f["at"]))
+    distinct = stored(distinct)
+    size = distinct.agg(F.sum(F.octet_length("segment"))).first()[0] or 0
+    firsts = stored(_first_starts(distinct, max(1, math.ceil(size / SHARD_BYTES)), window))
+    elsewhere = "f -> f.key <> key OR f.check <> check OR f.start <> start + f.at"
     marks = (
-        places.join(firsts, ["anchor", "segment_hash"])
-        .select("digest", F.transform(moved, lambda f: F.col("start") + f["at"]).alias("starts"))
+        segments.join(firsts, ["anchor", "segment_hash"])
+        .select(*_TEXT_KEY, F.expr(f"transform(filter(firsts, {elsewhere}), f -> start + f.at)").alias("starts"))
         .filter("size(starts) > 0")
-        .groupBy("digest")
+        .groupBy(*_TEXT_KEY)
         .agg(F.flatten(F.collect_list("starts")).alias("starts"))
     )
-    return owners.join(marks, "digest", "left").filter("copies > 1 OR starts IS NOT NULL").select(
-        "digest", "owner", "starts"
-    )
+    known = owners.join(marks, _TEXT_KEY, "left").filter("copies > 1 OR starts IS NOT NULL")
+    return stored(known.select(*_TEXT_KEY, "owner", "starts"))
 
 
 def _removed(n: int, is_owner: bool, starts: list[int] | None, window: int) -> np.ndarray:
@@ -247,10 +239,9 @@ def _removed(n: int, is_owner: bool, starts: list[int] | None, window: int) -> n
 def _marked(docs: DataFrame, window: int, phrase: int, keep: list[str]) -> DataFrame:
     """The columns ``keep`` as ``row``, the text, and what ``repeated_starts`` says of it."""
     marks = repeated_starts(docs, window, phrase)
-    rows = _digested(docs, F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"))
-    return rows.join(marks, "digest", "left").select(
-        "row", "text", (F.col("owner").eqNullSafe(F.col("doc")) | marks.digest.isNull()).alias("is_owner"), "starts"
-    )
+    rows = _keyed(docs, F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"))
+    is_owner = F.expr("owner <=> doc OR marked IS NULL").alias("is_owner")
+    return rows.join(marks.withColumn("marked", F.lit(1)), _TEXT_KEY, "left").select("row", "text", is_owner, "starts")
 
 
 def removals(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE) -> DataFrame:
@@ -259,7 +250,7 @@ def removals(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE) -> Dat
     Each word goes that lies in a window of ``window`` words whose sequence also starts earlier:
     in a smaller doc_id, or earlier in the same document. Null texts have no words; a null doc_id
     comes after all others; rows that repeat an id and a text are one document, and different
-    texts under one id follow in the order of their digests; an empty table gives no rows; other
+    texts under one id follow in the order of their hashes; an empty table gives no rows; other
     columns are ignored.
     """
 

@@ -53,6 +53,8 @@ def stored(df: DataFrame) -> DataFrame:
     """
     path = f"{scratch_folder(df.sparkSession)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
+    # Shuffle files go when the driver's JVM collects what refers to them; it may not do so for long.
+    df.sparkSession._jvm.System.gc()
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
