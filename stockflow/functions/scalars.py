@@ -16,6 +16,9 @@ CRITICAL_COVER_DAYS = 7
 WARNING_COVER_DAYS = 14
 REORDER_SUPPLY_DAYS = 30
 
+#: A line of this amount or more is set aside.
+AMOUNT_LIMIT = 10**14
+
 
 def exprs(*texts: str) -> list[Column]:
     return [F.expr(text) for text in texts]
@@ -53,15 +56,30 @@ def month_start(day: str) -> str:
     return f"trunc({day}, 'month')"
 
 
+def exact_line(quantity: str, price: str) -> str:
+    """Quantity times a two-digit price, in a type that holds any product of the two."""
+    return f"(cast({quantity} AS decimal(10,0)) * cast({price} AS decimal(12,2)))"
+
+
+def exact_net(quantity: str, unit_price: str, discount_pct: str) -> str:
+    """The line less its discount; a negative discount is a surcharge."""
+    kept = f"cast(100 - {discount_pct} AS decimal(6,2))"
+    return f"round({exact_line(quantity, unit_price)} * {kept} * 0.01, 2)"
+
+
+def fits_money(amount: str) -> str:
+    """Whether an exact amount is one that money columns, and sums of many, can hold."""
+    return f"coalesce(abs({amount}) < {AMOUNT_LIMIT}, true)"
+
+
 def line_amount(quantity: str, price: str) -> str:
     """Quantity times a two-digit price."""
-    return money(f"cast({quantity} AS decimal(10,0)) * {price}")
+    return money(exact_line(quantity, price))
 
 
 def net_revenue(quantity: str, unit_price: str, discount_pct: str) -> str:
     """Uses the discount as received: an unknown discount gives an unknown net amount."""
-    kept = f"cast(100 - {discount_pct} AS decimal(5,2))"
-    return money(f"round({line_amount(quantity, unit_price)} * {kept} * 0.01, 2)")
+    return money(exact_net(quantity, unit_price, discount_pct))
 
 
 def direction(delta: str) -> str:

@@ -5,11 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-#: Above this many keys a batch is no longer broadcast.
-BROADCAST_KEY_LIMIT = 1_000_000
-
 
 def first_wins(df: DataFrame, key: str, arrival: Sequence[str]) -> DataFrame:
     """Keep the earliest row of each ``key``; ``arrival`` must order rows totally.
@@ -22,35 +17,17 @@ def first_wins(df: DataFrame, key: str, arrival: Sequence[str]) -> DataFrame:
     return ranked.filter("_rn = 1").drop("_rn")
 
 
-def _small(batch_rows: int | None) -> bool:
-    return batch_rows is not None and batch_rows <= BROADCAST_KEY_LIMIT
-
-
-def batch_keys(batch: DataFrame, key: str, batch_rows: int | None) -> DataFrame:
-    """Distinct keys of a batch, broadcast only when the batch was counted and is small."""
-    keys = batch.select(key).distinct()
-    return F.broadcast(keys) if _small(batch_rows) else keys
-
-
 def unseen(
-    batch: DataFrame,
-    target: DataFrame,
-    key: str,
-    batch_rows: int | None = None,
-    keys_of: DataFrame | None = None,
+    batch: DataFrame, target: DataFrame, key: str, keys_of: DataFrame | None = None
 ) -> DataFrame:
     """Rows of ``batch`` whose ``key`` is not in ``target``, which holds each key once.
 
-    The target is narrowed to the batch's keys first. With a small counted batch that
-    is a broadcast semi join: the target's key column is scanned but never shuffled, and
-    what remains has at most ``batch_rows`` keys. A larger batch, or an uncounted one, is
-    left to Catalyst's shuffled join. ``keys_of`` gives the keys where they are cheaper to
-    read than from ``batch``.
+    The target is narrowed to the batch's keys first, so what meets the batch has at most one row
+    per key of it. Which side is sent where is left to Spark, which measures bytes at run time.
+    ``keys_of`` gives the keys where they are cheaper to read than from ``batch``.
     """
-    keys = batch_keys(batch if keys_of is None else keys_of, key, batch_rows)
+    keys = (batch if keys_of is None else keys_of).select(key).distinct()
     known = target.select(key).join(keys, key, "left_semi")
-    if _small(batch_rows):
-        known = F.broadcast(known)
     return batch.join(known, key, "left_anti")
 
 

@@ -10,11 +10,24 @@ from pyspark.sql import functions as F
 from stockflow.functions import scalars as S
 
 
+_SALE = "event_id IS NOT NULL AND sku IS NOT NULL AND quantity > 0 AND unit_price > 0"
+_AMOUNTS_FIT = " AND ".join(
+    S.fits_money(amount)
+    for amount in (S.exact_line("quantity", "unit_price"), S.exact_net("quantity", "unit_price", "discount_pct"))
+)
+
+
 def valid_sales(raw: DataFrame) -> DataFrame:
-    """Identified rows with a positive quantity and price; NULLs fail the test."""
-    return raw.filter(
-        "event_id IS NOT NULL AND sku IS NOT NULL AND quantity > 0 AND unit_price > 0"
-    )
+    """Identified rows with a positive quantity and price; NULLs fail the test.
+
+    Rows whose amounts no money column holds are left to ``oversized_sales``.
+    """
+    return raw.filter(f"{_SALE} AND {_AMOUNTS_FIT}")
+
+
+def oversized_sales(raw: DataFrame) -> DataFrame:
+    """Valid rows but for an amount out of range, with a reason; one such event stops nothing."""
+    return raw.filter(f"{_SALE} AND NOT ({_AMOUNTS_FIT})").selectExpr("*", "'amount out of range' AS reason")
 
 
 def valid_movements(raw: DataFrame) -> DataFrame:

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stockflow.operators.dedup import batch_keys
-
 
 def sync_columns(target: DataFrame, new: DataFrame) -> DataFrame:
     """``target`` in the column set of ``new``: added columns are NULL, removed ones go."""
@@ -19,12 +17,7 @@ def sync_columns(target: DataFrame, new: DataFrame) -> DataFrame:
     )
 
 
-def upsert(
-    target: DataFrame, new: DataFrame, key: str = "event_id", new_rows: int | None = None
-) -> DataFrame:
-    """All rows of ``new`` plus the target rows whose key does not occur in it.
-
-    ``new`` holds each key once. ``new_rows`` is its counted size, if known.
-    """
-    kept = sync_columns(target, new).join(batch_keys(new, key, new_rows), key, "left_anti")
+def upsert(target: DataFrame, new: DataFrame, key: str = "event_id") -> DataFrame:
+    """All rows of ``new``, which holds each key once, plus the target rows without its keys."""
+    kept = sync_columns(target, new).join(new.select(key).distinct(), key, "left_anti")
     return kept.unionByName(new)

@@ -14,9 +14,6 @@ _SERIES = (
 )
 
 
-_DAY_STEP = 2**44
-
-
 def with_running_stock(activity: DataFrame) -> DataFrame:
     """Running stock plus sum and row count of the 7- and 30-row sales frames.
 
@@ -44,19 +41,22 @@ def with_running_stock(activity: DataFrame) -> DataFrame:
 def weekly_open_close(snapshot: DataFrame) -> DataFrame:
     """First and last daily stock of each SKU's week, one row per category of the SKU.
 
-    "Opening" is the first day's end-of-day stock. Plain aggregation replaces two
-    full-frame windows and a distinct.
+    "Opening" is the first day's end-of-day stock. Where a day has several stocks (a SKU under
+    several categories) the week opens with the least and closes with the greatest. Rows are
+    gathered once, by SKU and week; every step after that finds them there.
     """
-    # Day first, then stock, in one bigint: ties on a day (a SKU with several categories)
-    # are settled by stock, and fixed-width buffers keep the aggregation hash-based.
-    moment = f"unix_date(snapshot_date) * {_DAY_STEP}L + least(stock_on_hand, {_DAY_STEP - 1}L)"
-    keys = exprs("sku", f"{week_start('snapshot_date')} AS week_start", "category")
-    filed = snapshot.groupBy(*keys).agg(
+    days = snapshot.selectExpr(
+        "sku", f"{week_start('snapshot_date')} AS week_start", "category", "snapshot_date", "stock_on_hand"
+    ).repartition("sku", "week_start")
+    per_day = days.groupBy("sku", "week_start", "category", "snapshot_date").agg(
+        *exprs("min(stock_on_hand) AS low", "max(stock_on_hand) AS high")
+    )
+    filed = per_day.groupBy("sku", "week_start", "category").agg(
         *exprs(
-            f"min({moment}) AS first_moment",
-            f"min_by(stock_on_hand, {moment}) AS first_stock",
-            f"max({moment}) AS last_moment",
-            f"max_by(stock_on_hand, {moment}) AS last_stock",
+            "min(snapshot_date) AS first_day",
+            "min_by(low, snapshot_date) AS first_stock",
+            "max(snapshot_date) AS last_day",
+            "max_by(high, snapshot_date) AS last_stock",
         )
     )
     week = "OVER (PARTITION BY sku, week_start)"
@@ -64,8 +64,8 @@ def weekly_open_close(snapshot: DataFrame) -> DataFrame:
         "week_start",
         "sku",
         "category",
-        f"min_by(first_stock, first_moment) {week} AS opening_stock",
-        f"max_by(last_stock, last_moment) {week} AS closing_stock",
+        f"min(struct(first_day, first_stock)) {week}.first_stock AS opening_stock",
+        f"max(struct(last_day, last_stock)) {week}.last_stock AS closing_stock",
     )
 
 

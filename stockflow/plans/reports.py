@@ -80,13 +80,15 @@ def channel_revenue_weekly(stg_sales: DataFrame) -> DataFrame:
 def supplier_performance(raw_deliveries: DataFrame, business_tz: str | None = None) -> DataFrame:
     """Deliveries, cost, on-time share and mean lead variance per supplier and month.
 
-    Only delivered orders count: a supplier that never delivers has no row.
+    Only delivered orders count: a supplier that never delivers has no row. A line whose cost no
+    money column holds is left out.
     """
     month = S.month_start(f"cast({S.local_time('ts', business_tz)} AS date)")
     on_time = "count(CASE WHEN actual_date <= expected_date THEN 1 END)"
     late = "datediff(actual_date, expected_date)"
     return (
         raw_deliveries.filter("actual_date IS NOT NULL")
+        .filter(S.fits_money(S.exact_line("quantity", "unit_cost")))
         .groupBy(*S.exprs("supplier_id", f"{month} AS month"))
         .agg(
             *S.exprs(

@@ -13,7 +13,6 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import DataFrame, SparkSession
 
 from stockflow.functions.scalars import date
-from stockflow.operators.dedup import batch_keys
 from stockflow.operators.staging import high_water_mark, newer_than
 from stockflow.operators.upsert import upsert
 from stockflow.session import ensure_checkpoint_dir
@@ -52,8 +51,8 @@ def refresh(
     if target.isEmpty():
         return tables.rebuild(build(raw), root, name, [DAY])
     new = build(newer_than(raw, high_water_mark(target), overlap))
-    if set(target.columns) != set(new.columns):
-        # A changed column set touches every day.
+    if _fields(target) != _fields(new):
+        # A changed column or type touches every day.
         merged = upsert(target, new, KEY).select(new.columns)
         return tables.rebuild(merged, root, name, [DAY])
     _prepare(target, new, root, name, days_fixed)
@@ -61,6 +60,10 @@ def refresh(
     return spark.read.schema(target.schema).parquet(path).select(new.columns)
 
 
+def _fields(df: DataFrame) -> dict[str, str]:
+    return dict(df.dtypes)
+
+
 def _pending(root: str, name: str) -> str:
     return f"{root}/_pending/{name}"
 
@@ -80,14 +83,13 @@ def _prepare(target: DataFrame, new: DataFrame, root: str, name: str, days_fixed
     ensure_checkpoint_dir(spark)
     new = new.checkpoint()
     per_day = {r[DAY]: r["count"] for r in new.groupBy(DAY).count().collect()}
-    rows = sum(per_day.values())
-    if rows == 0:
+    if not per_day:
         return
     days = set(per_day)
     if not days_fixed:
-        older = target.select(KEY, DAY).join(batch_keys(new, KEY, rows), KEY, "left_semi")
+        older = target.select(KEY, DAY).join(new.select(KEY).distinct(), KEY, "left_semi")
         days |= {r[DAY] for r in older.select(DAY).distinct().collect()}
-    merged = upsert(target.filter(_in_days(days)), new, KEY, rows)
+    merged = upsert(target.filter(_in_days(days)), new, KEY)
     pending = _pending(root, name)
     tables.delete(spark, pending)
     merged.hint("rebalance", DAY).write.partitionBy(DAY).parquet(f"{pending}/rows")
@@ -97,13 +99,23 @@ def _prepare(target: DataFrame, new: DataFrame, root: str, name: str, days_fixed
 
 
 def _apply_pending(spark: SparkSession, root: str, name: str) -> None:
-    """Replace the touched days in the stored table; safe to repeat."""
+    """Replace the touched days in the stored table; safe to repeat.
+
+    A pending folder of other columns or types was prepared for a table that is no more. It is
+    dropped: its rows are still past the stored table's mark and come again.
+    """
     pending = _pending(root, name)
     if not tables.finished(spark, f"{pending}/emptied"):
         return
     path = tables.current_path(spark, root, name)
-    stored = spark.read.parquet(path).schema
-    rows = spark.read.schema(stored).parquet(f"{pending}/rows")
+    stored = spark.read.parquet(path)
+    kept = f"{pending}/rows"
+    if not spark.read.schema(stored.schema).parquet(kept).isEmpty() and _fields(
+        spark.read.parquet(kept)
+    ) != _fields(stored):
+        tables.delete(spark, pending)
+        return
+    rows = spark.read.schema(stored.schema).parquet(f"{pending}/rows")
     (
         rows.hint("rebalance", DAY)
         .write.mode("overwrite")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stockflow.operators.dedup import first_wins
-from stockflow.sources.schemas import SALES_TOPIC, STOCK_TOPIC
+from stockflow.sources.schemas import SALES_TOPIC, STOCK_TOPIC, SUPPLIER_TOPIC
 
 ARRIVAL = ["ingested_at", "arrival_key"]
 
@@ -61,23 +61,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Deal out the rows of a table that sits in fewer files than there are cores.
-
-    Its few scan tasks would otherwise do all the per-row work. A table of many files, as
-    on a cluster, is returned as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    # Only the number of files leaves the JVM, not their names.
-    files = len(df._jdf.inputFiles())
-    return df.repartition(cores, *keys) if files < cores else df
-
-
 def _lines(spark: SparkSession, sf_dir: str, condition: str = "true") -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").filter(condition)
-    return spread(lines, "l_orderkey", "l_linenumber").join(
-        table(spark, sf_dir, "part"), F.expr("l_partkey = p_partkey")
-    )
+    return lines.join(table(spark, sf_dir, "part"), F.expr("l_partkey = p_partkey"))
 
 
 _AFTER_SHIP = "timestampadd(SECOND, cast({} AS int), cast(l_shipdate AS timestamp))"
@@ -160,9 +146,9 @@ def envelope_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     Every tenth event repeats the id of the event five before it; errors go to a topic
     nothing handles.
     """
-    return spread(table(spark, sf_dir, "events"), "event_id").selectExpr(
-        f"CASE WHEN event_type IN ('purchase', 'click') THEN '{SALES_TOPIC}' "
-        f"WHEN event_type IN ('view', 'signup') THEN '{STOCK_TOPIC}' "
+    return table(spark, sf_dir, "events").selectExpr(
+        f"CASE event_type WHEN 'purchase' THEN '{SALES_TOPIC}' WHEN 'click' THEN '{SUPPLIER_TOPIC}' "
+        f"WHEN 'view' THEN '{STOCK_TOPIC}' WHEN 'signup' THEN '{STOCK_TOPIC}' "
         "ELSE 'fashion.pos.returns' END AS topic",
         "event_id AS arrival",
         "cast(ts AS timestamp) AS ts",
@@ -183,11 +169,14 @@ def envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     sale = f"""struct({head.format('sale')}, 'ecommerce' AS channel, 1 AS quantity,
         10.5D AS unit_price, 5 AS discount_pct, 'M' AS size, 'Navy' AS color,
         msg_id AS transaction_id)"""
+    delivery = f"""struct({head.format('delivery')}, 'SUP-1' AS supplier_id, msg_id AS po_number,
+        delta AS quantity, 7.25D AS unit_cost, date_format(ts, 'yyyy-MM-dd') AS expected_date,
+        date_format(ts, 'yyyy-MM-dd') AS actual_date)"""
     return envelope_events(spark, sf_dir).selectExpr(
         "topic",
         "cast(sku AS binary) AS key",
-        f"cast(CASE WHEN topic = '{STOCK_TOPIC}' THEN to_json({movement}) ELSE to_json({sale}) END "
-        "AS binary) AS value",
+        f"cast(CASE topic WHEN '{STOCK_TOPIC}' THEN to_json({movement}) WHEN '{SUPPLIER_TOPIC}' "
+        f"THEN to_json({delivery}) ELSE to_json({sale}) END AS binary) AS value",
         "ts AS timestamp",
         "arrival",
     )

@@ -51,12 +51,19 @@ def decode(messages: DataFrame, wire: T.StructType) -> DataFrame:
     """Parse the JSON value next to the envelope columns, as ``event`` and ``reason``.
 
     ``reason`` is NULL for a good row; a row that does not parse, or has no event id, says why.
+    A value is one JSON object and nothing else. The parser stops at the end of the first, so the
+    text is also read inside a list, where it must be the only element, and inside an object,
+    where what follows it must still be found.
     """
     schema = T.StructType([*wire.fields, T.StructField(CORRUPT, T.StringType())])
     parsed = F.from_json(F.expr("cast(value AS string)"), schema, {"columnNameOfCorruptRecord": CORRUPT})
+    text = "cast(value AS string)"
+    alone = f"size(from_json(concat('[', {text}, ']'), 'array<string>')) = 1"
+    ended = f"""from_json(concat('{{"value":', {text}, ',"ended":true}}'), 'ended boolean').ended"""
     return messages.withColumn("event", parsed).selectExpr(
         "*",
-        f"CASE WHEN event IS NULL OR event.{CORRUPT} IS NOT NULL THEN 'malformed' "
+        f"CASE WHEN event IS NULL OR event.{CORRUPT} IS NOT NULL OR NOT coalesce({alone}, false) "
+        f"OR NOT coalesce({ended}, false) THEN 'malformed' "
         "WHEN event.event_id IS NULL THEN 'missing event_id' END AS reason",
     )
 
@@ -73,6 +80,7 @@ def rejected(messages: DataFrame, at: dt.datetime) -> DataFrame:
         "topic",
         "cast(key AS string) AS key",
         "cast(value AS string) AS value",
+        "cast(value AS binary) AS raw_value",
         "reason",
         f"{instant(at)} AS ingested_at",
     )

@@ -82,9 +82,11 @@ REORDER_ALERTS = _struct(
     alert_ts=_TIME,
     resolved=T.BooleanType(),
 )
-QUARANTINE = _struct(topic=_TEXT, key=_TEXT, value=_TEXT, reason=_TEXT, ingested_at=_TIME)
+QUARANTINE = _struct(
+    topic=_TEXT, key=_TEXT, value=_TEXT, raw_value=T.BinaryType(), reason=_TEXT, ingested_at=_TIME
+)
 SKU_STOCK = _struct(sku=_TEXT, stock=_LONG)
-INGEST_LOG = _struct(committed_batch=_LONG, ingested_at=_TIME)
+INGEST_LOG = _struct(committed_batch=_LONG, stream=_TEXT, stream_batch=_LONG, ingested_at=_TIME)
 
 #: topic -> (raw table name, wire schema)
 ROUTES = {

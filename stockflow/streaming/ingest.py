@@ -1,19 +1,23 @@
 """Micro-batch ingest: route, de-duplicate, store, and raise low-stock alerts.
 
-Everything a batch writes is a function of its messages and of earlier batches, and each
-write replaces the batch's own folder. Replaying a batch after a lost driver therefore
-gives the same tables: at-least-once delivery, each event stored once.
+A batch is known by its stream and its number there. Its folder is the one after the last
+committed, whatever the stream, so a new or reset checkpoint adds batches and overwrites none.
+Before it writes anything a batch claims its folder and its time; replayed after a lost driver
+it finds the claim and writes the same rows with the same time, and once it is in the log a
+replay does nothing. Delivery is at least once, and each event is stored once.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from stockflow.functions.scalars import exprs, instant
@@ -22,10 +26,11 @@ from stockflow.operators.dedup import first_wins, unseen
 from stockflow.session import pin_session
 from stockflow.sources import messages as M
 from stockflow.sources import tables
-from stockflow.sources.schemas import REORDER_THRESHOLDS, ROUTES, STOCK_TOPIC
+from stockflow.sources.schemas import INGEST_TABLES, REORDER_THRESHOLDS, ROUTES, STOCK_TOPIC
 
-#: Arrival order of Kafka records; records of one SKU share a partition.
-KAFKA_ARRIVAL = ("timestamp", "partition", "offset")
+#: Arrival order of Kafka records, as the broker has it: records of one SKU share a partition, and
+#: a producer's time need not rise with the offset.
+KAFKA_ARRIVAL = ("partition", "offset")
 DEAD_LETTERS = "dead_letters"
 
 
@@ -35,17 +40,65 @@ def with_table(messages: DataFrame) -> DataFrame:
     return messages.selectExpr("*", f"CASE topic {cases} ELSE '{DEAD_LETTERS}' END AS table_name")
 
 
+def _utc(at: dt.datetime) -> dt.datetime:
+    return at.replace(tzinfo=dt.timezone.utc) if at.tzinfo is None else at
+
+
+def _claimed(
+    spark: SparkSession, root: str, stream: str, number: int, now: dt.datetime
+) -> tuple[int, dt.datetime] | None:
+    """Folder and time of a stream's batch, None if it is stored.
+
+    The newest log entry settles it unless another stream wrote last; only then the whole log is
+    read. Batch times never fall, even if the clock of a restarted driver does.
+    """
+    last = tables.newest(spark, f"{root}/{tables.INGEST_LOG}", "batch_id")
+    log = tables.read_batches(spark, root, tables.INGEST_LOG)
+    newest = log.filter(f"batch_id = {last}").select(
+        "stream", "stream_batch", F.expr("unix_micros(ingested_at)").alias("micros")
+    ).first()
+    if newest is not None:
+        if newest["stream"] != stream:
+            mine = log.filter(F.col("stream") == stream).agg(F.max("stream_batch")).first()[0]
+        else:
+            mine = newest["stream_batch"]
+        if mine is not None and mine >= number:
+            return None
+        latest = dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc) + dt.timedelta(microseconds=newest["micros"])
+        if _utc(now) < latest:
+            now = latest + dt.timedelta(microseconds=1)
+    folder = last + 1
+    claim = f"{root}/_claims/batch_id={folder}"
+    if tables.finished(spark, claim):
+        held = spark.read.schema("stream string, stream_batch bigint, at string").parquet(claim).first()
+        if (held["stream"], held["stream_batch"]) == (stream, number):
+            return folder, dt.datetime.fromisoformat(held["at"])
+        # Left by a batch of another stream that never finished.
+        for table in (*INGEST_TABLES, "_claims"):
+            tables.delete(spark, f"{root}/{table}/batch_id={folder}")
+    row = [(stream, number, now.isoformat())]
+    spark.createDataFrame(row, "stream string, stream_batch bigint, at string").write.mode(
+        "overwrite"
+    ).parquet(claim)
+    return folder, now
+
+
 def ingest_batch(
     messages: DataFrame,
     root: str,
-    batch_id: int,
+    stream_batch: int,
     now: dt.datetime,
     arrival: Sequence[str] = KAFKA_ARRIVAL,
     duplicates: str = "realert",
     thresholds: Mapping[str, int] = REORDER_THRESHOLDS,
+    stream: str = "batch",
 ) -> None:
-    """Store one batch of (topic, key, value, arrival...) messages under ``root``."""
+    """Store batch ``stream_batch`` of ``stream``: (topic, key, value, arrival...) messages."""
     spark = pin_session(messages.sparkSession)
+    claimed = _claimed(spark, root, stream, stream_batch, now)
+    if claimed is None:
+        return
+    batch_id, now = claimed
     # The envelope's own time must not clash with the payload's.
     kept = [f"arrival_{i}" for i in range(len(arrival))]
     renamed = [f"{c} AS {k}" for c, k in zip(arrival, kept, strict=True)]
@@ -62,7 +115,7 @@ def ingest_batch(
         earlier = tables.read_batches(spark, root, table).filter(f"batch_id < {batch_id}")
         # Copies of one event are cut down before the join on its id.
         first = first_wins(good, "event_id", kept)
-        fresh = unseen(first, earlier, "event_id", rows[table], keys_of=good).persist()
+        fresh = unseen(first, earlier, "event_id", keys_of=good).persist()
         try:
             stored = fresh.drop(*kept).selectExpr("*", f"{instant(now)} AS ingested_at")
             tables.write_batch(stored, root, table, batch_id)
@@ -74,7 +127,7 @@ def ingest_batch(
         return M.rejected(decoded, now)
 
     try:
-        rows = {r.table_name: r["count"] for r in batch.groupBy("table_name").count().collect()}
+        rows = {r.table_name for r in batch.select("table_name").distinct().collect()}
         unknown = batch.filter(f"table_name = '{DEAD_LETTERS}'").selectExpr(
             "*", "'no handler for topic' AS reason"
         )
@@ -85,9 +138,13 @@ def ingest_batch(
         rejected = reduce(DataFrame.unionByName, [M.rejected(unknown, now), *bad])
         tables.write_batch(rejected, root, DEAD_LETTERS, batch_id)
         log = spark.range(1).selectExpr(
-            f"{batch_id}L AS committed_batch", f"{instant(now)} AS ingested_at"
+            f"{batch_id}L AS committed_batch",
+            f"'{stream}' AS stream",
+            f"{stream_batch}L AS stream_batch",
+            f"{instant(now)} AS ingested_at",
         )
         tables.write_batch(log, root, tables.INGEST_LOG, batch_id)
+        tables.delete(spark, f"{root}/_claims/batch_id={batch_id}")
     finally:
         for df in (batch, *parsed):
             df.unpersist()
@@ -143,12 +200,21 @@ def start_ingest(
 ) -> StreamingQuery:
     """Run ingest over a stream: every ``every``, or once over what is available.
 
-    Source offsets are committed in ``checkpoint`` only after the batch's tables are.
+    Source offsets are committed in ``checkpoint`` only after the batch's tables are. One stream
+    writes to a root at a time: the last one started holds it, and a batch of an earlier one fails.
     """
-    tables.ensure_tables(stream.sparkSession, root)
-
-    def store(batch: DataFrame, batch_id: int) -> None:
-        ingest_batch(batch, root, batch_id, clock(), arrival, duplicates, thresholds)
+    spark = stream.sparkSession
+    tables.ensure_tables(spark, root)
+    token, holder = uuid.uuid4().hex, f"{root}/_writer"
+    spark.createDataFrame([(token,)], "writer string").write.mode("overwrite").parquet(holder)
+
+    def store(batch: DataFrame, number: int) -> None:
+        session = batch.sparkSession
+        if session.read.schema("writer string").parquet(holder).first()["writer"] != token:
+            raise RuntimeError(f"another stream writes to {root} now")
+        # The id is kept in the checkpoint and survives restarts.
+        name = session.sparkContext.getLocalProperty("sql.streaming.queryId") or checkpoint
+        ingest_batch(batch, root, number, clock(), arrival, duplicates, thresholds, name)
 
     writer = stream.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
     if every is None:

@@ -104,6 +104,67 @@ def test_first_event_wins_across_batches_and_replays_change_nothing(spark, root)
     assert tables.numbered(spark, f"{root}/sku_stock", "batch_id") == [0, 1]
 
 
+def test_another_stream_adds_batches_and_overwrites_none(spark, root):
+    first = envelope(spark, stock("m1", 5), stock("m2", 3))
+    ingest_batch(first, root, 0, NOW, ["arrival"], stream="one")
+    again = envelope(spark, stock("m1", 5), stock("m2", 3), stock("m3", -4))
+    ingest_batch(again, root, 0, NOW, ["arrival"], stream="two")
+    assert stored(spark, root, "raw_stock_movements", "event_id", "delta") == [("m1", 5), ("m2", 3), ("m3", -4)]
+    later = NOW + dt.timedelta(hours=1)
+    before = tables.committed(spark, root, "reorder_alerts").collect()
+    for name in ("one", "two"):
+        ingest_batch(again, root, 0, later, ["arrival"], stream=name)
+    assert tables.committed(spark, root, "reorder_alerts").collect() == before
+    assert tables.numbered(spark, f"{root}/ingest_log", "batch_id") == [-1, 0, 1]
+
+
+def test_an_unfinished_batch_keeps_its_time_and_a_clock_never_falls(spark, root, monkeypatch):
+    batch = envelope(spark, sale("s1"))
+
+    def lost(*_):
+        raise RuntimeError("lost driver")
+
+    with monkeypatch.context() as m:
+        m.setattr(tables, "write_batch", lost)
+        with pytest.raises(RuntimeError):
+            ingest_batch(batch, root, 0, NOW, ["arrival"])
+    ingest_batch(batch, root, 0, NOW + dt.timedelta(hours=1), ["arrival"])
+    assert stored(spark, root, "raw_sales", "event_id", "ingested_at") == [("s1", NOW)]
+    ingest_batch(envelope(spark, sale("s2")), root, 1, NOW - dt.timedelta(days=1), ["arrival"])
+    got = tables.committed(spark, root, "raw_sales").filter("event_id = 's2'").first()
+    assert got.ingested_at == NOW + dt.timedelta(microseconds=1)
+
+
+def test_what_another_stream_left_unfinished_is_not_read(spark, root, monkeypatch):
+    write = tables.write_batch
+
+    def stops_at_the_log(df, at, name, batch_id):
+        if name == tables.INGEST_LOG:
+            raise RuntimeError("lost driver")
+        write(df, at, name, batch_id)
+
+    with monkeypatch.context() as m:
+        m.setattr(tables, "write_batch", stops_at_the_log)
+        with pytest.raises(RuntimeError):
+            ingest_batch(envelope(spark, sale("s1")), root, 0, NOW, ["arrival"], stream="one")
+    ingest_batch(envelope(spark, supply("d1")), root, 0, NOW, ["arrival"], stream="two")
+    assert stored(spark, root, "raw_sales", "event_id") == []
+    assert stored(spark, root, "raw_supplier_deliveries", "event_id") == [("d1",)]
+
+
+@pytest.mark.parametrize(
+    "text",
+    ['{0}{0}', '{0} trailing', '{0}, "x": 1', '{0}] [{0}', '[{0}]', '{0},{0}', '{0}}} {{"value": {0}'],
+)
+def test_only_one_object_per_message(spark, root, text):
+    body = json.dumps(stock("m1")[1])
+    value = text.format(body)
+    ingest_batch(envelope(spark, (STOCK_TOPIC, value), (STOCK_TOPIC, f" {body} ")), root, 0, NOW, ["arrival"])
+    assert stored(spark, root, "raw_stock_movements", "event_id") == [("m1",)]
+    bad = tables.committed(spark, root, "dead_letters").first()
+    assert (bad.reason, bytes(bad.raw_value)) == ("malformed", value.encode())
+
+
 def test_unfinished_batch_is_not_read(spark, root):
     ingest_batch(envelope(spark, stock("m1")), root, 0, NOW, ["arrival"])
     half = tables.committed(spark, root, "raw_stock_movements").withColumn("event_id", F.lit("half"))

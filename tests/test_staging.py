@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import decimal
 from decimal import Decimal
 
 import pytest
@@ -64,10 +65,9 @@ def test_first_arrival_is_cut_down_before_the_shuffle(spark):
     assert text.count("WindowGroupLimit") == 2 and "Partial" in text
 
 
-@pytest.mark.parametrize("rows", [None, 2])
-def test_unseen(spark, rows):
+def test_unseen(spark):
     batch, target = raw_sales(spark, {"event_id": "a"}, {"event_id": "b"}), raw_sales(spark, {"event_id": "a"})
-    assert listed(dedup.unseen(batch, target, "event_id", rows), "event_id") == [("b",)]
+    assert listed(dedup.unseen(batch, target, "event_id"), "event_id") == [("b",)]
 
 
 def test_high_water_mark_and_slice(spark):
@@ -92,3 +92,15 @@ def test_sync_columns(spark):
     old = spark.createDataFrame([("a", 1)], "event_id string, gone int")
     new = spark.createDataFrame([("b", 2)], "event_id string, added int")
     assert listed(upsert.upsert(old, new), "event_id", "added") == [("a", None), ("b", 2)]
+
+
+def test_amounts_out_of_range_are_set_aside_and_surcharges_are_exact(spark):
+    D = decimal.Decimal
+    raw = raw_sales(
+        spark,
+        {"event_id": "surcharge", "quantity": 2, "unit_price": D("10.00"), "discount_pct": D("-950.00")},
+        {"event_id": "huge", "quantity": 2_000_000_000, "unit_price": D("9999999999.99")},
+    )
+    got = staging.stg_sales(raw).select("event_id", "gross_revenue", "net_revenue").collect()
+    assert [tuple(r) for r in got] == [("surcharge", D("20.00"), D("210.00"))]
+    assert listed(staging.oversized_sales(raw), "event_id", "reason") == [("huge", "amount out of range")]
