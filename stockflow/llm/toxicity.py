@@ -50,10 +50,10 @@ def _spelled(text: str | None, order: int = ORDER) -> tuple[np.ndarray, np.ndarr
 
 
 def gram_counts(docs: DataFrame, order: int = ORDER) -> DataFrame:
-    """Counts of word beginnings in labelled texts, toxic and ordinary, by fold and context.
+    """Counts of word beginnings in labelled texts, toxic and ordinary, by fold.
 
-    A gram is a beginning of a word, its history the beginning one character shorter, its context
-    the character before the word. A text counts each word once, so that one which repeats itself
+    A gram is a beginning of a word, its history the beginning one character shorter, its contexts
+    the characters before the word, kept as the bits of 64 hash values. A text counts each word once, so that one which repeats itself
     weighs no more. ``docs`` has text, label and fold. Workers count what they
     hold, so a shuffle gets each gram once per batch; the sums over the corpus are a grouped
     aggregate.
@@ -82,23 +82,23 @@ def gram_counts(docs: DataFrame, order: int = ORDER) -> DataFrame:
         if held:
             yield _summed(held)
 
-    schema = "fold long, gram long, history long, context long, toxic long, ordinary long"
+    schema = "fold long, gram long, history long, contexts long, toxic long, ordinary long"
     counts = map_arrow(docs.select("text", "label", "fold"), run, schema)
-    return counts.groupBy("fold", "gram", "history", "context").agg(
-        F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary")
+    return counts.groupBy("fold", "gram", "history").agg(
+        F.bit_or("contexts").alias("contexts"), F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary")
     )
 
 
 def _summed(held: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
     columns = [np.concatenate(c) for c in zip(*held)]
-    order = np.lexsort((columns[3], columns[2], columns[0]))
+    order = np.lexsort((columns[3], columns[0]))
     gram, history, context, kind = (c[order] for c in columns)
-    change = (gram[1:] != gram[:-1]) | (context[1:] != context[:-1]) | (kind[1:] != kind[:-1])
-    new = np.flatnonzero(np.concatenate([[True], change]))
+    new = np.flatnonzero(np.concatenate([[True], (gram[1:] != gram[:-1]) | (kind[1:] != kind[:-1])]))
     n = np.diff(np.append(new, len(gram)))
     toxic = kind[new] % 2 == 1
-    found = [kind[new] // 2, *(c[new].view(np.int64) for c in (gram, history, context)), n * toxic, n * ~toxic]
-    names = ["fold", "gram", "history", "context", "toxic", "ordinary"]
+    bits = np.bitwise_or.reduceat(np.uint64(1) << (mix(context) >> np.uint64(58)), new)
+    found = [kind[new] // 2, gram[new].view(np.int64), history[new].view(np.int64), bits.view(np.int64), n * toxic, n * ~toxic]
+    names = ["fold", "gram", "history", "contexts", "toxic", "ordinary"]
     return pa.RecordBatch.from_arrays([pa.array(c) for c in found], names)
 
 
@@ -126,7 +126,7 @@ def fit_ratios(counts: DataFrame, slots: int = SLOTS, discount: float = DISCOUNT
     """
     grams = stored(
         counts.groupBy("gram", "history").agg(
-            F.sum("toxic").alias("t"), F.sum("ordinary").alias("o"), F.countDistinct("context").alias("contexts")
+            F.sum("toxic").alias("t"), F.sum("ordinary").alias("o"), F.bit_count(F.bit_or("contexts")).alias("contexts")
         )
     )
 
