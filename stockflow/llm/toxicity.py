@@ -14,7 +14,7 @@ from stockflow.llm.store import map_arrow, stored
 from stockflow.llm.words import mix
 
 #: Characters of a word that the models spell; longer words are told apart by these.
-ORDER = 9
+ORDER = 8
 #: Taken from every count: what a class has seen as rarely says nothing beyond the backoff.
 DISCOUNT = 4.0
 #: Slots of the score tables, a power of two: the size of what is broadcast, whatever the input.
@@ -22,11 +22,13 @@ SLOTS = 1 << 21
 #: Words of the passages whose normalised ratio counts beside that of the whole text.
 PASSAGE = 3
 #: Grams a worker gathers before it hands on their counts.
-GATHERED = 1 << 20
+GATHERED = 1 << 22
 #: Labelled rows that the decision is fitted on, at most; their texts are scored by models that
 #: were counted without them.
 SAMPLE = 20_000
 FOLDS = 2
+#: Columns of counts: class and fold.
+_KINDS = [f"{label}_{fold}" for fold in range(FOLDS) for label in ("ordinary", "toxic")]
 MEASURES = ("whole", "peak", "second", "length")
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
@@ -50,7 +52,7 @@ def _spelled(text: str | None, order: int = ORDER) -> tuple[np.ndarray, np.ndarr
 
 
 def gram_counts(docs: DataFrame, order: int = ORDER) -> DataFrame:
-    """Counts of word beginnings in labelled texts, toxic and ordinary, by fold.
+    """Counts of word beginnings in labelled texts, by class and fold.
 
     A gram is a beginning of a word, its history the beginning one character shorter, its contexts
     the characters before the word, kept as the bits of 64 hash values. A text counts each word once, so that one which repeats itself
@@ -82,24 +84,21 @@ def gram_counts(docs: DataFrame, order: int = ORDER) -> DataFrame:
         if held:
             yield _summed(held)
 
-    schema = "fold long, gram long, history long, contexts long, toxic long, ordinary long"
+    schema = ", ".join(["gram long", "history long", "contexts long", *[f"{k} int" for k in _KINDS]])
     counts = map_arrow(docs.select("text", "label", "fold"), run, schema)
-    return counts.groupBy("fold", "gram", "history").agg(
-        F.bit_or("contexts").alias("contexts"), F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary")
-    )
+    sums = [F.sum(k).alias(k) for k in _KINDS]
+    return counts.groupBy("gram", "history").agg(F.bit_or("contexts").alias("contexts"), *sums)
 
 
 def _summed(held: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
     columns = [np.concatenate(c) for c in zip(*held)]
-    order = np.lexsort((columns[3], columns[0]))
+    order = np.argsort(columns[0])
     gram, history, context, kind = (c[order] for c in columns)
-    new = np.flatnonzero(np.concatenate([[True], (gram[1:] != gram[:-1]) | (kind[1:] != kind[:-1])]))
-    n = np.diff(np.append(new, len(gram)))
-    toxic = kind[new] % 2 == 1
+    new = np.flatnonzero(np.concatenate([[True], gram[1:] != gram[:-1]]))
     bits = np.bitwise_or.reduceat(np.uint64(1) << (mix(context) >> np.uint64(58)), new)
-    found = [kind[new] // 2, gram[new].view(np.int64), history[new].view(np.int64), bits.view(np.int64), n * toxic, n * ~toxic]
-    names = ["fold", "gram", "history", "contexts", "toxic", "ordinary"]
-    return pa.RecordBatch.from_arrays([pa.array(c) for c in found], names)
+    sums = [np.add.reduceat((kind == k).astype(np.int32), new) for k in range(len(_KINDS))]
+    found = [gram[new].view(np.int64), history[new].view(np.int64), bits.view(np.int64), *sums]
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in found], ["gram", "history", "contexts", *_KINDS])
 
 
 @dataclass(frozen=True)
@@ -114,7 +113,7 @@ def _slot(column: str, slots: int) -> F.Column:
     return F.shiftrightunsigned(column, 64 - (slots.bit_length() - 1)).cast("int")
 
 
-def fit_ratios(counts: DataFrame, slots: int = SLOTS, discount: float = DISCOUNT) -> Ratios:
+def fit_ratios(counts: DataFrame, folds: list[int], slots: int = SLOTS, discount: float = DISCOUNT) -> Ratios:
     """Interpolated Kneser-Ney of both classes as tables of ratios.
 
     A class's probability of a gram given its history is the discounted share of its count plus
@@ -124,11 +123,10 @@ def fit_ratios(counts: DataFrame, slots: int = SLOTS, discount: float = DISCOUNT
     aggregates. The tables have ``slots`` entries: grams that share a slot share their mean by
     frequency.
     """
-    grams = stored(
-        counts.groupBy("gram", "history").agg(
-            F.sum("toxic").alias("t"), F.sum("ordinary").alias("o"), F.bit_count(F.bit_or("contexts")).alias("contexts")
-        )
-    )
+    toxic, ordinary = (sum((F.col(f"{k}_{f}") for f in folds), F.lit(0)) for k in ("toxic", "ordinary"))
+    grams = counts.select(
+        "gram", "history", toxic.alias("t"), ordinary.alias("o"), F.bit_count("contexts").alias("contexts")
+    ).filter("t + o > 0")
 
     def mass(count: str) -> F.Column:
         return F.sum(F.least(F.col(count).cast("double"), F.lit(discount)))
@@ -263,12 +261,12 @@ def score(docs: DataFrame, labels: DataFrame, slots: int = SLOTS, sample: int =
     learnt = docs.select("doc_id", "text").join(known, "doc_id").select("doc_id", "text", "label", "fold")
     counts = stored(gram_counts(learnt))
     sc = docs.sparkSession.sparkContext
-    others = [fit_ratios(counts.filter(F.col("fold") != fold), slots) for fold in range(FOLDS)]
+    others = [fit_ratios(counts, [f for f in range(FOLDS) if f != fold], slots) for fold in range(FOLDS)]
     chosen = known.orderBy(F.xxhash64(F.lit(1), "doc_id")).limit(sample)
     fitted = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").withColumn("model", F.col("fold"))
     held = _measured(fitted, ["label"], sc.broadcast(others)).toPandas()
     decision = fit_decision(held[list(MEASURES)].to_numpy(), held["label"].to_numpy() > 0)
-    final = sc.broadcast([fit_ratios(counts, slots)])
+    final = sc.broadcast([fit_ratios(counts, list(range(FOLDS)), slots)])
     scored = _measured(docs.select("doc_id", "text", F.lit(0).alias("model")), ["doc_id"], final)
     return scored.select(
         "doc_id",
