@@ -96,7 +96,7 @@ def _summed(held: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
     gram, history, context, kind = (c[order] for c in columns)
     new = np.flatnonzero(np.concatenate([[True], gram[1:] != gram[:-1]]))
     bits = np.bitwise_or.reduceat(np.uint64(1) << (mix(context) >> np.uint64(58)), new)
-    sums = [np.add.reduceat((kind == k).astype(np.int32), new) for k in range(len(_KINDS))]
+    sums = [np.add.reduceat(kind == k, new, dtype=np.int32) for k in range(len(_KINDS))]
     found = [gram[new].view(np.int64), history[new].view(np.int64), bits.view(np.int64), *sums]
     return pa.RecordBatch.from_arrays([pa.array(c) for c in found], ["gram", "history", "contexts", *_KINDS])
 
