@@ -291,8 +291,12 @@ def extract(pages: DataFrame, sample: int = SAMPLE) -> DataFrame:
     the root and is no article; null ids, null URLs and repeated rows are rows like others; an
     empty table gives no rows; other columns are ignored.
     """
-    taken = pages.select("html").orderBy(F.xxhash64("html")).limit(sample).collect()
-    shared = pages.sparkSession.sparkContext.broadcast(train([r["html"] for r in taken]))
+    mark = F.xxhash64("html")
+    least = pages.select(mark.alias("mark")).distinct().orderBy("mark").limit(sample).agg(F.max("mark")).first()[0]
+    # Only hashes are sorted; of the pages themselves each distinct one is sent once.
+    taken = pages.filter(mark <= F.lit(least).cast("long")).select("html", mark.alias("mark"))
+    taken = taken.dropDuplicates(["mark"]).collect()
+    shared = pages.sparkSession.sparkContext.broadcast(train([r["html"] for r in sorted(taken, key=lambda r: r["mark"])]))
 
     def compute(texts: pa.Array) -> dict[str, object]:
         found = [main_text(h, shared.value) for h in texts.to_pylist()]
