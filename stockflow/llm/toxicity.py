@@ -14,7 +14,7 @@ from stockflow.llm.store import map_arrow, stored
 from stockflow.llm.words import mix
 
 #: Characters of a word that the models spell; longer words are told apart by these.
-ORDER = 8
+ORDER = 9
 #: Taken from every count: what a class has seen as rarely says nothing beyond the backoff.
 DISCOUNT = 4.0
 #: Slots of the score tables, a power of two: the size of what is broadcast, whatever the input.
