@@ -7,10 +7,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from stockflow.llm.store import map_arrow, stored
+from stockflow.llm.store import map_arrow
 from stockflow.llm.words import mix
 
 #: Characters of a word that the models spell; longer words are told apart by these.
@@ -21,8 +21,12 @@ DISCOUNT = 4.0
 SLOTS = 1 << 21
 #: Words of the passages whose normalised ratio counts beside that of the whole text.
 PASSAGE = 3
-#: Grams a worker gathers before it hands on their counts.
-GATHERED = 1 << 22
+#: Grams a worker gathers before it merges them into its table, and rows of that table at which it
+#: hands the table on.
+GATHERED = 1 << 21
+KEPT = 1 << 21
+#: Rows of a batch that a worker hands on.
+BATCH = 1 << 17
 #: Labelled rows that the decision is fitted on, at most; their texts are scored by models that
 #: were counted without them.
 SAMPLE = 20_000
@@ -55,14 +59,14 @@ def gram_counts(docs: DataFrame, order: int = ORDER) -> DataFrame:
     """Counts of word beginnings in labelled texts, by class and fold.
 
     A gram is a beginning of a word, its history the beginning one character shorter, its contexts
-    the characters before the word, kept as the bits of 64 hash values. A text counts each word once, so that one which repeats itself
-    weighs no more. ``docs`` has text, label and fold. Workers count what they
-    hold, so a shuffle gets each gram once per batch; the sums over the corpus are a grouped
-    aggregate.
+    the characters before the word, kept as the bits of 64 hash values. A text counts each word
+    once, so that one which repeats itself weighs no more. ``docs`` has text, label and fold.
+    Workers sum what they hold, so the one shuffle gets a gram once per task, or per ``KEPT`` rows
+    of it. Rows are dealt by history, so what follows a history is at hand for its sums.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, ...]] = []
+        held: list[list[np.ndarray]] = []
         size = 0
         for batch in batches:
             rows = zip(batch["text"].to_pylist(), batch["label"].to_pylist(), batch["fold"].to_pylist())
@@ -74,31 +78,43 @@ def gram_counts(docs: DataFrame, order: int = ORDER) -> DataFrame:
                 _, once = np.unique(whole, return_index=True)
                 grams, there, before = grams[once], there[once], before[once]
                 history = np.concatenate([np.zeros((len(grams), 1), np.uint64), grams[:, :-1]], axis=1)
-                context = np.broadcast_to(before[:, None], grams.shape)
-                kind = np.full(int(there.sum()), 2 * fold + (label > 0), dtype=np.int64)
-                held.append((grams[there], history[there], context[there], kind))
-                size += len(kind)
+                context = np.uint64(1) << (mix(before) >> np.uint64(58))
+                n = int(there.sum())
+                kinds = [np.broadcast_to(np.int32(k == 2 * fold + (label > 0)), n) for k in range(len(_KINDS))]
+                held.append([grams[there], history[there], np.broadcast_to(context[:, None], grams.shape)[there], *kinds])
+                size += n
                 if size >= GATHERED:
-                    yield _summed(held)
-                    held, size = [], 0
+                    held, size = [_merged(held)], 0
+                    if len(held[0][0]) >= KEPT:
+                        yield from _batches(held.pop())
         if held:
-            yield _summed(held)
+            yield from _batches(_merged(held))
 
     schema = ", ".join(["gram long", "history long", "contexts long", *[f"{k} int" for k in _KINDS]])
     counts = map_arrow(docs.select("text", "label", "fold"), run, schema)
     sums = [F.sum(k).alias(k) for k in _KINDS]
-    return counts.groupBy("gram", "history").agg(F.bit_or("contexts").alias("contexts"), *sums)
+    return counts.repartition("history").groupBy("history", "gram").agg(F.bit_or("contexts").alias("contexts"), *sums)
 
 
-def _summed(held: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
-    columns = [np.concatenate(c) for c in zip(*held)]
-    order = np.argsort(columns[0])
-    gram, history, context, kind = (c[order] for c in columns)
+def _merged(parts: list[list[np.ndarray]]) -> list[np.ndarray]:
+    """One row per gram: its history, the union of its contexts and the sums of its counts."""
+    gram = np.concatenate([p[0] for p in parts])
+    order = np.argsort(gram)
+    gram = gram[order]
     new = np.flatnonzero(np.concatenate([[True], gram[1:] != gram[:-1]]))
-    bits = np.bitwise_or.reduceat(np.uint64(1) << (mix(context) >> np.uint64(58)), new)
-    sums = [np.add.reduceat(kind == k, new, dtype=np.int32) for k in range(len(_KINDS))]
-    found = [gram[new].view(np.int64), history[new].view(np.int64), bits.view(np.int64), *sums]
-    return pa.RecordBatch.from_arrays([pa.array(c) for c in found], ["gram", "history", "contexts", *_KINDS])
+
+    def column(i: int) -> np.ndarray:
+        return np.concatenate([p[i] for p in parts])[order]
+
+    sums = [np.add.reduceat(column(3 + i), new, dtype=np.int32) for i in range(len(_KINDS))]
+    return [gram[new], column(1)[new], np.bitwise_or.reduceat(column(2), new), *sums]
+
+
+def _batches(table: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    names = ["gram", "history", "contexts", *_KINDS]
+    whole = [c.view(np.int64) if c.dtype == np.uint64 else c for c in table]
+    for at in range(0, len(whole[0]), BATCH):
+        yield pa.RecordBatch.from_arrays([pa.array(c[at : at + BATCH]) for c in whole], names)
 
 
 @dataclass(frozen=True)
@@ -113,59 +129,74 @@ def _slot(column: str, slots: int) -> F.Column:
     return F.shiftrightunsigned(column, 64 - (slots.bit_length() - 1)).cast("int")
 
 
-def fit_ratios(counts: DataFrame, folds: list[int], slots: int = SLOTS, discount: float = DISCOUNT) -> Ratios:
-    """Interpolated Kneser-Ney of both classes as tables of ratios.
+def fit_ratios(
+    counts: DataFrame, models: list[list[int]], slots: int = SLOTS, discount: float = DISCOUNT
+) -> list[Ratios]:
+    """Interpolated Kneser-Ney of both classes as tables of ratios, for each list of folds.
 
     A class's probability of a gram given its history is the discounted share of its count plus
     the discounted mass times the backoff. The backoff is shared: it counts the distinct contexts
     of a gram in both classes together, so what one class lacks or has rarely backs off to the
-    same value in both, and only evidence beyond it makes a ratio. All counts are grouped
-    aggregates. The tables have ``slots`` entries: grams that share a slot share their mean by
-    frequency.
+    same value in both, and only evidence beyond it makes a ratio. A history's sums are a window
+    over the grams that follow it, at most one per character. The tables have ``slots`` entries:
+    grams that share a slot share their mean by frequency. All models come from one pass, and at
+    most two rows per slot reach the driver. An empty slot is NaN.
     """
-    toxic, ordinary = (sum((F.col(f"{k}_{f}") for f in folds), F.lit(0)) for k in ("toxic", "ordinary"))
-    grams = counts.select(
-        "gram", "history", toxic.alias("t"), ordinary.alias("o"), F.bit_count("contexts").alias("contexts")
-    ).filter("t + o > 0")
-
-    def mass(count: str) -> F.Column:
-        return F.sum(F.least(F.col(count).cast("double"), F.lit(discount)))
-
-    history = grams.groupBy("history").agg(
-        F.sum("t").alias("ht"), F.sum("o").alias("ho"), F.sum("contexts").alias("all_contexts"),
-        mass("t").alias("mt"), mass("o").alias("mo"),
-    )
-
-    def weight(mass: str, seen: str) -> F.Column:
-        return F.when(F.col(seen) > 0, F.col(mass) / F.col(seen)).otherwise(F.lit(1.0))
-
-    def chance(count: str, mass: str, seen: str) -> F.Column:
-        top = F.when(F.col(seen) > 0, F.greatest(F.col(count) - discount, F.lit(0.0)) / F.col(seen)).otherwise(0.0)
-        return top + weight(mass, seen) * F.col("contexts") / F.col("all_contexts")
-
-    scored = grams.join(history, "history").select(
-        "gram", (F.col("t") + F.col("o")).alias("n"),
-        (F.log(chance("t", "mt", "ht")) - F.log(chance("o", "mo", "ho"))).alias("ratio"),
-    )
-    unseen = history.select(
-        F.col("history").alias("gram"), (F.col("ht") + F.col("ho")).alias("n"),
-        (F.log(weight("mt", "ht")) - F.log(weight("mo", "ho"))).alias("ratio"),
-    )
-    return Ratios(_slotted(scored, slots), _slotted(unseen, slots))
-
-
-def _slotted(scored: DataFrame, slots: int) -> np.ndarray:
-    """A table by slot; at most ``slots`` rows reach the driver. An empty slot is NaN."""
-    rows = (
-        scored.groupBy(_slot("gram", slots).alias("slot"))
-        .agg((F.sum(F.col("ratio") * F.col("n")) / F.sum("n")).cast("float").alias("ratio"))
+    site = Window.partitionBy("history")
+    rows = counts.withColumn("contexts", F.bit_count("contexts").cast("double"))
+    entries = [[_slot("gram", slots).alias("slot"), F.lit(False).alias("unseen")]]
+    entries.append([_slot("history", slots).alias("slot"), F.lit(True).alias("unseen")])
+    for i, folds in enumerate(models):
+        for name, kind in (("t", "toxic"), ("o", "ordinary")):
+            rows = rows.withColumn(f"{name}{i}", sum((F.col(f"{kind}_{f}") for f in folds), F.lit(0)).cast("double"))
+        rows = rows.withColumn(f"n{i}", F.col(f"t{i}") + F.col(f"o{i}"))
+    rows = rows.select("*", *[c for i in range(len(models)) for c in _history_sums(i, site, discount)])
+    for i in range(len(models)):
+        gram = F.log(_chance("t", i, discount)) - F.log(_chance("o", i, discount))
+        unseen = F.log(_weight("t", i)) - F.log(_weight("o", i))
+        for entry, ratio in zip(entries, (gram, unseen)):
+            total = F.when(F.col(f"n{i}") > 0, F.col(f"n{i}") * ratio).otherwise(F.lit(0.0))
+            entry.extend([total.alias(f"total{i}"), F.col(f"n{i}").alias(f"n{i}")])
+    sums = [F.sum(f"{c}{i}").alias(f"{c}{i}") for i in range(len(models)) for c in ("total", "n")]
+    means = [F.expr(f"cast(try_divide(total{i}, n{i}) AS float)").alias(f"ratio{i}") for i in range(len(models))]
+    found = (
+        rows.select(F.inline(F.array(*[F.struct(*e) for e in entries])))
+        .groupBy("unseen", "slot")
+        .agg(*sums)
+        .select("unseen", "slot", *means)
         .toArrow()
     )
-    out = np.full(slots, np.nan, dtype=np.float32)
-    out[rows["slot"].to_numpy()] = rows["ratio"].to_numpy()
+    unseen, slot = found["unseen"].to_numpy(), found["slot"].to_numpy()
+    out = []
+    for i in range(len(models)):
+        ratio = found[f"ratio{i}"].to_numpy()
+        tables = np.full((2, slots), np.nan, dtype=np.float32)
+        tables[unseen.astype(np.int8), slot] = ratio
+        out.append(Ratios(*tables))
     return out
 
 
+def _history_sums(i: int, site: WindowSpec, discount: float) -> list[F.Column]:
+    """What follows a history in model ``i``: counts and discounted mass by class, and contexts."""
+    out = [F.sum(F.when(F.col(f"n{i}") > 0, F.col("contexts"))).over(site).alias(f"all_contexts{i}")]
+    for c in ("t", "o"):
+        out.append(F.sum(f"{c}{i}").over(site).alias(f"h{c}{i}"))
+        out.append(F.sum(F.least(F.col(f"{c}{i}"), F.lit(discount))).over(site).alias(f"m{c}{i}"))
+    return out
+
+
+def _weight(count: str, i: int) -> F.Column:
+    """The share of a class's mass after a history that goes to the backoff."""
+    seen = F.col(f"h{count}{i}")
+    return F.when(seen > 0, F.col(f"m{count}{i}") / seen).otherwise(F.lit(1.0))
+
+
+def _chance(count: str, i: int, discount: float) -> F.Column:
+    seen = F.col(f"h{count}{i}")
+    top = F.when(seen > 0, F.greatest(F.col(f"{count}{i}") - discount, F.lit(0.0)) / seen).otherwise(0.0)
+    return top + _weight(count, i) * F.col("contexts") / F.col(f"all_contexts{i}")
+
+
 def measures(text: str | None, ratios: Ratios, order: int = ORDER, passage: int = PASSAGE) -> tuple[float, ...]:
     """Mean ratio per word of the whole text, the two highest of separate passages, log of words."""
     grams, there, _ = _spelled(text, order)
@@ -259,14 +290,14 @@ def score(docs: DataFrame, labels: DataFrame, slots: int = SLOTS, sample: int =
         .withColumn("fold", F.pmod(F.xxhash64("doc_id"), F.lit(FOLDS)))
     )
     learnt = docs.select("doc_id", "text").join(known, "doc_id").select("doc_id", "text", "label", "fold")
-    counts = stored(gram_counts(learnt))
     sc = docs.sparkSession.sparkContext
-    others = [fit_ratios(counts, [f for f in range(FOLDS) if f != fold], slots) for fold in range(FOLDS)]
+    folds = list(range(FOLDS))
+    *others, whole = fit_ratios(gram_counts(learnt), [*[[f for f in folds if f != fold] for fold in folds], folds], slots)
     chosen = known.orderBy(F.xxhash64(F.lit(1), "doc_id")).limit(sample)
     fitted = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").withColumn("model", F.col("fold"))
     held = _measured(fitted, ["label"], sc.broadcast(others)).toPandas()
     decision = fit_decision(held[list(MEASURES)].to_numpy(), held["label"].to_numpy() > 0)
-    final = sc.broadcast([fit_ratios(counts, list(range(FOLDS)), slots)])
+    final = sc.broadcast([whole])
     scored = _measured(docs.select("doc_id", "text", F.lit(0).alias("model")), ["doc_id"], final)
     return scored.select(
         "doc_id",
