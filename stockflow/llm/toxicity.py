@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -21,10 +23,14 @@ DISCOUNT = 4.0
 SLOTS = 1 << 21
 #: Words of the passages whose normalised ratio counts beside that of the whole text.
 PASSAGE = 3
+#: Words with their contexts that a worker counts before it hands them on.
+COUNTED = 1 << 20
 #: Grams a worker gathers before it merges them into its table, and rows of that table at which it
 #: hands the table on.
 GATHERED = 1 << 21
 KEPT = 1 << 21
+#: Rows of 64 bits in the filter of labelled ids: the size of what is broadcast.
+MARKS = 1 << 19
 #: Rows of a batch that a worker hands on.
 BATCH = 1 << 17
 #: Labelled rows that the decision is fitted on, at most; their texts are scored by models that
@@ -55,43 +61,82 @@ def _spelled(text: str | None, order: int = ORDER) -> tuple[np.ndarray, np.ndarr
     return hashes, there, codes[np.maximum(start - 2, 0)]
 
 
+def word_counts(docs: DataFrame, order: int = ORDER) -> DataFrame:
+    """Counts of words in labelled texts, cut to ``order`` characters, by class and fold.
+
+    The end of a word counts as a character, a space. A text counts each word once, so that one
+    which repeats itself weighs no more. A word's contexts are the last characters before it where
+    it first stands in a text, kept as the bits of 64 hash values. ``docs`` has text, label and
+    fold. Workers sum what they hold, so the shuffle gets a word once per task, or per ``COUNTED``.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = [Counter() for _ in _KINDS]
+        places: set[str] = set()
+        for batch in batches:
+            rows = zip(batch["text"].to_pylist(), batch["label"].to_pylist(), batch["fold"].to_pylist())
+            for text, label, fold in rows:
+                words = (text or "").lower().split()
+                cut = [f"{w} "[:order] for w in words]
+                before = [" ", *[w[-1] for w in words[:-1]]]
+                first = dict(zip(reversed(cut), reversed(before)))
+                counts[2 * fold + (label > 0)].update(first.keys())
+                places.update(map(add, first.values(), first))
+                if len(places) >= COUNTED:
+                    yield from _word_batches(counts, places)
+                    counts, places = [Counter() for _ in _KINDS], set()
+        yield from _word_batches(counts, places)
+
+    schema = ", ".join(["word string", "contexts long", *[f"{k} int" for k in _KINDS]])
+    counts = map_arrow(docs.select("text", "label", "fold"), run, schema)
+    return counts.groupBy("word").agg(F.bit_or("contexts").alias("contexts"), *[F.sum(k).alias(k) for k in _KINDS])
+
+
+def _word_batches(counts: list[Counter], places: set[str]) -> Iterator[pa.RecordBatch]:
+    bits: dict[str, int] = {}
+    contexts: dict[str, int] = {}
+    for place in places:
+        before, word = place[0], place[1:]
+        if before not in bits:
+            bits[before] = 1 << int(mix(np.array([ord(before)], dtype=np.uint64))[0] >> np.uint64(58))
+        contexts[word] = contexts.get(word, 0) | bits[before]
+    words = sorted(contexts)
+    for at in range(0, len(words), BATCH):
+        some = words[at : at + BATCH]
+        marks = np.array([contexts[w] for w in some], dtype=np.uint64).view(np.int64)
+        sums = [pa.array([c[w] for w in some], pa.int32()) for c in counts]
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.string()), pa.array(marks), *sums], ["word", "contexts", *_KINDS])
+
+
 def gram_counts(docs: DataFrame, order: int = ORDER) -> DataFrame:
     """Counts of word beginnings in labelled texts, by class and fold.
 
-    A gram is a beginning of a word, its history the beginning one character shorter, its contexts
-    the characters before the word, kept as the bits of 64 hash values. A text counts each word
-    once, so that one which repeats itself weighs no more. ``docs`` has text, label and fold.
-    Workers sum what they hold, so the one shuffle gets a gram once per task, or per ``KEPT`` rows
-    of it. Rows are dealt by history, so what follows a history is at hand for its sums.
+    A gram is a beginning of a word, its history the beginning one character shorter; its counts
+    and contexts are those of its words, which are counted first, so that what is spelled and
+    shuffled grows with the vocabulary. Rows are dealt by history, so what follows a history is at
+    hand for its sums.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list[np.ndarray]] = []
         size = 0
         for batch in batches:
-            rows = zip(batch["text"].to_pylist(), batch["label"].to_pylist(), batch["fold"].to_pylist())
-            for text, label, fold in rows:
-                grams, there, before = _spelled(text, order)
-                if not len(grams):
-                    continue
-                whole = grams[np.arange(len(grams)), there.sum(axis=1) - 1]
-                _, once = np.unique(whole, return_index=True)
-                grams, there, before = grams[once], there[once], before[once]
-                history = np.concatenate([np.zeros((len(grams), 1), np.uint64), grams[:, :-1]], axis=1)
-                context = np.uint64(1) << (mix(before) >> np.uint64(58))
-                n = int(there.sum())
-                kinds = [np.broadcast_to(np.int32(k == 2 * fold + (label > 0)), n) for k in range(len(_KINDS))]
-                held.append([grams[there], history[there], np.broadcast_to(context[:, None], grams.shape)[there], *kinds])
-                size += n
-                if size >= GATHERED:
-                    held, size = [_merged(held)], 0
-                    if len(held[0][0]) >= KEPT:
-                        yield from _batches(held.pop())
+            grams, there, _ = _spelled(" ".join(w.rstrip(" ") for w in batch["word"].to_pylist()), order)
+            history = np.concatenate([np.zeros((len(grams), 1), np.uint64), grams[:, :-1]], axis=1)
+            each = there.sum(axis=1)
+            contexts = batch["contexts"].to_numpy().view(np.uint64)
+            kinds = [np.repeat(batch[k].to_numpy(), each) for k in _KINDS]
+            held.append([grams[there], history[there], np.repeat(contexts, each), *kinds])
+            size += len(held[-1][0])
+            if size >= GATHERED:
+                held, size = [_merged(held)], 0
+                if len(held[0][0]) >= KEPT:
+                    yield from _batches(held.pop())
         if held:
             yield from _batches(_merged(held))
 
-    schema = ", ".join(["gram long", "history long", "contexts long", *[f"{k} int" for k in _KINDS]])
-    counts = map_arrow(docs.select("text", "label", "fold"), run, schema)
+    schema = ", ".join(["gram long", "history long", "contexts long", *[f"{k} long" for k in _KINDS]])
+    counts = map_arrow(word_counts(docs, order), run, schema)
     sums = [F.sum(k).alias(k) for k in _KINDS]
     return counts.repartition("history").groupBy("history", "gram").agg(F.bit_or("contexts").alias("contexts"), *sums)
 
@@ -106,7 +151,7 @@ def _merged(parts: list[list[np.ndarray]]) -> list[np.ndarray]:
     def column(i: int) -> np.ndarray:
         return np.concatenate([p[i] for p in parts])[order]
 
-    sums = [np.add.reduceat(column(3 + i), new, dtype=np.int32) for i in range(len(_KINDS))]
+    sums = [np.add.reduceat(column(3 + i), new) for i in range(len(_KINDS))]
     return [gram[new], column(1)[new], np.bitwise_or.reduceat(column(2), new), *sums]
 
 
@@ -268,6 +313,16 @@ def fit_decision(rows: np.ndarray, toxic: np.ndarray, ridge: float = 0.1) -> Dec
     return Decision(mean, scale, w)
 
 
+def _marked(docs: DataFrame, known: DataFrame, marks: int = MARKS) -> DataFrame:
+    """Rows of ``docs`` whose id may be among the known: the join that follows shuffles few others.
+
+    Each known id sets one of ``64 * marks`` bits, a row per 64 of them, whatever their number.
+    """
+    row, bit = F.pmod(F.xxhash64("doc_id"), F.lit(marks)), F.expr("shiftleft(1L, cast(pmod(hash(doc_id), 64) AS int))")
+    there = known.groupBy(row.alias("mark")).agg(F.bit_or(bit).alias("bits"))
+    return docs.withColumn("mark", row).join(F.broadcast(there), "mark").filter(F.col("bits").bitwiseAND(bit) != 0).select(*docs.columns)
+
+
 def score(docs: DataFrame, labels: DataFrame, slots: int = SLOTS, sample: int = SAMPLE) -> DataFrame:
     """doc_id, held_out, score and predicted of every document.
 
@@ -289,7 +344,7 @@ def score(docs: DataFrame, labels: DataFrame, slots: int = SLOTS, sample: int =
         .agg(F.max("toxic").cast("long").alias("label"))
         .withColumn("fold", F.pmod(F.xxhash64("doc_id"), F.lit(FOLDS)))
     )
-    learnt = docs.select("doc_id", "text").join(known, "doc_id").select("doc_id", "text", "label", "fold")
+    learnt = _marked(docs.select("doc_id", "text"), known).join(known, "doc_id").select("text", "label", "fold")
     sc = docs.sparkSession.sparkContext
     folds = list(range(FOLDS))
     *others, whole = fit_ratios(gram_counts(learnt), [*[[f for f in folds if f != fold] for fold in folds], folds], slots)
