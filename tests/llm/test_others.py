@@ -113,6 +113,34 @@ def test_rules_keep_the_good_and_catch_outliers(spark):
     assert np.mean(good) >= 0.97 and np.mean(bad) <= 0.4
 
 
+def test_gram_counts_against_brute_force(spark, monkeypatch):
+    """Handing on early, as after many words, changes no sum; a text counts a word once."""
+    texts = [None, "", " \n", "aa ab  aa", "ab aa abcdefghijkl", "abcdefghiXYZ \x1c b", *[prose(i, 40) for i in range(40)]]
+    rows = [(t, i % 3 % 2, i % 2) for i, t in enumerate(texts)]
+    want = {}
+    for text, label, fold in rows:
+        words = {(w + " ")[: toxicity.ORDER] for w in (text or "").lower().split()}
+        for gram in [w[:n] for w in words for n in range(1, len(w) + 1)]:
+            kinds = want.setdefault(gram, [0] * 4)
+            kinds[2 * fold + label] += 1
+    docs = spark.createDataFrame(rows, "text string, label long, fold long")
+    kinds = [f"{c}_{f}" for f in range(2) for c in ("ordinary", "toxic")]
+    for most in (toxicity.COUNTED, 5):
+        monkeypatch.setattr(toxicity, "COUNTED", most)
+        got = toxicity.gram_counts(docs).collect()
+        assert len(got) == len({r["gram"] for r in got}) == len(want)
+        assert sorted(tuple(r[k] for k in kinds) for r in got) == sorted(map(tuple, want.values()))
+        assert len({r["history"] for r in got}) == len({g[:-1] for g in want})
+
+
+def test_marks_keep_every_known_id(spark):
+    known = spark.createDataFrame([(i * 7,) for i in range(300)], "doc_id long")
+    docs = spark.createDataFrame([(i,) for i in range(3000)] + [(None,)], "doc_id long")
+    got = {r["doc_id"] for r in toxicity._marked(docs, known, marks=64).collect()}
+    assert {i * 7 for i in range(300)} <= got and len(got) < 900
+    assert not toxicity._marked(docs, known.limit(0)).count()
+
+
 def test_toxicity_on_held_out_rows(spark):
     read = lambda t: spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet")
     known = {r["doc_id"]: r["toxic"] for r in read("labels").collect()}
