@@ -78,12 +78,21 @@ def join_activity(spine: DataFrame, moves: DataFrame, sales: DataFrame) -> DataF
     return joined.join(s, ["sku", "snapshot_date"], "left").selectExpr(*_ACTIVITY)
 
 
+#: Change of stock over the rows that one active day of a SKU fans out to.
+_FANNED_CHANGE = (
+    "size(categories) * ("
+    "greatest(1, size(sold)) * aggregate(moved, 0L, (t, m) -> t + m.net_delta) - "
+    "greatest(1, size(moved)) * aggregate(sold, 0L, (t, s) -> t + s.units_sold))"
+)
+
+
 def dense_activity(
     stg_sales: DataFrame,
     stg_moves: DataFrame,
     start: dt.date,
     as_of: dt.date,
     skus: DataFrame | None = None,
+    since: dt.date | None = None,
 ) -> DataFrame:
     """Same rows as ``join_activity(sku_date_spine(...))`` in two shuffles and one read.
 
@@ -91,7 +100,11 @@ def dense_activity(
     hot SKU over its days with map-side sums. Only the daily rows are then gathered by
     SKU, at most one per day and category, and each one is stretched up to the next
     active day. No join, no second pass over staging for the SKU list.
+
+    With ``since`` only the days from there on are stretched; the column ``opening`` has what
+    the SKU's earlier rows add up to.
     """
+    first = start if since is None else max(start, since)
     daily = _daily_activity(stg_sales, stg_moves, start, as_of, skus)
 
     # Categories of the SKU's dimension rows; a struct keeps a NULL category.
@@ -109,11 +122,13 @@ def dense_activity(
         )
     )
     by_day = "OVER (PARTITION BY sku ORDER BY day)"
+    earlier = f"CASE WHEN day < {date(first)} THEN {_FANNED_CHANGE} ELSE 0L END"
     stretched = active.selectExpr(
         "*",
-        f"CASE WHEN lag(day) {by_day} IS NULL THEN {date(start)} ELSE day END AS first_day",
+        f"greatest({date(first)}, CASE WHEN lag(day) {by_day} IS NOT NULL THEN day END) AS first_day",
         f"coalesce(date_sub(lead(day) {by_day}, 1), {date(as_of)}) AS last_day",
-    )
+        f"sum({earlier}) OVER (PARTITION BY sku) AS opening",
+    ).filter("first_day <= last_day")
     dense = stretched.selectExpr("*", f"{_days('first_day', 'last_day')} AS snapshot_date")
 
     # Activity belongs to its own day only. Several categories fan out as in the joins.
@@ -121,6 +136,7 @@ def dense_activity(
     fanned = (
         dense.selectExpr(
             "sku",
+            "opening",
             "snapshot_date",
             f"{today} moved END AS moved",
             f"{today} sold END AS sold",
@@ -130,8 +146,8 @@ def dense_activity(
         .selectExpr("*", "explode_outer(sold) AS s")
     )
     return fanned.selectExpr(
-        "snapshot_date", "sku", "c.category", "m.net_delta", "s.*"
-    ).selectExpr(*_ACTIVITY)
+        "snapshot_date", "sku", "opening", "c.category", "m.net_delta", "s.*"
+    ).selectExpr(*_ACTIVITY, *([] if since is None else ["opening"]))
 
 
 def _daily_activity(

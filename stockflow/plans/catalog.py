@@ -53,7 +53,8 @@ class Inputs:
         return marts.inventory_snapshot(self.sales(), self.moves(), START, AS_OF)
 
     def watchlist(self) -> DataFrame:
-        return reports.reorder_watchlist(self.snapshot(), AS_OF)
+        at = marts.inventory_at(self.sales(), self.moves(), START, AS_OF)
+        return reports.reorder_watchlist(at, AS_OF)
 
     def alerts(self, duplicates: str = "realert") -> DataFrame:
         feed = self.feed(feeds.movements_feed)

@@ -22,11 +22,24 @@ def inventory_snapshot(
     return snapshot_columns(daily.dense_activity(stg_sales, stg_moves, start, as_of, skus))
 
 
-def snapshot_columns(activity: DataFrame) -> DataFrame:
+def inventory_at(
+    stg_sales: DataFrame, stg_moves: DataFrame, start: dt.date, as_of: dt.date
+) -> DataFrame:
+    """The rows that ``inventory_snapshot`` has for the day ``as_of``.
+
+    The longest frame is 30 rows and a SKU has one a day at least, so only the last 30 days are
+    built; what came before enters as one opening stock per SKU.
+    """
+    since = as_of - dt.timedelta(days=29)
+    recent = daily.dense_activity(stg_sales, stg_moves, start, as_of, since=since)
+    return snapshot_columns(recent, "opening").filter(f"snapshot_date = {S.date(as_of)}")
+
+
+def snapshot_columns(activity: DataFrame, opening: str = "0L") -> DataFrame:
     """Snapshot from a dense daily series. Flags use exact cover, ``days_on_hand`` is rounded."""
     cover = ("stock_on_hand", "units_30d", "rows_30d")
     floored = windows.with_running_stock(activity).selectExpr(
-        "*", "greatest(running_stock, 0L) AS stock_on_hand"
+        "*", f"greatest(running_stock + {opening}, 0L) AS stock_on_hand"
     )
     return floored.selectExpr(
         "snapshot_date",

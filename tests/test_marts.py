@@ -99,6 +99,17 @@ def test_snapshot_invariants(spark):
     assert last.agg(F.sum("running_stock")).first()[0] == total
 
 
+def test_one_day_equals_the_snapshots_day(spark):
+    """Also for SKUs under several categories, and where the calendar is shorter than the frames."""
+    for seed, last in ((5, 44), (6, 29), (7, 12)):
+        s, m = random_feeds(spark, seed)
+        whole = marts.inventory_snapshot(s, m, D0, day(last)).filter(F.col("snapshot_date") == day(last))
+        at = marts.inventory_at(s, m, D0, day(last))
+        assert at.columns == whole.columns
+        assert sorted(map(str, at.collect())) == sorted(map(str, whole.collect()))
+        assert whole.count()
+
+
 def test_snapshot_shuffles_twice(spark):
     s, m = random_feeds(spark, 7)
     plan = marts.inventory_snapshot(s, m, D0, day(9))._jdf.queryExecution().executedPlan().toString()
