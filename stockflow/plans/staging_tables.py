@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Iterable
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,6 +23,17 @@ DAY = "event_date"
 KEY = "event_id"
 
 
+class Refreshed(NamedTuple):
+    """A staging table and the days that the refresh wrote; None stands for every day."""
+
+    table: DataFrame
+    days: set[dt.date | None] | None
+
+    def touched(self) -> DataFrame:
+        """The rows of the written days."""
+        return self.table if self.days is None else self.table.filter(_in_days(self.days))
+
+
 def refresh(
     raw: DataFrame,
     build: Callable[[DataFrame], DataFrame],
@@ -31,12 +43,27 @@ def refresh(
     overlap: dt.timedelta | None = None,
     days_fixed: bool = False,
 ) -> DataFrame:
-    """Bring staging table ``name`` up to date with ``raw`` and return it.
+    """Bring staging table ``name`` up to date with ``raw`` and return it; see ``refresh_days``."""
+    return refresh_days(raw, build, root, name, mode, overlap, days_fixed).table
+
+
+def refresh_days(
+    raw: DataFrame,
+    build: Callable[[DataFrame], DataFrame],
+    root: str,
+    name: str,
+    mode: str = "incremental",
+    overlap: dt.timedelta | None = None,
+    days_fixed: bool = False,
+    newer: DataFrame | None = None,
+) -> Refreshed:
+    """Bring staging table ``name`` up to date with ``raw``.
 
     ``full`` rebuilds it. ``incremental`` cleans the raw rows past the stored high-water mark
     and replaces their older versions. ``days_fixed`` states that an event never changes its
     day, which limits the search for older versions to the days of the new rows; it holds
-    when raw keeps each event once.
+    when raw keeps each event once. ``newer`` gives the raw rows that the table may lack, where
+    the caller knows them without a look at the stored mark.
     """
     spark = raw.sparkSession
     if mode not in ("full", "incremental"):
@@ -45,19 +72,19 @@ def refresh(
     if mode == "full" or path is None:
         # A rewrite left over from an interrupted run belongs to the version replaced here.
         tables.delete(spark, _pending(root, name))
-        return tables.rebuild(build(raw), root, name, [DAY])
+        return Refreshed(tables.rebuild(build(raw), root, name, [DAY]), None)
     _apply_pending(spark, root, name)
     target = spark.read.parquet(path)
     if target.isEmpty():
-        return tables.rebuild(build(raw), root, name, [DAY])
-    new = build(newer_than(raw, high_water_mark(target), overlap))
+        return Refreshed(tables.rebuild(build(raw), root, name, [DAY]), None)
+    new = build(newer_than(raw, high_water_mark(target), overlap) if newer is None else newer)
     if _fields(target) != _fields(new):
         # A changed column or type touches every day.
         merged = upsert(target, new, KEY).select(new.columns)
-        return tables.rebuild(merged, root, name, [DAY])
-    _prepare(target, new, root, name, days_fixed)
+        return Refreshed(tables.rebuild(merged, root, name, [DAY]), None)
+    days = _prepare(target, new, root, name, days_fixed)
     _apply_pending(spark, root, name)
-    return spark.read.schema(target.schema).parquet(path).select(new.columns)
+    return Refreshed(spark.read.schema(target.schema).parquet(path).select(new.columns), days)
 
 
 def _fields(df: DataFrame) -> dict[str, str]:
@@ -74,8 +101,10 @@ def _in_days(days: Iterable[dt.date | None]) -> str:
     return " OR ".join([*parts, *([f"{DAY} IS NULL"] if None in days else [])]) or "false"
 
 
-def _prepare(target: DataFrame, new: DataFrame, root: str, name: str, days_fixed: bool) -> None:
-    """Write the touched days in full to the pending folder.
+def _prepare(
+    target: DataFrame, new: DataFrame, root: str, name: str, days_fixed: bool
+) -> set[dt.date | None]:
+    """Write the touched days in full to the pending folder and return them.
 
     Only day lists reach the driver; their length is bounded by the calendar.
     """
@@ -83,9 +112,9 @@ def _prepare(target: DataFrame, new: DataFrame, root: str, name: str, days_fixed
     ensure_checkpoint_dir(spark)
     new = new.checkpoint()
     per_day = {r[DAY]: r["count"] for r in new.groupBy(DAY).count().collect()}
-    if not per_day:
-        return
     days = set(per_day)
+    if not days:
+        return days
     if not days_fixed:
         older = target.select(KEY, DAY).join(new.select(KEY).distinct(), KEY, "left_semi")
         days |= {r[DAY] for r in older.select(DAY).distinct().collect()}
@@ -96,6 +125,7 @@ def _prepare(target: DataFrame, new: DataFrame, root: str, name: str, days_fixed
     kept = spark.read.schema(target.schema).parquet(f"{pending}/rows").select(DAY).distinct()
     emptied = sorted(str(d) for d in days - {r[DAY] for r in kept.collect()} if d is not None)
     spark.createDataFrame([(d,) for d in emptied], "day string").write.parquet(f"{pending}/emptied")
+    return days
 
 
 def _apply_pending(spark: SparkSession, root: str, name: str) -> None:
@@ -109,16 +139,16 @@ def _apply_pending(spark: SparkSession, root: str, name: str) -> None:
         return
     path = tables.current_path(spark, root, name)
     stored = spark.read.parquet(path)
-    kept = f"{pending}/rows"
-    if not spark.read.schema(stored.schema).parquet(kept).isEmpty() and _fields(
-        spark.read.parquet(kept)
-    ) != _fields(stored):
+    rows = spark.read.schema(stored.schema).parquet(f"{pending}/rows")
+    # The day's own type is a guess from folder names, and no date where only its NULL folder is.
+    if not rows.isEmpty() and _fields(spark.read.parquet(f"{pending}/rows").drop(DAY)) != _fields(
+        stored.drop(DAY)
+    ):
         tables.delete(spark, pending)
         return
-    rows = spark.read.schema(stored.schema).parquet(f"{pending}/rows")
+    # Pending files hold one day each already, so they are copied without a shuffle.
     (
-        rows.hint("rebalance", DAY)
-        .write.mode("overwrite")
+        rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(DAY)
         .parquet(path)

@@ -79,11 +79,39 @@ def read_batches(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.schema(stored).parquet(f"{root}/{name}")
 
 
-def committed(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """Rows of the batches whose ingest has finished in all tables."""
+def last_committed(spark: SparkSession, root: str) -> int:
+    """Number of the last batch whose ingest has finished in all tables, -1 without one."""
     last = newest(spark, f"{root}/{INGEST_LOG}", "batch_id")
-    last = -1 if last is None else last
-    return read_batches(spark, root, name).filter(F.col("batch_id") <= last).drop("batch_id")
+    return -1 if last is None else last
+
+
+def committed(
+    spark: SparkSession, root: str, name: str, after: int | None = None, upto: int | None = None
+) -> DataFrame:
+    """Rows of the committed batches, or of those past ``after`` and up to ``upto``.
+
+    The bounds are on the partition column: folders outside them are not opened.
+    """
+    upto = last_committed(spark, root) if upto is None else upto
+    rows = read_batches(spark, root, name).filter(F.col("batch_id") <= upto)
+    if after is not None:
+        rows = rows.filter(F.col("batch_id") > after)
+    return rows.drop("batch_id")
+
+
+def staged_upto(spark: SparkSession, root: str, name: str) -> int | None:
+    """Number of the last batch that is in staging table ``name`` and passed its tests."""
+    return newest(spark, f"{root}/_staged/{name}", "batch_id")
+
+
+def mark_staged(spark: SparkSession, root: str, name: str, batch_id: int) -> None:
+    """Record ``staged_upto``; a lost record costs a repeated upsert and no rows."""
+    folder = f"{root}/_staged/{name}"
+    before = _numbers(spark, folder, "batch_id")
+    spark.range(1).write.mode("overwrite").parquet(f"{folder}/batch_id={batch_id}")
+    for old in before:
+        if old != batch_id:
+            delete(spark, f"{folder}/batch_id={old}")
 
 
 # --- rebuilt tables ------------------------------------------------------------------

@@ -154,6 +154,40 @@ def test_whole_run(spark, tmp_path):
         refresh(raw_sales(spark, {}), root, mode="other")
 
 
+def test_increment_reads_new_batches_and_tests_their_days(spark, tmp_path, monkeypatch):
+    """Staging by batch number: equal to a rebuild, whatever the clock said, and retried until tested."""
+    root = str(tmp_path)
+    tables.ensure_tables(spark, root)
+    now = dt.datetime(2024, 3, 9, 10, 0, 0)
+    run = dict(as_of=dt.date(2024, 3, 9), now=now, start=dt.date(2024, 3, 1))
+    first = [stock("m1", 5), swimwear("s1"), swimwear("s2", timestamp="2024-03-05T09:00:00+00:00"), supply("d1")]
+    ingest_batch(envelope(spark, *first), root, 0, now, ["arrival"])
+    hourly.run_hourly(spark, root, **run)
+    assert tables.staged_upto(spark, root, "stg_sales") == 0
+
+    # The same batch time as before: a time mark would pass these rows by.
+    ingest_batch(envelope(spark, swimwear("s3"), stock("m2"), supply("d2"), first=9), root, 1, now, ["arrival"])
+    tested = []
+
+    def stop(models):
+        tested.append({n: sorted(r.event_id for r in df.collect()) for n, df in models.items() if n == "stg_sales"})
+        raise QualityError("stopped")
+
+    monkeypatch.setattr(hourly, "check", stop)
+    for _ in range(2):
+        with pytest.raises(QualityError):
+            hourly.run_hourly(spark, root, **run)
+        assert tables.staged_upto(spark, root, "stg_sales") == 0
+    monkeypatch.undo()
+    # Only the written day, and again at the second try.
+    assert tested == [{"stg_sales": ["s1", "s3"]}] * 2
+    out = hourly.run_hourly(spark, root, **run)
+    assert tables.staged_upto(spark, root, "stg_sales") == 1
+    assert tables.numbered(spark, f"{root}/_staged/stg_sales", "batch_id") == [1]
+    for name, (source, clean) in hourly.STAGING.items():
+        assert same(out[name], clean(tables.committed(spark, root, source)))
+
+
 def test_two_categories_stop_the_run(spark, tmp_path):
     root = str(tmp_path)
     tables.ensure_tables(spark, root)
