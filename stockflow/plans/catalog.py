@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from stockflow.functions import numeric as N
 from stockflow.functions import scalars as S
 from stockflow.operators import alerts, daily, dedup, quality, staging, upsert, windows
-from stockflow.plans import marts, reports
+from stockflow.plans import hourly, marts, reports, staging_tables
 from stockflow.session import ensure_checkpoint_dir, pin_session
 from stockflow.sources import feeds, messages, tables
 from stockflow.sources.schemas import STOCK_TOPIC, STOCK_WIRE
@@ -193,6 +193,39 @@ def _stored_dead_letters(i: Inputs) -> DataFrame:
     ).distinct()
 
 
+def _stored_staging(i: Inputs) -> str:
+    """Root whose stored staging was rebuilt after the first batch and upserted with the rest."""
+    root = _stored_ingest(i)
+    if tables.staged_upto(i.spark, root, "stg_sales") is None:
+        for last in (0, tables.last_committed(i.spark, root)):
+            hourly.refresh_staging(i.spark, root, last)
+    return root
+
+
+def _stored_table(i: Inputs, name: str) -> DataFrame:
+    return tables.read_current(i.spark, _stored_staging(i), name)
+
+
+def _stored_report(i: Inputs, name: str) -> DataFrame:
+    return hourly.refresh_report(i.spark, _stored_staging(i), name, AS_OF)
+
+
+def _stored_schema_sync(i: Inputs) -> DataFrame:
+    """Stored staging of an older build: one column less, one more, one narrower."""
+    root = _stored_ingest(i)
+    kept = f"{root}-sync-{uuid.uuid4().hex}"
+
+    def older(raw: DataFrame) -> DataFrame:
+        changed = {"quantity": F.expr("cast(quantity AS smallint)"), "retired": F.lit(1)}
+        return staging.stg_sales(raw).withColumns(changed).drop("color")
+
+    raw, newer = (tables.committed(i.spark, root, "raw_sales", **part) for part in ({"upto": 0}, {"after": 0}))
+    staging_tables.refresh(raw, older, kept, "stg_sales")
+    return staging_tables.refresh_days(
+        newer, staging.stg_sales, kept, "stg_sales", days_fixed=True, newer=newer
+    ).table
+
+
 def _staging_tests(i: Inputs) -> DataFrame:
     return quality.model_report("stg_sales", i.sales()).unionByName(
         quality.model_report("stg_stock_movements", i.moves())
@@ -282,6 +315,11 @@ _QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "ingest_raw_movements": lambda i: _stored_raw(i, "raw_stock_movements"),
     "ingest_raw_deliveries": lambda i: _stored_raw(i, "raw_supplier_deliveries"),
     "ingest_dead_letters": _stored_dead_letters,
+    "stored_stg_sales": lambda i: _stored_table(i, "stg_sales"),
+    "stored_stg_stock_movements": lambda i: _stored_table(i, "stg_stock_movements"),
+    "stored_channel_revenue": lambda i: _stored_report(i, "mv_channel_revenue_weekly"),
+    "stored_supplier_performance": lambda i: _stored_report(i, "mv_supplier_performance"),
+    "stored_schema_sync": _stored_schema_sync,
     "dispatch_payload": lambda i: alerts.dispatch_payload(i.alerts()),
     "date_spine": _sales_calendar,
     "sku_dimension": lambda i: daily.sku_dimension(i.sales(), i.moves()),

@@ -64,37 +64,26 @@ def check(models: dict[str, DataFrame]) -> None:
     quality.assert_models(reduce(DataFrame.unionByName, found))
 
 
-def run_hourly(
+def refresh_staging(
     spark: SparkSession,
     root: str,
-    as_of: dt.date,
-    now: dt.datetime,
-    start: dt.date,
+    last: int,
     mode: str = "incremental",
     overlap: dt.timedelta | None = None,
     business_tz: str | None = None,
 ) -> dict[str, DataFrame]:
-    """Run every step in order; a failed gate or test stops the run before later steps write.
+    """Bring the staging tables up to ingest batch ``last``, test what was written, return them.
 
-    The caller chooses ``mode``: "incremental", or "full" for the nightly rebuild. An incremental
-    run reads the batches stored since the last run whose staging tests passed, and tests the days
-    it wrote: an event never changes its day, so a repeated id would lie within one of them.
-    ``overlap`` finds new rows by ingest time instead, and tests the whole tables.
+    An incremental run reads the batches stored since the last run whose tests passed, and tests
+    the days it wrote: an event never changes its day, so a repeated id would lie within one of
+    them. ``overlap`` finds new rows by ingest time instead, and tests the whole tables.
     """
-    pin_session(spark)
-    last = tables.last_committed(spark, root)
-    raw = {
-        name: tables.committed(spark, root, name, upto=last)
-        for name in ("raw_sales", "raw_stock_movements", "raw_supplier_deliveries")
-    }
-    quality.assert_fresh(quality.freshness_report(raw, now))
-
     staged = {}
     for name, (source, clean) in STAGING.items():
         done = tables.staged_upto(spark, root, name) if mode == "incremental" and not overlap else None
         # Raw keeps the first arrival of an event for good, so its day never changes.
         staged[name] = staging_tables.refresh_days(
-            raw[source],
+            tables.committed(spark, root, source, upto=last),
             partial(clean, business_tz=business_tz),
             root,
             name,
@@ -109,7 +98,33 @@ def run_hourly(
     check({name: found.touched() for name, found in staged.items()})
     for name in STAGING:
         tables.mark_staged(spark, root, name, last)
-    sales, moves = (staged[name].table for name in STAGING)
+    return {name: found.table for name, found in staged.items()}
+
+
+def run_hourly(
+    spark: SparkSession,
+    root: str,
+    as_of: dt.date,
+    now: dt.datetime,
+    start: dt.date,
+    mode: str = "incremental",
+    overlap: dt.timedelta | None = None,
+    business_tz: str | None = None,
+) -> dict[str, DataFrame]:
+    """Run every step in order; a failed gate or test stops the run before later steps write.
+
+    The caller chooses ``mode``: "incremental", or "full" for the nightly rebuild.
+    """
+    pin_session(spark)
+    last = tables.last_committed(spark, root)
+    raw = {
+        name: tables.committed(spark, root, name, upto=last)
+        for name in ("raw_sales", "raw_stock_movements", "raw_supplier_deliveries")
+    }
+    quality.assert_fresh(quality.freshness_report(raw, now))
+
+    staged = refresh_staging(spark, root, last, mode, overlap, business_tz)
+    sales, moves = (staged[name] for name in STAGING)
 
     snapshot = tables.rebuild(
         marts.inventory_snapshot(sales, moves, start, as_of),

@@ -1,7 +1,11 @@
 from __future__ import annotations
 
+import datetime as dt
+import itertools
 from decimal import Decimal
 
+import pytest
+
 from stockflow.plans import reports
 from tests.rows import D0, day, listed, raw_deliveries, sales
 
@@ -102,3 +106,25 @@ def test_kpis(spark):
     assert tuple(reports.daily_kpis(watch, s, D0).first()) == (
         D0, 13, 3, 2, Decimal("18.3"), Decimal("20.00"), 2, Decimal("66.7"),
     )
+
+
+def _ascending(value, descending, nulls_first):
+    """Sort key of one column, the number of a date or amount turned round where it descends."""
+    if value is None:
+        return (not nulls_first, 0)
+    number = value.toordinal() if isinstance(value, dt.date) else value
+    return (nulls_first, -number if descending else number)
+
+
+@pytest.mark.parametrize("name", reports.SHOWN_BY)
+def test_reading_order(spark, name):
+    """Every report by its two columns, unknown values where the order puts them."""
+    terms = [term.split() for term in reports.SHOWN_BY[name].split(", ")]
+    columns = [t[0] for t in terms]
+    kinds = {c: "date" if c in ("week_start", "snapshot_date", "month") else "decimal(18,2)" for c in columns}
+    values = {"date": [day(3), None, day(0), day(9)], "decimal(18,2)": [Decimal("7.50"), Decimal("-2.00"), None, Decimal("30.00")]}
+    rows = list(itertools.product(*[values[kinds[c]] for c in columns]))
+    df = spark.createDataFrame(rows, ", ".join(f"{c} {k}" for c, k in kinds.items()))
+    got = [tuple(r) for r in reports.shown(name, df.repartition(4)).collect()]
+    keys = [(t[1] == "DESC", t[-1] == "FIRST") for t in terms]
+    assert got == sorted(rows, key=lambda r: [_ascending(v, *k) for v, k in zip(r, keys)])
