@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -12,14 +13,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from stockflow.llm.store import map_arrow
-from stockflow.llm.words import mix
+from stockflow.llm.store import map_arrow, stored
+from stockflow.llm.words import mix, powers
 
 #: Characters of a word that the models spell; longer words are told apart by these.
 ORDER = 9
 #: Taken from every count: what a class has seen as rarely says nothing beyond the backoff.
 DISCOUNT = 4.0
-#: Slots of the score tables, a power of two: the size of what is broadcast, whatever the input.
+#: Slots of the table of frequent grams, a power of two: the size of what is broadcast, whatever the
+#: input. Grams that have no slot are joined.
 SLOTS = 1 << 21
 #: Words of the passages whose normalised ratio counts beside that of the whole text.
 PASSAGE = 3
@@ -40,25 +42,29 @@ FOLDS = 2
 #: Columns of counts: class and fold.
 _KINDS = [f"{label}_{fold}" for fold in range(FOLDS) for label in ("ordinary", "toxic")]
 MEASURES = ("whole", "peak", "second", "length")
-_FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 
-def _spelled(text: str | None, order: int = ORDER) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes of every word's beginnings (words by length, the end of a word counts as a character),
-    which of them exist, and the last character before each word."""
+def _spelled(text: str | None, order: int = ORDER) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of every word's beginnings, one word after the other, and how many each word has.
+
+    The end of a word counts as a character. A beginning's hash is a difference of prefix sums.
+    """
     clean = " ".join((text or "").lower().split())
-    codes = np.frombuffer(f" {clean} ".encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
-    gaps = np.flatnonzero(codes == 32)
-    start, size = gaps[:-1] + 1, np.diff(gaps)
     if not clean:
-        start, size = start[:0], size[:0]
-    there = np.arange(1, order + 1) <= size[:, None]
-    hashes = np.zeros((len(start), order), dtype=np.uint64)
-    rolling = np.zeros(len(start), dtype=np.uint64)
-    for j in range(order):
-        rolling = rolling * _FACTOR + codes[np.minimum(start + j, len(codes) - 1)] + np.uint64(1)
-        hashes[:, j] = mix(rolling)
-    return hashes, there, codes[np.maximum(start - 2, 0)]
+        return np.empty(0, np.uint64), np.empty(0, np.int64)
+    codes = np.frombuffer(f"{clean} ".encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
+    ends = np.flatnonzero(codes == 32) + 1
+    start = np.concatenate([[0], ends[:-1]])
+    each = np.minimum(ends - start, order)
+    power, inverse = powers(len(codes))
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((codes + np.uint64(1)) * power, dtype=np.uint64)])
+    stop = np.arange(1, each.sum() + 1) + np.repeat(start - (np.cumsum(each) - each), each)
+    return mix((sums[stop] - np.repeat(sums[start], each)) * np.repeat(inverse[start], each)), each
+
+
+def _heads(each: np.ndarray) -> np.ndarray:
+    """Where each word's beginnings start."""
+    return np.cumsum(each) - each
 
 
 def word_counts(docs: DataFrame, order: int = ORDER) -> DataFrame:
@@ -121,12 +127,12 @@ def gram_counts(docs: DataFrame, order: int = ORDER) -> DataFrame:
         held: list[list[np.ndarray]] = []
         size = 0
         for batch in batches:
-            grams, there, _ = _spelled(" ".join(w.rstrip(" ") for w in batch["word"].to_pylist()), order)
-            history = np.concatenate([np.zeros((len(grams), 1), np.uint64), grams[:, :-1]], axis=1)
-            each = there.sum(axis=1)
+            grams, each = _spelled(" ".join(w.rstrip(" ") for w in batch["word"].to_pylist()), order)
+            history = np.roll(grams, 1)
+            history[_heads(each)] = 0
             contexts = batch["contexts"].to_numpy().view(np.uint64)
             kinds = [np.repeat(batch[k].to_numpy(), each) for k in _KINDS]
-            held.append([grams[there], history[there], np.repeat(contexts, each), *kinds])
+            held.append([grams, history, np.repeat(contexts, each), *kinds])
             size += len(held[-1][0])
             if size >= GATHERED:
                 held, size = [_merged(held)], 0
@@ -162,63 +168,110 @@ def _batches(table: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c[at : at + BATCH]) for c in whole], names)
 
 
-@dataclass(frozen=True)
-class Ratios:
-    """Log-likelihood ratios toxic to ordinary: of a gram, and of an unseen gram after a history."""
-
-    gram: np.ndarray
-    history: np.ndarray
-
-
-def _slot(column: str, slots: int) -> F.Column:
-    return F.shiftrightunsigned(column, 64 - (slots.bit_length() - 1)).cast("int")
-
-
 def fit_ratios(
     counts: DataFrame, models: list[list[int]], slots: int = SLOTS, discount: float = DISCOUNT
-) -> list[Ratios]:
-    """Interpolated Kneser-Ney of both classes as tables of ratios, for each list of folds.
-
-    A class's probability of a gram given its history is the discounted share of its count plus
-    the discounted mass times the backoff. The backoff is shared: it counts the distinct contexts
-    of a gram in both classes together, so what one class lacks or has rarely backs off to the
-    same value in both, and only evidence beyond it makes a ratio. A history's sums are a window
-    over the grams that follow it, at most one per character. The tables have ``slots`` entries:
-    grams that share a slot share their mean by frequency. All models come from one pass, and at
-    most two rows per slot reach the driver. An empty slot is NaN.
+) -> DataFrame:
+    """(slot, gram, ratio, unseen, best, alone): interpolated Kneser-Ney of both classes, for each list of folds.
+
+    ``ratio`` has the log-likelihood ratio toxic to ordinary of the gram in each model, ``unseen``
+    that of any gram a model has not seen after it; null where the model lacks the gram or what
+    follows it. A class's probability of a gram given its history is the discounted share of its
+    count plus the discounted mass times the backoff. The backoff is shared: it counts the
+    distinct contexts of a gram in both classes together, so what one class lacks or has rarely
+    backs off to the same value in both, and only evidence beyond it makes a ratio. A history's
+    sums are a window over the grams that follow it, at most one per character. Gram 0 is the
+    beginning of every word. All models come from one pass; the table stays distributed. ``best``
+    is the gram of highest count of its slot, ``alone`` if no other has it.
     """
     site = Window.partitionBy("history")
     rows = counts.withColumn("contexts", F.bit_count("contexts").cast("double"))
-    entries = [[_slot("gram", slots).alias("slot"), F.lit(False).alias("unseen")]]
-    entries.append([_slot("history", slots).alias("slot"), F.lit(True).alias("unseen")])
     for i, folds in enumerate(models):
         for name, kind in (("t", "toxic"), ("o", "ordinary")):
             rows = rows.withColumn(f"{name}{i}", sum((F.col(f"{kind}_{f}") for f in folds), F.lit(0)).cast("double"))
         rows = rows.withColumn(f"n{i}", F.col(f"t{i}") + F.col(f"o{i}"))
-    rows = rows.select("*", *[c for i in range(len(models)) for c in _history_sums(i, site, discount)])
-    for i in range(len(models)):
-        gram = F.log(_chance("t", i, discount)) - F.log(_chance("o", i, discount))
-        unseen = F.log(_weight("t", i)) - F.log(_weight("o", i))
-        for entry, ratio in zip(entries, (gram, unseen)):
-            total = F.when(F.col(f"n{i}") > 0, F.col(f"n{i}") * ratio).otherwise(F.lit(0.0))
-            entry.extend([total.alias(f"total{i}"), F.col(f"n{i}").alias(f"n{i}")])
-    sums = [F.sum(f"{c}{i}").alias(f"{c}{i}") for i in range(len(models)) for c in ("total", "n")]
-    means = [F.expr(f"cast(try_divide(total{i}, n{i}) AS float)").alias(f"ratio{i}") for i in range(len(models))]
-    found = (
-        rows.select(F.inline(F.array(*[F.struct(*e) for e in entries])))
-        .groupBy("unseen", "slot")
-        .agg(*sums)
-        .select("unseen", "slot", *means)
-        .toArrow()
-    )
-    unseen, slot = found["unseen"].to_numpy(), found["slot"].to_numpy()
-    out = []
+    sums = [c for i in range(len(models)) for c in _history_sums(i, site, discount)]
+    rows = rows.select("*", F.min("gram").over(site).alias("least"), *sums)
+    every = sum((F.col(k) for k in _KINDS), F.lit(0)).cast("long")
+    entries = [[F.col("gram").alias("gram"), every.alias("n")], [F.col("history").alias("gram"), F.lit(0).cast("long").alias("n")]]
+    none = F.lit(None).cast("float")
     for i in range(len(models)):
-        ratio = found[f"ratio{i}"].to_numpy()
-        tables = np.full((2, slots), np.nan, dtype=np.float32)
-        tables[unseen.astype(np.int8), slot] = ratio
-        out.append(Ratios(*tables))
-    return out
+        ratio = F.when(F.col(f"n{i}") > 0, F.log(_chance("t", i, discount)) - F.log(_chance("o", i, discount)))
+        after = F.when(F.col(f"ht{i}") + F.col(f"ho{i}") > 0, F.log(_weight("t", i)) - F.log(_weight("o", i)))
+        entries[0] += [ratio.cast("float").alias(f"ratio{i}"), none.alias(f"unseen{i}")]
+        entries[1] += [none.alias(f"ratio{i}"), after.cast("float").alias(f"unseen{i}")]
+    # What is unseen after a history is told once, by the least gram that follows it.
+    both = F.array(*[F.struct(*e) for e in entries])
+    told = rows.select(F.inline(F.when(F.col("gram") == F.col("least"), both).otherwise(F.slice(both, 1, 1))))
+    slot = F.shiftrightunsigned("gram", 64 - (slots.bit_length() - 1)).cast("int")
+    names = [f"{c}{i}" for c in ("ratio", "unseen") for i in range(len(models))]
+    grams = told.withColumn("slot", slot).repartition("slot").groupBy("slot", "gram")
+    grams = grams.agg(F.sum("n").alias("n"), *[F.max(c).alias(c) for c in names])
+    rank = Window.partitionBy("slot").orderBy(F.col("gram") != 0, F.desc("n"), "gram")
+    lists = [F.array(*[F.col(f"{c}{i}") for i in range(len(models))]).alias(c) for c in ("ratio", "unseen")]
+    best = (F.row_number().over(rank) == 1).alias("best")
+    return grams.select("slot", "gram", *lists, best, (F.count("*").over(Window.partitionBy("slot")) == 1).alias("alone"))
+
+
+@dataclass(frozen=True)
+class Frequent:
+    """The grams of highest count of each slot, with their ratios by model (NaN: none)."""
+
+    gram: np.ndarray
+    ratio: np.ndarray
+    unseen: np.ndarray
+    #: Whether another gram than the one there has the slot.
+    shared: np.ndarray
+
+    def __getstate__(self) -> dict[str, tuple]:
+        """Deflated: every executor keeps what is broadcast on its disk."""
+        return {k: (v.dtype, v.shape, zlib.compress(v.tobytes(), 1)) for k, v in vars(self).items()}
+
+    def __setstate__(self, state: dict[str, tuple]) -> None:
+        for k, (kind, shape, data) in state.items():
+            object.__setattr__(self, k, np.frombuffer(zlib.decompress(data), dtype=kind).reshape(shape))
+
+    def find(self, grams: np.ndarray, each: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Each gram's slot, whether it is the one there, and whether it has to be looked up.
+
+        A gram that is not in a slot of one is unseen, and so is all of its word that follows.
+        """
+        slot = (grams >> np.uint64(64 - (len(self.gram).bit_length() - 1))).astype(np.int64)
+        hit = self.gram[slot] == grams
+        unsure = ~hit & self.shared[slot]
+        unseen = np.cumsum(~hit & ~unsure)
+        return slot, hit, unsure & (unseen == np.repeat(np.append(0, unseen)[_heads(each)], each))
+
+    def words(self, grams: np.ndarray, each: np.ndarray, model: int) -> tuple[np.ndarray, np.ndarray]:
+        """The ratio of each word, and for which words all grams were at hand."""
+        slot, hit, lacks = self.find(grams, each)
+        ratio = np.where(hit, self.ratio[model][slot], np.nan)
+        unseen = np.where(hit, self.unseen[model][slot], np.nan)
+        known = ~np.logical_or.reduceat(lacks, _heads(each))
+        return word_ratios(ratio, unseen, each, float(self.unseen[model][0])), known
+
+
+def word_ratios(ratio: np.ndarray, unseen: np.ndarray, each: np.ndarray, first: float) -> np.ndarray:
+    """The sum over each word of its grams' ratios; a gram without one has that of the unseen after
+    its history (``first`` at the beginning of a word), or none if that is unseen as well."""
+    after = np.roll(unseen, 1)
+    after[_heads(each)] = first
+    value = np.where(np.isnan(ratio), np.nan_to_num(after), ratio)
+    return np.add.reduceat(value, _heads(each), dtype=np.float64)
+
+
+def frequent(ratios: DataFrame, models: int, slots: int = SLOTS) -> Frequent:
+    """The gram of highest count of each slot; at most one row per slot reaches the driver."""
+    lists = [F.col(c)[i].alias(f"{c}{i}") for c in ("ratio", "unseen") for i in range(models)]
+    found = ratios.filter("best").select("slot", "gram", "alone", *lists).toArrow()
+    slot = found["slot"].to_numpy()
+    gram, shared = np.zeros(slots, dtype=np.uint64), np.zeros(slots, dtype=bool)
+    gram[slot] = found["gram"].to_numpy().view(np.uint64)
+    shared[slot] = ~found["alone"].to_numpy()
+    tables = {c: np.full((models, slots), np.nan, dtype=np.float32) for c in ("ratio", "unseen")}
+    for c, table in tables.items():
+        for i in range(models):
+            table[i, slot] = found[f"{c}{i}"].to_numpy()
+    return Frequent(gram, tables["ratio"], tables["unseen"], shared)
 
 
 def _history_sums(i: int, site: WindowSpec, discount: float) -> list[F.Column]:
@@ -242,40 +295,151 @@ def _chance(count: str, i: int, discount: float) -> F.Column:
     return top + _weight(count, i) * F.col("contexts") / F.col(f"all_contexts{i}")
 
 
-def measures(text: str | None, ratios: Ratios, order: int = ORDER, passage: int = PASSAGE) -> tuple[float, ...]:
-    """Mean ratio per word of the whole text, the two highest of separate passages, log of words."""
-    grams, there, _ = _spelled(text, order)
-    if not len(grams):
+def _passages(values: np.ndarray, size: int) -> np.ndarray:
+    """Sums of ``size`` consecutive values."""
+    return np.sum([values[k : len(values) - size + 1 + k] for k in range(size)], axis=0)
+
+
+def partial(text: str | None, table: Frequent, model: int, order: int = ORDER, passage: int = PASSAGE) -> dict:
+    """What the measures of a text need, without the ratios of words that are not all at hand.
+
+    ``words`` are those, in order, ``near`` the places of the words in passages with one, with
+    their ``values`` (NaN: not at hand). Of the other passages the highest are enough, as many as
+    can overlap one passage and one more.
+    """
+    grams, each = _spelled(text, order)
+    if not len(each):
+        return {"n": 0, "total": 0.0, "tops": [], "sums": [], "near": [], "values": [], "words": []}
+    values, known = table.words(grams, each, model)
+    size = min(passage, len(each))
+    sums = _passages(values, size)
+    missing = np.flatnonzero(~known)
+    if not len(missing):
+        tops = np.argsort(-sums, kind="stable")[: 2 * size]
+        return {"n": len(each), "total": values.sum(), "tops": tops, "sums": sums[tops], "near": [], "values": [], "words": []}
+    near = np.unique((missing[:, None] + np.arange(1 - size, size)).clip(0, len(each) - 1))
+    whole = np.flatnonzero(_passages((~known).astype(np.int64), size) == 0)
+    tops = whole[np.argsort(-sums[whole], kind="stable")[: 2 * size]]
+    split = (text or "").lower().split()
+    return {
+        "n": len(each),
+        "total": values[known].sum(),
+        "tops": tops,
+        "sums": sums[tops],
+        "near": near,
+        "values": np.where(known, values, np.nan)[near],
+        "words": [split[i] for i in missing.tolist()],
+    }
+
+
+def finished(row: dict, ratios: dict[str, float], passage: int = PASSAGE) -> tuple[float, ...]:
+    """Mean ratio per word of the whole text, the two highest of separate passages, log of words.
+
+    ``row`` is a ``partial`` one, ``ratios`` has the words it lacks.
+    """
+    n = row["n"]
+    if not n:
         return 0.0, 0.0, 0.0, 0.0
-    shift = np.uint64(64 - (len(ratios.gram).bit_length() - 1))
-    slot = (grams >> shift).astype(np.int64)
-    value = ratios.gram[slot]
-    after = ratios.history[np.concatenate([np.zeros((len(slot), 1), np.int64), slot[:, :-1]], axis=1)]
-    value = np.where(np.isnan(value), np.nan_to_num(after), value)
-    words = np.where(there, value, 0).sum(axis=1, dtype=np.float64)
-    sums = np.concatenate([[0.0], np.cumsum(words)])
-    size = min(passage, len(words))
-    means = (sums[size:] - sums[:-size]) / passage
-    best = int(means.argmax())
-    apart = np.concatenate([means[: max(0, best - size + 1)], means[best + size :]])
-    return float(sums[-1] / len(words)), float(means[best]), float(apart.max()) if len(apart) else 0.0, float(np.log1p(len(words)))
-
-
-def _measured(docs: DataFrame, keep: list[str], shared) -> DataFrame:
-    """``keep`` and the measures of every text; ``shared`` is a broadcast list of ratios by fold."""
+    size = min(passage, n)
+    at, sums, total = np.array(row["tops"], dtype=np.int64), np.array(row["sums"], dtype=np.float64), row["total"]
+    if row["words"]:
+        near, values = np.array(row["near"], dtype=np.int64), np.array(row["values"], dtype=np.float64)
+        found = np.array([ratios[w] for w in row["words"]])
+        values[np.isnan(values)] = found
+        total += found.sum()
+        joined = np.flatnonzero(near[size - 1 :] - near[: len(near) - size + 1] == size - 1)
+        at, sums = np.concatenate([at, near[joined]]), np.concatenate([sums, _passages(values, size)[joined]])
+    best = np.lexsort((at, -sums))[0]
+    apart = sums[np.abs(at - at[best]) >= size]
+    return total / n, sums[best] / passage, float(apart.max()) / passage if len(apart) else 0.0, float(np.log1p(n))
+
+
+_PARTIAL = {
+    "n": "int",
+    "total": "double",
+    "tops": "array<int>",
+    "sums": "array<double>",
+    "near": "array<int>",
+    "values": "array<double>",
+    "words": "array<string>",
+}
+
+
+def _rare_words(words: DataFrame, ratios: DataFrame, shared, order: int = ORDER) -> DataFrame:
+    """(word, ratios by model) of each of the distinct ``words``: grams without a slot are joined."""
+
+    def missing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            grams, each = _spelled(" ".join(batch["word"].to_pylist()), order)
+            lacks = shared.value.find(grams, each)[2]
+            owner = np.repeat(np.arange(len(each)), each)[lacks]
+            place = (np.arange(len(grams)) - np.repeat(_heads(each), each))[lacks]
+            columns = [batch["word"].take(pa.array(owner)), pa.array(place.astype(np.int32)), pa.array(grams[lacks].view(np.int64))]
+            yield pa.RecordBatch.from_arrays(columns, ["word", "place", "gram"])
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = shared.value
+        for batch in batches:
+            words, found = batch["word"].to_pylist(), batch["found"].to_pylist()
+            grams, each = _spelled(" ".join(words), order)
+            slot, hit, _ = table.find(grams, each)
+            heads = _heads(each).tolist()
+            at = [heads[i] + f["place"] for i, some in enumerate(found) for f in some]
+            out = []
+            for m in range(len(table.ratio)):
+                parts = []
+                for c in ("ratio", "unseen"):
+                    part = np.where(hit, getattr(table, c)[m][slot], np.nan).astype(np.float32)
+                    part[at] = [np.nan if f[c][m] is None else f[c][m] for some in found for f in some]
+                    parts.append(part)
+                out.append(word_ratios(*parts, each, float(table.unseen[m][0])))
+            yield pa.RecordBatch.from_arrays([batch["word"], pa.array(np.stack(out, axis=1).tolist(), pa.list_(pa.float64()))], ["word", "ratios"])
+
+    lacking = map_arrow(words, missing, "word string, place int, gram long")
+    found = lacking.join(ratios.filter("NOT best").select("gram", "ratio", "unseen", F.lit(True).alias("there")), "gram", "left")
+    entry = F.when(F.col("there"), F.struct("place", "ratio", "unseen"))
+    return map_arrow(
+        found.groupBy("word").agg(F.collect_list(entry).alias("found")), summed, "word string, ratios array<double>"
+    )
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = shared.value
+
+def _measured(docs: DataFrame, keep: list[str], ratios: DataFrame, shared) -> DataFrame:
+    """``keep``, ``model`` and the measures of every text by its model; ``shared`` broadcasts the frequent grams.
+
+    Texts are read once, for their partial measures. Words with grams that have no slot are looked
+    up once each, whatever the number of texts that hold them, and brought back to their texts.
+    """
+
+    def begin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        types = {"int": pa.int32(), "double": pa.float64(), "string": pa.string()}
+        types.update({f"array<{k}>": pa.list_(t) for k, t in types.items()})
+        for batch in batches:
+            rows = [partial(t, shared.value, m) for t, m in zip(batch["text"].to_pylist(), batch["model"].to_pylist())]
+            columns = [pa.array([r[c] for r in rows], types[k]) for c, k in _PARTIAL.items()]
+            yield pa.RecordBatch.from_arrays([*[batch[c] for c in [*keep, "model"]], *columns], [*keep, "model", *_PARTIAL])
+
+    def end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            folds = batch["model"].to_pylist()
-            rows = [measures(t, tables[f]) for t, f in zip(batch["text"].to_pylist(), folds)]
+            parts = zip(*[batch[c].to_pylist() for c in _PARTIAL])
+            found = [{f["word"]: f["ratio"] for f in some or []} for some in batch["found"].to_pylist()]
+            rows = [finished(dict(zip(_PARTIAL, part)), some) for part, some in zip(parts, found)]
             columns = [pa.array([r[i] for r in rows], pa.float64()) for i in range(len(MEASURES))]
-            yield pa.RecordBatch.from_arrays([*[batch[c] for c in keep], *columns], [*keep, *MEASURES])
+            yield pa.RecordBatch.from_arrays([*[batch[c] for c in [*keep, "model"]], *columns], [*keep, "model", *MEASURES])
 
     kinds = dict(docs.dtypes)
     schema = ", ".join(f"{c} {kinds[c]}" for c in keep)
-    added = ", ".join(f"{m} double" for m in MEASURES)
-    return map_arrow(docs.select(*keep, "text", "model"), run, f"{schema}, {added}")
+    added = ", ".join(f"{c} {k}" for c, k in _PARTIAL.items())
+    begun = map_arrow(docs.select(*keep, "model", "text"), begin, f"{schema}, model {kinds['model']}, {added}")
+    begun = stored(begun.withColumn("row", F.monotonically_increasing_id()))
+    lacking = begun.select("row", "model", F.explode(F.array_distinct("words")).alias("word"))
+    rare = _rare_words(lacking.select("word").distinct(), ratios, shared)
+    found = lacking.join(rare, "word").select("row", F.struct("word", F.expr("ratios[model]").alias("ratio")).alias("found"))
+    found = stored(found.groupBy("row").agg(F.collect_list("found").alias("found")))
+    # Texts that lack nothing do not go through the join.
+    whole = begun.filter("size(words) = 0").withColumn("found", F.lit(None).cast(dict(found.dtypes)["found"]))
+    parts = begun.filter("size(words) > 0").join(found, "row").select(*whole.columns).unionByName(whole)
+    measures = ", ".join(f"{m} double" for m in MEASURES)
+    return map_arrow(parts.select(*keep, "model", *_PARTIAL, "found"), end, f"{schema}, model {kinds['model']}, {measures}")
 
 
 @dataclass(frozen=True)
@@ -330,7 +494,8 @@ def score(docs: DataFrame, labels: DataFrame, slots: int = SLOTS, sample: int =
     never read. The others' grams are all counted. A text's measures are its mean ratio and those
     of its two most toxic passages, so that a long text does not dilute a few words. The decision
     on them is fitted on at most ``sample`` labelled rows, each measured with the counts of the
-    other fold; the final models have all counts. Only the text enters a score.
+    other fold; the final models have all counts. Only the text enters a score. ``slots`` bounds
+    what is broadcast and changes no score.
 
     A null doc_id is not held out and has no label; labels that disagree count as toxic; null and
     empty texts get the score of no evidence; rows that repeat are scored alike; an empty table
@@ -347,13 +512,17 @@ def score(docs: DataFrame, labels: DataFrame, slots: int = SLOTS, sample: int =
     learnt = _marked(docs.select("doc_id", "text"), known).join(known, "doc_id").select("text", "label", "fold")
     sc = docs.sparkSession.sparkContext
     folds = list(range(FOLDS))
-    *others, whole = fit_ratios(gram_counts(learnt), [*[[f for f in folds if f != fold] for fold in folds], folds], slots)
+    models = [*[[f for f in folds if f != fold] for fold in folds], folds]
+    ratios = stored(fit_ratios(gram_counts(learnt), models, slots))
+    shared = sc.broadcast(frequent(ratios, len(models), slots))
     chosen = known.orderBy(F.xxhash64(F.lit(1), "doc_id")).limit(sample)
-    fitted = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").withColumn("model", F.col("fold"))
-    held = _measured(fitted, ["label"], sc.broadcast(others)).toPandas()
+    texts, last = docs.select("doc_id", "text"), len(models) - 1
+    fitted = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "label", F.col("fold").cast("int").alias("model"))
+    every = texts.select("*", F.lit(None).cast("long").alias("label"), F.lit(last).alias("model"))
+    measured = _measured(every.unionByName(fitted), ["doc_id", "label"], ratios, shared)
+    held = measured.filter(F.col("model") < last).toPandas()
     decision = fit_decision(held[list(MEASURES)].to_numpy(), held["label"].to_numpy() > 0)
-    final = sc.broadcast([whole])
-    scored = _measured(docs.select("doc_id", "text", F.lit(0).alias("model")), ["doc_id"], final)
+    scored = measured.filter(F.col("model") == last)
     return scored.select(
         "doc_id",
         F.coalesce(rest == 0, F.lit(False)).alias("held_out"),

@@ -62,6 +62,13 @@ _POW = _powers(_FACTOR, _BLOCK)
 _INV = _powers(_INVERSE, _BLOCK)
 
 
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``n`` powers of the hash factor and of its inverse."""
+    if n <= _BLOCK:
+        return _POW[:n], _INV[:n]
+    return _powers(_FACTOR, n), _powers(_INVERSE, n)
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """Spread the bits of 64-bit values (a bijection)."""
     h = h ^ (h >> np.uint64(32))

@@ -152,6 +152,17 @@ def test_toxicity_on_held_out_rows(spark):
     assert (toxic >= 0.5).mean() >= 0.9 and (other >= 0.5).mean() <= 0.1
 
 
+@pytest.mark.parametrize("slots", [16, 1 << 10])
+def test_slots_change_no_toxicity_score(spark, slots):
+    """Grams without a slot keep their own ratio and unseen ones their backoff."""
+    texts = [prose(i, 30 + i % 50) + (" vile scum qzx" if i % 3 == 0 else " kind sum") for i in range(150)] + [None, "", "qzy scumming", "new words"]
+    docs = documents(spark, list(enumerate(texts)))
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(120)], "doc_id long, toxic int")
+    want, got = ({r["doc_id"]: r["score"] for r in toxicity.score(docs, labels, slots=n).collect()} for n in (1 << 21, slots))
+    assert set(want) == set(got) and len(set(want.values())) > 50
+    assert all(abs(want[i] - got[i]) < 1e-9 for i in want)
+
+
 @pytest.fixture(scope="module")
 def model():
     return extract.train([])
