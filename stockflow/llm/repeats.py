@@ -18,7 +18,8 @@ from stockflow.llm.words import SPACED, byte_rows, covered, spans, window_hashes
 WINDOW = 20
 #: Words of the phrase that stands for the windows around it.
 PHRASE = 6
-#: Bytes of distinct segments that one automaton should decide on.
+#: Bytes of distinct segments that one automaton should decide on. The windows of an anchor with more
+#: are dealt by their own hash.
 SHARD_BYTES = 1 << 20
 #: What tells one text from another: 128 bits of hashes.
 _TEXT_KEY = ["key", "check"]
@@ -173,6 +174,31 @@ def _first_starts(distinct: DataFrame, shards: int, window: int) -> DataFrame:
     return map_arrow(dealt.sortWithinPartitions("shard"), run, f"anchor long, segment_hash long, firsts {_FIRSTS}")
 
 
+def _hot_anchors(distinct: DataFrame) -> DataFrame:
+    """(anchor): those whose distinct segments have over ``SHARD_BYTES``; few, as each has so many."""
+    sizes = distinct.groupBy("anchor").agg(F.sum(F.octet_length("segment")).alias("size"))
+    return sizes.filter(F.col("size") > SHARD_BYTES).select("anchor")
+
+
+def _window_firsts(distinct: DataFrame, window: int) -> DataFrame:
+    """What ``_first_starts`` gives, by aggregation of windows: no task holds an anchor's segments.
+
+    Windows of an anchor are told apart by 128 bits of hashes.
+    """
+    texts = f"transform(sequence(0, size(words) - {window}), j -> array_join(slice(words, j + 1, {window}), ' '))"
+    words = distinct.select("anchor", "segment_hash", "first", "places", F.split("segment", " ", -1).alias("words"))
+    each = words.select("anchor", "segment_hash", "first", "places", F.posexplode(F.expr(texts)).alias("at", "text"))
+    each = each.withColumn("at", F.col("at").cast("long"))
+    each = each.withColumn("hash", F.xxhash64("text")).withColumn("other", F.xxhash64(F.lit(1), "text"))
+    same = ["anchor", "hash", "other"]
+    start = (F.col("first.start") + F.col("at")).alias("start")
+    least = F.min(F.struct("first.late", "first.doc", "first.key", "first.check", start)).alias("least")
+    recurring = each.groupBy(*same).agg(least, F.sum("places").alias("all")).filter(F.col("all") > 1)
+    found = each.select("segment_hash", "at", *same).join(recurring, same)
+    entry = F.struct("at", "least.key", "least.check", "least.start")
+    return found.groupBy("anchor", "segment_hash").agg(F.collect_list(entry).alias("firsts"))
+
+
 def _keyed(docs: DataFrame, *more) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     keys = F.xxhash64(text).alias("key"), F.xxhash64(F.lit(1), text).alias("check")
@@ -188,7 +214,8 @@ def repeated_starts(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE)
     Equal texts collapse to their key first. A text's windows are represented by anchor phrases;
     only phrases that recur are candidates, so texts are cut into segments just there. Equal
     segments collapse before the shuffle, whatever the number of documents that share a passage;
-    automata then decide for each distinct segment, and a join, whose hot keys Spark splits,
+    automata then decide for each distinct segment, of anchors with many an aggregation of their
+    windows, and a join, whose hot keys Spark splits,
     brings the result to all places.
     """
     texts = _keyed(docs)
@@ -215,8 +242,11 @@ def repeated_starts(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE)
         F.count("*").alias("places"),
     )
     distinct = stored(distinct)
-    size = distinct.agg(F.sum(F.octet_length("segment"))).first()[0] or 0
-    firsts = stored(_first_starts(distinct, max(1, math.ceil(size / SHARD_BYTES)), window))
+    hot = F.broadcast(stored(_hot_anchors(distinct)))
+    cool = distinct.join(hot, "anchor", "left_anti")
+    size = cool.agg(F.sum(F.octet_length("segment"))).first()[0] or 0
+    decided = _first_starts(cool, max(1, math.ceil(size / SHARD_BYTES)), window)
+    firsts = stored(decided.unionByName(_window_firsts(distinct.join(hot, "anchor"), window)))
     elsewhere = "f -> f.key <> key OR f.check <> check OR f.start <> start + f.at"
     marks = (
         segments.join(firsts, ["anchor", "segment_hash"])

@@ -66,5 +66,23 @@ def test_many_small_shards_decide_alike(spark, monkeypatch):
     assert got == plain(rows)
 
 
+def test_no_shard_holds_the_segments_of_a_hot_anchor(spark, monkeypatch):
+    """One passage in many surroundings: each gives distinct segments under the same anchors."""
+    monkeypatch.setattr(repeats, "SHARD_BYTES", 4000)
+    passage = prose(900, 25)
+    rows = [(i, f"{prose(1000 + i, 30)} {passage} {prose(5000 + i, 30)}") for i in range(150)]
+    most, first_starts = [], repeats._first_starts
+
+    def watched(distinct, shards, window):
+        most.append(distinct.groupBy("anchor").agg({"segment": "count"}).agg({"count(segment)": "max"}).first()[0])
+        return first_starts(distinct, shards, window)
+
+    monkeypatch.setattr(repeats, "_first_starts", watched)
+    got = {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept_sha256"]) for r in repeats.removals(documents(spark, rows)).collect()}
+    assert got == plain(rows)
+    assert sum(v[1] for v in got.values()) >= 149 * 25
+    assert (most[0] or 0) < 75
+
+
 def test_locate_finds_overlapping_patterns():
     assert sorted(repeats.locate({(1, 2): "x", (2, 1): "y"}, [(1, 2, 1, 2)])[0]) == [(0, "x"), (1, "y"), (2, "x")]
