@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 from stockflow.llm.store import map_arrow, stored
 from stockflow.llm.words import mix, powers
 
-#: Characters of a word that the models spell; longer words are told apart by these.
-ORDER = 9
+#: Characters of a word that the models spell; None: all of them.
+ORDER = None
 #: Taken from every count: what a class has seen as rarely says nothing beyond the backoff.
 DISCOUNT = 4.0
 #: Slots of the table of frequent grams, a power of two: the size of what is broadcast, whatever the
@@ -44,7 +44,7 @@ _KINDS = [f"{label}_{fold}" for fold in range(FOLDS) for label in ("ordinary", "
 MEASURES = ("whole", "peak", "second", "length")
 
 
-def _spelled(text: str | None, order: int = ORDER) -> tuple[np.ndarray, np.ndarray]:
+def _spelled(text: str | None, order: int | None = ORDER) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of every word's beginnings, one word after the other, and how many each word has.
 
     The end of a word counts as a character. A beginning's hash is a difference of prefix sums.
@@ -55,7 +55,7 @@ def _spelled(text: str | None, order: int = ORDER) -> tuple[np.ndarray, np.ndarr
     codes = np.frombuffer(f"{clean} ".encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
     ends = np.flatnonzero(codes == 32) + 1
     start = np.concatenate([[0], ends[:-1]])
-    each = np.minimum(ends - start, order)
+    each = ends - start if order is None else np.minimum(ends - start, order)
     power, inverse = powers(len(codes))
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((codes + np.uint64(1)) * power, dtype=np.uint64)])
     stop = np.arange(1, each.sum() + 1) + np.repeat(start - (np.cumsum(each) - each), each)
@@ -67,8 +67,8 @@ def _heads(each: np.ndarray) -> np.ndarray:
     return np.cumsum(each) - each
 
 
-def word_counts(docs: DataFrame, order: int = ORDER) -> DataFrame:
-    """Counts of words in labelled texts, cut to ``order`` characters, by class and fold.
+def word_counts(docs: DataFrame, order: int | None = ORDER) -> DataFrame:
+    """Counts of words in labelled texts, cut to ``order`` characters if given, by class and fold.
 
     The end of a word counts as a character, a space. A text counts each word once, so that one
     which repeats itself weighs no more. A word's contexts are the last characters before it where
@@ -114,7 +114,7 @@ def _word_batches(counts: list[Counter], places: set[str]) -> Iterator[pa.Record
         yield pa.RecordBatch.from_arrays([pa.array(some, pa.string()), pa.array(marks), *sums], ["word", "contexts", *_KINDS])
 
 
-def gram_counts(docs: DataFrame, order: int = ORDER) -> DataFrame:
+def gram_counts(docs: DataFrame, order: int | None = ORDER) -> DataFrame:
     """Counts of word beginnings in labelled texts, by class and fold.
 
     A gram is a beginning of a word, its history the beginning one character shorter; its counts
@@ -300,7 +300,7 @@ def _passages(values: np.ndarray, size: int) -> np.ndarray:
     return np.sum([values[k : len(values) - size + 1 + k] for k in range(size)], axis=0)
 
 
-def partial(text: str | None, table: Frequent, model: int, order: int = ORDER, passage: int = PASSAGE) -> dict:
+def partial(text: str | None, table: Frequent, model: int, order: int | None = ORDER, passage: int = PASSAGE) -> dict:
     """What the measures of a text need, without the ratios of words that are not all at hand.
 
     ``words`` are those, in order, ``near`` the places of the words in passages with one, with
@@ -365,7 +365,7 @@ _PARTIAL = {
 }
 
 
-def _rare_words(words: DataFrame, ratios: DataFrame, shared, order: int = ORDER) -> DataFrame:
+def _rare_words(words: DataFrame, ratios: DataFrame, shared, order: int | None = ORDER) -> DataFrame:
     """(word, ratios by model) of each of the distinct ``words``: grams without a slot are joined."""
 
     def missing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

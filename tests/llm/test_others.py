@@ -163,6 +163,16 @@ def test_slots_change_no_toxicity_score(spark, slots):
     assert all(abs(want[i] - got[i]) < 1e-9 for i in want)
 
 
+def test_toxicity_reads_whole_words(spark):
+    """Words that differ after many characters have scores of their own."""
+    stem = "donaudampfschiff"
+    texts = [f"{prose(i, 20)} {stem}{'hass' if i % 2 else 'fahrt'}" for i in range(120)]
+    texts += [f"river {stem}hass", f"river {stem}fahrt"]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(120)], "doc_id long, toxic int")
+    got = {r["doc_id"]: r["score"] for r in toxicity.score(documents(spark, list(enumerate(texts))), labels).collect()}
+    assert got[120] > 0.5 > got[121]
+
+
 @pytest.fixture(scope="module")
 def model():
     return extract.train([])
