@@ -247,15 +247,19 @@ def scan(docs: DataFrame, benchmark: DataFrame, keep: list[str], window: int = W
 
     def compute(texts: pa.Array) -> dict[str, object]:
         out = {"n_words": [], "n_hit": [], "items": [], "spans": []}
-        for raw in byte_rows(texts):
-            text = lower(raw)
-            start, end = spans(text, ALNUM)
-            hashes = word_hashes(text, start, end)
-            found, items = [], set()
-            for block in shared:
-                hits, names = _block(block, window).scan(text, start, end, hashes)
-                found += hits
-                items |= names
+        hits: list[list[tuple[int, int]]] = [[] for _ in range(len(texts))]
+        names: list[set[str]] = [set() for _ in range(len(texts))]
+        # Blocks outside: a batch needs each automaton once, however many there are.
+        for block in shared:
+            automaton = _block(block, window)
+            for i, raw in enumerate(byte_rows(texts)):
+                text = lower(raw)
+                start, end = spans(text, ALNUM)
+                found, items = automaton.scan(text, start, end, word_hashes(text, start, end))
+                hits[i] += found
+                names[i] |= items
+        for raw, found, items in zip(byte_rows(texts), hits, names):
+            start, end = spans(lower(raw), ALNUM)
             hit = np.zeros(len(start), dtype=bool)
             for size in {n for _, n in found}:
                 hit |= covered(len(start), np.array([i for i, n in found if n == size]), size)

@@ -61,6 +61,24 @@ def test_against_brute_force(spark, monkeypatch, block):
     assert kept == {i for i, v in got.items() if not v[4]}
 
 
+def test_a_batch_builds_each_automaton_once(spark, monkeypatch):
+    """However many blocks there are beyond those that are kept."""
+    import pyarrow as pa
+
+    rows, items = cases()
+    table = spark.createDataFrame(items, "item_id long, text string")
+    computed, built, block = [], [], decontaminate.Block
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 300)
+    monkeypatch.setattr(decontaminate, "annotate", lambda docs, keep, fields, compute: computed.append(compute) or docs.selectExpr("1L AS n_hit", "1L AS n_words"))
+    monkeypatch.setattr(decontaminate, "Block", lambda *a: built.append(1) or block(*a))
+    decontaminate.scan(documents(spark, rows), table, ["doc_id"])
+    got = computed[0](pa.array([t for _, t in rows], pa.string()))
+    want = plain(rows, items)
+    assert got["n_hit"] == [want[i][1] for i, _ in rows]
+    size = sum(len((t or "").encode()) for _, t in items)
+    assert decontaminate.KEPT < len(built) == -(-size // 300)
+
+
 def test_without_short_items_pairs_filter(spark):
     rows, items = cases()
     items = [x for x in items if len(words(x[1])) >= 13]
