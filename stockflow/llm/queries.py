@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stockflow.llm import decontaminate, extract, packing, quality, repeats, rules, sharding, simhash, toxicity, urls
+from stockflow.llm import (
+    clusters,
+    decontaminate,
+    divergence,
+    extract,
+    packing,
+    quality,
+    repeats,
+    rules,
+    secrets,
+    sharding,
+    simhash,
+    toxicity,
+    urls,
+)
 
 #: Fixed values of the URL filter: verdict, host, path.
 URL_RULES = [
@@ -61,6 +75,18 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(_table(spark, sf_dir, "documents"))
+
+
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clusters.cluster(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digests(_table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -79,6 +105,9 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_quality_rules,
         op9_decontamination,
         op10_packing,
+        op11_source_divergence,
+        op12_centroid_clustering,
+        op13_secret_scan,
         pipeline,
     ]
     return {q.__name__: q for q in named}
