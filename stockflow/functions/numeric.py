@@ -9,6 +9,8 @@ bigint where the range is known to be small, ``decimal(38,0)`` for money totals.
 from __future__ import annotations
 
 MONEY = "decimal(18,2)"
+#: Money without a practical bound.
+WIDE_MONEY = "decimal(38,2)"
 WIDE = "decimal(38,0)"
 
 

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from stockflow.functions.numeric import money, ratio_round
+from stockflow.functions.numeric import MONEY, ratio_round
 
 # Cover limits in days.
 REORDER_COVER_DAYS = 21
@@ -16,7 +16,7 @@ CRITICAL_COVER_DAYS = 7
 WARNING_COVER_DAYS = 14
 REORDER_SUPPLY_DAYS = 30
 
-#: A line of this amount or more is set aside.
+#: What a staged money column holds; a sale of this amount or more is stored apart.
 AMOUNT_LIMIT = 10**14
 
 
@@ -73,13 +73,13 @@ def fits_money(amount: str) -> str:
 
 
 def line_amount(quantity: str, price: str) -> str:
-    """Quantity times a two-digit price."""
-    return money(exact_line(quantity, price))
+    """Quantity times a two-digit price; NULL where no money column holds it."""
+    return f"try_cast({exact_line(quantity, price)} AS {MONEY})"
 
 
 def net_revenue(quantity: str, unit_price: str, discount_pct: str) -> str:
     """Uses the discount as received: an unknown discount gives an unknown net amount."""
-    return money(exact_net(quantity, unit_price, discount_pct))
+    return f"try_cast({exact_net(quantity, unit_price, discount_pct)} AS {MONEY})"
 
 
 def direction(delta: str) -> str:

@@ -42,7 +42,10 @@ def reorder_alerts(
     ``event_id`` adds nothing to stock but is checked again (``"realert"``), or is left
     out (``"ignore"``).
     """
-    known = feed.filter("event_id IS NOT NULL")
+    ensure_checkpoint_dir(feed.sparkSession)
+    # The feed is read once: first arrivals, slices and checks all come from what is kept of it.
+    columns = dict.fromkeys(["sku", "category", "event_id", "delta", *arrival])
+    known = feed.filter("event_id IS NOT NULL").select(*columns).checkpoint()
     counted = first_wins(known, "event_id", arrival)
     checked = {"realert": known, "ignore": counted}[duplicates]
     return alert_rows(running_stock(checked, counted, arrival), now, thresholds)

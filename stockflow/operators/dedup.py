@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
+
 def first_wins(df: DataFrame, key: str, arrival: Sequence[str]) -> DataFrame:
     """Keep the earliest row of each ``key``; ``arrival`` must order rows totally.
 

@@ -20,13 +20,14 @@ _AMOUNTS_FIT = " AND ".join(
 def valid_sales(raw: DataFrame) -> DataFrame:
     """Identified rows with a positive quantity and price; NULLs fail the test.
 
-    Rows whose amounts no money column holds are left to ``oversized_sales``.
+    Rows whose amounts no money column holds go to ``oversized_sales``. The amounts are computed
+    with room for any quantity and price, so the order of the tests does not matter.
     """
     return raw.filter(f"{_SALE} AND {_AMOUNTS_FIT}")
 
 
 def oversized_sales(raw: DataFrame) -> DataFrame:
-    """Valid rows but for an amount out of range, with a reason; one such event stops nothing."""
+    """Valid rows but for an amount out of range, with a reason; the hourly run stores them."""
     return raw.filter(f"{_SALE} AND NOT ({_AMOUNTS_FIT})").selectExpr("*", "'amount out of range' AS reason")
 
 

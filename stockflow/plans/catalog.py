@@ -186,11 +186,11 @@ def _stored_raw(i: Inputs, table: str) -> DataFrame:
 
 
 def _stored_dead_letters(i: Inputs) -> DataFrame:
-    """Each rejected message once; they have no id, so a second reading stores them again."""
+    """Each rejected message once, though a lost checkpoint had all of them read again."""
     stored = tables.committed(i.spark, _stored_ingest(i), "dead_letters")
     return stored.selectExpr(
         "topic", "key", "get_json_object(value, '$.event_id') AS event_id", "reason", "raw_value = cast(value AS binary) AS same_bytes"
-    ).distinct()
+    )
 
 
 def _stored_staging(i: Inputs) -> str:

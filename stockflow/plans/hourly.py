@@ -11,6 +11,7 @@ from stockflow.operators import alerts, quality, staging
 from stockflow.plans import marts, reports, staging_tables
 from stockflow.session import pin_session
 from stockflow.sources import tables
+from stockflow.sources.schemas import DAY_OF
 
 #: Staging table -> (its raw table, how it is cleaned)
 STAGING = {
@@ -101,6 +102,21 @@ def refresh_staging(
     return {name: found.table for name, found in staged.items()}
 
 
+def refresh_rejected(
+    spark: SparkSession, root: str, last: int, after: int | None = None, full: bool = False
+) -> DataFrame:
+    """Store the sales that staging has no room for, with the reason, and return all of them.
+
+    They are filed by ingest batch, so batches that are read again replace their own rows.
+    """
+    rows = tables.read_batches(spark, root, "raw_sales", -1 if after is None or full else after, last)
+    rejected = staging.oversized_sales(rows)
+    path = f"{root}/rejected_sales"
+    how = "static" if full else "dynamic"
+    rejected.write.mode("overwrite").option("partitionOverwriteMode", how).partitionBy("batch_id").parquet(path)
+    return spark.read.schema(rejected.schema).parquet(path).select(rejected.columns)
+
+
 def run_hourly(
     spark: SparkSession,
     root: str,
@@ -113,7 +129,8 @@ def run_hourly(
 ) -> dict[str, DataFrame]:
     """Run every step in order; a failed gate or test stops the run before later steps write.
 
-    The caller chooses ``mode``: "incremental", or "full" for the nightly rebuild.
+    The caller chooses ``mode``: "incremental", or "full" for the nightly rebuild. The result has
+    every table, among them ``rejected_sales``: what staging could not hold, and why.
     """
     pin_session(spark)
     last = tables.last_committed(spark, root)
@@ -123,7 +140,9 @@ def run_hourly(
     }
     quality.assert_fresh(quality.freshness_report(raw, now))
 
+    done = tables.staged_upto(spark, root, "stg_sales")
     staged = refresh_staging(spark, root, last, mode, overlap, business_tz)
+    rejected = refresh_rejected(spark, root, last, done, full=mode == "full")
     sales, moves = (staged[name] for name in STAGING)
 
     snapshot = tables.rebuild(
@@ -141,9 +160,12 @@ def run_hourly(
         "alert_payload",
     )
     views = {name: refresh_report(spark, root, name, as_of, business_tz) for name in REPORTS}
+    for name in DAY_OF:
+        tables.compact(spark, root, name, tables.LOOSE_BATCHES)
     return {
         "stg_sales": sales,
         "stg_stock_movements": moves,
+        "rejected_sales": rejected,
         "fct_inventory_snapshot": snapshot,
         "fct_sales_velocity": velocity,
         "alert_payload": payload,

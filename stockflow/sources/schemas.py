@@ -83,10 +83,16 @@ REORDER_ALERTS = _struct(
     resolved=T.BooleanType(),
 )
 QUARANTINE = _struct(
-    topic=_TEXT, key=_TEXT, value=_TEXT, raw_value=T.BinaryType(), reason=_TEXT, ingested_at=_TIME
+    letter_id=_TEXT,
+    topic=_TEXT,
+    key=_TEXT,
+    value=_TEXT,
+    raw_value=T.BinaryType(),
+    reason=_TEXT,
+    ingested_at=_TIME,
 )
-SKU_STOCK = _struct(sku=_TEXT, stock=_LONG)
-INGEST_LOG = _struct(committed_batch=_LONG, stream=_TEXT, stream_batch=_LONG, ingested_at=_TIME)
+#: Stock of a SKU after a batch that changed it.
+SKU_STOCK = _struct(sku=_TEXT, stock=_LONG, as_of_batch=_LONG)
 
 #: topic -> (raw table name, wire schema)
 ROUTES = {
@@ -102,6 +108,14 @@ INGEST_TABLES = {
     "raw_supplier_deliveries": RAW_SUPPLIER_DELIVERIES,
     "reorder_alerts": REORDER_ALERTS,
     "dead_letters": QUARANTINE,
-    "sku_stock": SKU_STOCK,
-    "ingest_log": INGEST_LOG,
+}
+
+#: table name -> the column that no two of its rows share
+KEY_OF = {**{table: "event_id" for table, _ in ROUTES.values()}, "dead_letters": "letter_id"}
+
+#: table name -> the day that its rows are compacted by
+DAY_OF = {
+    **{table: "cast(ts AS date)" for table, _ in ROUTES.values()},
+    "reorder_alerts": "cast(alert_ts AS date)",
+    "dead_letters": "cast(ingested_at AS date)",
 }

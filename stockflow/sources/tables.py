@@ -1,32 +1,30 @@
 """Parquet tables in a shared folder.
 
-Two layouts. Append tables hold one ``batch_id=`` folder per micro-batch, rewritten whole
-when a batch is replayed. Rebuilt tables hold one ``version=`` folder per rebuild; readers
-take the newest finished one, so a rebuild never overwrites what it reads.
+Append tables hold a folder per micro-batch until ``compact`` merges them into days; the newest
+commit names the folders that count. Rebuilt tables hold one ``version=`` folder per rebuild;
+readers take the newest finished one, so a rebuild never overwrites what it reads.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stockflow.sources.schemas import INGEST_TABLES
+from stockflow.sources import commits
+from stockflow.sources.commits import Commit, Conflict, delete, exists
+from stockflow.sources.schemas import DAY_OF, INGEST_TABLES
 
-INGEST_LOG = "ingest_log"
 KEPT_VERSIONS = 2
-
-
-def _folder(spark: SparkSession, path: str):
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
-
-
-def exists(spark: SparkSession, path: str) -> bool:
-    fs, folder = _folder(spark, path)
-    return fs.exists(folder)
+#: Runs of a compacted day that stay apart before they become one.
+RUNS_OF_A_DAY = 4
+#: Batches of a table that the hourly run leaves uncompacted.
+LOOSE_BATCHES = 16
 
 
 def finished(spark: SparkSession, path: str) -> bool:
@@ -34,17 +32,9 @@ def finished(spark: SparkSession, path: str) -> bool:
     return exists(spark, f"{path}/_SUCCESS")
 
 
-def delete(spark: SparkSession, path: str) -> None:
-    fs, folder = _folder(spark, path)
-    fs.delete(folder, True)
-
-
 def _numbers(spark: SparkSession, path: str, prefix: str) -> list[int]:
-    fs, folder = _folder(spark, path)
-    if not fs.exists(folder):
-        return []
-    names = [status.getPath().getName() for status in fs.listStatus(folder)]
-    return sorted(int(name.split("=")[1]) for name in names if name.startswith(f"{prefix}="))
+    found = commits.names(spark, path)
+    return sorted(int(name.split("=")[1]) for name in found if name.startswith(f"{prefix}="))
 
 
 def numbered(spark: SparkSession, path: str, prefix: str) -> list[int]:
@@ -62,41 +52,139 @@ def newest(spark: SparkSession, path: str, prefix: str) -> int | None:
 
 
 def ensure_tables(spark: SparkSession, root: str) -> None:
-    """Create the ingest tables that are missing, empty, under batch -1."""
-    for name, schema in INGEST_TABLES.items():
-        if not exists(spark, f"{root}/{name}"):
-            write_batch(spark.createDataFrame([], schema), root, name, -1)
+    """Begin the store: a first commit without rows, and a folder for each table."""
+    for name in INGEST_TABLES:
+        fs, folder = commits._folder(spark, f"{root}/{name}")
+        fs.mkdirs(folder)
+    commits.commit(spark, root, lambda last: Commit() if last.number < 0 else None)
+
+
+def write_batch(df: DataFrame, root: str, name: str, batch_id: int) -> str:
+    """Write a batch's rows to a folder of their own; they count once a commit names it."""
+    folder = f"{name}/batch_id={batch_id}/part={uuid.uuid4().hex}"
+    df.write.parquet(f"{root}/{folder}")
+    return folder
+
+
+def _schema(name: str) -> T.StructType:
+    return T.StructType([*INGEST_TABLES[name].fields, T.StructField("batch_id", T.LongType())])
 
 
-def write_batch(df: DataFrame, root: str, name: str, batch_id: int) -> None:
-    """Write one batch; a replay of the same batch replaces it."""
-    df.write.mode("overwrite").parquet(f"{root}/{name}/batch_id={batch_id}")
+def _loose(
+    spark: SparkSession, root: str, name: str, folders: Sequence[str]
+) -> DataFrame:
+    """Rows of batch folders, with the number in their path."""
+    paths = [f"{root}/{f}" for f in folders]
+    rows = spark.read.schema(_schema(name)).option("basePath", f"{root}/{name}").parquet(*paths)
+    return rows.select(*_schema(name).names)
+
+
+def _manifest(spark: SparkSession, root: str, state: Commit, name: str) -> dict:
+    """Last compacted batch and the folders of each day."""
+    file = state.days.get(name)
+    return json.loads(commits.read_text(spark, f"{root}/{file}")) if file else {"upto": -1, "days": {}}
+
+
+def _compacted(spark: SparkSession, root: str, name: str, folders: Sequence[str]) -> DataFrame:
+    paths = [f"{root}/{f}" for f in folders]
+    return spark.read.schema(_schema(name)).parquet(*paths)
 
 
-def read_batches(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """All batches of an append table, with the ``batch_id`` partition column."""
-    stored = T.StructType([*INGEST_TABLES[name].fields, T.StructField("batch_id", T.LongType())])
-    return spark.read.schema(stored).parquet(f"{root}/{name}")
+def read_batches(
+    spark: SparkSession,
+    root: str,
+    name: str,
+    after: int = -1,
+    upto: int | None = None,
+    state: Commit | None = None,
+) -> DataFrame:
+    """Committed rows of batches past ``after`` and up to ``upto``, with ``batch_id``.
+
+    Folders of other batches are not opened, nor compacted days unless they have batches past
+    ``after``; there the number is a column that row groups are skipped by.
+    """
+    state = commits.newest(spark, root) if state is None else state
+    upto = state.batch if upto is None else upto
+    parts = []
+    loose = [folder for number, folder in state.live.get(name, []) if after < number <= upto]
+    if loose:
+        parts.append(_loose(spark, root, name, loose))
+    manifest = _manifest(spark, root, state, name)
+    if manifest["upto"] > after:
+        folders = [f for runs in manifest["days"].values() for f in runs]
+        rows = _compacted(spark, root, name, folders)
+        bounds = [F.col("batch_id") > after] if after >= 0 else []
+        bounds += [F.col("batch_id") <= upto] if manifest["upto"] > upto else []
+        for bound in bounds:
+            rows = rows.filter(bound)
+        parts.append(rows)
+    if not parts:
+        return spark.createDataFrame([], _schema(name))
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
 def last_committed(spark: SparkSession, root: str) -> int:
     """Number of the last batch whose ingest has finished in all tables, -1 without one."""
-    last = newest(spark, f"{root}/{INGEST_LOG}", "batch_id")
-    return -1 if last is None else last
+    return commits.newest(spark, root).batch
 
 
 def committed(
     spark: SparkSession, root: str, name: str, after: int | None = None, upto: int | None = None
 ) -> DataFrame:
-    """Rows of the committed batches, or of those past ``after`` and up to ``upto``.
+    """Rows of the committed batches, or of those past ``after`` and up to ``upto``."""
+    return read_batches(spark, root, name, -1 if after is None else after, upto).drop("batch_id")
+
+
+def compact(spark: SparkSession, root: str, name: str, least: int = 2) -> bool:
+    """Merge the batch folders of a table into days, if there are ``least`` or more.
 
-    The bounds are on the partition column: folders outside them are not opened.
+    Rows go to one run of files for each day they belong to; a day that has ``RUNS_OF_A_DAY`` runs
+    is merged into one with the new rows. A read then lists a few folders a day, whatever the
+    number of batches. Readers and writers go on meanwhile: the commit only takes the merged
+    folders off the list, and the files stay until the next compaction. Done again, it finds
+    nothing to merge.
     """
-    upto = last_committed(spark, root) if upto is None else upto
-    rows = read_batches(spark, root, name).filter(F.col("batch_id") <= upto)
-    if after is not None:
-        rows = rows.filter(F.col("batch_id") > after)
-    return rows.drop("batch_id")
+    state = commits.newest(spark, root)
+    merged = [(number, folder) for number, folder in state.live.get(name, [])]
+    if len(merged) < max(1, least):
+        return False
+    manifest = _manifest(spark, root, state, name)
+    day = F.expr(f"coalesce(string({DAY_OF[name]}), 'none')")
+    rows = _loose(spark, root, name, [folder for _, folder in merged]).withColumn("day", day)
+    full = {d: runs for d, runs in manifest["days"].items() if len(runs) >= RUNS_OF_A_DAY}
+    if full:
+        # Only days that get rows are merged; which they are is a list bound by the calendar.
+        full = {r["day"]: full[r["day"]] for r in rows.select("day").distinct().collect() if r["day"] in full}
+    if full:
+        folded = _compacted(spark, root, name, [f for runs in full.values() for f in runs])
+        rows = rows.unionByName(folded.withColumn("day", day))
+    run = f"{name}/runs/{uuid.uuid4().hex}"
+    rows.hint("rebalance", "day").write.partitionBy("day").parquet(f"{root}/{run}")
+    days = dict(manifest["days"])
+    for found in commits.names(spark, f"{root}/{run}"):
+        if found.startswith("day="):
+            key = found.removeprefix("day=")
+            days[key] = [*([] if key in full else days.get(key, [])), f"{run}/{found}"]
+    file = f"_manifests/{name}-{uuid.uuid4().hex}.json"
+    upto = max(number for number, _ in merged)
+    commits.write_text(spark, f"{root}/{file}", json.dumps({"upto": upto, "days": days}))
+    gone = [folder.rsplit("/", 1)[0] for _, folder in merged] + [f for runs in full.values() for f in runs]
+    before = state.days.get(name)
+
+    def change(last: Commit) -> Commit:
+        if last.days.get(name) != before:
+            raise Conflict(f"{name} was compacted meanwhile")
+        done = {folder for _, folder in merged}
+        left = [(number, folder) for number, folder in last.live.get(name, []) if folder not in done]
+        mine = [f for f in last.retired if f.startswith((f"{name}/", f"_manifests/{name}-"))]
+        retired = [f for f in last.retired if f not in mine] + gone + ([before] if before else [])
+        return replace(last, live={**last.live, name: left}, days={**last.days, name: file}, retired=retired)
+
+    after = commits.commit(spark, root, change)
+    for folder in state.retired:
+        if folder not in after.retired:
+            delete(spark, f"{root}/{folder}")
+    return True
 
 
 def staged_upto(spark: SparkSession, root: str, name: str) -> int | None:
@@ -108,7 +196,7 @@ def mark_staged(spark: SparkSession, root: str, name: str, batch_id: int) -> Non
     """Record ``staged_upto``; a lost record costs a repeated upsert and no rows."""
     folder = f"{root}/_staged/{name}"
     before = _numbers(spark, folder, "batch_id")
-    spark.range(1).write.mode("overwrite").parquet(f"{folder}/batch_id={batch_id}")
+    commits.write_text(spark, f"{folder}/batch_id={batch_id}/_SUCCESS", "")
     for old in before:
         if old != batch_id:
             delete(spark, f"{folder}/batch_id={old}")

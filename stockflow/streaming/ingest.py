@@ -1,19 +1,23 @@
 """Micro-batch ingest: route, de-duplicate, store, and raise low-stock alerts.
 
-A batch is known by its stream and its number there. Its folder is the one after the last
-committed, whatever the stream, so a new or reset checkpoint adds batches and overwrites none.
-Before it writes anything a batch claims its folder and its time; replayed after a lost driver
-it finds the claim and writes the same rows with the same time, and once it is in the log a
-replay does nothing. Delivery is at least once, and each event is stored once.
+The ids that a stream has seen are its own state, kept by key in RocksDB: a batch looks up its own
+ids, whatever the number of rows stored before. Rows that other streams stored are told to that
+state as a further source, read once when the stream starts.
+
+A batch writes folders that nobody reads and then adds one commit that names them all. A replay of a
+stored batch does nothing; one that was lost half way leaves folders without a name. Delivery is at
+least once, and each event, and each dead letter, is stored once.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
+import json
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from functools import reduce
+from dataclasses import replace
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -24,14 +28,27 @@ from stockflow.functions.scalars import exprs, instant
 from stockflow.operators import alerts
 from stockflow.operators.dedup import first_wins, unseen
 from stockflow.session import pin_session
+from stockflow.sources import commits, tables
 from stockflow.sources import messages as M
-from stockflow.sources import tables
-from stockflow.sources.schemas import INGEST_TABLES, REORDER_THRESHOLDS, ROUTES, STOCK_TOPIC
+from stockflow.sources.commits import Commit, Conflict
+from stockflow.sources.messages import DEAD_LETTERS
+from stockflow.sources.schemas import KEY_OF, REORDER_THRESHOLDS, ROUTES, SKU_STOCK, STOCK_TOPIC
 
 #: Arrival order of Kafka records, as the broker has it: records of one SKU share a partition, and
 #: a producer's time need not rise with the offset.
 KAFKA_ARRIVAL = ("partition", "offset")
-DEAD_LETTERS = "dead_letters"
+#: Folders of one level of the stock log before they become one of the next.
+STOCK_FAN = 8
+
+_ID = ["table_name", "row_id"]
+_SEEDS = "table_name string, row_id string"
+#: Stands among the seeds for "all batches up to row_id are told".
+_TOLD = "_told"
+_STATE_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state."
+    "RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 
 
 def with_table(messages: DataFrame) -> DataFrame:
@@ -44,43 +61,27 @@ def _utc(at: dt.datetime) -> dt.datetime:
     return at.replace(tzinfo=dt.timezone.utc) if at.tzinfo is None else at
 
 
-def _claimed(
-    spark: SparkSession, root: str, stream: str, number: int, now: dt.datetime
-) -> tuple[int, dt.datetime] | None:
-    """Folder and time of a stream's batch, None if it is stored.
+def _envelope(messages: DataFrame, arrival: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """The columns ingest works on; the envelope's own time must not clash with the payload's."""
+    kept = [f"arrival_{i}" for i in range(len(arrival))]
+    renamed = [f"{c} AS {k}" for c, k in zip(arrival, kept, strict=True)]
+    return M.route(messages.selectExpr("topic", "key", "value", *renamed), kept), kept
+
 
-    The newest log entry settles it unless another stream wrote last; only then the whole log is
-    read. Batch times never fall, even if the clock of a restarted driver does.
-    """
-    last = tables.newest(spark, f"{root}/{tables.INGEST_LOG}", "batch_id")
-    log = tables.read_batches(spark, root, tables.INGEST_LOG)
-    newest = log.filter(f"batch_id = {last}").select(
-        "stream", "stream_batch", F.expr("unix_micros(ingested_at)").alias("micros")
-    ).first()
-    if newest is not None:
-        if newest["stream"] != stream:
-            mine = log.filter(F.col("stream") == stream).agg(F.max("stream_batch")).first()[0]
-        else:
-            mine = newest["stream_batch"]
-        if mine is not None and mine >= number:
-            return None
-        latest = dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc) + dt.timedelta(microseconds=newest["micros"])
+def _claimed(spark: SparkSession, root: str, state: Commit, stream: str, number: int, now: dt.datetime) -> dt.datetime:
+    """The batch's time: the one it had at its first try. Times of batches never fall."""
+    claim = f"{root}/_claims/{state.batch + 1}"
+    if commits.exists(spark, claim):
+        held = json.loads(commits.read_text(spark, claim))
+        if (held["stream"], held["stream_batch"]) == (stream, number):
+            return dt.datetime.fromisoformat(held["at"])
+    if state.at is not None:
+        latest = dt.datetime.fromisoformat(state.at)
         if _utc(now) < latest:
             now = latest + dt.timedelta(microseconds=1)
-    folder = last + 1
-    claim = f"{root}/_claims/batch_id={folder}"
-    if tables.finished(spark, claim):
-        held = spark.read.schema("stream string, stream_batch bigint, at string").parquet(claim).first()
-        if (held["stream"], held["stream_batch"]) == (stream, number):
-            return folder, dt.datetime.fromisoformat(held["at"])
-        # Left by a batch of another stream that never finished.
-        for table in (*INGEST_TABLES, "_claims"):
-            tables.delete(spark, f"{root}/{table}/batch_id={folder}")
-    row = [(stream, number, now.isoformat())]
-    spark.createDataFrame(row, "stream string, stream_batch bigint, at string").write.mode(
-        "overwrite"
-    ).parquet(claim)
-    return folder, now
+    text = json.dumps({"stream": stream, "stream_batch": number, "at": now.isoformat()})
+    commits.write_text(spark, claim, text)
+    return now
 
 
 def ingest_batch(
@@ -93,101 +94,208 @@ def ingest_batch(
     thresholds: Mapping[str, int] = REORDER_THRESHOLDS,
     stream: str = "batch",
 ) -> None:
-    """Store batch ``stream_batch`` of ``stream``: (topic, key, value, arrival...) messages."""
-    spark = pin_session(messages.sparkSession)
-    claimed = _claimed(spark, root, stream, stream_batch, now)
-    if claimed is None:
-        return
-    batch_id, now = claimed
-    # The envelope's own time must not clash with the payload's.
-    kept = [f"arrival_{i}" for i in range(len(arrival))]
-    renamed = [f"{c} AS {k}" for c, k in zip(arrival, kept, strict=True)]
-    batch = with_table(messages).selectExpr("topic", "key", "value", "table_name", *renamed)
+    """Store batch ``stream_batch`` of ``stream``: (topic, key, value, arrival...) messages.
+
+    There is no state of seen ids here, so the batch meets the ids of all stored rows.
+    """
+    batch, kept = _envelope(messages, arrival)
     batch = batch.persist()
-    parsed: list[DataFrame] = []
-
-    def store(topic: str) -> DataFrame:
-        """Store one topic's events and return its rejected messages."""
-        table, wire = ROUTES[topic]
-        decoded = M.decode(batch.filter(f"table_name = '{table}'"), wire).persist()
-        parsed.append(decoded)
-        good = M.events(decoded, wire, kept)
-        earlier = tables.read_batches(spark, root, table).filter(f"batch_id < {batch_id}")
+    try:
+        _store(batch, None, root, stream_batch, now, kept, duplicates, thresholds, stream, None)
+    finally:
+        batch.unpersist()
+
+
+def _store(
+    batch: DataFrame,
+    new: DataFrame | None,
+    root: str,
+    stream_batch: int,
+    now: dt.datetime,
+    kept: Sequence[str],
+    duplicates: str,
+    thresholds: Mapping[str, int],
+    stream: str,
+    writer: str | None,
+) -> None:
+    """Store routed messages, cached. ``new`` has the ids that the stream's state had not seen before."""
+    spark = pin_session(batch.sparkSession)
+    state = commits.newest(spark, root)
+    mine = state.streams.get(stream, {"batch": -1, "here": -1, "told": -1})
+    if mine["batch"] >= stream_batch:
+        # The state must see a batch again that was stored but not reported back.
+        if new is not None:
+            new.count()
+        return
+    number = state.batch + 1
+    now = _claimed(spark, root, state, stream, stream_batch, now)
+    folders: dict[str, str] = {}
+    stock: list[tuple[int, str]] = state.stock
+    told = mine["told"]
+    present = {r["table_name"] for r in batch.select("table_name").distinct().collect()}
+    if new is not None:
+        marks = new.filter(F.col("table_name") == _TOLD).agg(F.max(F.col("row_id").cast("long"))).first()[0]
+        told = max(told, -1 if marks is None else marks)
+
+    def fresh_rows(first: DataFrame, rows: DataFrame, table: str, key: str) -> DataFrame:
+        """Rows of the batch, one per id, whose id no stored row has; ``rows`` has the ids as well."""
+        if new is not None:
+            ids = new.filter(F.col("table_name") == table).select(F.col("row_id").alias(key))
+            first = first.join(ids, key, "left_semi")
+        stored = _untold(spark, root, state, table, mine["told"], None if new is None else stream)
+        return first if stored is None else unseen(first, stored, key, rows.select(F.col("row_id").alias(key)))
+
+    def store(table: str) -> list[tuple[int, str]] | None:
+        key, rows = KEY_OF[table], batch.filter(F.col("table_name") == table)
+        if table == DEAD_LETTERS:
+            letters = M.rejected(rows, now).dropDuplicates([key])
+            folders[table] = tables.write_batch(fresh_rows(letters, rows, table, key), root, table, number)
+            return None
+        topic, wire = next((t, w) for t, (name, w) in ROUTES.items() if name == table)
+        good = M.events(rows, wire, kept, table)
         # Copies of one event are cut down before the join on its id.
-        first = first_wins(good, "event_id", kept)
-        fresh = unseen(first, earlier, "event_id", keys_of=good).persist()
+        fresh = fresh_rows(first_wins(good, key, kept), rows, table, key).persist()
         try:
             stored = fresh.drop(*kept).selectExpr("*", f"{instant(now)} AS ingested_at")
-            tables.write_batch(stored, root, table, batch_id)
-            if topic == STOCK_TOPIC:
-                checked = {"realert": good, "ignore": fresh}[duplicates]
-                _raise_alerts(checked, fresh, root, batch_id, now, kept, thresholds)
+            folders[table] = tables.write_batch(stored, root, table, number)
+            if topic != STOCK_TOPIC:
+                return None
+            checked = {"realert": good, "ignore": fresh}[duplicates]
+            folders["reorder_alerts"], log = _raise_alerts(
+                checked, fresh, root, state, number, now, kept, thresholds
+            )
+            return log
         finally:
             fresh.unpersist()
-        return M.rejected(decoded, now)
 
-    try:
-        rows = {r.table_name for r in batch.select("table_name").distinct().collect()}
-        unknown = batch.filter(f"table_name = '{DEAD_LETTERS}'").selectExpr(
-            "*", "'no handler for topic' AS reason"
-        )
-        # The topics share nothing but the cached batch, so their jobs run side by side.
-        present = [topic for topic, (table, _) in ROUTES.items() if table in rows]
-        with ThreadPoolExecutor(len(ROUTES)) as lanes:
-            bad = list(lanes.map(inheritable_thread_target(spark)(store), present))
-        rejected = reduce(DataFrame.unionByName, [M.rejected(unknown, now), *bad])
-        tables.write_batch(rejected, root, DEAD_LETTERS, batch_id)
-        log = spark.range(1).selectExpr(
-            f"{batch_id}L AS committed_batch",
-            f"'{stream}' AS stream",
-            f"{stream_batch}L AS stream_batch",
-            f"{instant(now)} AS ingested_at",
+    # The tables share nothing but the cached batch, so their jobs run side by side.
+    with ThreadPoolExecutor(len(KEY_OF)) as lanes:
+        for log in lanes.map(inheritable_thread_target(spark)(store), [t for t in KEY_OF if t in present]):
+            stock = log or stock
+
+    def change(last: Commit) -> Commit:
+        if last.batch != state.batch or (writer is not None and last.writer != writer):
+            raise Conflict(f"another stream writes to {root} now")
+        live = {**last.live}
+        for table, folder in folders.items():
+            live[table] = [*live.get(table, []), (number, folder)]
+        streams = {**last.streams, stream: {"batch": stream_batch, "here": number, "told": told}}
+        # What an earlier batch merged away no reader has listed lately.
+        retired = [f for f in last.retired if not f.startswith("sku_stock/")]
+        retired += [folder for level, folder in state.stock if (level, folder) not in stock]
+        at = _utc(now).isoformat()
+        return replace(
+            last, batch=number, at=at, streams=streams, live=live, stock=stock, retired=retired
         )
-        tables.write_batch(log, root, tables.INGEST_LOG, batch_id)
-        tables.delete(spark, f"{root}/_claims/batch_id={batch_id}")
-    finally:
-        for df in (batch, *parsed):
-            df.unpersist()
+
+    after = commits.commit(spark, root, change)
+    for folder in [f for f in state.retired if f.startswith("sku_stock/") and f not in after.retired]:
+        commits.delete(spark, f"{root}/{folder}")
+    commits.delete(spark, f"{root}/_claims/{number}")
+
+
+def _untold(
+    spark: SparkSession, root: str, state: Commit, table: str, told: int, stream: str | None
+) -> DataFrame | None:
+    """Stored rows that the state of ``stream`` may lack, None if it has all.
+
+    Its own batches are in its state, and others up to ``told``. Without a state all rows count.
+    """
+    if stream is None:
+        return tables.read_batches(spark, root, table, state=state)
+    others = [known["here"] for name, known in state.streams.items() if name != stream]
+    if max(others, default=-1) <= told:
+        return None
+    return tables.read_batches(spark, root, table, after=told, state=state)
+
+
+def sku_stock(spark: SparkSession, root: str, state: Commit | None = None) -> DataFrame:
+    """(sku, stock) after the last committed batch: of each SKU the newest entry of the log."""
+    state = commits.newest(spark, root) if state is None else state
+    return _newest_stock(_stock_log(spark, root, state.stock)).select("sku", "stock")
+
+
+def _stock_log(spark: SparkSession, root: str, log: Sequence[tuple[int, str]]) -> DataFrame:
+    if not log:
+        return spark.createDataFrame([], SKU_STOCK)
+    return spark.read.schema(SKU_STOCK).parquet(*[f"{root}/{folder}" for _, folder in log])
+
+
+def _newest_stock(log: DataFrame) -> DataFrame:
+    return log.groupBy("sku").agg(
+        *exprs("max_by(stock, as_of_batch) AS stock", "max(as_of_batch) AS as_of_batch")
+    )
 
 
 def _raise_alerts(
     checked: DataFrame,
     fresh: DataFrame,
     root: str,
-    batch_id: int,
+    state: Commit,
+    number: int,
     now: dt.datetime,
     arrival: Sequence[str],
     thresholds: Mapping[str, int],
-) -> None:
-    """Alerts of the batch, and the stock per SKU that the next batch starts from."""
+) -> tuple[str, list[tuple[int, str]]]:
+    """Alerts of the batch, and the stock log with the SKUs that it changed."""
     spark = checked.sparkSession
-    versions = tables.numbered(spark, f"{root}/sku_stock", "batch_id")
-    before = [n for n in versions if n < batch_id]
-    opening = (
-        tables.read_batches(spark, root, "sku_stock")
-        .filter(f"batch_id = {before[-1]}")
-        .drop("batch_id")
-    )
-    running = alerts.running_stock(checked, fresh, arrival, opening)
-    tables.write_batch(
-        alerts.alert_rows(running, now, thresholds), root, "reorder_alerts", batch_id
-    )
-    change = fresh.filter("sku IS NOT NULL").selectExpr("sku", "cast(delta AS bigint) AS stock")
-    closing = (
-        opening.unionByName(change)
-        .groupBy("sku")
-        .agg(*exprs("coalesce(sum(stock), 0L) AS stock"))
-    )
-    tables.write_batch(closing, root, "sku_stock", batch_id)
-    # A replay of this batch reads the version before it; older ones are done with.
-    for old in before[:-1]:
-        tables.delete(spark, f"{root}/sku_stock/batch_id={old}")
+    skus = checked.filter("sku IS NOT NULL").select("sku").distinct()
+    known = _stock_log(spark, root, state.stock).join(skus, "sku", "left_semi")
+    opening = _newest_stock(known).select("sku", "stock").persist()
+    try:
+        running = alerts.running_stock(checked, fresh, arrival, opening)
+        raised = tables.write_batch(alerts.alert_rows(running, now, thresholds), root, "reorder_alerts", number)
+        change = fresh.filter("sku IS NOT NULL").groupBy("sku").agg(
+            *exprs("coalesce(sum(cast(delta AS bigint)), 0L) AS change")
+        )
+        closing = change.join(opening, "sku", "left").selectExpr(
+            "sku", "change + coalesce(stock, 0L) AS stock", f"{number}L AS as_of_batch"
+        )
+        folder = f"sku_stock/{uuid.uuid4().hex}"
+        closing.write.parquet(f"{root}/{folder}")
+    finally:
+        opening.unpersist()
+    return raised, _folded(spark, root, [*state.stock, (0, folder)])
+
+
+def _folded(spark: SparkSession, root: str, log: list[tuple[int, str]]) -> list[tuple[int, str]]:
+    """The log with ``STOCK_FAN`` folders of a level merged into one of the next, newest entry first.
+
+    A row is written again once a level, so batches cost what they change and a reader opens few
+    folders, in the logarithm of the number of batches.
+    """
+    log = [tuple(entry) for entry in log]
+    level = 0
+    while len(same := [entry for entry in log if entry[0] == level]) >= STOCK_FAN:
+        folder = f"sku_stock/{uuid.uuid4().hex}"
+        _newest_stock(_stock_log(spark, root, same)).write.parquet(f"{root}/{folder}")
+        log = [entry for entry in log if entry[0] != level] + [(level + 1, folder)]
+        level += 1
+    return log
 
 
 def utc_now() -> dt.datetime:
     return dt.datetime.now(dt.timezone.utc)
 
 
+def _tell(spark: SparkSession, root: str, checkpoint: str, folder: str) -> None:
+    """Write the ids of rows that the stream of ``checkpoint`` has not been told of to ``folder``."""
+    state = commits.newest(spark, root)
+    metadata = f"{checkpoint}/metadata"
+    name = json.loads(commits.read_text(spark, metadata))["id"] if commits.exists(spark, metadata) else None
+    told = state.streams.get(name, {"told": -1})["told"]
+    fs, path = commits._folder(spark, folder)
+    fs.mkdirs(path)
+    others = [known["here"] for stream, known in state.streams.items() if stream != name]
+    if max(others, default=-1) <= told:
+        return
+    ids = spark.createDataFrame([(_TOLD, str(state.batch))], _SEEDS)
+    for table, key in KEY_OF.items():
+        stored = tables.read_batches(spark, root, table, after=told, state=state)
+        ids = ids.unionByName(stored.selectExpr(f"'{table}' AS table_name", f"{key} AS row_id"))
+    ids.write.mode("append").parquet(folder)
+
+
 def start_ingest(
     stream: DataFrame,
     root: str,
@@ -201,22 +309,40 @@ def start_ingest(
     """Run ingest over a stream: every ``every``, or once over what is available.
 
     Source offsets are committed in ``checkpoint`` only after the batch's tables are. One stream
-    writes to a root at a time: the last one started holds it, and a batch of an earlier one fails.
+    writes to a root at a time: the last one started holds it, and a batch of an earlier one finds
+    that out when it commits, whenever it began, and fails.
     """
-    spark = stream.sparkSession
+    spark = pin_session(stream.sparkSession)
     tables.ensure_tables(spark, root)
-    token, holder = uuid.uuid4().hex, f"{root}/_writer"
-    spark.createDataFrame([(token,)], "writer string").write.mode("overwrite").parquet(holder)
+    token = uuid.uuid4().hex
+    commits.commit(spark, root, lambda last: replace(last, writer=token))
+    seeds = f"{root}/_seeds/{hashlib.sha256(checkpoint.encode()).hexdigest()[:16]}"
+    _tell(spark, root, checkpoint, seeds)
+
+    routed, kept = _envelope(stream, arrival)
+    told = spark.readStream.schema(_SEEDS).parquet(seeds)
+    # Which of the ids are new is the state's answer; the messages themselves pass by it.
+    new = routed.select(*_ID).unionByName(told).dropDuplicates(_ID).withColumn("is_new", F.lit(True))
+    both = routed.withColumn("is_new", F.lit(False)).unionByName(new, allowMissingColumns=True)
 
     def store(batch: DataFrame, number: int) -> None:
         session = batch.sparkSession
-        if session.read.schema("writer string").parquet(holder).first()["writer"] != token:
-            raise RuntimeError(f"another stream writes to {root} now")
         # The id is kept in the checkpoint and survives restarts.
         name = session.sparkContext.getLocalProperty("sql.streaming.queryId") or checkpoint
-        ingest_batch(batch, root, number, clock(), arrival, duplicates, thresholds, name)
+        batch = batch.persist()
+        try:
+            messages, ids = batch.filter("NOT is_new").drop("is_new"), batch.filter("is_new").select(*_ID)
+            _store(messages, ids, root, number, clock(), kept, duplicates, thresholds, name, token)
+        finally:
+            batch.unpersist()
 
-    writer = stream.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
-    if every is None:
-        return writer.trigger(availableNow=True).start()
-    return writer.trigger(processingTime=every).start()
+    writer = both.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
+    trigger = {"availableNow": True} if every is None else {"processingTime": every}
+    before = {key: spark.conf.get(key, None) for key in _STATE_SETTINGS}
+    try:
+        for key, value in _STATE_SETTINGS.items():
+            spark.conf.set(key, value)
+        return writer.trigger(**trigger).start()
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)

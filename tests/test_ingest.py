@@ -9,9 +9,10 @@ from pyspark.sql import types as T
 
 from stockflow.operators import alerts
 from stockflow.operators.dedup import dedup_within_delay, first_wins
-from stockflow.sources import feeds, messages, tables
+from stockflow.sources import commits, feeds, messages, tables
 from stockflow.sources.schemas import SALES_TOPIC, STOCK_TOPIC, STOCK_WIRE, SUPPLIER_TOPIC
-from stockflow.streaming.ingest import ingest_batch, start_ingest
+from stockflow.streaming import ingest
+from stockflow.streaming.ingest import ingest_batch, sku_stock, start_ingest
 from tests.rows import listed
 
 NOW = dt.datetime(2024, 3, 9, 10, 0, 0)
@@ -100,8 +101,8 @@ def test_first_event_wins_across_batches_and_replays_change_nothing(spark, root)
     assert stored(spark, root, "raw_stock_movements", "event_id", "delta") == [("m1", 5), ("m2", 3), ("m3", -4)]
     # m1 5, repeat 5, m2 8; then repeat of m2 8, m3 4: all below 10.
     assert stored(spark, root, "reorder_alerts", "current_stock") == [(4,), (5,), (5,), (8,), (8,)]
-    assert listed(tables.read_batches(spark, root, "sku_stock").filter("batch_id = 1"), "sku", "stock") == [("A", 4)]
-    assert tables.numbered(spark, f"{root}/sku_stock", "batch_id") == [0, 1]
+    assert listed(sku_stock(spark, root), "sku", "stock") == [("A", 4)]
+    assert len(commits.newest(spark, root).stock) == 2
 
 
 def test_another_stream_adds_batches_and_overwrites_none(spark, root):
@@ -115,7 +116,7 @@ def test_another_stream_adds_batches_and_overwrites_none(spark, root):
     for name in ("one", "two"):
         ingest_batch(again, root, 0, later, ["arrival"], stream=name)
     assert tables.committed(spark, root, "reorder_alerts").collect() == before
-    assert tables.numbered(spark, f"{root}/ingest_log", "batch_id") == [-1, 0, 1]
+    assert tables.last_committed(spark, root) == 1
 
 
 def test_an_unfinished_batch_keeps_its_time_and_a_clock_never_falls(spark, root, monkeypatch):
@@ -136,15 +137,11 @@ def test_an_unfinished_batch_keeps_its_time_and_a_clock_never_falls(spark, root,
 
 
 def test_what_another_stream_left_unfinished_is_not_read(spark, root, monkeypatch):
-    write = tables.write_batch
-
-    def stops_at_the_log(df, at, name, batch_id):
-        if name == tables.INGEST_LOG:
-            raise RuntimeError("lost driver")
-        write(df, at, name, batch_id)
+    def lost(*_):
+        raise RuntimeError("lost driver")
 
     with monkeypatch.context() as m:
-        m.setattr(tables, "write_batch", stops_at_the_log)
+        m.setattr(commits, "commit", lost)
         with pytest.raises(RuntimeError):
             ingest_batch(envelope(spark, sale("s1")), root, 0, NOW, ["arrival"], stream="one")
     ingest_batch(envelope(spark, supply("d1")), root, 0, NOW, ["arrival"], stream="two")
@@ -154,7 +151,10 @@ def test_what_another_stream_left_unfinished_is_not_read(spark, root, monkeypatc
 
 @pytest.mark.parametrize(
     "text",
-    ['{0}{0}', '{0} trailing', '{0}, "x": 1', '{0}] [{0}', '[{0}]', '{0},{0}', '{0}}} {{"value": {0}'],
+    [
+        '{0}{0}', '{0} trailing', '{0}, "x": 1', '{0}] [{0}', '[{0}]', '{0},{0}', '{0}}} {{"value": {0}',
+        "{{'event_id': 'a'}}",
+    ],
 )
 def test_only_one_object_per_message(spark, root, text):
     body = json.dumps(stock("m1")[1])
@@ -199,7 +199,7 @@ def test_stream_equals_batch_with_a_restart(spark, tmp_path):
     add(1)
     add(2)
     run()
-    assert len(tables.numbered(spark, f"{root}/ingest_log", "batch_id")) >= 4
+    assert tables.last_committed(spark, root) >= 2
 
     moved = feeds.envelope_events(spark, SF).withColumnRenamed("msg_id", "event_id")
     stock_events = moved.filter(F.col("topic") == STOCK_TOPIC)
