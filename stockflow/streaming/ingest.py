@@ -18,6 +18,7 @@ import uuid
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
+from functools import partial
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -157,21 +158,27 @@ def _store(
         fresh = fresh_rows(first_wins(good, key, kept), rows, table, key).persist()
         try:
             stored = fresh.drop(*kept).selectExpr("*", f"{instant(now)} AS ingested_at")
-            folders[table] = tables.write_batch(stored, root, table, number)
             if topic != STOCK_TOPIC:
+                folders[table] = tables.write_batch(stored, root, table, number)
                 return None
             checked = {"realert": good, "ignore": fresh}[duplicates]
-            folders["reorder_alerts"], log = _raise_alerts(
-                checked, fresh, root, state, number, now, kept, thresholds
-            )
+            opening = _opening(spark, root, state, checked).persist()
+            try:
+                folders[table], folders["reorder_alerts"], log = _side_by_side(
+                    spark,
+                    lambda: tables.write_batch(stored, root, table, number),
+                    lambda: _raise_alerts(checked, fresh, opening, root, number, now, kept, thresholds),
+                    lambda: _change_stock(fresh, opening, root, state, number),
+                )
+            finally:
+                opening.unpersist()
             return log
         finally:
             fresh.unpersist()
 
-    # The tables share nothing but the cached batch, so their jobs run side by side.
-    with ThreadPoolExecutor(len(KEY_OF)) as lanes:
-        for log in lanes.map(inheritable_thread_target(spark)(store), [t for t in KEY_OF if t in present]):
-            stock = log or stock
+    # The tables share nothing but the cached batch.
+    for log in _side_by_side(spark, *[partial(store, t) for t in KEY_OF if t in present]):
+        stock = log or stock
 
     def change(last: Commit) -> Commit:
         if last.batch != state.batch or (writer is not None and last.writer != writer):
@@ -194,6 +201,14 @@ def _store(
     commits.delete(spark, f"{root}/_claims/{number}")
 
 
+def _side_by_side(spark: SparkSession, *jobs: Callable[[], object]) -> list:
+    """The results of jobs that run at the same time."""
+    if not jobs:
+        return []
+    with ThreadPoolExecutor(len(jobs)) as lanes:
+        return list(lanes.map(inheritable_thread_target(spark)(lambda job: job()), jobs))
+
+
 def _untold(
     spark: SparkSession, root: str, state: Commit, table: str, told: int, stream: str | None
 ) -> DataFrame | None:
@@ -227,35 +242,41 @@ def _newest_stock(log: DataFrame) -> DataFrame:
     )
 
 
+def _opening(spark: SparkSession, root: str, state: Commit, checked: DataFrame) -> DataFrame:
+    """(sku, stock) before the batch, of the SKUs it names."""
+    skus = checked.filter("sku IS NOT NULL").select("sku").distinct()
+    known = _stock_log(spark, root, state.stock).join(skus, "sku", "left_semi")
+    return _newest_stock(known).select("sku", "stock")
+
+
 def _raise_alerts(
     checked: DataFrame,
     fresh: DataFrame,
+    opening: DataFrame,
     root: str,
-    state: Commit,
     number: int,
     now: dt.datetime,
     arrival: Sequence[str],
     thresholds: Mapping[str, int],
-) -> tuple[str, list[tuple[int, str]]]:
-    """Alerts of the batch, and the stock log with the SKUs that it changed."""
-    spark = checked.sparkSession
-    skus = checked.filter("sku IS NOT NULL").select("sku").distinct()
-    known = _stock_log(spark, root, state.stock).join(skus, "sku", "left_semi")
-    opening = _newest_stock(known).select("sku", "stock").persist()
-    try:
-        running = alerts.running_stock(checked, fresh, arrival, opening)
-        raised = tables.write_batch(alerts.alert_rows(running, now, thresholds), root, "reorder_alerts", number)
-        change = fresh.filter("sku IS NOT NULL").groupBy("sku").agg(
-            *exprs("coalesce(sum(cast(delta AS bigint)), 0L) AS change")
-        )
-        closing = change.join(opening, "sku", "left").selectExpr(
-            "sku", "change + coalesce(stock, 0L) AS stock", f"{number}L AS as_of_batch"
-        )
-        folder = f"sku_stock/{uuid.uuid4().hex}"
-        closing.write.parquet(f"{root}/{folder}")
-    finally:
-        opening.unpersist()
-    return raised, _folded(spark, root, [*state.stock, (0, folder)])
+) -> str:
+    """Write the alerts of the batch."""
+    running = alerts.running_stock(checked, fresh, arrival, opening)
+    return tables.write_batch(alerts.alert_rows(running, now, thresholds), root, "reorder_alerts", number)
+
+
+def _change_stock(
+    fresh: DataFrame, opening: DataFrame, root: str, state: Commit, number: int
+) -> list[tuple[int, str]]:
+    """The stock log with the SKUs that the batch changed, written."""
+    change = fresh.filter("sku IS NOT NULL").groupBy("sku").agg(
+        *exprs("coalesce(sum(cast(delta AS bigint)), 0L) AS change")
+    )
+    closing = change.join(opening, "sku", "left").selectExpr(
+        "sku", "change + coalesce(stock, 0L) AS stock", f"{number}L AS as_of_batch"
+    )
+    folder = f"sku_stock/{uuid.uuid4().hex}"
+    closing.write.parquet(f"{root}/{folder}")
+    return _folded(fresh.sparkSession, root, [*state.stock, (0, folder)])
 
 
 def _folded(spark: SparkSession, root: str, log: list[tuple[int, str]]) -> list[tuple[int, str]]:
