@@ -17,8 +17,11 @@ from stockflow.llm.store import map_arrow, stored
 WINDOW = 2048
 END_ID = 1
 TOKENIZER = "byte_bpe_50k.json"
-#: Chunks a Python worker remembers with their ids.
-REMEMBERED = 1_000_000
+#: Bytes of words and their ids that a Python worker remembers, and what an entry takes besides; of
+#: longer words than ``SHORT`` characters nothing is remembered.
+REMEMBERED = 96 << 20
+ENTRY = 190
+SHORT = 64
 _SPACES = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _CHUNK = re.compile(f"[{_SPACES}]*[^{_SPACES}]+|[{_SPACES}]+")
 _TAIL = re.compile(r"(?<=[A-Za-z\xe0-\xff])[.,!?;:%#$&*|]+\Z")
@@ -29,8 +32,8 @@ class Encoder:
 
     Such a tokenizer never joins a non-space character with a space after it, nor a letter with
     the marks of ``_TAIL`` after it. So a text falls into words with a space before them that are
-    encoded on their own. Most recur, and are remembered; when the memory is full the latest,
-    which are the rarest, go. Texts are cut at each space, and by pattern where spaces follow each
+    encoded on their own. Most recur, and are remembered; when the memory is full the latest half,
+    which are the rarest, goes. Texts are cut at each space, and by pattern where spaces follow each
     other.
     """
 
@@ -42,7 +45,7 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
-        self.tails: dict[str, bytes] = {"": b""}
+        self.held = 0
         spaced = self.tokenizer.encode(" ", add_special_tokens=False).tokens[0]
         vocabulary = self.tokenizer.get_vocab()
         self.opens = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
@@ -60,22 +63,28 @@ class Encoder:
         data, at = ids.tobytes(), [*(4 * first).tolist(), 4 * len(ids)]
         return [data[a:b] for a, b in zip(at, at[1:])]
 
-    def _learn(self, words: list[str]) -> None:
-        known, tails = self.known, self.tails
-        if len(tails) > REMEMBERED:
-            tails = self.tails = {"": b""}
+    def _spell(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of words, and of what they are without the marks at their end."""
         parts = []
         for word in words:
             tail = _TAIL.search(word)
             parts.append((word[: tail.start()], tail[0]) if tail else (word, ""))
-        missing = list({stem for stem, _ in parts if stem not in known})
-        if missing:
-            known.update(zip(missing, self._encode_words(missing)))
+        stems = list({stem for stem, _ in parts if stem not in self.known})
+        new = dict(zip(stems, self._encode_words(stems))) if stems else {}
+        tails = {tail: self._encode(tail).tobytes() for tail in {tail for _, tail in parts if tail}}
         for word, (stem, tail) in zip(words, parts):
             if tail:
-                if tail not in tails:
-                    tails[tail] = self._encode(tail).tobytes()
-                known[word] = known[stem] + tails[tail]
+                new[word] = (self.known[stem] if stem in self.known else new[stem]) + tails[tail]
+        return new
+
+    def _remember(self, new: dict[str, bytes]) -> None:
+        for word, ids in new.items():
+            if len(word) <= SHORT:
+                self.known[word] = ids
+                self.held += len(word) + len(ids) + ENTRY
+        if self.held > REMEMBERED:
+            for word in list(self.known)[len(self.known) // 2 :]:
+                self.held -= len(word) + len(self.known.pop(word)) + ENTRY
 
     def ids(self, text: str) -> bytes:
         if not text:
@@ -84,14 +93,12 @@ class Encoder:
         try:
             body = b"".join(map(self.known.__getitem__, rest))
         except KeyError:
-            if len(self.known) > REMEMBERED:
-                for word in list(self.known)[REMEMBERED // 2 :]:
-                    del self.known[word]
             missing = [w for w in set(rest) if w not in self.known]
             if any(not w or w[0].isspace() for w in missing):
                 return b"".join([self._encode(c).tobytes() for c in _CHUNK.findall(text)])
-            self._learn(missing)
-            body = b"".join(map(self.known.__getitem__, rest))
+            new = self._spell(missing)
+            body = b"".join([self.known[w] if w in self.known else new[w] for w in rest])
+            self._remember(new)
         return self._encode(first).tobytes() + body
 
 

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import hashlib
 import math
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -106,40 +107,98 @@ def _segments(texts: DataFrame, window: int, phrase: int) -> DataFrame:
     return map_arrow(texts, run, "anchor long, segment string, doc long, key long, check long, start long")
 
 
-def locate(patterns: dict[tuple[int, ...], object], texts: list[tuple[int, ...]]) -> list[list[tuple[int, object]]]:
-    """For each text the (first word, value) of every pattern in it, by one automaton.
+def locate(patterns: Iterable[tuple[int, ...]], texts: list[tuple[int, ...]]) -> list[list[tuple[int, int]]]:
+    """For each text the (first word, words) of every pattern in it, by one automaton.
 
     Texts and patterns are sequences of word numbers.
     """
-    if not patterns:
+    automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
+    for words in patterns:
+        automaton.add_word(words, len(words))
+    if not len(automaton):
         return [[] for _ in texts]
-    automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
-    for words, value in patterns.items():
-        automaton.add_word(words, (len(words), value))
     automaton.make_automaton()
-    return [[(end - n + 1, value) for end, (n, value) in automaton.iter(words)] for words in texts]
+    return [[(end - n + 1, n) for end, n in automaton.iter(words)] for words in texts]
 
 
-def _decide(rows: list[tuple], window: int) -> Iterator[tuple]:
+def _same_windows(words: np.ndarray, window: int) -> np.ndarray:
+    """A number for the window that starts at each place; equal windows alone share one.
+
+    Numbers of twice as long windows come from pairs of numbers, without hashing.
+    """
+
+    def pairs(one: np.ndarray, other: np.ndarray) -> np.ndarray:
+        both = one[: len(other)] * (int(other.max(initial=0)) + 1) + other
+        return np.unique(both, return_inverse=True)[1].ravel()
+
+    power, size = words, 1
+    out, have = None, 0
+    while True:
+        if window & size:
+            out = power if out is None else pairs(out, power[have:])
+            have += size
+        if have == window or len(power) <= size:
+            return out if have == window else words[:0]
+        power, size = pairs(power, power[size:]), 2 * size
+
+
+def _passages(places: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and last place of each run of consecutive places of one owner."""
+    new = (np.diff(places, prepend=-2) != 1) | (np.diff(owner, prepend=-1) != 0)
+    first = np.flatnonzero(new)
+    last = np.append(first, len(places))[1:] - 1
+    return places[first], places[last]
+
+
+def _decide(rows: pa.Table, window: int) -> pa.RecordBatch:
     """(anchor, segment_hash, firsts) of the segments of one shard that hold recurring windows.
 
-    Confirms which windows recur and where each starts first, compiles those and streams the
-    segments through the automaton.
+    Windows that recur are confirmed by number; runs of them are passages, whose automaton then
+    reads the segments for the places of each.
     """
     numbers: dict[str, int] = {}
-    texts = [tuple(numbers.setdefault(w, len(numbers)) for w in r[2].split(" ")) for r in rows]
-    firsts: dict[tuple, tuple] = {}
-    places: dict[tuple, int] = {}
-    for (_, _, _, first, n), words in zip(rows, texts):
-        late, doc, key, check, start = first.values()
-        for j in range(len(words) - window + 1):
-            w, at = words[j : j + window], (late, doc or 0, key, check, start + j)
-            firsts[w] = min(firsts.get(w, at), at)
-            places[w] = places.get(w, 0) + n
-    recurring = {w: at for w, at in firsts.items() if places[w] > 1}
-    for r, hits in zip(rows, locate(recurring, texts)):
-        if hits:
-            yield r[0], r[1], [{"at": j, "key": at[2], "check": at[3], "start": at[4]} for j, at in hits]
+    split = [text.split(" ") for text in rows["segment"].to_pylist()]
+    coded = [tuple([numbers.setdefault(w, len(numbers)) for w in words]) for words in split]
+    size = np.array([len(words) for words in coded], dtype=np.int64)
+    begin = np.cumsum(size) - size
+    words = np.fromiter((w for text in coded for w in text), dtype=np.int64, count=int(size.sum()))
+    owner = np.repeat(np.arange(len(coded)), size)
+    at = np.arange(len(words)) - begin[owner]
+    place = np.flatnonzero(at + window <= size[owner])
+    same = _same_windows(words, window)[place] if len(place) else place
+    # In 64 bits: a shard holds its segments, which stand for few places beyond that.
+    total = np.zeros(int(same.max(initial=-1)) + 1, dtype=np.int64)
+    np.add.at(total, same, rows["places"].to_numpy()[owner[place]])
+    recurs = total[same] > 1
+    place, same = place[recurs], same[recurs]
+
+    first = rows["first"].combine_chunks()
+    late, doc, key, check, start = (
+        pc.fill_null(first.field(name).cast(pa.int64()), 0).to_numpy() for name in ("late", "doc", "key", "check", "start")
+    )
+    mine = owner[place]
+    order = np.lexsort((start[mine] + at[place], check[mine], key[mine], doc[mine], late[mine], same))
+    leads = order[np.flatnonzero(np.diff(same[order], prepend=-1))]
+    lead = np.empty(len(total), dtype=np.int64)
+    lead[same[leads]] = place[leads]
+
+    patterns = {tuple(words[a : b + window].tolist()): None for a, b in zip(*_passages(place, mine))}
+    marked = np.zeros(len(words) + 1, dtype=np.int64)
+    for n, hits in enumerate(locate(patterns, coded)):
+        for a, pattern in hits:
+            marked[begin[n] + a] += 1
+            marked[begin[n] + a + pattern - window + 1] -= 1
+    found = np.flatnonzero(np.cumsum(marked) > 0)
+    number = np.full(len(words), -1, dtype=np.int64)
+    number[place] = same
+    source = lead[number[found]]
+    there = owner[source]
+    entry = [at[found], key[there], check[there], start[there] + at[source]]
+    holders, sizes = np.unique(owner[found], return_counts=True)
+    listed = pa.StructArray.from_arrays([pa.array(c) for c in entry], ["at", "key", "check", "start"])
+    offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
+    kept = [rows[c].take(pa.array(holders)).combine_chunks() for c in ("anchor", "segment_hash")]
+    return pa.RecordBatch.from_arrays([*kept, pa.ListArray.from_arrays(offsets, listed)], ["anchor", "segment_hash", "firsts"])
 
 
 _FIRSTS = "array<struct<at: long, key: long, check: long, start: long>>"
@@ -152,23 +211,19 @@ def _first_starts(distinct: DataFrame, shards: int, window: int) -> DataFrame:
     Equal windows share their anchor, so a shard of anchors decides on its own. The shards of a
     partition come one after the other, each with an automaton of its own.
     """
-    kind = pa.list_(pa.struct([(n, pa.int64()) for n in ("at", "key", "check", "start")]))
-
-    def found(out: list[tuple]) -> pa.RecordBatch:
-        columns = [[r[k] for r in out] for k in range(3)]
-        arrays = [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), kind))]
-        return pa.RecordBatch.from_arrays(arrays, ["anchor", "segment_hash", "firsts"])
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, rows = None, []
-        names = ("shard", "anchor", "segment_hash", "segment", "first", "places")
+        shard, held = None, []
         for batch in batches:
-            for at, *row in zip(*[batch[c].to_pylist() for c in names]):
-                if at != shard:
-                    yield found(list(_decide(rows, window)))
-                    shard, rows = at, []
-                rows.append(tuple(row))
-        yield found(list(_decide(rows, window)))
+            shards = batch["shard"].to_numpy()
+            edges = np.flatnonzero(np.diff(shards)) + 1
+            for a, b in zip([0, *edges.tolist()], [*edges.tolist(), len(shards)]):
+                if b > a and shards[a] != shard:
+                    if held:
+                        yield _decide(pa.Table.from_batches(held), window)
+                    shard, held = shards[a], []
+                held.append(batch.slice(a, b - a))
+        if held:
+            yield _decide(pa.Table.from_batches(held), window)
 
     dealt = distinct.withColumn("shard", F.pmod("anchor", F.lit(shards))).repartition("shard")
     return map_arrow(dealt.sortWithinPartitions("shard"), run, f"anchor long, segment_hash long, firsts {_FIRSTS}")
@@ -242,7 +297,7 @@ def repeated_starts(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE)
         F.count("*").alias("places"),
     )
     distinct = stored(distinct)
-    hot = F.broadcast(stored(_hot_anchors(distinct)))
+    hot = stored(_hot_anchors(distinct))
     cool = distinct.join(hot, "anchor", "left_anti")
     size = cool.agg(F.sum(F.octet_length("segment"))).first()[0] or 0
     decided = _first_starts(cool, max(1, math.ceil(size / SHARD_BYTES)), window)
@@ -280,8 +335,8 @@ def removals(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE) -> Dat
     Each word goes that lies in a window of ``window`` words whose sequence also starts earlier:
     in a smaller doc_id, or earlier in the same document. Null texts have no words; a null doc_id
     comes after all others; rows that repeat an id and a text are one document, and different
-    texts under one id follow in the order of their hashes; an empty table gives no rows; other
-    columns are ignored.
+    texts under one id follow in the order of their hashes; ids are whole numbers, and others raise
+    an error; an empty table gives no rows; other columns are ignored.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

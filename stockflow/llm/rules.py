@@ -10,9 +10,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stockflow.llm import stats
-from stockflow.llm.store import annotate, map_arrow, stored
+from stockflow.llm.store import annotate, hash_share, map_arrow, stored
 
-#: Rows that the forest is fitted on, and labelled rows that the threshold is set on, at most.
+#: About as many rows, labelled or not, fit the forest.
 SAMPLE = 20_000
 TREES = 128
 TREE_ROWS = 256
@@ -91,37 +91,65 @@ class Model:
     threshold: float
 
 
-def _sample(df: DataFrame, limit: int) -> dict[str, np.ndarray]:
-    """At most ``limit`` rows, those of the least hash of their statistics and id."""
-    least = df.orderBy(F.xxhash64(*df.columns)).limit(limit).toPandas()
-    return {c: least[c].to_numpy() for c in least.columns}
+#: Parts of the range of scores whose counts reach the driver.
+BINS = 4096
+
+
+def _scored(rows: DataFrame, forest: Forest | None) -> DataFrame:
+    """``rows`` with ``anomaly``, the forest's score of their statistics."""
+
+    def run(batches):
+        for batch in batches:
+            values = stats.ratios({c: batch[c].to_numpy(zero_copy_only=False) for c in stats.FIELDS})
+            score = forest.score(values) if forest else np.zeros(len(values))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score)], [*batch.schema.names, "anomaly"])
+
+    schema = ", ".join(f"{c} {t}" for c, t in rows.dtypes)
+    return map_arrow(rows, run, f"{schema}, anomaly double")
+
+
+def threshold(scores: DataFrame, cost: float) -> float:
+    """The score from which on to reject: the best share of bad rows less ``cost`` times that of good.
+
+    ``scores`` has anomaly and good of every labelled row. They are counted per score, and summed
+    downwards within each of ``BINS`` parts on top of the parts above, so every score is tried.
+    """
+    per_score = stored(
+        scores.groupBy("anomaly").agg(
+            F.sum(F.col("good").cast("long")).alias("good"), F.sum((~F.col("good")).cast("long")).alias("bad")
+        ).withColumn("bin", F.floor(F.col("anomaly") * BINS).cast("int"))
+    )
+    bins = per_score.groupBy("bin").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad")).collect()
+    good, bad, above = 0, 0, []
+    for r in sorted(bins, key=lambda r: -r["bin"]):
+        above.append((r["bin"], good, bad))
+        good, bad = good + r["good"], bad + r["bad"]
+    if not good or not bad:
+        return 2.0
+    carried = scores.sparkSession.createDataFrame(above, "bin int, good_above long, bad_above long")
+    # At most one row a part.
+    rows = per_score.join(F.broadcast(carried), "bin")
+    down = "OVER (PARTITION BY bin ORDER BY anomaly DESC)"
+    gain = f"(bad_above + sum(bad) {down}) / {bad}D - {cost}D * (good_above + sum(good) {down}) / {good}D"
+    best = rows.selectExpr("anomaly", f"{gain} AS gain").agg(F.max(F.struct("gain", "anomaly")).alias("best")).first()[0]
+    return float(best["anomaly"]) if best["gain"] > 0 else 2.0
 
 
 def fit(counted: DataFrame, labels: DataFrame, sample: int = SAMPLE, cost: float = COST) -> Model:
-    """The forest from the documents, its threshold from labelled ones.
+    """The forest from about ``sample`` documents, its threshold from all labelled ones.
 
-    Both use a sample of at most ``sample`` rows. The threshold gives the largest share of the
-    rows labelled bad above it, less ``cost`` times the share of those labelled good; without
-    labels of both kinds nothing is rejected.
+    The threshold gives the largest share of the rows labelled bad at or above it, less ``cost``
+    times the share of those labelled good; without labels of both kinds nothing is rejected.
     """
-    names = list(stats.FIELDS)
     passed = counted.filter("NOT base_failed")
-    rows = _sample(passed.select(*names, "doc_id"), sample)
-    if len(rows["doc_id"]) < 2:
+    rows = hash_share(passed, sample, "doc_id", *stats.FIELDS).select("doc_id", *stats.FIELDS).toPandas()
+    if len(rows) < 2:
         return Model(None, 2.0)
-    forest = fit_forest(stats.ratios(rows))
+    rows = rows.sort_values([*stats.FIELDS, "doc_id"])
+    forest = fit_forest(stats.ratios({c: rows[c].to_numpy() for c in stats.FIELDS}))
     known = labels.filter("quality IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    held = _sample(passed.join(known, "doc_id").select(*names, "doc_id", "quality"), sample)
-    good = held["quality"].astype(int) > 0
-    if not good.any() or good.all():
-        return Model(forest, 2.0)
-    score = forest.score(stats.ratios(held))
-    order = np.argsort(-score)
-    bad_share = np.cumsum(~good[order]) / (~good).sum()
-    good_share = np.cumsum(good[order]) / good.sum()
-    gain = bad_share - cost * good_share
-    best = int(np.argmax(gain))
-    return Model(forest, float(score[order][best]) if gain[best] > 0 else 2.0)
+    held = passed.join(known, "doc_id").select(*stats.FIELDS, (F.col("quality") > 0).alias("good"))
+    return Model(forest, threshold(_scored(held, forest).select("anomaly", "good"), cost))
 
 
 def apply(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, cost: float = COST) -> DataFrame:
@@ -141,13 +169,6 @@ def apply(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, cost: float
     counted = stored(counted)
     model = fit(counted, labels, sample, cost)
 
-    def run(batches):
-        for batch in batches:
-            rows = stats.ratios({c: batch[c].to_numpy(zero_copy_only=False) for c in stats.FIELDS})
-            score = model.forest.score(rows) if model.forest else np.zeros(len(rows))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score)], [*batch.schema.names, "anomaly"])
-
-    schema = ", ".join(f"{c} {t}" for c, t in counted.dtypes)
-    return map_arrow(counted, run, f"{schema}, anomaly double").withColumn(
+    return _scored(counted, model.forest).withColumn(
         "kept", ~F.col("base_failed") & (F.col("anomaly") < F.lit(model.threshold))
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 import zipfile
@@ -33,10 +34,37 @@ def ship_package(spark: SparkSession) -> None:
     _SHIPPED.add(sc.applicationId)
 
 
+def _give_back() -> None:
+    """Return freed memory to the system: workers are used again and would keep the most they had."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        return
+
+
 def map_arrow(df: DataFrame, run: Callable, schema: str | T.StructType) -> DataFrame:
-    """``mapInArrow`` with this package at hand in the workers."""
+    """``mapInArrow`` with this package at hand in the workers, which keep little after a partition."""
+
+    def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        _give_back()
+
     ship_package(df.sparkSession)
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(once, schema)
+
+
+def hash_share(df: DataFrame, limit: int, *columns: str) -> DataFrame:
+    """About ``limit`` rows of ``df``, all if it has no more: those of the least hash of ``columns``.
+
+    The hash at which to cut comes from the number of rows, so no rows are sorted or gathered.
+    """
+    n = df.count()
+    if n <= limit:
+        return df
+    most = (1 << 63) - 1
+    hashed = F.xxhash64(*[F.col(c) for c in columns]).bitwiseAND(F.lit(most))
+    return df.filter(hashed < F.lit(int(most * (limit / n))))
 
 
 def scratch_folder(spark: SparkSession) -> str:
@@ -53,7 +81,8 @@ def stored(df: DataFrame) -> DataFrame:
     """
     path = f"{scratch_folder(df.sparkSession)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    # Shuffle files go when the driver's JVM collects what refers to them; it may not do so for long.
+    # The shuffle files of this job are deleted once the driver's JVM has collected the plan that
+    # refers to them; nothing refers to it now, but a collection may be long in coming.
     df.sparkSession._jvm.System.gc()
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

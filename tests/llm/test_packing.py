@@ -48,7 +48,7 @@ def test_plan_is_best_fit_decreasing(seed):
 
 
 def test_ids_are_the_tokenizers(monkeypatch):
-    monkeypatch.setattr(packing, "REMEMBERED", 50)
+    monkeypatch.setattr(packing, "REMEMBERED", 50 * packing.ENTRY)
     own = packing.Encoder(__import__("public_tokenizers").path(packing.TOKENIZER))
     texts = [
         "", " ", "a  b", "a   b", " a", "a \n b", "a\n\n b", "x\t y  ", "a. b, it's 'we'll", "tail ", "tail\n", "1,2 3.4 a.b. c!!",

@@ -4,6 +4,8 @@ import hashlib
 import random
 import re
 
+import numpy as np
+
 from stockflow.llm import repeats
 from tests.llm.rows import documents, prose
 
@@ -85,4 +87,16 @@ def test_no_shard_holds_the_segments_of_a_hot_anchor(spark, monkeypatch):
 
 
 def test_locate_finds_overlapping_patterns():
-    assert sorted(repeats.locate({(1, 2): "x", (2, 1): "y"}, [(1, 2, 1, 2)])[0]) == [(0, "x"), (1, "y"), (2, "x")]
+    assert sorted(repeats.locate([(1, 2), (2, 1), (2, 1, 2)], [(1, 2, 1, 2), (3,)])[0]) == [(0, 2), (1, 2), (1, 3), (2, 2)]
+    assert repeats.locate([], [(1,), ()]) == [[], []]
+
+
+def test_equal_windows_alone_share_a_number():
+    rng = np.random.default_rng(1)
+    for window in (1, 2, 3, 7, 20):
+        for n in (0, 5, window, 400):
+            words = rng.integers(0, 2, n)
+            got = repeats._same_windows(words, window)
+            want = [tuple(words[i : i + window].tolist()) for i in range(n - window + 1)]
+            assert len(got) == len(want)
+            assert len(set(got.tolist())) == len(set(want)) == len(set(zip(got.tolist(), want)))
