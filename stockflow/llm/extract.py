@@ -25,6 +25,9 @@ _INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s "
     "samp small span strike strong sub sup time tt u var wbr".split()
 )
+#: Characters beyond which a paragraph, or an element's own text, counts as running text.
+SENTENCE = 60
+_FRAMES = frozenset(["#root", "html", "body", "div"])
 #: Elements that an opening tag of the key ends when they are open.
 _CLOSES = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
@@ -44,28 +47,56 @@ class Node:
 
 
 class _Builder(HTMLParser):
-    """A forgiving tree: unknown ends are ignored, open elements end with their parent."""
+    """A forgiving tree: unknown ends are ignored, open elements end with their parent.
+
+    The open elements are counted by tag, and those since the last element of ``_SCOPE`` apart, so
+    a tag that ends nothing costs the same however deep it stands.
+    """
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.root = self.at = Node("#root")
+        self.open: Counter = Counter()
+        self.scopes: list[tuple[Node, Counter]] = [(self.root, Counter())]
+
+    def _push(self, node: Node) -> None:
+        self.open[node.tag] += 1
+        if node.tag in _SCOPE:
+            self.scopes.append((node, Counter()))
+        else:
+            self.scopes[-1][1][node.tag] += 1
+        self.at = node
+
+    def _pop(self) -> None:
+        self.open[self.at.tag] -= 1
+        if self.at.tag in _SCOPE:
+            self.scopes.pop()
+        else:
+            self.scopes[-1][1][self.at.tag] -= 1
+        self.at = self.at.parent
 
     def handle_starttag(self, tag, attrs):
         ends = _CLOSES.get(tag)
         if ends or tag not in _INLINE:
-            self._end_open(ends or set(), tag)
+            self._end_open(ends or frozenset())
         node = Node(tag, _names(attrs), self.at)
         self.at.children.append(node)
         if tag not in _VOID:
-            self.at = node
+            self._push(node)
 
-    def _end_open(self, ends: set[str], tag: str) -> None:
+    def _end_open(self, ends) -> None:
         """A block ends the paragraph it would stand in, and the open elements of ``ends``."""
-        node = self.at
-        while node.parent is not None and node.tag not in _SCOPE - ends:
-            if node.tag in ends or node.tag == "p":
-                self.at = node.parent
-            node = node.parent
+        while True:
+            head, inside = self.scopes[-1]
+            if inside["p"] or any(inside[t] for t in ends):
+                while self.at.tag != "p" and self.at.tag not in ends:
+                    self._pop()
+            elif head.tag in ends:
+                while self.at is not head:
+                    self._pop()
+            else:
+                return
+            self._pop()
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -73,11 +104,10 @@ class _Builder(HTMLParser):
             self.handle_endtag(tag)
 
     def handle_endtag(self, tag):
-        node = self.at
-        while node.parent is not None and node.tag != tag:
-            node = node.parent
-        if node.parent is not None:
-            self.at = node.parent
+        if self.open[tag]:
+            while self.at.tag != tag:
+                self._pop()
+            self._pop()
 
     def handle_data(self, data):
         if data:
@@ -95,6 +125,11 @@ def _names(attrs) -> tuple[str, ...]:
     return tuple(found)
 
 
+def _named(node: Node) -> bool:
+    """Whether an element has names, but for the labels of seed pages."""
+    return any(not n.startswith("data-label") for n in node.names)
+
+
 def parse(html: str | None) -> Node:
     builder = _Builder()
     builder.feed((html or "").replace("\x00", ""))
@@ -112,27 +147,33 @@ def in_order(root: Node) -> list[Node]:
     return out
 
 
-def _measure(nodes: list[Node]) -> dict[int, tuple[int, int, int]]:
-    """Characters, characters in links and paragraph-like children below each node."""
-    found: dict[int, tuple[int, int, int]] = {}
+def _measure(nodes: list[Node]) -> dict[int, tuple[int, int, int, int, int]]:
+    """Characters, characters in links, paragraph-like children below each node; of its own, the
+    characters and the paragraphs that no name tells apart."""
+    found: dict[int, tuple[int, int, int, int, int]] = {}
     for node in reversed(nodes):
-        chars = links = blocks = 0
+        chars = links = blocks = own = plain = 0
         for c in node.children:
             if isinstance(c, str):
-                chars += len(c.strip())
+                chars += (n := len(c.strip()))
+                own += n
             elif id(c) in found:
                 chars, links = chars + found[id(c)][0], links + found[id(c)][1]
                 blocks += c.tag == "p"
-        found[id(node)] = (chars, chars if node.tag == "a" else links, blocks)
+                plain += c.tag == "p" and not _named(c) and found[id(c)][0] > SENTENCE
+        found[id(node)] = (chars, chars if node.tag == "a" else links, blocks, own, plain)
     return found
 
 
-def features(node: Node, measure: tuple[int, int, int]) -> list[str]:
+def features(node: Node, measure: tuple[int, int, int, int, int]) -> list[str]:
     """Discrete statements about one element."""
-    chars, links, blocks = measure
+    chars, links, blocks, own, plain = measure
     share = links / chars if chars else 0.0
+    # What an element without a name holds itself is all that tells a main part from a frame.
+    bare = [f"holds {node.tag} {min(plain, 2)} {own > SENTENCE}"] if node.tag in _FRAMES and not _named(node) else []
     return [
-        f"tag {node.tag}",
+        *([] if node.parent is None else [f"tag {node.tag}"]),
+        *bare,
         *sorted({f"name {n}" for n in node.names}),
         f"size {min(5, len(str(chars))) if chars else 0}",
         f"links {0 if share == 0 else 1 if share < 0.3 else 2 if share < 0.7 else 3}",
@@ -149,12 +190,12 @@ class Model:
     root: float
 
 
-def _labels(nodes: list[Node], main) -> dict[int, bool]:
-    """Content or not by a page's own labels; a label holds for what is below it."""
+def _labels(nodes: list[Node], main, bare: bool) -> dict[int, bool]:
+    """Content or not by a page's own labels; a label holds for what is below it, ``bare`` for the root."""
     out: dict[int, bool] = {}
     for node in nodes:
         said = main(node)
-        out[id(node)] = said if said is not None else out.get(id(node.parent), False)
+        out[id(node)] = said if said is not None else out.get(id(node.parent), bare)
     return out
 
 
@@ -177,13 +218,15 @@ def markup_label(node: Node) -> bool | None:
     return False if node.tag in _REST else None
 
 
-def _tally(pages: list[tuple[str, float, object]]) -> tuple[dict, dict, list]:
+def _tally(pages: list[tuple[str, float, object, bool]]) -> tuple[dict, dict, np.ndarray, np.ndarray]:
+    """Counts of statements by state, of parents' and children's states, of states, and of roots' states."""
     unary: dict[str, np.ndarray] = defaultdict(lambda: np.zeros(2))
     edge: dict[str, np.ndarray] = defaultdict(lambda: np.zeros((2, 2)))
-    total = np.zeros(2)
-    for html, weight, main in pages:
+    total, roots = np.zeros(2), np.zeros(2)
+    for html, weight, main, bare in pages:
         nodes = in_order(parse(html))
-        labels, measure = _labels(nodes, main), _measure(nodes)
+        labels, measure = _labels(nodes, main, bare), _measure(nodes)
+        roots[int(bare)] += weight
         for node in nodes:
             state = int(labels[id(node)])
             total[state] += weight
@@ -192,14 +235,14 @@ def _tally(pages: list[tuple[str, float, object]]) -> tuple[dict, dict, list]:
                     unary[name][state] += weight
             if node.parent is not None:
                 edge[_edge_kind(node)][int(labels[id(node.parent)]), state] += weight
-    return unary, edge, total
+    return unary, edge, total, roots
 
 
 def _edge_kind(node: Node) -> str:
     """Edges share potentials by the child's element where that tells sections apart."""
     if node.tag in _MAIN or node.tag in _REST:
         return node.tag
-    return "named" if node.names else "inline" if node.tag in _INLINE else "plain"
+    return "named" if _named(node) else "inline" if node.tag in _INLINE else "plain"
 
 
 def train(pages: list[str]) -> Model:
@@ -208,21 +251,22 @@ def train(pages: list[str]) -> Model:
     The seed pages carry labels of every kind of section; the given pages are labelled by their
     own sectioning elements, where they have a main one.
     """
-    marked = [(h, 1.0, markup_label) for h in pages if h and ("<article" in h or "<main" in h)]
-    seeds = [(h, SEED_WEIGHT, seed_label) for h in seed_pages.PAGES]
-    unary, edge, total = _tally(marked + seeds)
+    marked = [(h, 1.0, markup_label, False) for h in pages if h and ("<article" in h or "<main" in h)]
+    seeds = [(h, SEED_WEIGHT, seed_label, False) for h in seed_pages.PAGES]
+    bare = [(h, SEED_WEIGHT, seed_label, True) for h in seed_pages.FRAGMENTS]
+    unary, edge, total, roots = _tally(marked + seeds + bare)
     share = (total + 1) / (total.sum() + 2)
     logs = {}
     for name, n in unary.items():
         chance = (n + share) / (total + 1)
         ratio = float(np.log(chance[1]) - np.log(chance[0]))
         # Sizes and link shares repeat what the tree says already: they count for less.
-        logs[name] = ratio if name.startswith(("tag", "name")) else ratio / 4
+        logs[name] = ratio if name.startswith(("tag", "name", "holds")) else ratio / 4
     edges = {}
     for kind, n in edge.items():
         smooth = n + 0.05
         edges[kind] = np.log(smooth / smooth.sum(axis=1, keepdims=True))
-    return Model(logs, edges, -3.0)
+    return Model(logs, edges, float(np.log(roots[1] + 1) - np.log(roots[0] + 1)))
 
 
 def marginals(nodes: list[Node], model: Model) -> np.ndarray:
@@ -287,9 +331,9 @@ def extract(pages: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """page_id, url, text and n_chars (code points) of every page.
 
     The model is trained on the seed pages and on at most ``sample`` pages of the table, those of
-    the least hash. A null or empty page has an empty text; text outside any markup belongs to
-    the root and is no article; null ids, null URLs and repeated rows are rows like others; an
-    empty table gives no rows; other columns are ignored.
+    the least hash. A null or empty page has an empty text; a page without a body is read as one;
+    null ids, null URLs and repeated rows are rows like others; an empty table gives no rows; other
+    columns are ignored.
     """
     mark = F.xxhash64("html")
     least = pages.select(mark.alias("mark")).distinct().orderBy("mark").limit(sample).agg(F.max("mark")).first()[0]
@@ -306,8 +350,3 @@ def extract(pages: DataFrame, sample: int = SAMPLE) -> DataFrame:
     return annotate(html, ["page_id", "url"], "text string, n_chars long", compute).select(
         "row.page_id", "row.url", "text", "n_chars"
     )
-
-
-def names_of(model: Model) -> Counter:
-    """The statements that speak most for and against main text, for a look at a trained model."""
-    return Counter({k: round(v, 2) for k, v in model.unary.items()})

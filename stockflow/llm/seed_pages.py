@@ -94,4 +94,34 @@ def _inside() -> list[str]:
     return pages
 
 
-PAGES = _outside() + _inside()
+_PLAIN_HEAD = "<!DOCTYPE html><html><head><title>River</title></head>"
+_NAV, _FOOT = _part("nav", "", "rest", _LIST), _part("footer", "", "rest", f"<p>&copy; The River Post. {_SHORT}</p>")
+_SIDE = _part("aside", "sidebar", "rest", f"<h3>Most read</h3>{_LIST}<p>{_SHORT}</p>")
+_ADVERT = _part("div", "ad", "rest", "<p>Buy two pairs of boots today.</p>")
+_QUOTE = f"<blockquote>{_TEXT}</blockquote><ul><li>{_SHORT}</li><li>The ferry runs.</li></ul>"
+#: Main texts that no section holds.
+_BARE = [
+    f"<h1>A rising river</h1>{_P}",
+    _P,
+    f"<h1>A rising river</h1><h2>The flood</h2>{_P}{_QUOTE}<h2>After</h2>{_P}",
+    f"{_P}{_QUOTE}",
+    f"{_TEXT}<br><br>{_SHORT} {_TEXT}<br><br>{_TEXT}",
+    f"<h1>A rising river</h1>{_TEXT} <b>{_SHORT}</b><br>{_TEXT}",
+]
+
+
+def _unnamed() -> list[str]:
+    """Main texts directly in the body, and in divisions without a name, alone and among rests."""
+    pages = []
+    for text in _BARE:
+        for before, after in (("", ""), (_NAV, _FOOT), (_NAV + _ADVERT, _SIDE + _FOOT)):
+            pages.append(f"{_PLAIN_HEAD}<body data-label='main'>{before}{text}{after}</body></html>")
+            inner = f"<div data-label='main'>{text}</div>"
+            for depth in (0, 1, 2):
+                pages.append(f"{_PLAIN_HEAD}<body>{before}{'<div>' * depth}{inner}{'</div>' * depth}{after}</body></html>")
+    return pages
+
+
+PAGES = _outside() + _inside() + _unnamed()
+#: Pages without a body: the root itself holds the main text.
+FRAGMENTS = [f"{before}{text}{after}" for text in _BARE for before, after in (("", ""), (_NAV, _FOOT))]

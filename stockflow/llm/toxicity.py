@@ -3,224 +3,217 @@
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from operator import add
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, WindowSpec
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stockflow.llm.store import map_arrow, stored
-from stockflow.llm.words import mix, powers
+from stockflow.llm.store import hash_share, map_arrow, stored
+from stockflow.llm.words import SPACED, spans, word_hashes
 
-#: Characters of a word that the models spell; None: all of them.
-ORDER = None
-#: Taken from every count: what a class has seen as rarely says nothing beyond the backoff.
-DISCOUNT = 4.0
-#: Slots of the table of frequent grams, a power of two: the size of what is broadcast, whatever the
-#: input. Grams that have no slot are joined.
-SLOTS = 1 << 21
+#: Slots of the table of frequent words, a power of two: the size of what is broadcast, whatever the
+#: input. Words that have no slot are joined.
+SLOTS = 1 << 20
 #: Words of the passages whose normalised ratio counts beside that of the whole text.
 PASSAGE = 3
-#: Words with their contexts that a worker counts before it hands them on.
-COUNTED = 1 << 20
-#: Grams a worker gathers before it merges them into its table, and rows of that table at which it
-#: hands the table on.
-GATHERED = 1 << 21
-KEPT = 1 << 21
+#: Words with their texts that a worker gathers before it merges them, and rows of the merged table
+#: at which it hands the table on.
+GATHERED = 1 << 20
+KEPT = 1 << 20
 #: Rows of 64 bits in the filter of labelled ids: the size of what is broadcast.
 MARKS = 1 << 19
-#: Rows of a batch that a worker hands on.
-BATCH = 1 << 17
-#: Labelled rows that the decision is fitted on, at most; their texts are scored by models that
-#: were counted without them.
+#: Labelled rows that the decision is fitted on, about; their texts are scored by models that were
+#: counted without them.
 SAMPLE = 20_000
-FOLDS = 2
+FOLDS = 4
 #: Columns of counts: class and fold.
 _KINDS = [f"{label}_{fold}" for fold in range(FOLDS) for label in ("ordinary", "toxic")]
-MEASURES = ("whole", "peak", "second", "length")
+#: Bits for each byte that a word may follow.
+_CONTEXTS = [f"context_{i}" for i in range(4)]
+#: Ratios beyond which a text's words count as evidence of their own.
+BEYOND = (2.5, 3.5, 4.5)
+MEASURES = ("whole", "peak", "second", "clear", "strong", "sure", "length")
 
 
-def _spelled(text: str | None, order: int | None = ORDER) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of every word's beginnings, one word after the other, and how many each word has.
+def words_of(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """The hash of every word of a text, in lower case, and the byte before it that ends a word.
 
-    The end of a word counts as a character. A beginning's hash is a difference of prefix sums.
-    """
-    clean = " ".join((text or "").lower().split())
-    if not clean:
-        return np.empty(0, np.uint64), np.empty(0, np.int64)
-    codes = np.frombuffer(f"{clean} ".encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
-    ends = np.flatnonzero(codes == 32) + 1
-    start = np.concatenate([[0], ends[:-1]])
-    each = ends - start if order is None else np.minimum(ends - start, order)
-    power, inverse = powers(len(codes))
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((codes + np.uint64(1)) * power, dtype=np.uint64)])
-    stop = np.arange(1, each.sum() + 1) + np.repeat(start - (np.cumsum(each) - each), each)
-    return mix((sums[stop] - np.repeat(sums[start], each)) * np.repeat(inverse[start], each)), each
-
-
-def _heads(each: np.ndarray) -> np.ndarray:
-    """Where each word's beginnings start."""
-    return np.cumsum(each) - each
-
-
-def word_counts(docs: DataFrame, order: int | None = ORDER) -> DataFrame:
-    """Counts of words in labelled texts, cut to ``order`` characters if given, by class and fold.
-
-    The end of a word counts as a character, a space. A text counts each word once, so that one
-    which repeats itself weighs no more. A word's contexts are the last characters before it where
-    it first stands in a text, kept as the bits of 64 hash values. ``docs`` has text, label and
-    fold. Workers sum what they hold, so the shuffle gets a word once per task, or per ``COUNTED``.
+    The first word follows a space. Hashes have 64 bits and take every byte of a word.
     """
+    data = np.frombuffer((text or "").lower().encode("utf-8", "surrogatepass"), dtype=np.uint8)
+    start, end = spans(data, SPACED)
+    before = np.full(len(start), 0x20, dtype=np.uint8)
+    before[1:] = data[end[:-1] - 1]
+    return word_hashes(data, start, end), before
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = [Counter() for _ in _KINDS]
-        places: set[str] = set()
-        for batch in batches:
-            rows = zip(batch["text"].to_pylist(), batch["label"].to_pylist(), batch["fold"].to_pylist())
-            for text, label, fold in rows:
-                words = (text or "").lower().split()
-                cut = [f"{w} "[:order] for w in words]
-                before = [" ", *[w[-1] for w in words[:-1]]]
-                first = dict(zip(reversed(cut), reversed(before)))
-                counts[2 * fold + (label > 0)].update(first.keys())
-                places.update(map(add, first.values(), first))
-                if len(places) >= COUNTED:
-                    yield from _word_batches(counts, places)
-                    counts, places = [Counter() for _ in _KINDS], set()
-        yield from _word_batches(counts, places)
-
-    schema = ", ".join(["word string", "contexts long", *[f"{k} int" for k in _KINDS]])
-    counts = map_arrow(docs.select("text", "label", "fold"), run, schema)
-    return counts.groupBy("word").agg(F.bit_or("contexts").alias("contexts"), *[F.sum(k).alias(k) for k in _KINDS])
-
-
-def _word_batches(counts: list[Counter], places: set[str]) -> Iterator[pa.RecordBatch]:
-    bits: dict[str, int] = {}
-    contexts: dict[str, int] = {}
-    for place in places:
-        before, word = place[0], place[1:]
-        if before not in bits:
-            bits[before] = 1 << int(mix(np.array([ord(before)], dtype=np.uint64))[0] >> np.uint64(58))
-        contexts[word] = contexts.get(word, 0) | bits[before]
-    words = sorted(contexts)
-    for at in range(0, len(words), BATCH):
-        some = words[at : at + BATCH]
-        marks = np.array([contexts[w] for w in some], dtype=np.uint64).view(np.int64)
-        sums = [pa.array([c[w] for w in some], pa.int32()) for c in counts]
-        yield pa.RecordBatch.from_arrays([pa.array(some, pa.string()), pa.array(marks), *sums], ["word", "contexts", *_KINDS])
-
-
-def gram_counts(docs: DataFrame, order: int | None = ORDER) -> DataFrame:
-    """Counts of word beginnings in labelled texts, by class and fold.
-
-    A gram is a beginning of a word, its history the beginning one character shorter; its counts
-    and contexts are those of its words, which are counted first, so that what is spelled and
-    shuffled grows with the vocabulary. Rows are dealt by history, so what follows a history is at
-    hand for its sums.
+
+def word_counts(docs: DataFrame) -> DataFrame:
+    """(word, contexts, counts by class and fold) of the labelled texts ``docs``: text, label, fold.
+
+    A text counts each of its words once, so that one which repeats itself weighs no more. The
+    contexts of a word are the bytes that end the words before it, as a set of 256 bits: exact
+    however tasks split the texts. Workers sum what they hold, so the shuffle gets a word once per
+    task, or per ``KEPT``.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[list[np.ndarray]] = []
-        size = 0
+        table: list[np.ndarray] | None = None
+        words, befores, sides, size = [], [], [], 0
+
+        def merged() -> list[np.ndarray]:
+            sizes = [len(w) for w in words]
+            word, before = np.concatenate(words), np.concatenate(befores)
+            text, side = np.repeat(np.arange(len(sizes)), sizes), np.repeat(sides, sizes)
+            order = np.lexsort((text, word))
+            word, before, text, side = word[order], before[order], text[order], side[order]
+            first = (np.diff(word, prepend=word[:1] + np.uint64(1)) != 0) | (np.diff(text, prepend=-1) != 0)
+            bits = np.uint64(1) << (before & 63).astype(np.uint64)
+            rows = [np.where(before >> 6 == i, bits, np.uint64(0)) for i in range(4)]
+            rows += [(first & (side == i)).astype(np.int64) for i in range(len(_KINDS))]
+            return _merged([[word, *rows]] + ([table] if table is not None else []))
+
         for batch in batches:
-            grams, each = _spelled(" ".join(w.rstrip(" ") for w in batch["word"].to_pylist()), order)
-            history = np.roll(grams, 1)
-            history[_heads(each)] = 0
-            contexts = batch["contexts"].to_numpy().view(np.uint64)
-            kinds = [np.repeat(batch[k].to_numpy(), each) for k in _KINDS]
-            held.append([grams, history, np.repeat(contexts, each), *kinds])
-            size += len(held[-1][0])
-            if size >= GATHERED:
-                held, size = [_merged(held)], 0
-                if len(held[0][0]) >= KEPT:
-                    yield from _batches(held.pop())
-        if held:
-            yield from _batches(_merged(held))
-
-    schema = ", ".join(["gram long", "history long", "contexts long", *[f"{k} long" for k in _KINDS]])
-    counts = map_arrow(word_counts(docs, order), run, schema)
-    sums = [F.sum(k).alias(k) for k in _KINDS]
-    return counts.repartition("history").groupBy("history", "gram").agg(F.bit_or("contexts").alias("contexts"), *sums)
+            for text, label, fold in zip(*[batch[c].to_pylist() for c in ("text", "label", "fold")]):
+                found, before = words_of(text)
+                if not len(found):
+                    continue
+                words.append(found)
+                befores.append(before)
+                sides.append(2 * fold + (label > 0))
+                size += len(found)
+                if size >= GATHERED:
+                    table = merged()
+                    words, befores, sides, size = [], [], [], 0
+                    if len(table[0]) >= KEPT:
+                        yield _row_batch(table)
+                        table = None
+        if size:
+            table = merged()
+        if table is not None:
+            yield _row_batch(table)
+
+    schema = ", ".join(["word long", *[f"{c} long" for c in _CONTEXTS], *[f"{k} long" for k in _KINDS]])
+    counts = map_arrow(docs.select("text", "label", "fold"), run, schema)
+    contexts = sum((F.bit_count(F.bit_or(c)) for c in _CONTEXTS), F.lit(0)).cast("long").alias("contexts")
+    return counts.groupBy("word").agg(contexts, *[F.sum(k).alias(k) for k in _KINDS])
 
 
 def _merged(parts: list[list[np.ndarray]]) -> list[np.ndarray]:
-    """One row per gram: its history, the union of its contexts and the sums of its counts."""
-    gram = np.concatenate([p[0] for p in parts])
-    order = np.argsort(gram)
-    gram = gram[order]
-    new = np.flatnonzero(np.concatenate([[True], gram[1:] != gram[:-1]]))
+    """One row per word: the union of its contexts and the sums of its counts."""
+    columns = [np.concatenate([p[i] for p in parts]) for i in range(len(parts[0]))]
+    order = np.argsort(columns[0], kind="stable")
+    word = columns[0][order]
+    new = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
+    unions = [np.bitwise_or.reduceat(c[order], new) for c in columns[1:5]]
+    return [word[new], *unions, *[np.add.reduceat(c[order], new) for c in columns[5:]]]
 
-    def column(i: int) -> np.ndarray:
-        return np.concatenate([p[i] for p in parts])[order]
 
-    sums = [np.add.reduceat(column(3 + i), new) for i in range(len(_KINDS))]
-    return [gram[new], column(1)[new], np.bitwise_or.reduceat(column(2), new), *sums]
+def _row_batch(table: list[np.ndarray]) -> pa.RecordBatch:
+    whole = [c.view(np.int64) if c.dtype == np.uint64 else c for c in table]
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in whole], ["word", *_CONTEXTS, *_KINDS])
 
 
-def _batches(table: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-    names = ["gram", "history", "contexts", *_KINDS]
-    whole = [c.view(np.int64) if c.dtype == np.uint64 else c for c in table]
-    for at in range(0, len(whole[0]), BATCH):
-        yield pa.RecordBatch.from_arrays([pa.array(c[at : at + BATCH]) for c in whole], names)
-
-
-def fit_ratios(
-    counts: DataFrame, models: list[list[int]], slots: int = SLOTS, discount: float = DISCOUNT
-) -> DataFrame:
-    """(slot, gram, ratio, unseen, best, alone): interpolated Kneser-Ney of both classes, for each list of folds.
-
-    ``ratio`` has the log-likelihood ratio toxic to ordinary of the gram in each model, ``unseen``
-    that of any gram a model has not seen after it; null where the model lacks the gram or what
-    follows it. A class's probability of a gram given its history is the discounted share of its
-    count plus the discounted mass times the backoff. The backoff is shared: it counts the
-    distinct contexts of a gram in both classes together, so what one class lacks or has rarely
-    backs off to the same value in both, and only evidence beyond it makes a ratio. A history's
-    sums are a window over the grams that follow it, at most one per character. Gram 0 is the
-    beginning of every word. All models come from one pass; the table stays distributed. ``best``
-    is the gram of highest count of its slot, ``alone`` if no other has it.
+@dataclass(frozen=True)
+class Side:
+    """What a class's model takes from its counts: their sum, the discounts of words that it has
+    once, twice and more often, and the mass that these free."""
+
+    total: float
+    discounts: tuple[float, float, float]
+    mass: float
+
+    @property
+    def weight(self) -> float:
+        """The share of the backoff."""
+        return self.mass / self.total if self.total else 1.0
+
+    def kept(self, n: F.Column) -> F.Column:
+        """The share of a word's own count, less its discount."""
+        once, twice, more = self.discounts
+        discount = F.when(n == 1, once).when(n == 2, twice).otherwise(F.when(n > 2, more).otherwise(0.0))
+        return (n - discount) / (self.total or 1.0)
+
+
+def discounts(kinds: list[int]) -> tuple[float, float, float]:
+    """Discounts from how many words are counted once, twice, three and four times."""
+    base = kinds[0] / (kinds[0] + 2 * kinds[1]) if kinds[0] else 0.5
+    found = [k - (k + 1) * base * kinds[k] / kinds[k - 1] if kinds[k - 1] else 0.5 * k for k in (1, 2, 3)]
+    return tuple(min(max(d, 0.0), float(k)) for k, d in enumerate(found, 1))
+
+
+def _side(folds: list[int], label: str) -> F.Column:
+    return sum((F.col(f"{label}_{f}") for f in folds), F.lit(0))
+
+
+def fit_sides(counts: DataFrame, models: list[list[int]]) -> tuple[list[tuple[Side, Side]], float]:
+    """(toxic, ordinary) of each list of folds, and the number of contexts of all words.
+
+    The discounts of a class come from its own counts of counts.
     """
-    site = Window.partitionBy("history")
-    rows = counts.withColumn("contexts", F.bit_count("contexts").cast("double"))
+    sums = [F.sum("contexts").alias("contexts")]
     for i, folds in enumerate(models):
-        for name, kind in (("t", "toxic"), ("o", "ordinary")):
-            rows = rows.withColumn(f"{name}{i}", sum((F.col(f"{kind}_{f}") for f in folds), F.lit(0)).cast("double"))
-        rows = rows.withColumn(f"n{i}", F.col(f"t{i}") + F.col(f"o{i}"))
-    sums = [c for i in range(len(models)) for c in _history_sums(i, site, discount)]
-    rows = rows.select("*", F.min("gram").over(site).alias("least"), *sums)
-    every = sum((F.col(k) for k in _KINDS), F.lit(0)).cast("long")
-    entries = [[F.col("gram").alias("gram"), every.alias("n")], [F.col("history").alias("gram"), F.lit(0).cast("long").alias("n")]]
-    none = F.lit(None).cast("float")
+        for label in ("toxic", "ordinary"):
+            n = _side(folds, label)
+            sums += [F.sum(n).alias(f"{label}{i}")]
+            sums += [F.sum((n == k).cast("long")).alias(f"{label}{i}_{k}") for k in (1, 2, 3, 4)]
+            sums += [F.sum((n > 0).cast("long")).alias(f"{label}{i}_any")]
+    row = counts.agg(*sums).first()
+    sides = []
     for i in range(len(models)):
-        ratio = F.when(F.col(f"n{i}") > 0, F.log(_chance("t", i, discount)) - F.log(_chance("o", i, discount)))
-        after = F.when(F.col(f"ht{i}") + F.col(f"ho{i}") > 0, F.log(_weight("t", i)) - F.log(_weight("o", i)))
-        entries[0] += [ratio.cast("float").alias(f"ratio{i}"), none.alias(f"unseen{i}")]
-        entries[1] += [none.alias(f"ratio{i}"), after.cast("float").alias(f"unseen{i}")]
-    # What is unseen after a history is told once, by the least gram that follows it.
-    both = F.array(*[F.struct(*e) for e in entries])
-    told = rows.select(F.inline(F.when(F.col("gram") == F.col("least"), both).otherwise(F.slice(both, 1, 1))))
-    slot = F.shiftrightunsigned("gram", 64 - (slots.bit_length() - 1)).cast("int")
-    names = [f"{c}{i}" for c in ("ratio", "unseen") for i in range(len(models))]
-    grams = told.withColumn("slot", slot).repartition("slot").groupBy("slot", "gram")
-    grams = grams.agg(F.sum("n").alias("n"), *[F.max(c).alias(c) for c in names])
-    rank = Window.partitionBy("slot").orderBy(F.col("gram") != 0, F.desc("n"), "gram")
-    lists = [F.array(*[F.col(f"{c}{i}") for i in range(len(models))]).alias(c) for c in ("ratio", "unseen")]
+        pair = []
+        for label in ("toxic", "ordinary"):
+            kinds = [row[f"{label}{i}_{k}"] or 0 for k in (1, 2, 3, 4)]
+            once, twice, more = freed = discounts(kinds)
+            rest = (row[f"{label}{i}_any"] or 0) - kinds[0] - kinds[1]
+            mass = once * kinds[0] + twice * kinds[1] + more * rest
+            pair.append(Side(float(row[f"{label}{i}"] or 0), freed, mass))
+        sides.append(tuple(pair))
+    return sides, float(row["contexts"] or 1)
+
+
+def fit_ratios(counts: DataFrame, models: list[list[int]], slots: int = SLOTS) -> tuple[DataFrame, list[float]]:
+    """(slot, word, ratios, best, alone): log-likelihood ratio toxic to ordinary by model, and of unseen words.
+
+    Interpolated Kneser-Ney with the class as history: a class's probability of a word is its
+    discounted share of the class's counts plus the mass so freed times the backoff. The backoff is
+    shared: it counts the distinct contexts of a word in both classes together, so what a class has
+    rarely or not at all is smoothed by what the word does elsewhere. A word that a model has in
+    neither class has the same backoff in both, so its ratio is that of the freed masses. ``best``
+    is the word of highest count of its slot, ``alone`` if no other has it.
+    """
+    sides, contexts = fit_sides(counts, models)
+    backoff = F.col("contexts") / F.lit(contexts)
+    ratios, unseen = [], []
+    for folds, pair in zip(models, sides):
+        chances, seen = [], F.lit(0)
+        for side, label in zip(pair, ("toxic", "ordinary")):
+            n = _side(folds, label)
+            seen = seen + n
+            chances.append(side.kept(n) + F.lit(side.weight) * backoff)
+        unseen.append(float(np.log(max(pair[0].weight, 1e-12)) - np.log(max(pair[1].weight, 1e-12))))
+        ratios.append(F.when(seen > 0, F.log(chances[0]) - F.log(chances[1])).otherwise(F.lit(unseen[-1])).cast("float"))
+    every = sum((F.col(k) for k in _KINDS), F.lit(0)).cast("long").alias("n")
+    slot = F.shiftrightunsigned("word", 64 - (slots.bit_length() - 1)).cast("int").alias("slot")
+    table = counts.select(slot, "word", every, F.array(*ratios).alias("ratios"))
+    rank = Window.partitionBy("slot").orderBy(F.desc("n"), "word")
     best = (F.row_number().over(rank) == 1).alias("best")
-    return grams.select("slot", "gram", *lists, best, (F.count("*").over(Window.partitionBy("slot")) == 1).alias("alone"))
+    alone = (F.count("*").over(Window.partitionBy("slot")) == 1).alias("alone")
+    return table.select("slot", "word", "ratios", best, alone), unseen
 
 
 @dataclass(frozen=True)
 class Frequent:
-    """The grams of highest count of each slot, with their ratios by model (NaN: none)."""
+    """The word of highest count of each slot (0: none), with its ratios by model."""
 
-    gram: np.ndarray
-    ratio: np.ndarray
-    unseen: np.ndarray
-    #: Whether another gram than the one there has the slot.
+    word: np.ndarray
+    ratios: np.ndarray
+    #: Whether another word than the one there has the slot.
     shared: np.ndarray
+    #: Ratio of a word that no text of the model has, by model.
+    unseen: np.ndarray
 
     def __getstate__(self) -> dict[str, tuple]:
         """Deflated: every executor keeps what is broadcast on its disk."""
@@ -230,69 +223,26 @@ class Frequent:
         for k, (kind, shape, data) in state.items():
             object.__setattr__(self, k, np.frombuffer(zlib.decompress(data), dtype=kind).reshape(shape))
 
-    def find(self, grams: np.ndarray, each: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Each gram's slot, whether it is the one there, and whether it has to be looked up.
-
-        A gram that is not in a slot of one is unseen, and so is all of its word that follows.
-        """
-        slot = (grams >> np.uint64(64 - (len(self.gram).bit_length() - 1))).astype(np.int64)
-        hit = self.gram[slot] == grams
-        unsure = ~hit & self.shared[slot]
-        unseen = np.cumsum(~hit & ~unsure)
-        return slot, hit, unsure & (unseen == np.repeat(np.append(0, unseen)[_heads(each)], each))
-
-    def words(self, grams: np.ndarray, each: np.ndarray, model: int) -> tuple[np.ndarray, np.ndarray]:
-        """The ratio of each word, and for which words all grams were at hand."""
-        slot, hit, lacks = self.find(grams, each)
-        ratio = np.where(hit, self.ratio[model][slot], np.nan)
-        unseen = np.where(hit, self.unseen[model][slot], np.nan)
-        known = ~np.logical_or.reduceat(lacks, _heads(each))
-        return word_ratios(ratio, unseen, each, float(self.unseen[model][0])), known
-
-
-def word_ratios(ratio: np.ndarray, unseen: np.ndarray, each: np.ndarray, first: float) -> np.ndarray:
-    """The sum over each word of its grams' ratios; a gram without one has that of the unseen after
-    its history (``first`` at the beginning of a word), or none if that is unseen as well."""
-    after = np.roll(unseen, 1)
-    after[_heads(each)] = first
-    value = np.where(np.isnan(ratio), np.nan_to_num(after), ratio)
-    return np.add.reduceat(value, _heads(each), dtype=np.float64)
-
-
-def frequent(ratios: DataFrame, models: int, slots: int = SLOTS) -> Frequent:
-    """The gram of highest count of each slot; at most one row per slot reaches the driver."""
-    lists = [F.col(c)[i].alias(f"{c}{i}") for c in ("ratio", "unseen") for i in range(models)]
-    found = ratios.filter("best").select("slot", "gram", "alone", *lists).toArrow()
-    slot = found["slot"].to_numpy()
-    gram, shared = np.zeros(slots, dtype=np.uint64), np.zeros(slots, dtype=bool)
-    gram[slot] = found["gram"].to_numpy().view(np.uint64)
-    shared[slot] = ~found["alone"].to_numpy()
-    tables = {c: np.full((models, slots), np.nan, dtype=np.float32) for c in ("ratio", "unseen")}
-    for c, table in tables.items():
-        for i in range(models):
-            table[i, slot] = found[f"{c}{i}"].to_numpy()
-    return Frequent(gram, tables["ratio"], tables["unseen"], shared)
-
-
-def _history_sums(i: int, site: WindowSpec, discount: float) -> list[F.Column]:
-    """What follows a history in model ``i``: counts and discounted mass by class, and contexts."""
-    out = [F.sum(F.when(F.col(f"n{i}") > 0, F.col("contexts"))).over(site).alias(f"all_contexts{i}")]
-    for c in ("t", "o"):
-        out.append(F.sum(f"{c}{i}").over(site).alias(f"h{c}{i}"))
-        out.append(F.sum(F.least(F.col(f"{c}{i}"), F.lit(discount))).over(site).alias(f"m{c}{i}"))
-    return out
-
-
-def _weight(count: str, i: int) -> F.Column:
-    """The share of a class's mass after a history that goes to the backoff."""
-    seen = F.col(f"h{count}{i}")
-    return F.when(seen > 0, F.col(f"m{count}{i}") / seen).otherwise(F.lit(1.0))
+    def find(self, words: np.ndarray, model: int) -> tuple[np.ndarray, np.ndarray]:
+        """The ratio of each word, and for which words it is not at hand."""
+        slot = (words >> np.uint64(64 - (len(self.word).bit_length() - 1))).astype(np.int64)
+        hit = self.word[slot] == words
+        ratio = np.where(hit, self.ratios[model][slot], self.unseen[model]).astype(np.float64)
+        return ratio, ~hit & self.shared[slot]
 
 
-def _chance(count: str, i: int, discount: float) -> F.Column:
-    seen = F.col(f"h{count}{i}")
-    top = F.when(seen > 0, F.greatest(F.col(f"{count}{i}") - discount, F.lit(0.0)) / seen).otherwise(0.0)
-    return top + _weight(count, i) * F.col("contexts") / F.col(f"all_contexts{i}")
+def frequent(ratios: DataFrame, unseen: list[float], slots: int = SLOTS) -> Frequent:
+    """The word of highest count of each slot; at most one row per slot reaches the driver."""
+    lists = [F.col("ratios")[i].alias(f"ratio{i}") for i in range(len(unseen))]
+    found = ratios.filter("best").select("slot", "word", "alone", *lists).toArrow()
+    slot = found["slot"].to_numpy()
+    word, shared = np.zeros(slots, dtype=np.uint64), np.zeros(slots, dtype=bool)
+    word[slot] = found["word"].to_numpy().view(np.uint64)
+    shared[slot] = ~found["alone"].to_numpy()
+    table = np.zeros((len(unseen), slots), dtype=np.float32)
+    for i in range(len(unseen)):
+        table[i, slot] = found[f"ratio{i}"].to_numpy()
+    return Frequent(word, table, shared, np.array(unseen))
 
 
 def _passages(values: np.ndarray, size: int) -> np.ndarray:
@@ -300,118 +250,92 @@ def _passages(values: np.ndarray, size: int) -> np.ndarray:
     return np.sum([values[k : len(values) - size + 1 + k] for k in range(size)], axis=0)
 
 
-def partial(text: str | None, table: Frequent, model: int, order: int | None = ORDER, passage: int = PASSAGE) -> dict:
-    """What the measures of a text need, without the ratios of words that are not all at hand.
+def _beyond(values: np.ndarray) -> list[float]:
+    return [float(np.maximum(values - b, 0).sum()) for b in BEYOND]
+
+
+def partial(text: str | None, table: Frequent, model: int, passage: int = PASSAGE) -> dict:
+    """What the measures of a text need, without the ratios of words that are not at hand.
 
     ``words`` are those, in order, ``near`` the places of the words in passages with one, with
-    their ``values`` (NaN: not at hand). Of the other passages the highest are enough, as many as
-    can overlap one passage and one more.
+    their ``values`` (NaN: not at hand), ``over`` the distinct words' sums beyond each of ``BEYOND``.
+    Of the other passages the highest are enough, as many as can overlap one passage and one more.
     """
-    grams, each = _spelled(text, order)
-    if not len(each):
-        return {"n": 0, "total": 0.0, "tops": [], "sums": [], "near": [], "values": [], "words": []}
-    values, known = table.words(grams, each, model)
-    size = min(passage, len(each))
+    words, _ = words_of(text)
+    if not len(words):
+        return {"n": 0, "total": 0.0, "over": [0.0] * len(BEYOND), "tops": [], "sums": [], "near": [], "values": [], "words": []}
+    values, lacks = table.find(words, model)
+    once = np.unique(words, return_index=True)[1]
+    over = _beyond(values[once][~lacks[once]])
+    size = min(passage, len(words))
     sums = _passages(values, size)
-    missing = np.flatnonzero(~known)
+    missing = np.flatnonzero(lacks)
     if not len(missing):
         tops = np.argsort(-sums, kind="stable")[: 2 * size]
-        return {"n": len(each), "total": values.sum(), "tops": tops, "sums": sums[tops], "near": [], "values": [], "words": []}
-    near = np.unique((missing[:, None] + np.arange(1 - size, size)).clip(0, len(each) - 1))
-    whole = np.flatnonzero(_passages((~known).astype(np.int64), size) == 0)
+        return {"n": len(words), "total": values.sum(), "over": over, "tops": tops, "sums": sums[tops], "near": [], "values": [], "words": []}
+    near = np.unique((missing[:, None] + np.arange(1 - size, size)).clip(0, len(words) - 1))
+    whole = np.flatnonzero(_passages(lacks.astype(np.int64), size) == 0)
     tops = whole[np.argsort(-sums[whole], kind="stable")[: 2 * size]]
-    split = (text or "").lower().split()
     return {
-        "n": len(each),
-        "total": values[known].sum(),
+        "n": len(words),
+        "total": values[~lacks].sum(),
+        "over": over,
         "tops": tops,
         "sums": sums[tops],
         "near": near,
-        "values": np.where(known, values, np.nan)[near],
-        "words": [split[i] for i in missing.tolist()],
+        "values": np.where(lacks, np.nan, values)[near],
+        "words": words[missing].view(np.int64),
     }
 
 
-def finished(row: dict, ratios: dict[str, float], passage: int = PASSAGE) -> tuple[float, ...]:
-    """Mean ratio per word of the whole text, the two highest of separate passages, log of words.
+def finished(row: dict, ratios: dict[int, float], unseen: float, passage: int = PASSAGE) -> tuple[float, ...]:
+    """Mean ratio per word of the whole text, the two highest of separate passages, logs of what its
+    distinct words have beyond each of ``BEYOND``, log of words.
 
-    ``row`` is a ``partial`` one, ``ratios`` has the words it lacks.
+    ``row`` is a ``partial`` one, ``ratios`` has those of the words it lacks that some text has.
     """
     n = row["n"]
     if not n:
-        return 0.0, 0.0, 0.0, 0.0
+        return (0.0,) * len(MEASURES)
     size = min(passage, n)
     at, sums, total = np.array(row["tops"], dtype=np.int64), np.array(row["sums"], dtype=np.float64), row["total"]
+    over = np.array(row["over"])
     if row["words"]:
+        over = over + _beyond(np.array([ratios.get(w, unseen) for w in set(row["words"])]))
         near, values = np.array(row["near"], dtype=np.int64), np.array(row["values"], dtype=np.float64)
-        found = np.array([ratios[w] for w in row["words"]])
+        found = np.array([ratios.get(w, unseen) for w in row["words"]])
         values[np.isnan(values)] = found
         total += found.sum()
         joined = np.flatnonzero(near[size - 1 :] - near[: len(near) - size + 1] == size - 1)
         at, sums = np.concatenate([at, near[joined]]), np.concatenate([sums, _passages(values, size)[joined]])
     best = np.lexsort((at, -sums))[0]
     apart = sums[np.abs(at - at[best]) >= size]
-    return total / n, sums[best] / passage, float(apart.max()) / passage if len(apart) else 0.0, float(np.log1p(n))
+    second = float(apart.max()) / passage if len(apart) else 0.0
+    return total / n, sums[best] / passage, second, *np.log1p(over).tolist(), float(np.log1p(n))
 
 
 _PARTIAL = {
     "n": "int",
     "total": "double",
+    "over": "array<double>",
     "tops": "array<int>",
     "sums": "array<double>",
     "near": "array<int>",
     "values": "array<double>",
-    "words": "array<string>",
+    "words": "array<long>",
 }
 
 
-def _rare_words(words: DataFrame, ratios: DataFrame, shared, order: int | None = ORDER) -> DataFrame:
-    """(word, ratios by model) of each of the distinct ``words``: grams without a slot are joined."""
-
-    def missing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            grams, each = _spelled(" ".join(batch["word"].to_pylist()), order)
-            lacks = shared.value.find(grams, each)[2]
-            owner = np.repeat(np.arange(len(each)), each)[lacks]
-            place = (np.arange(len(grams)) - np.repeat(_heads(each), each))[lacks]
-            columns = [batch["word"].take(pa.array(owner)), pa.array(place.astype(np.int32)), pa.array(grams[lacks].view(np.int64))]
-            yield pa.RecordBatch.from_arrays(columns, ["word", "place", "gram"])
-
-    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = shared.value
-        for batch in batches:
-            words, found = batch["word"].to_pylist(), batch["found"].to_pylist()
-            grams, each = _spelled(" ".join(words), order)
-            slot, hit, _ = table.find(grams, each)
-            heads = _heads(each).tolist()
-            at = [heads[i] + f["place"] for i, some in enumerate(found) for f in some]
-            out = []
-            for m in range(len(table.ratio)):
-                parts = []
-                for c in ("ratio", "unseen"):
-                    part = np.where(hit, getattr(table, c)[m][slot], np.nan).astype(np.float32)
-                    part[at] = [np.nan if f[c][m] is None else f[c][m] for some in found for f in some]
-                    parts.append(part)
-                out.append(word_ratios(*parts, each, float(table.unseen[m][0])))
-            yield pa.RecordBatch.from_arrays([batch["word"], pa.array(np.stack(out, axis=1).tolist(), pa.list_(pa.float64()))], ["word", "ratios"])
-
-    lacking = map_arrow(words, missing, "word string, place int, gram long")
-    found = lacking.join(ratios.filter("NOT best").select("gram", "ratio", "unseen", F.lit(True).alias("there")), "gram", "left")
-    entry = F.when(F.col("there"), F.struct("place", "ratio", "unseen"))
-    return map_arrow(
-        found.groupBy("word").agg(F.collect_list(entry).alias("found")), summed, "word string, ratios array<double>"
-    )
-
-
 def _measured(docs: DataFrame, keep: list[str], ratios: DataFrame, shared) -> DataFrame:
-    """``keep``, ``model`` and the measures of every text by its model; ``shared`` broadcasts the frequent grams.
+    """``keep``, ``model`` and the measures of every text by its model; ``shared`` broadcasts the frequent words.
 
-    Texts are read once, for their partial measures. Words with grams that have no slot are looked
-    up once each, whatever the number of texts that hold them, and brought back to their texts.
+    Texts are read once, for their partial measures. Words that have no slot are looked up once
+    each, by their hash, whatever the number of texts that hold them and the length of the word,
+    and brought back to their texts.
     """
 
     def begin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        types = {"int": pa.int32(), "double": pa.float64(), "string": pa.string()}
+        types = {"int": pa.int32(), "double": pa.float64(), "long": pa.int64()}
         types.update({f"array<{k}>": pa.list_(t) for k, t in types.items()})
         for batch in batches:
             rows = [partial(t, shared.value, m) for t, m in zip(batch["text"].to_pylist(), batch["model"].to_pylist())]
@@ -419,10 +343,12 @@ def _measured(docs: DataFrame, keep: list[str], ratios: DataFrame, shared) -> Da
             yield pa.RecordBatch.from_arrays([*[batch[c] for c in [*keep, "model"]], *columns], [*keep, "model", *_PARTIAL])
 
     def end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unseen = shared.value.unseen.tolist()
         for batch in batches:
             parts = zip(*[batch[c].to_pylist() for c in _PARTIAL])
             found = [{f["word"]: f["ratio"] for f in some or []} for some in batch["found"].to_pylist()]
-            rows = [finished(dict(zip(_PARTIAL, part)), some) for part, some in zip(parts, found)]
+            models = batch["model"].to_pylist()
+            rows = [finished(dict(zip(_PARTIAL, part)), some, unseen[m]) for part, some, m in zip(parts, found, models)]
             columns = [pa.array([r[i] for r in rows], pa.float64()) for i in range(len(MEASURES))]
             yield pa.RecordBatch.from_arrays([*[batch[c] for c in [*keep, "model"]], *columns], [*keep, "model", *MEASURES])
 
@@ -432,12 +358,13 @@ def _measured(docs: DataFrame, keep: list[str], ratios: DataFrame, shared) -> Da
     begun = map_arrow(docs.select(*keep, "model", "text"), begin, f"{schema}, model {kinds['model']}, {added}")
     begun = stored(begun.withColumn("row", F.monotonically_increasing_id()))
     lacking = begun.select("row", "model", F.explode(F.array_distinct("words")).alias("word"))
-    rare = _rare_words(lacking.select("word").distinct(), ratios, shared)
+    rare = ratios.filter("NOT best").select("word", "ratios")
+    rare = rare.join(lacking.select("word").distinct(), "word", "left_semi")
     found = lacking.join(rare, "word").select("row", F.struct("word", F.expr("ratios[model]").alias("ratio")).alias("found"))
     found = stored(found.groupBy("row").agg(F.collect_list("found").alias("found")))
     # Texts that lack nothing do not go through the join.
     whole = begun.filter("size(words) = 0").withColumn("found", F.lit(None).cast(dict(found.dtypes)["found"]))
-    parts = begun.filter("size(words) > 0").join(found, "row").select(*whole.columns).unionByName(whole)
+    parts = begun.filter("size(words) > 0").join(found, "row", "left").select(*whole.columns).unionByName(whole)
     measures = ", ".join(f"{m} double" for m in MEASURES)
     return map_arrow(parts.select(*keep, "model", *_PARTIAL, "found"), end, f"{schema}, model {kinds['model']}, {measures}")
 
@@ -491,9 +418,9 @@ def score(docs: DataFrame, labels: DataFrame, slots: int = SLOTS, sample: int =
     """doc_id, held_out, score and predicted of every document.
 
     Rows whose crc32 of the doc_id as text is a multiple of five are held out: their labels are
-    never read. The others' grams are all counted. A text's measures are its mean ratio and those
+    never read. The others' words are all counted. A text's measures are its mean ratio and those
     of its two most toxic passages, so that a long text does not dilute a few words. The decision
-    on them is fitted on at most ``sample`` labelled rows, each measured with the counts of the
+    on them is fitted on about ``sample`` labelled rows, each measured with the counts of the
     other fold; the final models have all counts. Only the text enters a score. ``slots`` bounds
     what is broadcast and changes no score.
 
@@ -513,9 +440,10 @@ def score(docs: DataFrame, labels: DataFrame, slots: int = SLOTS, sample: int =
     sc = docs.sparkSession.sparkContext
     folds = list(range(FOLDS))
     models = [*[[f for f in folds if f != fold] for fold in folds], folds]
-    ratios = stored(fit_ratios(gram_counts(learnt), models, slots))
-    shared = sc.broadcast(frequent(ratios, len(models), slots))
-    chosen = known.orderBy(F.xxhash64(F.lit(1), "doc_id")).limit(sample)
+    table, unseen = fit_ratios(stored(word_counts(learnt)), models, slots)
+    ratios = stored(table)
+    shared = sc.broadcast(frequent(ratios, unseen, slots))
+    chosen = hash_share(known, sample, "doc_id")
     texts, last = docs.select("doc_id", "text"), len(models) - 1
     fitted = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "label", F.col("fold").cast("int").alias("model"))
     every = texts.select("*", F.lit(None).cast("long").alias("label"), F.lit(last).alias("model"))
