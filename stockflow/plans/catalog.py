@@ -14,8 +14,8 @@ from stockflow.functions import scalars as S
 from stockflow.operators import alerts, daily, dedup, quality, staging, upsert, windows
 from stockflow.plans import hourly, marts, reports, staging_tables
 from stockflow.session import ensure_checkpoint_dir, pin_session
-from stockflow.sources import feeds, messages, tables
-from stockflow.sources.schemas import STOCK_TOPIC, STOCK_WIRE
+from stockflow.sources import commits, feeds, messages, tables
+from stockflow.sources.schemas import RAW_SALES, STOCK_TOPIC, STOCK_WIRE
 from stockflow.streaming import ingest
 
 # The whole calendar of the given tables but its last day, which the as-of cut-off drops.
@@ -24,6 +24,8 @@ AS_OF = dt.date(2001, 11, 3)
 NOW = dt.datetime(2001, 11, 3, 23, 59, 59)
 #: Splits the feeds into a stored part and a newer one for the incremental operators.
 MARK = dt.datetime(1998, 7, 1)
+#: The calendar of the streamed events.
+STREAM_START, STREAM_AS_OF = dt.date(2024, 1, 1), dt.date(2024, 1, 30)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -226,6 +228,51 @@ def _stored_schema_sync(i: Inputs) -> DataFrame:
     ).table
 
 
+#: Three arrivals of all events; the last brings some of two days that were closed before.
+_LATE = "timestamp >= '2024-01-14' AND timestamp < '2024-01-16' AND arrival % 7 = 0 AND arrival % 10 NOT IN (4, 9)"
+_HOURS = [
+    (f"timestamp < '2024-01-16' AND NOT ({_LATE})", dt.date(2024, 1, 16)),
+    ("timestamp >= '2024-01-16' AND timestamp < '2024-01-26'", dt.date(2024, 1, 25)),
+    (f"timestamp >= '2024-01-26' OR ({_LATE})", STREAM_AS_OF),
+]
+_RUNS: dict[tuple[str, str, str], dict[str, DataFrame]] = {}
+
+
+def _hourly(i: Inputs, mode: str, table: str) -> DataFrame:
+    """A table of scheduled runs over stored events, made once per session and data folder.
+
+    ``incremental`` runs after each of three arrivals, ``full`` once after all of them.
+    """
+    ensure_checkpoint_dir(i.spark)
+    known = (i.spark.sparkContext.applicationId, i.sf_dir, mode)
+    if known not in _RUNS:
+        root = f"{i.spark.sparkContext.getCheckpointDir()}/hourly-{uuid.uuid4().hex}"
+        tables.ensure_tables(i.spark, root)
+        sent = feeds.envelope(i.spark, i.sf_dir, one_category=True)
+        for n, (part, as_of) in enumerate(_HOURS):
+            ingest.ingest_batch(sent.filter(part), root, n, NOW, ["arrival"])
+            if mode == "incremental" or n == len(_HOURS) - 1:
+                _RUNS[known] = hourly.run_hourly(i.spark, root, as_of, NOW, STREAM_START, mode)
+    return _RUNS[known][table]
+
+
+def _bulk(i: Inputs, feed: feeds.Feed, price: str) -> DataFrame:
+    """A raw feed in bulk: lines up to 10^15, as amounts beyond what staging holds need."""
+    grown = {"quantity": F.expr("quantity * 10000000"), price: F.expr(f"cast({price} * 1000 AS decimal(12,2))")}
+    return i.raw(feed).withColumns(grown)
+
+
+def _rejected(i: Inputs) -> DataFrame:
+    """Sales in bulk that a run stores apart, with the reason."""
+    ensure_checkpoint_dir(i.spark)
+    root = f"{i.spark.sparkContext.getCheckpointDir()}/bulk-{uuid.uuid4().hex}"
+    tables.ensure_tables(i.spark, root)
+    sales = _bulk(i, feeds.sales_feed, "unit_price").select(RAW_SALES.names)
+    folder = tables.write_batch(sales, root, "raw_sales", 0)
+    commits.commit(i.spark, root, lambda last: commits.replace(last, batch=0, live={"raw_sales": [(0, folder)]}))
+    return hourly.refresh_rejected(i.spark, root, 0).select("event_id", "sku", "quantity", "unit_price", "discount_pct", "reason")
+
+
 def _staging_tests(i: Inputs) -> DataFrame:
     return quality.model_report("stg_sales", i.sales()).unionByName(
         quality.model_report("stg_stock_movements", i.moves())
@@ -320,6 +367,13 @@ _QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "stored_channel_revenue": lambda i: _stored_report(i, "mv_channel_revenue_weekly"),
     "stored_supplier_performance": lambda i: _stored_report(i, "mv_supplier_performance"),
     "stored_schema_sync": _stored_schema_sync,
+    "stored_rejected_sales": _rejected,
+    "supplier_performance_bulk": lambda i: reports.supplier_performance(_bulk(i, feeds.deliveries_feed, "unit_cost")),
+    "hourly_incremental": lambda i: _hourly(i, "incremental", "fct_inventory_snapshot"),
+    "hourly_incremental_velocity": lambda i: _hourly(i, "incremental", "fct_sales_velocity"),
+    "hourly_incremental_summary": lambda i: _hourly(i, "incremental", "mv_category_daily_summary"),
+    "hourly_incremental_watchlist": lambda i: _hourly(i, "incremental", "mv_sku_reorder_watchlist"),
+    "hourly_full": lambda i: _hourly(i, "full", "fct_inventory_snapshot"),
     "dispatch_payload": lambda i: alerts.dispatch_payload(i.alerts()),
     "date_spine": _sales_calendar,
     "sku_dimension": lambda i: daily.sku_dimension(i.sales(), i.moves()),

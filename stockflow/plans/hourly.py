@@ -8,9 +8,9 @@ from functools import partial, reduce
 from pyspark.sql import DataFrame, SparkSession
 
 from stockflow.operators import alerts, quality, staging
-from stockflow.plans import marts, reports, staging_tables
+from stockflow.plans import incremental, reports, staging_tables
 from stockflow.session import pin_session
-from stockflow.sources import tables
+from stockflow.sources import parts, tables
 from stockflow.sources.schemas import DAY_OF
 
 #: Staging table -> (its raw table, how it is cleaned)
@@ -39,7 +39,13 @@ REPORTS = {
 }
 
 
+#: Reports that are computed whole: of one day, and from late-arriving deliveries.
+WHOLE_REPORTS = ("mv_sku_reorder_watchlist", "mv_supplier_performance")
+
+
 def _input(spark: SparkSession, root: str, name: str) -> DataFrame:
+    if name == incremental.SNAPSHOT:
+        return parts.read(spark, root, name).drop("running_stock")
     if name.startswith("raw_"):
         return tables.committed(spark, root, name)
     return tables.read_current(spark, root, name)
@@ -50,6 +56,9 @@ def refresh_report(
 ) -> DataFrame:
     """Recompute one stored report; readers keep the old version until the new one is finished."""
     source, compute = REPORTS[name]
+    if name == "mv_sku_reorder_watchlist":
+        today = parts.read(spark, root, source, None, lambda part: part == as_of.isoformat())
+        return tables.rebuild(compute(today.drop("running_stock"), as_of, business_tz), root, name)
     result = compute(_input(spark, root, source), as_of, business_tz)
     return tables.rebuild(result, root, name)
 
@@ -129,7 +138,8 @@ def run_hourly(
 ) -> dict[str, DataFrame]:
     """Run every step in order; a failed gate or test stops the run before later steps write.
 
-    The caller chooses ``mode``: "incremental", or "full" for the nightly rebuild. The result has
+    The caller chooses ``mode``: "incremental", which computes what the new batches change, or
+    "full" for the nightly rebuild. Marts are tested before readers see them. The result has
     every table, among them ``rejected_sales``: what staging could not hold, and why.
     """
     pin_session(spark)
@@ -145,21 +155,29 @@ def run_hourly(
     rejected = refresh_rejected(spark, root, last, done, full=mode == "full")
     sales, moves = (staged[name] for name in STAGING)
 
-    snapshot = tables.rebuild(
-        marts.inventory_snapshot(sales, moves, start, as_of),
-        root,
-        "fct_inventory_snapshot",
-        ["snapshot_date"],
+    def fresh(after: int) -> tuple[DataFrame, DataFrame]:
+        """Staging rows of the ingest batches past ``after``."""
+        newer = (
+            clean(tables.committed(spark, root, source, after, last), business_tz=business_tz)
+            for source, clean in STAGING.values()
+        )
+        return tuple(newer)
+
+    snapshot, change = incremental.refresh_snapshot(
+        spark, root, sales, moves, fresh, last, start, as_of, check, full=mode == "full"
     )
-    velocity = tables.rebuild(marts.sales_velocity(sales, snapshot), root, "fct_sales_velocity")
-    check({"fct_inventory_snapshot": snapshot, "fct_sales_velocity": velocity})
+    velocity = incremental.refresh_velocity(spark, root, sales, change, check)
 
     payload = tables.rebuild(
         alerts.dispatch_payload(tables.committed(spark, root, "reorder_alerts")),
         root,
         "alert_payload",
     )
-    views = {name: refresh_report(spark, root, name, as_of, business_tz) for name in REPORTS}
+    views = {
+        "mv_category_daily_summary": incremental.refresh_category_summary(spark, root, change),
+        "mv_channel_revenue_weekly": incremental.refresh_channel_revenue(spark, root, sales, change),
+        **{name: refresh_report(spark, root, name, as_of, business_tz) for name in WHOLE_REPORTS},
+    }
     for name in DAY_OF:
         tables.compact(spark, root, name, tables.LOOSE_BATCHES)
     return {

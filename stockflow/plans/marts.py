@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
@@ -35,8 +36,11 @@ def inventory_at(
     return snapshot_columns(recent, "opening").filter(f"snapshot_date = {S.date(as_of)}")
 
 
-def snapshot_columns(activity: DataFrame, opening: str = "0L") -> DataFrame:
-    """Snapshot from a dense daily series. Flags use exact cover, ``days_on_hand`` is rounded."""
+def snapshot_columns(activity: DataFrame, opening: str = "0L", keep: Sequence[str] = ()) -> DataFrame:
+    """Snapshot from a dense daily series. Flags use exact cover, ``days_on_hand`` is rounded.
+
+    ``keep`` adds columns of the series, such as ``running_stock``, which is not floored.
+    """
     cover = ("stock_on_hand", "units_30d", "rows_30d")
     floored = windows.with_running_stock(activity).selectExpr(
         "*", f"greatest(running_stock + {opening}, 0L) AS stock_on_hand"
@@ -54,6 +58,7 @@ def snapshot_columns(activity: DataFrame, opening: str = "0L") -> DataFrame:
         f"{S.days_on_hand(*cover)} AS days_on_hand",
         f"{N.cover_below(*cover, S.REORDER_COVER_DAYS)} AS is_reorder_required",
         f"{N.cover_above(*cover, S.OVERSTOCK_COVER_DAYS)} AS is_overstock",
+        *keep,
     )
 
 
@@ -74,13 +79,17 @@ def weekly_sales(stg_sales: DataFrame) -> DataFrame:
     )
 
 
-def sales_velocity(stg_sales: DataFrame, snapshot: DataFrame) -> DataFrame:
+def sales_velocity(stg_sales: DataFrame, snapshot: DataFrame, prior: DataFrame | None = None) -> DataFrame:
     """Weekly sales with opening and closing stock, sell-through and week-over-week change.
 
-    Sell-through divides one channel's units by the opening stock of all channels.
+    Sell-through divides one channel's units by the opening stock of all channels. ``prior`` has
+    rows of earlier weeks to compare with, where ``stg_sales`` begins later; they come back too.
     """
     stock = windows.weekly_open_close(snapshot).drop("category")
-    joined = weekly_sales(stg_sales).join(stock, ["sku", "week_start"], "left")
+    weekly = weekly_sales(stg_sales)
+    if prior is not None:
+        weekly = weekly.unionByName(prior, allowMissingColumns=True)
+    joined = weekly.join(stock, ["sku", "week_start"], "left")
     per_unit = N.ratio_round(N.wide(N.cents("net_revenue")), N.wide("units_sold * 100"), 2)
     return windows.with_weekly_change(joined).selectExpr(
         "week_start",

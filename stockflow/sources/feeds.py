@@ -140,12 +140,13 @@ def raw(feed: Feed, spark: SparkSession, sf_dir: str) -> DataFrame:
     return first_wins(feed(spark, sf_dir), "event_id", ARRIVAL).drop("arrival_key")
 
 
-def envelope_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def envelope_events(spark: SparkSession, sf_dir: str, one_category: bool = False) -> DataFrame:
     """Topic, arrival, time and payload fields of the stream derived from ``events``.
 
     Every tenth event repeats the id of the event five before it; errors go to a topic
-    nothing handles.
+    nothing handles. SKUs have several categories, or one each with ``one_category``.
     """
+    kind = "user_id % 50 % 4" if one_category else "user_id % 4"
     return table(spark, sf_dir, "events").selectExpr(
         f"CASE event_type WHEN 'purchase' THEN '{SALES_TOPIC}' WHEN 'click' THEN '{SUPPLIER_TOPIC}' "
         f"WHEN 'view' THEN '{STOCK_TOPIC}' WHEN 'signup' THEN '{STOCK_TOPIC}' "
@@ -154,13 +155,13 @@ def envelope_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         "cast(ts AS timestamp) AS ts",
         "concat('E', cast(event_id - CASE WHEN event_id % 10 = 9 THEN 5 ELSE 0 END AS string)) AS msg_id",
         "concat('SK-', lpad(cast(user_id % 50 AS string), 4, '0')) AS sku",
-        "CASE user_id % 4 WHEN 0 THEN 'Dresses' WHEN 1 THEN 'Swimwear' WHEN 2 THEN 'Denim' "
+        f"CASE {kind} WHEN 0 THEN 'Dresses' WHEN 1 THEN 'Swimwear' WHEN 2 THEN 'Denim' "
         "ELSE 'Other' END AS category",
         "cast(floor(value) AS int) - 45 AS delta",
     )
 
 
-def envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
+def envelope(spark: SparkSession, sf_dir: str, one_category: bool = False) -> DataFrame:
     """``envelope_events`` as keyed JSON messages (topic, key, value, timestamp, arrival)."""
     head = """msg_id AS event_id, '{}' AS event_type,
         date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx") AS timestamp, sku, category"""
@@ -172,7 +173,7 @@ def envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     delivery = f"""struct({head.format('delivery')}, 'SUP-1' AS supplier_id, msg_id AS po_number,
         delta AS quantity, 7.25D AS unit_cost, date_format(ts, 'yyyy-MM-dd') AS expected_date,
         date_format(ts, 'yyyy-MM-dd') AS actual_date)"""
-    return envelope_events(spark, sf_dir).selectExpr(
+    return envelope_events(spark, sf_dir, one_category).selectExpr(
         "topic",
         "cast(sku AS binary) AS key",
         f"cast(CASE topic WHEN '{STOCK_TOPIC}' THEN to_json({movement}) WHEN '{SUPPLIER_TOPIC}' "

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from stockflow.operators import staging
 from stockflow.operators.quality import QualityError
-from stockflow.plans import hourly, marts, staging_tables
-from stockflow.sources import tables
+from stockflow.plans import hourly, marts, reports, staging_tables
+from stockflow.sources import parts, tables
+from stockflow.sources.commits import Conflict
 from stockflow.streaming.ingest import ingest_batch
 from tests.rows import T0, at, day, listed, raw_sales
 from tests.test_ingest import envelope, sale, stock, supply
@@ -196,3 +197,60 @@ def test_two_categories_stop_the_run(spark, tmp_path):
     ingest_batch(batch, root, 0, now, ["arrival"])
     with pytest.raises(QualityError, match="unique_snapshot_date_sku"):
         hourly.run_hourly(spark, root, dt.date(2024, 3, 9), now, dt.date(2024, 3, 8))
+
+
+def test_an_increment_writes_the_days_that_changed(spark, tmp_path):
+    """A sale of an open day, a late one, a SKU that is new, a day more: each equals a rebuild."""
+    root = str(tmp_path)
+    tables.ensure_tables(spark, root)
+    run = dict(now=dt.datetime(2024, 3, 9, 10, 0, 0), start=dt.date(2024, 1, 15))
+
+    def on(event_id, when, **more):
+        return swimwear(event_id, timestamp=f"2024-{when}T09:00:00+00:00", **more)
+
+    def hour(n, as_of, *events):
+        rows = [*events, stock(f"m{n}", 3 + n, timestamp=f"2024-{events[0][1]['timestamp'][5:10]}T08:00:00+00:00"), supply(f"d{n}")]
+        ingest_batch(envelope(spark, *rows, first=100 * n), root, n, run["now"], ["arrival"])
+        out = hourly.run_hourly(spark, root, as_of=as_of, **run)
+        names = ("fct_inventory_snapshot", "fct_sales_velocity", "mv_category_daily_summary", "mv_channel_revenue_weekly")
+        versions = {t: parts.newest(spark, root, t).parts for t in names}
+        sales, moves = out["stg_sales"], out["stg_stock_movements"]
+        want = marts.inventory_snapshot(sales, moves, run["start"], as_of)
+        assert same(out["fct_inventory_snapshot"], want)
+        assert same(out["fct_sales_velocity"], marts.sales_velocity(sales, want))
+        assert same(out["mv_category_daily_summary"], reports.category_daily_summary(want))
+        assert same(out["mv_channel_revenue_weekly"], reports.channel_revenue_weekly(sales))
+        assert same(out["mv_sku_reorder_watchlist"], reports.reorder_watchlist(want, as_of))
+        return versions
+
+    def changed(old, new):
+        """Parts whose folders are others now, by table."""
+        return {t: sorted(p for p in new[t] if old[t].get(p) != new[t][p]) for t in new}
+
+    last = dt.date(2024, 3, 8)
+    v0 = hour(0, last, on("a0", "01-16"), on("a1", "02-20", sku="A", quantity=2), on("a2", "03-05"))
+    v1 = hour(1, last, on("b0", "03-07", quantity=3))
+    assert changed(v0, v1) == {
+        "fct_inventory_snapshot": ["2024-03-07", "2024-03-08"],
+        "fct_sales_velocity": ["2024-03-04"],
+        "mv_category_daily_summary": ["2024-03-07", "2024-03-08"],
+        "mv_channel_revenue_weekly": ["2024-03-04"],
+    }
+    # A late sale: everything from its day on, but for the channel's weeks in between.
+    v2 = hour(2, last, on("c0", "02-27"))
+    found = changed(v1, v2)
+    assert min(found["fct_inventory_snapshot"]) == "2024-02-27" and min(found["fct_sales_velocity"]) == "2024-02-26"
+    assert found["mv_channel_revenue_weekly"] == ["2024-02-26"]
+    # The calendar goes on, nothing else happens on its days.
+    v3 = hour(3, last + dt.timedelta(days=1), on("d0", "03-09"))
+    assert changed(v2, v3)["fct_inventory_snapshot"] == ["2024-03-09"]
+    # A new SKU has rows on every day; the files of earlier days stay and get another beside them.
+    v4 = hour(4, last + dt.timedelta(days=1), on("e0", "03-09", sku="NEW"))
+    old, new = v3["fct_inventory_snapshot"], v4["fct_inventory_snapshot"]
+    assert all(new[d][: len(f)] == f and len(new[d]) == len(f) + 1 for d, f in old.items() if d < "2024-03-09")
+    # Two runs that saw the same version: the second finds its number taken.
+    before = parts.newest(spark, root, "fct_sales_velocity")
+    staged = parts.stage(parts.read(spark, root, "fct_sales_velocity"), root, "fct_sales_velocity", "week_start")
+    parts.publish(spark, root, "fct_sales_velocity", staged, before)
+    with pytest.raises(Conflict):
+        parts.publish(spark, root, "fct_sales_velocity", staged, before)
