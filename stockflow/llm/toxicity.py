@@ -175,14 +175,14 @@ def fit_sides(counts: DataFrame, models: list[list[int]]) -> tuple[list[tuple[Si
 
 
 def fit_ratios(counts: DataFrame, models: list[list[int]], slots: int = SLOTS) -> tuple[DataFrame, list[float]]:
-    """(slot, word, ratios, best, alone): log-likelihood ratio toxic to ordinary by model, and of unseen words.
+    """(slot, word, ratios, best, low, high): log-likelihood ratio toxic to ordinary by model, and of unseen words.
 
     Interpolated Kneser-Ney with the class as history: a class's probability of a word is its
     discounted share of the class's counts plus the mass so freed times the backoff. The backoff is
     shared: it counts the distinct contexts of a word in both classes together, so what a class has
     rarely or not at all is smoothed by what the word does elsewhere. A word that a model has in
     neither class has the same backoff in both, so its ratio is that of the freed masses. ``best``
-    is the word of highest count of its slot, ``alone`` if no other has it.
+    is the word of highest count of its slot; the bits of ``low`` and ``high`` are set for the others.
     """
     sides, contexts = fit_sides(counts, models)
     backoff = F.col("contexts") / F.lit(contexts)
@@ -196,12 +196,19 @@ def fit_ratios(counts: DataFrame, models: list[list[int]], slots: int = SLOTS) -
         unseen.append(float(np.log(max(pair[0].weight, 1e-12)) - np.log(max(pair[1].weight, 1e-12))))
         ratios.append(F.when(seen > 0, F.log(chances[0]) - F.log(chances[1])).otherwise(F.lit(unseen[-1])).cast("float"))
     every = sum((F.col(k) for k in _KINDS), F.lit(0)).cast("long").alias("n")
-    slot = F.shiftrightunsigned("word", 64 - (slots.bit_length() - 1)).cast("int").alias("slot")
-    table = counts.select(slot, "word", every, F.array(*ratios).alias("ratios"))
+    bits = slots.bit_length() - 1
+    slot = F.shiftrightunsigned("word", 64 - bits).cast("int").alias("slot")
+    mark = F.shiftrightunsigned("word", 64 - bits - 7).bitwiseAND(F.lit(127)).cast("int").alias("mark")
+    table = counts.select(slot, mark, "word", every, F.array(*ratios).alias("ratios"))
     rank = Window.partitionBy("slot").orderBy(F.desc("n"), "word")
-    best = (F.row_number().over(rank) == 1).alias("best")
-    alone = (F.count("*").over(Window.partitionBy("slot")) == 1).alias("alone")
-    return table.select("slot", "word", "ratios", best, alone), unseen
+    table = table.withColumn("best", F.row_number().over(rank) == 1)
+    site = Window.partitionBy("slot")
+    marks = []
+    for name, first in (("low", 0), ("high", 64)):
+        inside = (~F.col("best")) & F.col("mark").between(first, first + 63)
+        bit = F.when(inside, F.expr(f"shiftleft(1L, mark - {first})")).otherwise(F.lit(0).cast("long"))
+        marks.append(F.bit_or(bit).over(site).alias(name))
+    return table.select("slot", "word", "ratios", "best", *marks), unseen
 
 
 @dataclass(frozen=True)
@@ -210,8 +217,9 @@ class Frequent:
 
     word: np.ndarray
     ratios: np.ndarray
-    #: Whether another word than the one there has the slot.
-    shared: np.ndarray
+    #: 128 bits a slot: those of the next bits of the other words' hashes are set.
+    low: np.ndarray
+    high: np.ndarray
     #: Ratio of a word that no text of the model has, by model.
     unseen: np.ndarray
 
@@ -224,25 +232,31 @@ class Frequent:
             object.__setattr__(self, k, np.frombuffer(zlib.decompress(data), dtype=kind).reshape(shape))
 
     def find(self, words: np.ndarray, model: int) -> tuple[np.ndarray, np.ndarray]:
-        """The ratio of each word, and for which words it is not at hand."""
-        slot = (words >> np.uint64(64 - (len(self.word).bit_length() - 1))).astype(np.int64)
+        """The ratio of each word, and for which words it is not at hand.
+
+        Of the words that are not in their slot the bits tell most that no text has.
+        """
+        bits = len(self.word).bit_length() - 1
+        slot = (words >> np.uint64(64 - bits)).astype(np.int64)
+        mark = (words >> np.uint64(64 - bits - 7)) & np.uint64(127)
         hit = self.word[slot] == words
         ratio = np.where(hit, self.ratios[model][slot], self.unseen[model]).astype(np.float64)
-        return ratio, ~hit & self.shared[slot]
+        marks = np.where(mark < 64, self.low[slot], self.high[slot]) >> (mark & np.uint64(63))
+        return ratio, ~hit & ((marks & np.uint64(1)) == 1)
 
 
 def frequent(ratios: DataFrame, unseen: list[float], slots: int = SLOTS) -> Frequent:
     """The word of highest count of each slot; at most one row per slot reaches the driver."""
     lists = [F.col("ratios")[i].alias(f"ratio{i}") for i in range(len(unseen))]
-    found = ratios.filter("best").select("slot", "word", "alone", *lists).toArrow()
+    found = ratios.filter("best").select("slot", "word", "low", "high", *lists).toArrow()
     slot = found["slot"].to_numpy()
-    word, shared = np.zeros(slots, dtype=np.uint64), np.zeros(slots, dtype=bool)
-    word[slot] = found["word"].to_numpy().view(np.uint64)
-    shared[slot] = ~found["alone"].to_numpy()
+    word, low, high = (np.zeros(slots, dtype=np.uint64) for _ in range(3))
+    for name, column in (("word", word), ("low", low), ("high", high)):
+        column[slot] = found[name].to_numpy().view(np.uint64)
     table = np.zeros((len(unseen), slots), dtype=np.float32)
     for i in range(len(unseen)):
         table[i, slot] = found[f"ratio{i}"].to_numpy()
-    return Frequent(word, table, shared, np.array(unseen))
+    return Frequent(word, table, low, high, np.array(unseen))
 
 
 def _passages(values: np.ndarray, size: int) -> np.ndarray:
@@ -321,7 +335,7 @@ _PARTIAL = {
     "tops": "array<int>",
     "sums": "array<double>",
     "near": "array<int>",
-    "values": "array<double>",
+    "values": "array<float>",
     "words": "array<long>",
 }
 
@@ -335,7 +349,7 @@ def _measured(docs: DataFrame, keep: list[str], ratios: DataFrame, shared) -> Da
     """
 
     def begin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        types = {"int": pa.int32(), "double": pa.float64(), "long": pa.int64()}
+        types = {"int": pa.int32(), "float": pa.float32(), "double": pa.float64(), "long": pa.int64()}
         types.update({f"array<{k}>": pa.list_(t) for k, t in types.items()})
         for batch in batches:
             rows = [partial(t, shared.value, m) for t, m in zip(batch["text"].to_pylist(), batch["model"].to_pylist())]
