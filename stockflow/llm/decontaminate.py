@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stockflow.llm.store import annotate
+from stockflow.llm.store import annotate, kept_in_workers
 from stockflow.llm.words import ALNUM, byte_rows, covered, lower, spans, word_hashes
 
 WINDOW = 13
@@ -187,6 +187,7 @@ def _hash(word: bytes) -> int:
 
 
 _CACHE: OrderedDict = OrderedDict()
+kept_in_workers(__name__, _CACHE.clear)
 
 
 def _block(shared, window: int) -> Block:

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stockflow.llm.store import map_arrow, stored
+from stockflow.llm.store import kept_in_workers, map_arrow, stored
 
 WINDOW = 2048
 END_ID = 1
@@ -103,6 +103,7 @@ class Encoder:
 
 
 _ENCODERS: dict[str, Encoder] = {}
+kept_in_workers(__name__, _ENCODERS.clear)
 
 
 def encoder(path: str | None) -> Encoder:

@@ -34,6 +34,21 @@ def ship_package(spark: SparkSession) -> None:
     _SHIPPED.add(sc.applicationId)
 
 
+#: What modules keep in a worker between partitions, and how to forget it.
+_KEPT: dict[str, Callable[[], None]] = {}
+
+
+def kept_in_workers(module: str, forget: Callable[[], None]) -> None:
+    """Name what ``module`` keeps between its partitions; a partition of another one forgets it."""
+    _KEPT[module] = forget
+
+
+def _make_room(module: str) -> None:
+    for other, forget in _KEPT.items():
+        if other != module:
+            forget()
+
+
 def _give_back() -> None:
     """Return freed memory to the system: workers are used again and would keep the most they had."""
     pa.default_memory_pool().release_unused()
@@ -47,6 +62,8 @@ def map_arrow(df: DataFrame, run: Callable, schema: str | T.StructType) -> DataF
     """``mapInArrow`` with this package at hand in the workers, which keep little after a partition."""
 
     def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _make_room(run.__module__)
+        _give_back()
         yield from run(batches)
         _give_back()
 
@@ -115,4 +132,5 @@ def annotate(
             columns = [c if isinstance(c := got[k.name], pa.Array) else pa.array(c, k.type) for k in kinds]
             yield pa.RecordBatch.from_arrays([batch["row"], *columns], ["row", *kinds.names])
 
+    run.__module__ = compute.__module__
     return map_arrow(packed, run, T.StructType([row, *added.fields]))
