@@ -461,7 +461,7 @@ def score(docs: DataFrame, labels: DataFrame, slots: int = SLOTS, sample: int =
     texts, last = docs.select("doc_id", "text"), len(models) - 1
     fitted = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "label", F.col("fold").cast("int").alias("model"))
     every = texts.select("*", F.lit(None).cast("long").alias("label"), F.lit(last).alias("model"))
-    measured = _measured(every.unionByName(fitted), ["doc_id", "label"], ratios, shared)
+    measured = stored(_measured(every.unionByName(fitted), ["doc_id", "label"], ratios, shared))
     held = measured.filter(F.col("model") < last).toPandas()
     decision = fit_decision(held[list(MEASURES)].to_numpy(), held["label"].to_numpy() > 0)
     scored = measured.filter(F.col("model") == last)
