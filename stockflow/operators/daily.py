@@ -104,8 +104,14 @@ def dense_activity(
     With ``since`` only the days from there on are stretched; the column ``opening`` has what
     the SKU's earlier rows add up to.
     """
+    return stretched_activity(daily_activity(stg_sales, stg_moves, start, as_of, skus), start, as_of, since)
+
+
+def stretched_activity(
+    daily: DataFrame, start: dt.date, as_of: dt.date, since: dt.date | None = None
+) -> DataFrame:
+    """The dense series of ``dense_activity`` from the rows of ``daily_activity``."""
     first = start if since is None else max(start, since)
-    daily = _daily_activity(stg_sales, stg_moves, start, as_of, skus)
 
     # Categories of the SKU's dimension rows; a struct keeps a NULL category.
     per_sku = daily.selectExpr(
@@ -150,12 +156,12 @@ def dense_activity(
     ).selectExpr(*_ACTIVITY, *([] if since is None else ["opening"]))
 
 
-def _daily_activity(
+def daily_activity(
     stg_sales: DataFrame,
     stg_moves: DataFrame,
     start: dt.date,
     as_of: dt.date,
-    skus: DataFrame | None,
+    skus: DataFrame | None = None,
 ) -> DataFrame:
     """Daily sums of both feeds per (sku, category, day).
 

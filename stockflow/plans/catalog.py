@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from stockflow.functions import numeric as N
 from stockflow.functions import scalars as S
 from stockflow.operators import alerts, daily, dedup, quality, staging, upsert, windows
-from stockflow.plans import hourly, marts, reports, staging_tables
+from stockflow.plans import change_points, hourly, marts, reports, staging_tables
 from stockflow.session import ensure_checkpoint_dir, pin_session
 from stockflow.sources import commits, feeds, messages, tables
 from stockflow.sources.schemas import RAW_SALES, STOCK_TOPIC, STOCK_WIRE
@@ -346,6 +346,9 @@ _QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "mv_category_daily_summary": lambda i: reports.shown(
         "mv_category_daily_summary", reports.category_daily_summary(i.snapshot())
     ),
+    "category_summary_by_changes": lambda i: change_points.category_daily_summary(
+        i.sales(), i.moves(), START, AS_OF
+    ),
     "mv_sku_reorder_watchlist": lambda i: reports.shown("mv_sku_reorder_watchlist", i.watchlist()),
     "mv_channel_revenue_weekly": lambda i: reports.shown(
         "mv_channel_revenue_weekly", reports.channel_revenue_weekly(i.sales())
