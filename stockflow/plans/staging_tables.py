@@ -63,7 +63,9 @@ def refresh_days(
     and replaces their older versions. ``days_fixed`` states that an event never changes its
     day, which limits the search for older versions to the days of the new rows; it holds
     when raw keeps each event once. ``newer`` gives the raw rows that the table may lack, where
-    the caller knows them without a look at the stored mark.
+    the caller knows them without a look at the stored mark. Columns that come or go and types that
+    widen are noted beside the table, and only the days of new rows are written; any other change
+    of type rebuilds it.
     """
     spark = raw.sparkSession
     if mode not in ("full", "incremental"):
@@ -74,17 +76,25 @@ def refresh_days(
         tables.delete(spark, _pending(root, name))
         return Refreshed(tables.rebuild(build(raw), root, name, [DAY]), None)
     _apply_pending(spark, root, name)
-    target = spark.read.parquet(path)
+    target = tables.read_version(spark, path)
     if target.isEmpty():
         return Refreshed(tables.rebuild(build(raw), root, name, [DAY]), None)
     new = build(newer_than(raw, high_water_mark(target), overlap) if newer is None else newer)
-    if _fields(target) != _fields(new):
-        # A changed column or type touches every day.
+    changed = _fields(target) != _fields(new)
+    if changed and not tables.readable_as(spark, path, new.schema):
+        # Files of the old type cannot be read as the new one.
         merged = upsert(target, new, KEY).select(new.columns)
         return Refreshed(tables.rebuild(merged, root, name, [DAY]), None)
+    if changed:
+        target = spark.read.schema(new.schema).parquet(path).select(new.columns)
     days = _prepare(target, new, root, name, days_fixed)
+    if changed:
+        # Before the days are replaced: until then a reader finds all files in the old schema.
+        tables.log_schema(spark, path, new.schema)
     _apply_pending(spark, root, name)
-    return Refreshed(spark.read.schema(target.schema).parquet(path).select(new.columns), days)
+    rows = spark.read.schema(target.schema).parquet(path).select(new.columns)
+    # The rules may name a column that older rows lack, so a new schema is tested on every day.
+    return Refreshed(rows, None if changed else days)
 
 
 def _fields(df: DataFrame) -> dict[str, str]:
@@ -138,7 +148,7 @@ def _apply_pending(spark: SparkSession, root: str, name: str) -> None:
     if not tables.finished(spark, f"{pending}/emptied"):
         return
     path = tables.current_path(spark, root, name)
-    stored = spark.read.parquet(path)
+    stored = tables.read_version(spark, path)
     rows = spark.read.schema(stored.schema).parquet(f"{pending}/rows")
     # The day's own type is a guess from folder names, and no date where only its NULL folder is.
     if not rows.isEmpty() and _fields(spark.read.parquet(f"{pending}/rows").drop(DAY)) != _fields(

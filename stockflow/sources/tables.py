@@ -215,7 +215,60 @@ def read_current(spark: SparkSession, root: str, name: str) -> DataFrame:
     path = current_path(spark, root, name)
     if path is None:
         raise FileNotFoundError(f"table {name} has no finished version under {root}")
-    return spark.read.parquet(path)
+    return read_version(spark, path)
+
+
+def logged_schema(spark: SparkSession, path: str) -> tuple[T.StructType | None, list[str]]:
+    """The last schema noted for a version, None if its files have one, and the names it dropped."""
+    log = sorted(int(n) for n in commits.names(spark, f"{path}/_schemas") if n.isdigit())
+    if not log:
+        return None, []
+    noted = json.loads(commits.read_text(spark, f"{path}/_schemas/{log[-1]}"))
+    return T.StructType.fromJson(noted["schema"]), noted["gone"]
+
+
+def log_schema(spark: SparkSession, path: str, schema: T.StructType) -> None:
+    """From now on the version at ``path`` is read in ``schema``; no file is written again.
+
+    Files keep the columns and types they were written with: a reader casts the narrower ones,
+    leaves out dropped columns and gives NULL for added ones.
+    """
+    before, gone = read_version(spark, path).columns, logged_schema(spark, path)[1]
+    gone = sorted({*gone, *before} - {*schema.names})
+    number = max([int(n) for n in commits.names(spark, f"{path}/_schemas") if n.isdigit()], default=-1) + 1
+    if not commits.create(spark, f"{path}/_schemas/{number}", json.dumps({"schema": schema.jsonValue(), "gone": gone})):
+        raise Conflict(f"another run changed the schema of {path}")
+
+
+def read_version(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of a version in its last schema."""
+    schema, _ = logged_schema(spark, path)
+    if schema is None:
+        return spark.read.parquet(path)
+    return spark.read.schema(schema).parquet(path).select(schema.names)
+
+
+#: Whole numbers from narrow to wide.
+_WHOLE = ("tinyint", "smallint", "int", "bigint")
+
+
+def _widens(old: T.DataType, new: T.DataType) -> bool:
+    """True when a Parquet reader gives every value of ``old`` as ``new``, unchanged."""
+    if isinstance(old, T.DecimalType) and isinstance(new, T.DecimalType):
+        return old.scale == new.scale and old.precision <= new.precision
+    a, b = old.simpleString(), new.simpleString()
+    return a == b or (a in _WHOLE and b in _WHOLE and _WHOLE.index(a) < _WHOLE.index(b)) or (a, b) == ("float", "double")
+
+
+def readable_as(spark: SparkSession, path: str, schema: T.StructType) -> bool:
+    """True when ``log_schema`` can bring the version to ``schema``.
+
+    Types may widen, columns may go and new ones come. A name that was dropped before cannot come
+    back: older files still have its values.
+    """
+    old = {f.name: f.dataType for f in read_version(spark, path).schema}
+    _, gone = logged_schema(spark, path)
+    return all(_widens(old[f.name], f.dataType) if f.name in old else f.name not in gone for f in schema)
 
 
 def rebuild(df: DataFrame, root: str, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
