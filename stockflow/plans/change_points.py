@@ -46,7 +46,8 @@ def change_points(days: DataFrame, start: dt.date, as_of: dt.date) -> DataFrame:
         f"{N.cents('coalesce(net_revenue, 0)')} AS _net",
         "coalesce(net_delta, 0L) AS _delta",
         "moves > 0 OR sales > 0 AS _active",
-        "day = min(day) OVER (PARTITION BY sku) AS _first",
+        # ``listed`` is read here too, so that this and the dense form share one aggregation.
+        "listed AND day = min(day) OVER (PARTITION BY sku) AS _first",
         f"min(CASE WHEN units_sold <> 0 THEN {n} END) OVER (PARTITION BY sku) AS _sells",
     )
     growing = f"CASE WHEN _sells < {_LONG} THEN transform(sequence(_sells, {_LONG - 1}), d -> {_point('d')}) END"
