@@ -173,7 +173,9 @@ def envelope(spark: SparkSession, sf_dir: str, one_category: bool = False) -> Da
     delivery = f"""struct({head.format('delivery')}, 'SUP-1' AS supplier_id, msg_id AS po_number,
         delta AS quantity, 7.25D AS unit_cost, date_format(ts, 'yyyy-MM-dd') AS expected_date,
         date_format(ts, 'yyyy-MM-dd') AS actual_date)"""
-    return envelope_events(spark, sf_dir, one_category).selectExpr(
+    # Messages cost far more to write and parse than rows to send: few row groups are dealt to all cores.
+    dealt = envelope_events(spark, sf_dir, one_category).repartition("arrival", "ts", "sku", "delta")
+    return dealt.selectExpr(
         "topic",
         "cast(sku AS binary) AS key",
         f"cast(CASE topic WHEN '{STOCK_TOPIC}' THEN to_json({movement}) WHEN '{SUPPLIER_TOPIC}' "

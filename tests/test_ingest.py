@@ -228,3 +228,16 @@ def test_bounded_streaming_dedup(spark, tmp_path):
     )
     query.awaitTermination()
     assert listed(spark.read.parquet(str(tmp_path / "out")), "event_id") == [("a",), ("b",)]
+
+
+def test_messages_of_one_row_group_are_made_in_many_tasks(spark, tmp_path):
+    rows = [(n, dt.datetime(2024, 1, 1, 8), n % 7, "view", 60.0) for n in range(200)]
+    kinds = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double"
+    spark.createDataFrame(rows, kinds).coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sent = feeds.envelope(spark, str(tmp_path))
+        assert sent.rdd.getNumPartitions() > 1
+        assert sent.select("arrival").distinct().count() == sent.count() == 200
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
