@@ -15,8 +15,9 @@ import datetime as dt
 import hashlib
 import json
 import uuid
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from dataclasses import replace
 from functools import partial
 
@@ -85,6 +86,38 @@ def _claimed(spark: SparkSession, root: str, state: Commit, stream: str, number:
     return now
 
 
+Land = Callable[..., DataFrame]
+
+
+@contextmanager
+def _landing(spark: SparkSession, root: str) -> Iterator[Land]:
+    """A function that writes rows to a folder of their own, by columns if any, and reads them back.
+
+    Rows that several jobs read are computed once. Those jobs read the columns and folders they need
+    and carry nothing of the plan that made the rows: over a cached batch each of their tasks would
+    report every metric of the stream's state to the driver. Reads are in ``spark``, whose joins and
+    shuffles follow measured sizes; the session of a batch of a stream with state has that turned off.
+    """
+    folder = f"{root}/_incoming/{uuid.uuid4().hex}"
+
+    def land(rows: DataFrame, *by: str) -> DataFrame:
+        path = f"{folder}/{uuid.uuid4().hex}"
+        rows.write.partitionBy(*by).parquet(path)
+        return spark.read.schema(rows.schema).parquet(path).select(rows.columns)
+
+    try:
+        yield land
+    finally:
+        commits.delete(spark, folder)
+
+
+def _slim(routed: DataFrame) -> DataFrame:
+    """Routed messages without what nobody reads: the text of good ones, the event of others."""
+    events = {table: F.expr(f"CASE WHEN reason IS NULL THEN {table} END") for table, _ in ROUTES.values()}
+    texts = {c: F.expr(f"CASE WHEN reason IS NOT NULL THEN {c} END") for c in ("key", "value")}
+    return routed.withColumns({**events, **texts})
+
+
 def ingest_batch(
     messages: DataFrame,
     root: str,
@@ -99,12 +132,11 @@ def ingest_batch(
 
     There is no state of seen ids here, so the batch meets the ids of all stored rows.
     """
+    spark = pin_session(messages.sparkSession)
     batch, kept = _envelope(messages, arrival)
-    batch = batch.persist()
-    try:
-        _store(batch, None, root, stream_batch, now, kept, duplicates, thresholds, stream, None)
-    finally:
-        batch.unpersist()
+    with _landing(spark, root) as land:
+        landed = land(_slim(batch), "table_name")
+        _store(landed, None, root, stream_batch, now, kept, duplicates, thresholds, stream, None)
 
 
 def _store(
@@ -119,14 +151,11 @@ def _store(
     stream: str,
     writer: str | None,
 ) -> None:
-    """Store routed messages, cached. ``new`` has the ids that the stream's state had not seen before."""
+    """Store routed messages, landed. ``new`` has the ids that the stream's state had not seen before."""
     spark = pin_session(batch.sparkSession)
     state = commits.newest(spark, root)
     mine = state.streams.get(stream, {"batch": -1, "here": -1, "told": -1})
     if mine["batch"] >= stream_batch:
-        # The state must see a batch again that was stored but not reported back.
-        if new is not None:
-            new.count()
         return
     number = state.batch + 1
     now = _claimed(spark, root, state, stream, stream_batch, now)
@@ -142,7 +171,8 @@ def _store(
         """Rows of the batch, one per id, whose id no stored row has; ``rows`` has the ids as well."""
         if new is not None:
             ids = new.filter(F.col("table_name") == table).select(F.col("row_id").alias(key))
-            first = first.join(ids, key, "left_semi")
+            # First rows lie by id already. Files do not tell how large the ids are that they hold packed.
+            first = first.join(ids.hint("merge"), key, "left_semi")
         stored = _untold(spark, root, state, table, mine["told"], None if new is None else stream)
         return first if stored is None else unseen(first, stored, key, rows.select(F.col("row_id").alias(key)))
 
@@ -155,28 +185,31 @@ def _store(
         topic, wire = next((t, w) for t, (name, w) in ROUTES.items() if name == table)
         good = M.events(rows, wire, kept, table)
         # Copies of one event are cut down before the join on its id.
-        fresh = fresh_rows(first_wins(good, key, kept), rows, table, key).persist()
-        try:
+        fresh = fresh_rows(first_wins(good, key, kept), rows, table, key)
+
+        def write(fresh: DataFrame) -> str:
             stored = fresh.drop(*kept).selectExpr("*", f"{instant(now)} AS ingested_at")
-            if topic != STOCK_TOPIC:
-                folders[table] = tables.write_batch(stored, root, table, number)
-                return None
+            return tables.write_batch(stored, root, table, number)
+
+        if topic != STOCK_TOPIC:
+            folders[table] = write(fresh)
+            return None
+        with _landing(spark, root) as land:
+            fresh = land(fresh)
             checked = {"realert": good, "ignore": fresh}[duplicates]
             opening = _opening(spark, root, state, checked).persist()
             try:
                 folders[table], folders["reorder_alerts"], log = _side_by_side(
                     spark,
-                    lambda: tables.write_batch(stored, root, table, number),
+                    lambda: write(fresh),
                     lambda: _raise_alerts(checked, fresh, opening, root, number, now, kept, thresholds),
                     lambda: _change_stock(fresh, opening, root, state, number),
                 )
             finally:
                 opening.unpersist()
             return log
-        finally:
-            fresh.unpersist()
 
-    # The tables share nothing but the cached batch.
+    # The tables share nothing but the landed batch.
     for log in _side_by_side(spark, *[partial(store, t) for t in KEY_OF if t in present]):
         stock = log or stock
 
@@ -344,18 +377,17 @@ def start_ingest(
     told = spark.readStream.schema(_SEEDS).parquet(seeds)
     # Which of the ids are new is the state's answer; the messages themselves pass by it.
     new = routed.select(*_ID).unionByName(told).dropDuplicates(_ID).withColumn("is_new", F.lit(True))
-    both = routed.withColumn("is_new", F.lit(False)).unionByName(new, allowMissingColumns=True)
+    both = _slim(routed).withColumn("is_new", F.lit(False)).unionByName(new, allowMissingColumns=True)
 
     def store(batch: DataFrame, number: int) -> None:
         session = batch.sparkSession
         # The id is kept in the checkpoint and survives restarts.
         name = session.sparkContext.getLocalProperty("sql.streaming.queryId") or checkpoint
-        batch = batch.persist()
-        try:
+        with _landing(spark, root) as land:
+            # The state sees the batch here, once, and again if it was stored but not reported back.
+            batch = land(batch, "is_new", "table_name")
             messages, ids = batch.filter("NOT is_new").drop("is_new"), batch.filter("is_new").select(*_ID)
             _store(messages, ids, root, number, clock(), kept, duplicates, thresholds, name, token)
-        finally:
-            batch.unpersist()
 
     writer = both.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
     trigger = {"availableNow": True} if every is None else {"processingTime": every}

@@ -230,6 +230,29 @@ def test_bounded_streaming_dedup(spark, tmp_path):
     assert listed(spark.read.parquet(str(tmp_path / "out")), "event_id") == [("a",), ("b",)]
 
 
+def test_a_streamed_batch_is_stored_from_files_of_its_own(spark, tmp_path, monkeypatch):
+    """Jobs of a batch plan with measured sizes and carry nothing of the stream's plan."""
+    source, root, checkpoint = (str(tmp_path / n) for n in ("source", "tables", "checkpoint"))
+    envelope(spark, stock("m1", 5), sale("s1"), sale("s1"), stock("m1", 5), (STOCK_TOPIC, "{")).write.parquet(source)
+    store, seen = ingest._store, []
+
+    def looked_at(batch, new, *rest):
+        plans = [df._jdf.queryExecution().executedPlan().toString() for df in (batch, new)]
+        seen.append((batch.sparkSession.conf.get("spark.sql.adaptive.enabled"), plans))
+        store(batch, new, *rest)
+
+    monkeypatch.setattr(ingest, "_store", looked_at)
+    stream = messages.file_stream(spark, source, ENVELOPE)
+    start_ingest(stream, root, checkpoint, ["arrival"], clock=lambda: NOW).awaitTermination()
+    [(adaptive, plans)] = seen
+    assert adaptive == "true"
+    assert all("FileScan parquet" in p and "InMemoryTableScan" not in p and "Dedup" not in p for p in plans)
+    assert stored(spark, root, "raw_stock_movements", "event_id") == [("m1",)]
+    assert stored(spark, root, "raw_sales", "event_id") == [("s1",)]
+    assert tables.committed(spark, root, "dead_letters").count() == 1
+    assert commits.names(spark, f"{root}/_incoming") == []
+
+
 def test_messages_of_one_row_group_are_made_in_many_tasks(spark, tmp_path):
     rows = [(n, dt.datetime(2024, 1, 1, 8), n % 7, "view", 60.0) for n in range(200)]
     kinds = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double"
