@@ -9,6 +9,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,19 +23,46 @@ TOKENIZER = "byte_bpe_50k.json"
 REMEMBERED = 96 << 20
 ENTRY = 190
 SHORT = 64
+#: Bytes of texts that are cut into words at once, and words that are encoded in one text.
+SLICE = 2 << 20
+TOGETHER = 200
 _SPACES = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-_CHUNK = re.compile(f"[{_SPACES}]*[^{_SPACES}]+|[{_SPACES}]+")
-_TAIL = re.compile(r"(?<=[A-Za-z\xe0-\xff])[.,!?;:%#$&*|]+\Z")
+_UNEVEN = f"\\A\\z|\\A[{_SPACES}]|[{_SPACES}][{_SPACES}]|[{_SPACES}]\\z"
+_RUNS = re.compile(f"(\\A[{_SPACES}]+|[{_SPACES}]{{2,}}|[{_SPACES}]+\\Z)")
+_TAIL = "([A-Za-z\xe0-\xf6\xf8-\xff])[.,!?;:%#$&*|]+\\z"
+
+
+def _stretches(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The stretches of ``data`` that begin at ``starts``, one after the other."""
+    ends = np.cumsum(lengths)
+    at = np.repeat((starts - (ends - lengths)).astype(np.int32), lengths)
+    at += np.arange(len(at), dtype=np.int32)
+    return data[at]
+
+
+def _begins(lengths: np.ndarray) -> np.ndarray:
+    return np.concatenate([[0], np.cumsum(lengths)])
+
+
+def _texts(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of an array of strings, and where each begins and the last ends."""
+    _, offsets, data = array.buffers()
+    at = np.frombuffer(offsets, dtype=np.int32)[array.offset : array.offset + len(array) + 1]
+    return np.frombuffer(data, dtype=np.uint8) if data else np.zeros(0, np.uint8), at.astype(np.int64)
 
 
 class Encoder:
-    """Ids of texts, as little-endian 32-bit bytes, by a byte-level BPE of the tokenizers library.
+    """Ids of texts, as little-endian 32-bit numbers, by a byte-level BPE of the tokenizers library.
+
+    Such a tokenizer never joins a non-space character with a space or line break after it, a line
+    break with what comes after it, nor a letter with the marks of ``_TAIL`` after it. Of several
+    spaces the last alone can go with the word after it. So a text falls into words with a space or
+    a line break before them that are encoded on their own, and many texts have each of them encoded
+    once. Those found twice are remembered; when the memory is full the latest half, which are the
+    rarest, goes.
 
-    Such a tokenizer never joins a non-space character with a space after it, nor a letter with
-    the marks of ``_TAIL`` after it. So a text falls into words with a space before them that are
-    encoded on their own. Most recur, and are remembered; when the memory is full the latest half,
-    which are the rarest, goes. Texts are cut at each space, and by pattern where spaces follow each
-    other.
+    A word is written without the space before it, or with its line break; after a space comes what
+    is encoded as it stands. The first word of a text has a line break that is no part of the text.
     """
 
     def __init__(self, path: str):
@@ -46,60 +74,119 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
         self.held = 0
-        spaced = self.tokenizer.encode(" ", add_special_tokens=False).tokens[0]
+        leads = tuple(self.tokenizer.encode(c, add_special_tokens=False).tokens[0] for c in " \n")
         vocabulary = self.tokenizer.get_vocab()
         self.opens = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
-        self.opens[[i for token, i in vocabulary.items() if token.startswith(spaced)]] = True
-
-    def _encode(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
+        self.opens[[i for token, i in vocabulary.items() if token.startswith(leads)]] = True
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+
+    def _encode(self, texts: list[str]) -> list[np.ndarray]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(e.ids, dtype="<u4") for e in found]
+
+    def _uneven_words(self, text: str) -> list[str]:
+        """Words of a text that is empty or has spaces at an end or next to each other."""
+        if any(token in text for token in self.added):
+            return [" \n", f" {text}"]
+        first, *rest = _RUNS.split(text)
+        words = f"\n{first}".replace("\n", " \n").split(" ")[1:] if first else [" \n"]
+        for run, stretch in zip(rest[::2], rest[1::2]):
+            if not stretch:
+                words.append(f" {run}")
+                continue
+            if run[:-1]:
+                words.append(f" {run[:-1]}")
+            own = stretch.replace("\n", " \n").split(" ")
+            if run[-1] != " ":
+                own[0] = f"\n{own[0]}" if run[-1] == "\n" else f" {run[-1]}{own[0]}"
+            words += own
+        return words
+
+    def _words(self, texts: pa.Array) -> pa.Array:
+        """A list of the words of each text."""
+        uneven = pc.match_substring_regex(texts, _UNEVEN)
+        even = texts.filter(pc.invert(uneven))
+        lined = pc.binary_join_element_wise("\n", pc.replace_substring(even, "\n", " \n"), "")
+        words = pc.split_pattern(lined, " ")
+        if len(even) == len(texts):
+            return words
+        others = [self._uneven_words(t) for t in texts.filter(uneven).to_pylist()]
+        order = np.argsort(uneven.to_numpy(zero_copy_only=False), kind="stable")
+        return pa.concat_arrays([words, pa.array(others, words.type)]).take(pa.array(np.argsort(order)))
 
     def _encode_words(self, words: list[str]) -> list[bytes]:
-        """Ids of each word after a space: of all in one text, cut where an id opens with a space."""
-        ids = self._encode("".join([" " + w for w in words]))
-        first = np.flatnonzero(self.opens[ids])
-        if len(first) != len(words):
-            return [self._encode(" " + w).tobytes() for w in words]
-        data, at = ids.tobytes(), [*(4 * first).tolist(), 4 * len(ids)]
-        return [data[a:b] for a, b in zip(at, at[1:])]
-
-    def _spell(self, words: list[str]) -> dict[str, bytes]:
-        """Ids of words, and of what they are without the marks at their end."""
-        parts = []
-        for word in words:
-            tail = _TAIL.search(word)
-            parts.append((word[: tail.start()], tail[0]) if tail else (word, ""))
-        stems = list({stem for stem, _ in parts if stem not in self.known})
-        new = dict(zip(stems, self._encode_words(stems))) if stems else {}
-        tails = {tail: self._encode(tail).tobytes() for tail in {tail for _, tail in parts if tail}}
-        for word, (stem, tail) in zip(words, parts):
-            if tail:
-                new[word] = (self.known[stem] if stem in self.known else new[stem]) + tails[tail]
-        return new
-
-    def _remember(self, new: dict[str, bytes]) -> None:
-        for word, ids in new.items():
+        """Ids of each word: of many in one text, cut where an id opens with a space or line break."""
+        plain = [w for w in words if not w.startswith(" ")]
+        found: dict[str, bytes] = {}
+        for i in range(0, len(plain), TOGETHER):
+            group = plain[i : i + TOGETHER]
+            ids = self._encode(["".join([w if w.startswith("\n") else f" {w}" for w in group])])[0]
+            first = np.flatnonzero(self.opens[ids])
+            if len(first) == len(group):
+                data, at = ids.tobytes(), [*(4 * first).tolist(), 4 * len(ids)]
+                found.update(zip(group, [data[a:b] for a, b in zip(at, at[1:])]))
+        rest = [w for w in words if w not in found]
+        alone = [w if w.startswith("\n") else w[1:] if w.startswith(" ") else f" {w}" for w in rest]
+        found.update(zip(rest, [ids.tobytes() for ids in self._encode(alone)]))
+        return [found[w] for w in words]
+
+    def _remember(self, words: list[str], ids: list[bytes]) -> None:
+        for word, own in zip(words, ids):
             if len(word) <= SHORT:
-                self.known[word] = ids
-                self.held += len(word) + len(ids) + ENTRY
-        if self.held > REMEMBERED:
-            for word in list(self.known)[len(self.known) // 2 :]:
-                self.held -= len(word) + len(self.known.pop(word)) + ENTRY
+                self.known[word] = own
+                self.held += len(word) + len(own) + ENTRY
+                if self.held > REMEMBERED:
+                    for last in list(self.known)[len(self.known) // 2 :]:
+                        self.held -= len(last) + len(self.known.pop(last)) + ENTRY
+
+    def _spell(self, words: pa.Array, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct words, one after the other, and how many each has.
+
+        What words are without the marks at their end is encoded once, and the marks are.
+        """
+        stems = pc.replace_substring_regex(words, _TAIL, "\\1")
+        data, at = _texts(words)
+        marks = at[1:] - at[:-1] - np.diff(_texts(stems)[1])
+        tail_bytes = _stretches(data, at[1:] - marks, marks)
+        offsets = pa.py_buffer(_begins(marks).astype(np.int32))
+        tails = pa.StringArray.from_buffers(len(words), offsets, pa.py_buffer(tail_bytes)).dictionary_encode()
+        stems = stems.dictionary_encode()
+        own, tail = stems.indices.to_numpy(), tails.indices.to_numpy()
+
+        names = stems.dictionary.to_pylist()
+        ids = [self.known.get(w) for w in names]
+        missing = [i for i, found in enumerate(ids) if found is None]
+        often = np.bincount(own, weights=counts, minlength=len(names)) > 1
+        for i, found in zip(missing, self._encode_words([names[i] for i in missing])):
+            ids[i] = found
+        again = [i for i in missing if often[i]]
+        self._remember([names[i] for i in again], [ids[i] for i in again])
+
+        ids += [found.tobytes() for found in self._encode(tails.dictionary.to_pylist())]
+        lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        begins = _begins(lengths)
+        pairs = np.stack([own, tail + len(names)], axis=1).ravel()
+        spelled = _stretches(np.frombuffer(b"".join(ids), dtype="<u4"), begins[pairs], lengths[pairs])
+        return spelled, lengths[own] + lengths[tail + len(names)]
+
+    def documents(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts with ``END_ID`` after each, in one array, and where each begins."""
+        words = self._words(texts)
+        coded = words.flatten().dictionary_encode()
+        codes = coded.indices.to_numpy()
+        first = _begins(pc.list_value_length(words).to_numpy())
+        del words
+        ids, lengths = self._spell(coded.dictionary, np.bincount(codes, minlength=len(coded.dictionary)))
+        del coded
+        begins, lengths = _begins(lengths)[codes], lengths[codes]
+        at = _begins(lengths)[first]
+        ids = _stretches(ids, begins, lengths)
+        # The id of the line break before a text gives way to the end id of the text before.
+        ids[at[:-1]] = END_ID
+        return np.append(ids[1:], np.array([END_ID], dtype="<u4")), at
 
     def ids(self, text: str) -> bytes:
-        if not text:
-            return b""
-        first, *rest = text.split(" ")
-        try:
-            body = b"".join(map(self.known.__getitem__, rest))
-        except KeyError:
-            missing = [w for w in set(rest) if w not in self.known]
-            if any(not w or w[0].isspace() for w in missing):
-                return b"".join([self._encode(c).tobytes() for c in _CHUNK.findall(text)])
-            new = self._spell(missing)
-            body = b"".join([self.known[w] if w in self.known else new[w] for w in rest])
-            self._remember(new)
-        return self._encode(first).tobytes() + body
+        return self.documents(pa.array([text]))[0][:-1].tobytes()
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -117,32 +204,39 @@ def encoder(path: str | None) -> Encoder:
     return _ENCODERS[path]
 
 
+def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Rows of a batch whose texts, null ones empty, have ``SLICE`` bytes or little more."""
+    sizes = pc.fill_null(pc.binary_length(batch["text"]), 0).to_numpy().astype(np.int64)
+    cuts = [0, *(np.flatnonzero(np.diff(np.cumsum(sizes) // SLICE)) + 1).tolist(), len(batch)]
+    for a, b in zip(cuts, cuts[1:]):
+        if a < b:
+            part = batch.slice(a, b - a)
+            texts = pc.fill_null(part["text"].cast(pa.string()), "")
+            yield pa.RecordBatch.from_arrays([part["doc_id"], texts], ["doc_id", "text"])
+
+
 def pieces(docs: DataFrame, window: int = WINDOW, tokenizer: str | None = None) -> DataFrame:
     """doc_id, start, length, ids_crc32 and doc_tokens of each piece of at most ``window`` ids.
 
     A document is its text's ids and the end id; every full window is a piece, the rest another.
     """
-    end = np.array([END_ID], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer).ids
+        encode = encoder(tokenizer).documents
         for batch in batches:
-            rows, start, length, crc, tokens = [], [], [], [], []
-            for i, text in enumerate(batch["text"].to_pylist()):
-                ids = encode(text or "") + end
-                n = len(ids) // 4
-                for a in range(0, n, window):
-                    b = min(a + window, n)
-                    rows.append(i)
-                    start.append(a)
-                    length.append(b - a)
-                    crc.append(zlib.crc32(ids[4 * a : 4 * b]))
-                    tokens.append(n)
-            numbers = [pa.array(c, pa.int64()) for c in (start, length, crc, tokens)]
-            yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"].take(pa.array(rows, pa.int64())), *numbers],
-                ["doc_id", "start", "length", "ids_crc32", "doc_tokens"],
-            )
+            for part in _parts(batch):
+                ids, at = encode(part["text"])
+                tokens = np.diff(at)
+                rows = np.repeat(np.arange(len(tokens)), -(-tokens // window))
+                start = window * (np.arange(len(rows)) - np.searchsorted(rows, rows))
+                length = np.minimum(window, tokens[rows] - start)
+                begins = at[rows] + start
+                crc = [zlib.crc32(ids[a:b]) for a, b in zip(begins.tolist(), (begins + length).tolist())]
+                numbers = [pa.array(c, pa.int64()) for c in (start, length, crc, tokens[rows])]
+                yield pa.RecordBatch.from_arrays(
+                    [part["doc_id"].take(pa.array(rows)), *numbers],
+                    ["doc_id", "start", "length", "ids_crc32", "doc_tokens"],
+                )
 
     schema = f"doc_id {dict(docs.dtypes)['doc_id']}, start long, length long, ids_crc32 long, doc_tokens long"
     return map_arrow(docs.select("doc_id", "text"), run, schema)
